@@ -103,3 +103,82 @@ ASOF LEFT JOIN signup s ON s.ticker = g.ticker AND g.date >= s.date
 ASOF LEFT JOIN weekly w ON g.date >= w.date"""
 
 SQL["panel"] = f"WITH {EV} {PANEL_SQL}"
+
+# ------------------------------------------------------------------ gold
+LAB_CTE = """
+ci_all AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS idx FROM cal),
+pxi AS (SELECT b.ticker, c.idx, b.close AS p FROM bars b JOIN ci_all c USING (date)),
+lab AS (
+  SELECT g.ticker, g.date, """ + ", ".join(
+    f"CASE WHEN p0.p IS NOT NULL AND p{h}.p IS NOT NULL AND p0.p <> 0 "
+    f"THEN greatest(-2000.0, least(2000.0, 10000 * (p{h}.p / p0.p - 1))) END AS r_{h}d, "
+    f"CASE WHEN p0.p IS NULL OR p{h}.p IS NULL OR p0.p = 0 THEN 1 ELSE 0 END AS label_na_{h}d"
+    for h in (1, 5, 20)) + """
+  FROM grid g LEFT JOIN ci_all ci USING (date)
+  LEFT JOIN pxi p0 ON p0.ticker = g.ticker AND p0.idx = ci.idx
+""" + "\n".join(f"  LEFT JOIN pxi p{h} ON p{h}.ticker = g.ticker AND p{h}.idx = ci.idx + {h}" for h in (1, 5, 20)) + ")"
+
+GOLD_WITH = f"""WITH {EV}, {LAB_CTE},
+pan AS ({PANEL_SQL}),
+gold AS (SELECT pan.*, lab.r_1d, lab.label_na_1d, lab.r_5d, lab.label_na_5d, lab.r_20d, lab.label_na_20d
+         FROM pan JOIN lab USING (ticker, date))
+"""
+
+SQL["gold"] = GOLD_WITH + "SELECT * FROM gold"
+
+# (name, numeric?) of every gold column
+GOLD_COLS = ([("ticker", True), ("date", False)] + [(f"feat_{c}_bars", True) for c in BARS_COLS] +
+             [("feat_n_events_market", True), ("feat_max_value_market", True),
+              ("feat_signup_value_signup", True), ("feat_signup_ts_signup", False), ("effective_date_signup", False),
+              ("feat_max_purchase_weekly", True), ("feat_n_purchases_weekly", True), ("effective_date_weekly", False)] +
+             [(f"{k}_{h}d", True) for h in (1, 5, 20) for k in ("r", "label_na")])
+
+NL = "chr(10)"
+
+
+def _feat_block():
+    parts = [f"CASE WHEN feat_{n}_bars IS NOT NULL THEN '{n}=' || printf('%.6f', CAST(feat_{n}_bars AS DOUBLE)) END"
+             for n in BARS_COLS]
+    return f"concat_ws({NL}, {', '.join(parts)})"
+
+
+_T = "'TICKER=' || CAST(ticker AS VARCHAR)"
+_D = "'DATE=' || strftime(CAST(date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')"
+_OUT = "CASE WHEN label_na_1d = 1 OR r_1d IS NULL THEN 'LABEL_NA=1' ELSE CAST(CAST(trunc(r_1d) AS BIGINT) AS VARCHAR) END"
+
+SQL["export_cpt"] = GOLD_WITH + f"""SELECT {_T} || {NL} || {_D} || {NL} || 'FEATURES:' || {NL} || {_feat_block()}
+  || {NL} || 'TARGET_RETURN_BPS_NEXT_1D:' || {NL} || {_OUT} AS text FROM gold"""
+
+SQL["export_sft"] = GOLD_WITH + f"""SELECT
+  'Based on the provided market data for a stock on a given day, predict the future return in basis points (bps) for the next 1 trading day(s).' AS Instruction,
+  {_T} || {NL} || {_D} || {NL} || 'FEATURES:' || {NL} || {_feat_block()} AS Input,
+  {_OUT} AS Output FROM gold"""
+
+SQL["export_txt"] = GOLD_WITH + f"""SELECT {_T} || {NL} || {_D} || {NL} || {NL} || 'FEATURES:' || {NL} || {_feat_block()}
+  || {NL} || {NL} || 'TARGET_RETURN_BPS_NEXT_1D:' || {NL} || {_OUT} || {NL} AS text FROM gold"""
+
+_MISSING = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) - count({c}) AS missing_count, "
+    f"round(CAST(100.0 AS DOUBLE) * (count(*) - count({c})) / count(*), 2) AS missing_percentage FROM gold"
+    for c, _ in GOLD_COLS)
+
+_DESCRIBE = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS "25%", round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS "50%",
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS "75%", CAST(max({c}) AS DOUBLE) AS max FROM gold"""
+    for c, num in GOLD_COLS if num)
+
+SQL["missing_report"] = GOLD_WITH + _MISSING
+SQL["describe"] = GOLD_WITH + _DESCRIBE
+SQL["stats_summary"] = GOLD_WITH + f""", d AS ({_DESCRIBE}), m AS ({_MISSING})
+SELECT coalesce(d.column, m.column) AS column, d.count, d.mean, d.std, d.min, d."25%", d."50%", d."75%", d.max,
+       m.missing_count, m.missing_percentage
+FROM d FULL OUTER JOIN m ON d.column = m.column ORDER BY 1"""
+SQL["label_na"] = GOLD_WITH + " UNION ALL ".join(
+    f"SELECT 'label_na_{h}d' AS label_horizon, CAST(sum(label_na_{h}d) AS BIGINT) AS na_label_count FROM gold"
+    for h in (1, 5, 20))
+SQL["lookahead"] = GOLD_WITH + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {c} > date THEN 1 ELSE 0 END) AS BIGINT) AS violations, "
+    f"sum(CASE WHEN {c} > date THEN 1 ELSE 0 END) = 0 AS passed FROM gold"
+    for c in ("effective_date_signup", "effective_date_weekly"))

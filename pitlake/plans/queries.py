@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.operators.audit import (describe_numeric, label_na_report, lookahead_audit, missing_report,
+                                     stats_summary)
+from pitlake.operators.export import to_cpt, to_sft, to_txt
 from pitlake.operators.grid import base_grid
-from pitlake.operators.joins import AsofSource, asof_join, join_daily
+from pitlake.operators.joins import AsofSource, asof_join, gold, join_daily
 from pitlake.operators.labels import forward_labels
 from pitlake.operators.panel import assemble
 from pitlake.plans import tables as tb
@@ -99,6 +102,60 @@ def q_panel(spark, sf):
     return events_panel(_events(spark, sf))
 
 
+def events_gold(ev: DataFrame) -> DataFrame:
+    """Panel features inner-join labels."""
+    lab = forward_labels(events_grid(ev), tb.event_bars(ev), tb.event_calendar(ev), "close")
+    return gold(events_panel(ev), lab)
+
+
+def q_gold(spark, sf):
+    return events_gold(_events(spark, sf))
+
+
+# 7 ------------------------------------------------------------- J6, F3-F7
+EVENT_FEATURES = {n: f"feat_{n}_bars" for n in ("open", "high", "low", "close", "volume")}
+
+
+def q_export_cpt(spark, sf):
+    return to_cpt(events_gold(_events(spark, sf)), 1, EVENT_FEATURES)
+
+
+def q_export_sft(spark, sf):
+    return to_sft(events_gold(_events(spark, sf)), 1, EVENT_FEATURES)
+
+
+def q_export_txt(spark, sf):
+    return to_txt(events_gold(_events(spark, sf)), 1, EVENT_FEATURES)
+
+
+# 8 ------------------------------------------------------- A1-A4, A7, J9
+R6 = ("mean", "std", "25%", "50%", "75%")
+
+
+def _round6(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(F.col(f"`{c}`"), 6).alias(c) if c in R6 else F.col(f"`{c}`") for c in df.columns])
+
+
+def q_missing_report(spark, sf):
+    return missing_report(events_gold(_events(spark, sf)))
+
+
+def q_describe(spark, sf):
+    return _round6(describe_numeric(events_gold(_events(spark, sf))))
+
+
+def q_label_na(spark, sf):
+    return label_na_report(events_gold(_events(spark, sf)))
+
+
+def q_lookahead(spark, sf):
+    return lookahead_audit(events_gold(_events(spark, sf)))
+
+
+def q_stats_summary(spark, sf):
+    return _round6(stats_summary(events_gold(_events(spark, sf))))
+
+
 QUERIES = {
     "bars": q_bars,
     "base_grid": q_base_grid,
@@ -110,4 +167,13 @@ QUERIES = {
     "asof_market": q_asof_market,
     "asof_orders": q_asof_orders,
     "panel": q_panel,
+    "gold": q_gold,
+    "export_cpt": q_export_cpt,
+    "export_sft": q_export_sft,
+    "export_txt": q_export_txt,
+    "missing_report": q_missing_report,
+    "describe": q_describe,
+    "label_na": q_label_na,
+    "lookahead": q_lookahead,
+    "stats_summary": q_stats_summary,
 }
