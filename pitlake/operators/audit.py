@@ -9,7 +9,9 @@ turned into rows afterwards -- the data itself is never unpivoted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,11 @@ def _missing(df: DataFrame, c: str) -> Column:
     return F.sum(F.when(miss, 1).otherwise(0)).cast("bigint")
 
 
+def _round_half_up(x: float, digits: int) -> float:
+    """Same rounding as SQL ``round`` (F12) for values computed on the driver."""
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
 def _rows(spark, schema, rows):
     return spark.createDataFrame(rows, schema)
 
@@ -51,44 +58,66 @@ def missing_report(df: DataFrame) -> DataFrame:
             .select("column", "missing_count", pct(F.col("missing_count"), F.col("__n")).alias("missing_percentage")))
 
 
-def describe_numeric(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
-    """A2: per numeric column count, mean, std (sample), min, 25/50/75 % (linear
-    interpolation), max -- all as double except ``count``.
-
-    ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
-    """
+def _column_stats(df: DataFrame, exact: bool, accuracy: int) -> tuple[list, list]:
+    """One aggregate pass: rows, and per column missing count; per numeric
+    column count, mean, std, min, max (plus an approximate quantile sketch
+    when not exact).  Exact quantiles then take a few more passes over the
+    numeric columns only, which are persisted (memory, spilling to disk;
+    lost blocks are recomputed from lineage) for the duration."""
     cols = numeric_columns(df.schema)
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("column", T.StringType())] +
-                          [T.StructField(s, T.LongType() if s == "count" else T.DoubleType()) for s in STAT_COLS])
-    if not cols:
-        return _rows(spark, schema, [])
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("__n")] + [_missing(df, c).alias(f"__m{i}") for i, c in enumerate(df.columns)]
     for i, c in enumerate(cols):
         x = F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double"))
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         if not exact:
             aggs.append(F.percentile_approx(x, list(PROBS), accuracy).alias(f"p{i}"))
-    stats = df.agg(*aggs)
-    if exact:
-        first = stats.first()
-        qs = exact_quantiles(df, cols, PROBS, counts={c: first[f"c{i}"] for i, c in enumerate(cols)})
-        rows = [(c, first[f"c{i}"], first[f"m{i}"], first[f"s{i}"], first[f"lo{i}"],
-                 *[qs[(c, p)] for p in PROBS], first[f"hi{i}"]) for i, c in enumerate(cols)]
-        return _rows(spark, schema, rows)
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                        *[F.col(f"p{i}")[j].alias(f"{int(p * 100)}%") for j, p in enumerate(PROBS)],
-                        F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]
-    return stats.select(_inline(structs))
-
-
-def stats_summary(df: DataFrame, exact: bool = True) -> DataFrame:
-    """A7 (= A2 full-outer-join A1 on ``column``, J9), ordered by column."""
-    desc = describe_numeric(df, exact=exact)
-    miss = missing_report(df)
-    return (desc.join(miss, "column", "full_outer")
+    num = df.persist(StorageLevel.MEMORY_AND_DISK) if exact and cols else None
+    try:
+        first = (num if num is not None else df).agg(*aggs).first()
+        if exact:
+            qs = exact_quantiles(num, cols, PROBS, counts={c: first[f"c{i}"] for i, c in enumerate(cols)}) if cols else {}
+            quant = {c: [qs[(c, p)] for p in PROBS] for c in cols}
+        else:
+            quant = {c: list(first[f"p{i}"]) if first[f"p{i}"] is not None else [None] * len(PROBS)
+                     for i, c in enumerate(cols)}
+    finally:
+        if num is not None:
+            num.unpersist()
+    desc = [(c, first[f"c{i}"], first[f"m{i}"], first[f"s{i}"], first[f"lo{i}"], *quant[c], first[f"hi{i}"])
+            for i, c in enumerate(cols)]
+    n = first["__n"]
+    miss = [(c, first[f"__m{i}"], _round_half_up(100.0 * first[f"__m{i}"] / n, 2) if n else None)
+            for i, c in enumerate(df.columns)]
+    return desc, miss
+
+
+DESC_SCHEMA = T.StructType([T.StructField("column", T.StringType())] +
+                           [T.StructField(s, T.LongType() if s == "count" else T.DoubleType()) for s in STAT_COLS])
+
+
+def describe_numeric(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """A2: per numeric column count, mean, std (sample), min, 25/50/75 % (linear
+    interpolation), max -- all as double except ``count``.
+
+    The report has one row per column, so it is built from the few collected
+    numbers.  ``exact=False`` uses ``percentile_approx`` (one pass, bounded
+    sketch) instead of the exact narrowing passes.
+    """
+    desc, _ = _column_stats(df, exact, accuracy)
+    return df.sparkSession.createDataFrame(desc, DESC_SCHEMA)
+
+
+def stats_summary(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """A7 (= A2 full-outer-join A1 on ``column``, J9), ordered by column.
+
+    Built from the same single aggregate pass as A1 and A2 (plus the exact
+    quantile passes), not by re-reading the table per report."""
+    desc, miss = _column_stats(df, exact, accuracy)
+    spark = df.sparkSession
+    d = spark.createDataFrame(desc, DESC_SCHEMA)
+    m = spark.createDataFrame(miss, "column string, missing_count bigint, missing_percentage double")
+    return (d.join(m, "column", "full_outer")
             .select("column", *[F.col(f"`{s}`") for s in STAT_COLS], "missing_count", "missing_percentage")
             .orderBy("column"))
 

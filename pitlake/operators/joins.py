@@ -84,20 +84,22 @@ def _expand(s: AsofSource, col: str) -> list[Column]:
 
 
 def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: str | None = "ticker",
-              date: str = "date") -> DataFrame:
+              date: str = "date", dates: DataFrame | None = None) -> DataFrame:
     """For every left row, the latest source row with source date <= left date.
 
     Exact matches count; no tolerance; a missing match gives nulls; the whole
     matched row is taken even if some of its values are null.  Several
     sources on the same key share one window.  ``by=None`` is the market-wide
-    (key-less) variant.
+    (key-less) variant; it matches on the distinct dates of ``left``, or on
+    ``dates`` (e.g. the calendar the grid was built from) when given, which
+    spares recomputing the left side.
     """
     if isinstance(sources, AsofSource):
         sources = [sources]
     if not sources:
         return left
     if by is None:
-        return _asof_market(left, sources, date)
+        return _asof_market(left, sources, date, dates)
     reduced = [_reduce_source(s, by, date) for s in sources]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
@@ -124,7 +126,8 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
     return out.select(*sel)
 
 
-def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str) -> DataFrame:
+def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str,
+                 dates: DataFrame | None = None) -> DataFrame:
     """Key-less as-of.
 
     A window with no key would run in one task over all left rows, so the
@@ -136,7 +139,8 @@ def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str) -> D
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]
-    dates = left.select(F.col(date).cast("date").alias("__d")).where(F.col("__d").isNotNull()).distinct()
+    src_dates = left if dates is None else dates
+    dates = src_dates.select(F.col(date).cast("date").alias("__d")).where(F.col("__d").isNotNull()).distinct()
     stacked = dates.select("__d", F.lit(1).alias("__side"),
                            *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])
     for i, r in enumerate(reduced):

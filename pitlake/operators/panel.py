@@ -24,13 +24,14 @@ log = logging.getLogger(__name__)
 def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
              freqs: Mapping[str, str] | None = None, tie_breaks: Mapping[str, Sequence[str]] | None = None,
              key: str = "ticker", date: str = "date", asof_prefix: str = "feat_",
-             on_error: str = "raise") -> DataFrame:
+             on_error: str = "raise", calendar: DataFrame | None = None) -> DataFrame:
     """Left-fold sources onto ``grid`` (one lazy plan).
 
     ``freqs`` overrides the registry; a source that is neither registered nor
     in ``freqs`` is skipped, as is one without a date column (both logged).
     ``on_error="skip"`` logs and skips a source whose join fails to analyse;
-    ``"raise"`` (default) surfaces it.
+    ``"raise"`` (default) surfaces it.  ``calendar`` (the grid's dates) lets
+    market-wide as-of sources match on it instead of the grid's distinct dates.
     """
     items = list(sources.items()) if isinstance(sources, Mapping) else list(sources)
     freqs = dict(freqs or {})
@@ -60,5 +61,5 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     if keyed:
         out = asof_join(out, keyed, by=key, date=date)
     if market:
-        out = asof_join(out, market, by=None, date=date)
+        out = asof_join(out, market, by=None, date=date, dates=calendar)
     return out

@@ -25,8 +25,8 @@ def _events(spark, sf):
     return tb.load(spark, sf, "events")
 
 
-def events_grid(events: DataFrame) -> DataFrame:
-    return base_grid(tb.event_universe(events), tb.event_calendar(events))
+def events_grid(bars: DataFrame) -> DataFrame:
+    return base_grid(tb.event_universe(bars), tb.event_calendar(bars))
 
 
 # 1 ------------------------------------------------------------- S4, P11, bars
@@ -36,28 +36,28 @@ def q_bars(spark: SparkSession, sf: str) -> DataFrame:
 
 # 2 ---------------------------------------------------------------- J1, P6
 def q_base_grid(spark, sf):
-    ev = _events(spark, sf)
-    cal = tb.event_calendar(ev)
+    bars = tb.event_bars(_events(spark, sf))
+    cal = tb.event_calendar(bars)
     # window = first..last trading day of the data (S5 semantics, inclusive)
     lo_hi = cal.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return base_grid(tb.event_universe(ev), cal, lo_hi["lo"], lo_hi["hi"])
+    return base_grid(tb.event_universe(bars), cal, lo_hi["lo"], lo_hi["hi"])
 
 
 # 3 ------------------------------------------------------------ J2, J3, P5
 def q_join_daily(spark, sf):
-    ev = _events(spark, sf)
-    return join_daily(events_grid(ev), tb.event_bars(ev), "bars")
+    bars = tb.event_bars(_events(spark, sf))
+    return join_daily(events_grid(bars), bars, "bars")
 
 
 def q_join_market(spark, sf):
-    ev = _events(spark, sf)
-    return join_daily(events_grid(ev), tb.market_daily(ev), "market")
+    bars = tb.event_bars(_events(spark, sf))
+    return join_daily(events_grid(bars), tb.market_daily(bars), "market")
 
 
 # 4 ------------------------------------------------- W1, W2, F1, F2, J8 (flagship)
 def q_labels(spark, sf):
-    ev = _events(spark, sf)
-    return forward_labels(events_grid(ev), tb.event_bars(ev), tb.event_calendar(ev), "close")
+    bars = tb.event_bars(_events(spark, sf))
+    return forward_labels(events_grid(bars), bars, tb.event_calendar(bars), "close")
 
 
 def q_labels_lineitem(spark, sf):
@@ -71,13 +71,14 @@ def q_labels_lineitem(spark, sf):
 def q_asof_keyed(spark, sf):
     ev = _events(spark, sf)
     src = AsofSource("signup", tb.signup_source(ev), tie_break=["signup_ts"])
-    return asof_join(events_grid(ev), src, by="ticker")
+    return asof_join(events_grid(tb.event_bars(ev)), src, by="ticker")
 
 
 def q_asof_market(spark, sf):
     ev = _events(spark, sf)
+    bars = tb.event_bars(ev)
     src = AsofSource("weekly", tb.weekly_purchase_report(ev))
-    return asof_join(events_grid(ev), src, by=None)
+    return asof_join(events_grid(bars), src, by=None, dates=tb.event_calendar(bars))
 
 
 def q_asof_orders(spark, sf):
@@ -92,20 +93,23 @@ PANEL_FREQS = {"bars": "D", "market": "D", "signup": "event", "weekly": "Q"}
 PANEL_TIES = {"signup": ["signup_ts"]}
 
 
-def events_panel(ev: DataFrame) -> DataFrame:
-    sources = [("bars", tb.event_bars(ev)), ("market", tb.market_daily(ev)),
+def events_panel(ev: DataFrame, bars: DataFrame) -> DataFrame:
+    sources = [("bars", bars), ("market", tb.market_daily(bars)),
                ("signup", tb.signup_source(ev)), ("weekly", tb.weekly_purchase_report(ev))]
-    return assemble(events_grid(ev), sources, freqs=PANEL_FREQS, tie_breaks=PANEL_TIES)
+    return assemble(events_grid(bars), sources, freqs=PANEL_FREQS, tie_breaks=PANEL_TIES,
+                    calendar=tb.event_calendar(bars))
 
 
 def q_panel(spark, sf):
-    return events_panel(_events(spark, sf))
+    ev = _events(spark, sf)
+    return events_panel(ev, tb.event_bars(ev))
 
 
 def events_gold(ev: DataFrame) -> DataFrame:
     """Panel features inner-join labels."""
-    lab = forward_labels(events_grid(ev), tb.event_bars(ev), tb.event_calendar(ev), "close")
-    return gold(events_panel(ev), lab)
+    bars = tb.event_bars(ev)
+    lab = forward_labels(events_grid(bars), bars, tb.event_calendar(bars), "close")
+    return gold(events_panel(ev, bars), lab)
 
 
 def q_gold(spark, sf):

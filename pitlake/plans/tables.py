@@ -43,12 +43,14 @@ def event_bars(events: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("volume")))
 
 
-def event_calendar(events: DataFrame) -> DataFrame:
-    return events.select(_day("ts").alias("date")).distinct()
+def event_calendar(bars: DataFrame) -> DataFrame:
+    """Trading days = days with any event (every event has a user, so the
+    bars' dates are exactly the event dates; no second scan of events)."""
+    return bars.select("date").distinct()
 
 
-def event_universe(events: DataFrame) -> DataFrame:
-    return events.select(F.col("user_id").alias("ticker")).distinct()
+def event_universe(bars: DataFrame) -> DataFrame:
+    return bars.select("ticker").distinct()
 
 
 def signup_source(events: DataFrame) -> DataFrame:
@@ -66,10 +68,11 @@ def weekly_purchase_report(events: DataFrame) -> DataFrame:
             .agg(F.max("value").alias("max_purchase"), F.count(F.lit(1)).alias("n_purchases")))
 
 
-def market_daily(events: DataFrame) -> DataFrame:
-    """Market-wide daily source: one row per day."""
-    return (events.groupBy(_day("ts").alias("date"))
-            .agg(F.count(F.lit(1)).alias("n_events"), F.max("value").alias("max_value")))
+def market_daily(bars: DataFrame) -> DataFrame:
+    """Market-wide daily source: one row per day, rolled up from the bars
+    (event count = sum of volumes, max value = max of highs)."""
+    return (bars.groupBy("date")
+            .agg(F.sum("volume").alias("n_events"), F.max("high").alias("max_value")))
 
 
 # -------------------------------------------------------------- lineitem panel
