@@ -153,5 +153,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             continue
         lo_r, hi_r, frac = pl
         v_lo, v_hi = found[(c, lo_r)], found[(c, hi_r)]
-        out[(c, q)] = v_lo + (v_hi - v_lo) * frac if frac else v_lo
+        out[(c, q)] = _lerp(v_lo, v_hi, frac)
     return out
+
+
+def _lerp(lo: float, hi: float, d: float) -> float:
+    """``lo * (1 - d) + hi * d`` as one fused multiply-add -- the rounding
+    SQL engines' ``quantile_cont`` uses, so values agree to the last bit."""
+    if not d:
+        return lo
+    return math.fma(lo, 1.0 - d, hi * d)

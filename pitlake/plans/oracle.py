@@ -182,3 +182,109 @@ SQL["lookahead"] = GOLD_WITH + " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {c} > date THEN 1 ELSE 0 END) AS BIGINT) AS violations, "
     f"sum(CASE WHEN {c} > date THEN 1 ELSE 0 END) = 0 AS passed FROM gold"
     for c in ("effective_date_signup", "effective_date_weekly"))
+
+# ------------------------------------------------------------ normalise
+SQL["silver_orders"] = """SELECT o_orderkey, o_custkey AS ticker, o_orderstatus, o_totalprice AS amount, o_orderpriority,
+  CAST(o_orderdate AS DATE) AS effective_date FROM orders"""
+
+SQL["silver_union"] = """SELECT user_id, ts, value AS amount, CAST(NULL AS VARCHAR) AS props FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT user_id, ts, CAST(NULL AS DOUBLE), props FROM events WHERE event_type = 'signup'"""
+
+CODES = """codes AS (
+  SELECT l_orderkey, l_linenumber, code, code || CASE WHEN starts_with(code, '6') THEN '.SH' ELSE '.SZ' END AS ticker
+  FROM (SELECT l_orderkey, l_linenumber,
+               lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 1000000 AS VARCHAR), 6, '0') AS code
+        FROM lineitem))"""
+SQL["exchange_code"] = f"WITH {CODES} SELECT * FROM codes"
+
+SQL["dedupe_last"] = """SELECT ticker, date, l_orderkey, l_linenumber, l_extendedprice, l_quantity FROM (
+  SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber, l_extendedprice, l_quantity,
+         row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
+                            ORDER BY l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+SQL["typed_features"] = f"WITH {EV} SELECT ticker, date, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM bars"
+
+# ------------------------------------------------------------- manifest
+from pitlake.sources.registry import SOURCES  # noqa: E402
+
+REG_VALUES = ", ".join(f"('{i}', '{d}', '{s}')" for i, d, _, s, _, _ in SOURCES)
+
+
+def _manifest_sql(cal_sql: str) -> str:
+    return f"""SELECT interface_id, params_json, tid AS task_id, source_domain,
+  'data_raw/source_domain=' || source_domain || '/interface=' || interface_id || '/date=' || replace(d, '-', '')
+  || '/part-' || substr(tid, 1, 10) || '.parquet' AS output_path, 'pending' AS status
+FROM (SELECT *, sha256(interface_id || '-' || params_json) AS tid FROM (
+  SELECT r.interface_id, r.source_domain, x.d, '{{"date": "' || x.d || '"}}' AS params_json
+  FROM (VALUES {REG_VALUES}) r(interface_id, source_domain, scope)
+  CROSS JOIN (SELECT DISTINCT date FROM ({cal_sql})) c
+  CROSS JOIN LATERAL (SELECT CASE WHEN r.interface_id LIKE '%stock_sse_deal_daily%'
+                                    OR r.interface_id LIKE '%stock_notice_report%'
+                                  THEN strftime(c.date, '%Y-%m-%d') ELSE strftime(c.date, '%Y%m%d') END AS d) x
+  WHERE r.scope = 'market_wide_single_day'))"""
+
+
+SHIP_CAL = "SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem"
+ORDER_CAL = "SELECT CAST(o_orderdate AS DATE) AS date FROM orders"
+SQL["full_manifest"] = _manifest_sql(SHIP_CAL)
+SQL["pending_tasks"] = f"""WITH todo AS ({_manifest_sql(SHIP_CAL)}), done AS ({_manifest_sql(ORDER_CAL)})
+SELECT * FROM todo WHERE task_id NOT IN (SELECT task_id FROM done)"""
+
+_SD = {i: d for i, d, *_ in SOURCES}
+SQL["replay_manifest"] = f"""WITH {CODES},
+u AS (
+  SELECT 'stock_zh_a_hist' AS interface_id, '{_SD["stock_zh_a_hist"]}' AS source_domain, ticker,
+         'smoke_test_price_hist' AS scope, 'data_raw/bootstrap/price_' || replace(ticker, '.', '') || '.csv' AS replay_path,
+         '{{"ticker": "' || ticker || '"}}' AS params_json
+  FROM (SELECT DISTINCT ticker FROM codes)
+  UNION ALL
+  SELECT 'tool_trade_date_hist_sina', '{_SD["tool_trade_date_hist_sina"]}', NULL, 'market_wide_calendar',
+         'data_raw/bootstrap/trading_calendar.csv', '{{}}')
+SELECT interface_id, source_domain, ticker, scope, replay_path, params_json, tid AS task_id,
+  'data_raw/source_domain=' || source_domain || '/interface=' || interface_id || '/date=static/part-'
+  || substr(tid, 1, 10) || '.parquet' AS output_path, 'pending' AS status
+FROM (SELECT *, sha256(interface_id || '-' || params_json) AS tid FROM u)"""
+
+# ----------------------------------------------------------- treatments
+SQL["winsorize"] = """WITH b AS (SELECT quantile_cont(l_extendedprice, 0.001) AS lo, quantile_cont(l_extendedprice, 0.999) AS hi
+                    FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+       CASE WHEN l_extendedprice IS NOT NULL THEN greatest(b.lo, least(b.hi, l_extendedprice)) END AS l_extendedprice_w
+FROM lineitem, b"""
+
+SQL["fill"] = f"""WITH {EV}
+SELECT g.ticker, g.date, b.open AS feat_open_bars, b.high AS feat_high_bars, b.low AS feat_low_bars,
+       b.close AS feat_close_bars, coalesce(b.volume, 0) AS feat_volume_bars
+FROM grid g LEFT JOIN bars b ON b.ticker = g.ticker AND b.date = g.date"""
+
+SQL["ffill"] = f"""WITH {EV}
+SELECT g.ticker, g.date, b.open AS feat_open_bars, b.high AS feat_high_bars, b.low AS feat_low_bars,
+       last_value(b.close IGNORE NULLS) OVER (PARTITION BY g.ticker ORDER BY g.date
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS feat_close_bars,
+       b.volume AS feat_volume_bars
+FROM grid g LEFT JOIN bars b ON b.ticker = g.ticker AND b.date = g.date"""
+
+SQL["split"] = f"""WITH {EV}
+SELECT ticker, date, CASE
+  WHEN date >= DATE '2019-12-30' AND date < DATE '2024-01-01' THEN 'train'
+  WHEN date >= DATE '2024-01-03' AND date < DATE '2025-01-01' THEN 'validation'
+  WHEN date >= DATE '2025-01-01' AND date <= DATE '2025-08-15' THEN 'test' END AS split
+FROM grid"""
+
+SQL["avail_shift"] = f"""WITH {EV}, ci AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS idx FROM cal),
+m0 AS (SELECT m.*, (SELECT min(idx) FROM ci WHERE ci.date >= m.date) AS i0 FROM market m)
+SELECT m0.date, m0.n_events, m0.max_value, c1.date AS eff_t1, c5.date AS eff_t5
+FROM m0 LEFT JOIN ci c1 ON c1.idx = m0.i0 + 1 LEFT JOIN ci c5 ON c5.idx = m0.i0 + 5"""
+
+SQL["avail_announce"] = """WITH cal AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)
+SELECT o_orderkey, o_orderdate, (SELECT min(date) FROM cal WHERE cal.date >= CAST(o_orderdate AS DATE)) AS effective_date
+FROM orders"""
+
+SQL["calendar_enriched"] = """SELECT date, 1 AS is_trade, lag(date) OVER (ORDER BY date) AS prev_trade_date,
+       lead(date) OVER (ORDER BY date) AS next_trade_date
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)"""
+
+SQL["is_member"] = """SELECT o_custkey AS ticker, CAST(o_orderdate AS DATE) AS date, o_orderkey,
+  CAST(CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) THEN 1 ELSE 0 END AS TINYINT) AS is_member
+FROM orders"""

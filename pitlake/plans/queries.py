@@ -16,9 +16,15 @@ from pitlake.operators.audit import (describe_numeric, label_na_report, lookahea
 from pitlake.operators.export import to_cpt, to_sft, to_txt
 from pitlake.operators.grid import base_grid
 from pitlake.operators.joins import AsofSource, asof_join, gold, join_daily
-from pitlake.operators.labels import forward_labels
+from pitlake.functions.scalar import ticker_of
+from pitlake.operators.calendar import enrich_calendar, shift_available
+from pitlake.operators.labels import dedupe_last, forward_labels
+from pitlake.operators.manifest import full_manifest, pending, replay_manifest
+from pitlake.operators.normalise import normalise, union_sources
 from pitlake.operators.panel import assemble
+from pitlake.operators.treat import apply_feature_schema, assign_split, ffill, fill_missing, membership, winsorize
 from pitlake.plans import tables as tb
+from pitlake.sources.registry import registry
 
 
 def _events(spark, sf):
@@ -160,6 +166,114 @@ def q_stats_summary(spark, sf):
     return _round6(stats_summary(events_gold(_events(spark, sf))))
 
 
+# 9 ------------------------------------------------ P1-P4, P8, P12, U1, A6
+ORDER_MAP = {"o_orderdate": "date", "o_custkey": "ticker", "o_totalprice": "amount", "o_comment": "comment"}
+
+
+def q_silver_orders(spark, sf):
+    return normalise(tb.load(spark, sf, "orders"), ORDER_MAP, ticker=None)
+
+
+def q_silver_union(spark, sf):
+    ev = _events(spark, sf)
+    purchases = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("amount"))
+    signups = ev.where(F.col("event_type") == "signup").select("user_id", "ts", "props")
+    return union_sources([purchases, signups])
+
+
+def lineitem_codes(li: DataFrame) -> DataFrame:
+    """6-digit codes with leading zeros: the last six digits of the price in cents."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1000000
+    code = F.lpad(cents.cast("string"), 6, "0")
+    return li.select("l_orderkey", "l_linenumber", code.alias("code"), ticker_of(code).alias("ticker"))
+
+
+def q_exchange_code(spark, sf):
+    return lineitem_codes(tb.load(spark, sf, "lineitem"))
+
+
+def q_dedupe_last(spark, sf):
+    li = tb.load(spark, sf, "lineitem").select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"),
+                                             "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return dedupe_last(li, ["ticker", "date"], ["l_orderkey", "l_linenumber"])
+
+
+def q_typed_features(spark, sf):
+    bars = tb.event_bars(_events(spark, sf))
+    return apply_feature_schema(bars, {n: n for n in ("open", "high", "low", "close", "volume")})
+
+
+# 10 ------------------------------------------------ M1-M3, F9-F11, J7, U2
+RAW_BASE = "data_raw"
+
+
+def _no_map(df: DataFrame) -> DataFrame:
+    return df.drop("params")
+
+
+def q_full_manifest(spark, sf):
+    cal = tb.lineitem_calendar(tb.load(spark, sf, "lineitem"))
+    return _no_map(full_manifest(registry(spark), cal, raw_base=RAW_BASE))
+
+
+def q_pending_tasks(spark, sf):
+    """Manifest over ship days, minus the tasks of an earlier run that
+    covered the order days."""
+    reg = registry(spark)
+    todo = full_manifest(reg, tb.lineitem_calendar(tb.load(spark, sf, "lineitem")), raw_base=RAW_BASE)
+    done = full_manifest(reg, tb.load(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")),
+                         raw_base=RAW_BASE)
+    return _no_map(pending(todo, done))
+
+
+def q_replay_manifest(spark, sf):
+    tickers = lineitem_codes(tb.load(spark, sf, "lineitem")).select("ticker")
+    return _no_map(replay_manifest(registry(spark), tickers, raw_base=RAW_BASE))
+
+
+# 11 ------------------------------------------------ D1-D5, W3, W4, P12
+def q_winsorize(spark, sf):
+    li = tb.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return winsorize(li, {"l_extendedprice": (0.001, 0.999)}, suffix="_w")
+
+
+def q_fill(spark, sf):
+    bars = tb.event_bars(_events(spark, sf))
+    return fill_missing(join_daily(events_grid(bars), bars, "bars"), {"feat_volume_bars": "fill_zero"})
+
+
+def q_ffill(spark, sf):
+    bars = tb.event_bars(_events(spark, sf))
+    return ffill(join_daily(events_grid(bars), bars, "bars"), ["feat_close_bars"])
+
+
+def q_split(spark, sf):
+    return assign_split(events_grid(tb.event_bars(_events(spark, sf))))
+
+
+def q_avail_shift(spark, sf):
+    bars = tb.event_bars(_events(spark, sf))
+    cal = tb.event_calendar(bars)
+    m = shift_available(tb.market_daily(bars), cal, "T_plus_1", out="eff_t1")
+    return shift_available(m, cal, "T_plus_5", out="eff_t5")
+
+
+def q_avail_announce(spark, sf):
+    od = tb.load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    cal = tb.lineitem_calendar(tb.load(spark, sf, "lineitem"))
+    return shift_available(od, cal, "announcement_date", avail_col="o_orderdate")
+
+
+def q_calendar_enriched(spark, sf):
+    return enrich_calendar(tb.lineitem_calendar(tb.load(spark, sf, "lineitem")))
+
+
+def q_is_member(spark, sf):
+    od = tb.order_source(tb.load(spark, sf, "orders")).select("ticker", "date", "o_orderkey")
+    cust = tb.load(spark, sf, "customer")
+    return membership(od, cust.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("ticker")))
+
+
 QUERIES = {
     "bars": q_bars,
     "base_grid": q_base_grid,
@@ -180,4 +294,20 @@ QUERIES = {
     "label_na": q_label_na,
     "lookahead": q_lookahead,
     "stats_summary": q_stats_summary,
+    "silver_orders": q_silver_orders,
+    "silver_union": q_silver_union,
+    "exchange_code": q_exchange_code,
+    "dedupe_last": q_dedupe_last,
+    "typed_features": q_typed_features,
+    "full_manifest": q_full_manifest,
+    "pending_tasks": q_pending_tasks,
+    "replay_manifest": q_replay_manifest,
+    "winsorize": q_winsorize,
+    "fill": q_fill,
+    "ffill": q_ffill,
+    "split": q_split,
+    "avail_shift": q_avail_shift,
+    "avail_announce": q_avail_announce,
+    "calendar_enriched": q_calendar_enriched,
+    "is_member": q_is_member,
 }
