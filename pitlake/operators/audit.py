@@ -114,12 +114,14 @@ def stats_summary(df: DataFrame, exact: bool = True, accuracy: int = 10_000) ->
     Built from the same single aggregate pass as A1 and A2 (plus the exact
     quantile passes), not by re-reading the table per report."""
     desc, miss = _column_stats(df, exact, accuracy)
-    spark = df.sparkSession
-    d = spark.createDataFrame(desc, DESC_SCHEMA)
-    m = spark.createDataFrame(miss, "column string, missing_count bigint, missing_percentage double")
-    return (d.join(m, "column", "full_outer")
-            .select("column", *[F.col(f"`{s}`") for s in STAT_COLS], "missing_count", "missing_percentage")
-            .orderBy("column"))
+    # both halves are one small row per column: merge them here
+    d = {r[0]: r[1:] for r in desc}
+    m = {r[0]: r[1:] for r in miss}
+    empty = (None,) * len(STAT_COLS)
+    rows = [(c, *d.get(c, empty), *m.get(c, (None, None))) for c in sorted(set(d) | set(m))]
+    schema = T.StructType(DESC_SCHEMA.fields + [T.StructField("missing_count", T.LongType()),
+                                                T.StructField("missing_percentage", T.DoubleType())])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def label_na_report(df: DataFrame, needle: str = "label_na") -> DataFrame:

@@ -55,6 +55,7 @@ class AsofSource:
     tie_break: Sequence[str] | None = None   # among same-date rows keep the largest
     prefix: str = "feat_"
     keep_date_as: str | None = "effective_date_{name}"   # T2: source date for the audit
+    unique: bool = False                     # already one row per (key, date): skip the reduction
     _payload: list = field(default_factory=list, repr=False)
 
 
@@ -68,6 +69,8 @@ def _reduce_source(s: AsofSource, by: str | None, date: str) -> DataFrame:
     cols = list(s.cols) if s.cols is not None else [c for c in s.df.columns if c not in keys]
     s._payload = cols
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols], F.col(date).alias("__date"))
+    if s.unique:
+        return s.df.where(F.col(date).isNotNull()).select(*keys, row.alias("__p"))
     if s.tie_break:
         order = F.struct(*[F.col(f"`{c}`") for c in s.tie_break])
         agg = F.max_by(row, order)

@@ -125,6 +125,7 @@ gold AS (SELECT pan.*, lab.r_1d, lab.label_na_1d, lab.r_5d, lab.label_na_5d, lab
 """
 
 SQL["gold"] = GOLD_WITH + "SELECT * FROM gold"
+SQL["gold_unfused"] = SQL["gold"]
 
 # (name, numeric?) of every gold column
 GOLD_COLS = ([("ticker", True), ("date", False)] + [(f"feat_{c}_bars", True) for c in BARS_COLS] +

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pitlake.operators.audit import (describe_numeric, label_na_report, lookahead_audit, missing_report,
                                      stats_summary)
 from pitlake.operators.export import to_cpt, to_sft, to_txt
+from pitlake.operators.gold import LabelSpec, assemble_gold
 from pitlake.operators.grid import base_grid
 from pitlake.operators.joins import AsofSource, asof_join, gold, join_daily
 from pitlake.functions.scalar import ticker_of
@@ -112,7 +113,19 @@ def q_panel(spark, sf):
 
 
 def events_gold(ev: DataFrame) -> DataFrame:
-    """Panel features inner-join labels."""
+    """Gold = panel features + labels (J10 + W2 + J6), fused into one grid shuffle."""
+    bars = tb.event_bars(ev)
+    return assemble_gold(
+        events_grid(bars), tb.event_calendar(bars),
+        daily=[AsofSource("bars", bars, unique=True)],      # bars: one row per (user, day)
+        slow=[AsofSource("signup", tb.signup_source(ev), tie_break=PANEL_TIES["signup"])],
+        market_daily=[("market", tb.market_daily(bars))],
+        market_slow=[AsofSource("weekly", tb.weekly_purchase_report(ev))],
+        labels=LabelSpec(bars, "close"))
+
+
+def events_gold_unfused(ev: DataFrame) -> DataFrame:
+    """Same table by the step-by-step operators (J10, then W2, then J6)."""
     bars = tb.event_bars(ev)
     lab = forward_labels(events_grid(bars), bars, tb.event_calendar(bars), "close")
     return gold(events_panel(ev, bars), lab)
@@ -122,6 +135,10 @@ def q_gold(spark, sf):
     return events_gold(_events(spark, sf))
 
 
+def q_gold_unfused(spark, sf):
+    return events_gold_unfused(_events(spark, sf))
+
+
 # 7 ------------------------------------------------------------- J6, F3-F7
 EVENT_FEATURES = {n: f"feat_{n}_bars" for n in ("open", "high", "low", "close", "volume")}
 
@@ -286,6 +303,7 @@ QUERIES = {
     "asof_orders": q_asof_orders,
     "panel": q_panel,
     "gold": q_gold,
+    "gold_unfused": q_gold_unfused,
     "export_cpt": q_export_cpt,
     "export_sft": q_export_sft,
     "export_txt": q_export_txt,
