@@ -87,15 +87,23 @@ def _expand(s: AsofSource, col: str) -> list[Column]:
 
 
 def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: str | None = "ticker",
-              date: str = "date", dates: DataFrame | None = None) -> DataFrame:
+              date: str = "date", dates: DataFrame | None = None, split: str | None = None) -> DataFrame:
     """For every left row, the latest source row with source date <= left date.
 
     Exact matches count; no tolerance; a missing match gives nulls; the whole
     matched row is taken even if some of its values are null.  Several
-    sources on the same key share one window.  ``by=None`` is the market-wide
-    (key-less) variant; it matches on the distinct dates of ``left``, or on
-    ``dates`` (e.g. the calendar the grid was built from) when given, which
-    spares recomputing the left side.
+    sources on the same key share one window.  ``date`` may be a date or a
+    timestamp column (the source's is cast to the left's type).
+
+    ``by=None`` is the market-wide (key-less) variant; it matches on the
+    distinct dates of ``left``, or on ``dates`` (e.g. the calendar the grid
+    was built from) when given, which spares recomputing the left side.
+
+    ``split`` (a ``date_trunc`` unit such as ``"day"`` or ``"month"``) bounds
+    the window partitions by (key, period) instead of key: needed when the
+    left side is an event stream in which one key may hold a large share of
+    all rows.  Each period receives the latest earlier source row as a
+    carry-in, so the result is identical.
     """
     if isinstance(sources, AsofSource):
         sources = [sources]
@@ -103,24 +111,27 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
         return left
     if by is None:
         return _asof_market(left, sources, date, dates)
+    on_type = left.schema[date].dataType
     reduced = [_reduce_source(s, by, date) for s in sources]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]
     lstruct = F.struct(*[F.col(f"`{c}`").alias(c) for c in left.columns])
-    parts = [left.select(F.col(by).alias("__k"), F.col(date).cast("date").alias("__d"), F.lit(1).alias("__side"),
-                         lstruct.alias("__l"),
-                         *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])]
-    ltype = parts[0].schema["__l"].dataType
-    for i, r in enumerate(reduced):
-        parts.append(r.select(F.col(by).alias("__k"), F.col(date).cast("date").alias("__d"), F.lit(0).alias("__side"),
-                              F.lit(None).cast(ltype).alias("__l"),
-                              *[F.col("__p").alias(p) if j == i else F.lit(None).cast(ptypes[j]).alias(p)
-                                for j, p in enumerate(pcols)]))
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    w = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    lpart = left.select(F.col(by).alias("__k"), F.col(date).alias("__d"), F.lit(1).alias("__side"),
+                        lstruct.alias("__l"), *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])
+    ltype = lpart.schema["__l"].dataType
+    rparts = [r.select(F.col(by).alias("__k"), F.col(date).cast(on_type).alias("__d"), F.lit(0).alias("__side"),
+                       F.lit(None).cast(ltype).alias("__l"),
+                       *[F.col("__p").alias(p) if j == i else F.lit(None).cast(ptypes[j]).alias(p)
+                         for j, p in enumerate(pcols)])
+              for i, r in enumerate(reduced)]
+    if split is None:
+        stacked = lpart
+        for p in rparts:
+            stacked = stacked.unionByName(p)
+        w = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    else:
+        stacked, w = _split_stack(lpart, rparts, pcols, ptypes, ltype, split)
     filled = stacked.select("__side", "__l", *[F.last(p, ignorenulls=True).over(w).alias(p) for p in pcols])
     out = filled.where(F.col("__side") == 1)
     sel = [F.col(f"__l.`{c}`").alias(c) for c in left.columns]
@@ -129,6 +140,41 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
     return out.select(*sel)
 
 
+def _split_stack(lpart: DataFrame, rparts: list, pcols: list, ptypes: list, ltype, unit: str):
+    """Stack for the period-split as-of: rows keyed by (key, period) plus one
+    carry-in row per left (key, period) holding each source's latest row
+    from earlier periods.
+
+    The carry-in is found on small tables: the distinct left (key, period)
+    pairs and each source's last row per (key, period) (partial max_by), with
+    a window over periods per key -- bounded by the number of periods.
+    """
+    per = lambda c: F.date_trunc(unit, c)
+    lp = lpart.select("__k", per(F.col("__d")).alias("__P")).distinct()
+    heads = lp.select("__k", "__P", F.lit(0).alias("__o"), *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])
+    for i, r in enumerate(rparts):
+        last_i = (r.groupBy("__k", per(F.col("__d")).alias("__P"))
+                  .agg(F.max_by(F.col(pcols[i]), F.col("__d")).alias(pcols[i])))
+        heads = heads.unionByName(last_i.select("__k", "__P", F.lit(1).alias("__o"),
+                                                *[F.col(p) if j == i else F.lit(None).cast(ptypes[j]).alias(p)
+                                                  for j, p in enumerate(pcols)]))
+    # left period heads sort before the same period's source summary: strictly earlier periods only
+    wc = W.partitionBy("__k").orderBy("__P", "__o").rowsBetween(W.unboundedPreceding, W.currentRow)
+    carry = (heads.select("__k", "__P", "__o", *[F.last(p, ignorenulls=True).over(wc).alias(p) for p in pcols])
+             .where(F.col("__o") == 0))
+    carry_rows = carry.select("__k", F.lit(None).cast(lpart.schema["__d"].dataType).alias("__d"),
+                              F.lit(0).alias("__side"), F.lit(None).cast(ltype).alias("__l"), *pcols,
+                              "__P", F.lit(0).alias("__c"))
+    body = lpart
+    for p in rparts:
+        body = body.unionByName(p)
+    body = body.select("*", per(F.col("__d")).alias("__P"), F.lit(1).alias("__c"))
+    stacked = body.unionByName(carry_rows)
+    w = (W.partitionBy("__k", "__P").orderBy("__c", "__d", "__side")
+         .rowsBetween(W.unboundedPreceding, W.currentRow))
+    return stacked, w
+
+
 def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str,
                  dates: DataFrame | None = None) -> DataFrame:
     """Key-less as-of.

@@ -289,3 +289,10 @@ FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)"""
 SQL["is_member"] = """SELECT o_custkey AS ticker, CAST(o_orderdate AS DATE) AS date, o_orderkey,
   CAST(CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) THEN 1 ELSE 0 END AS TINYINT) AS is_member
 FROM orders"""
+
+SQL["asof_events"] = """WITH s AS (
+  SELECT user_id AS ticker, ts, arg_max(value, event_id) AS signup_value, max(event_id) AS signup_id
+  FROM events WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT e.event_id, e.user_id AS ticker, e.ts, s.signup_value AS feat_signup_value_signups,
+       s.signup_id AS feat_signup_id_signups, s.ts AS effective_date_signups
+FROM events e ASOF LEFT JOIN s ON e.user_id = s.ticker AND e.ts >= s.ts"""

@@ -95,6 +95,18 @@ def q_asof_orders(spark, sf):
     return asof_join(grid, src, by="ticker")
 
 
+def q_asof_events(spark, sf):
+    """As-of on time over every event (not a grid): the latest signup at or
+    before each event, split into (user, day) partitions so a user holding a
+    large share of all events cannot overload one task."""
+    ev = _events(spark, sf)
+    left = ev.select("event_id", F.col("user_id").alias("ticker"), "ts")
+    src = (ev.where(F.col("event_type") == "signup")
+           .select(F.col("user_id").alias("ticker"), "ts", F.col("value").alias("signup_value"),
+                   F.col("event_id").alias("signup_id")))
+    return asof_join(left, AsofSource("signups", src, tie_break=["signup_id"]), by="ticker", date="ts", split="day")
+
+
 # 6 --------------------------------------------------------------------- J10
 PANEL_FREQS = {"bars": "D", "market": "D", "signup": "event", "weekly": "Q"}
 PANEL_TIES = {"signup": ["signup_ts"]}
@@ -301,6 +313,7 @@ QUERIES = {
     "asof_keyed": q_asof_keyed,
     "asof_market": q_asof_market,
     "asof_orders": q_asof_orders,
+    "asof_events": q_asof_events,
     "panel": q_panel,
     "gold": q_gold,
     "gold_unfused": q_gold_unfused,
