@@ -94,15 +94,33 @@ def fill_missing(df: DataFrame, strategies: Mapping[str, str], by: str = "ticker
                         else F.col(f"`{c}`") for c in out.columns])
 
 
-def ffill(df: DataFrame, cols: Sequence[str], by: str = "ticker", order: str = "date") -> DataFrame:
+def ffill(df: DataFrame, cols: Sequence[str], by: str = "ticker", order: str = "date",
+          split: str | None = None) -> DataFrame:
     """Carry each column's last non-null value forward within ``by``.
 
-    One window (one Exchange on ``by``) serves all columns; a key holds one
-    row per trading day in a panel, so partitions are bounded by the calendar.
+    One window (one Exchange on ``by``) serves all columns; in a panel a key
+    holds one row per trading day, so partitions are bounded by the calendar.
+    ``split`` (a ``date_trunc`` unit) partitions by (key, period) instead and
+    seeds each period with the last non-null value of earlier periods, for
+    frames where one key may hold a large share of all rows.
     """
-    w = W.partitionBy(by).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(f"`{c}`")
-                       for c in df.columns])
+    cols = [c for c in cols if c in df.columns]
+    if split is None:
+        w = W.partitionBy(by).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(f"`{c}`")
+                           for c in df.columns])
+    per = F.date_trunc(split, F.col(order))
+    tagged = df.withColumn("__P", per)
+    # last non-null value per (key, period) -- partial aggregates, bounded by periods
+    last = tagged.groupBy(by, "__P").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
+                                           .alias(f"__l{i}") for i, c in enumerate(cols)])
+    wp = W.partitionBy(by).orderBy("__P").rowsBetween(W.unboundedPreceding, -1)
+    carry = last.select(by, "__P", *[F.last(f"__l{i}", ignorenulls=True).over(wp).alias(f"__c{i}")
+                                     for i in range(len(cols))])
+    w = W.partitionBy(by, "__P").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = tagged.join(carry, [by, "__P"], "left")
+    return joined.select(*[F.coalesce(F.last(F.col(c), ignorenulls=True).over(w), F.col(f"__c{cols.index(c)}")).alias(c)
+                           if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def assign_split(df: DataFrame, splits: Sequence[tuple[str, str, str]] = SPLITS, date: str = "date",

@@ -85,3 +85,15 @@ def test_calendar_enrich_and_shift(spark):
     assert t1 == {2: D("2024-01-03"), 5: None}
     an = {r.date.day: r.effective_date for r in shift_available(src, cal, "announcement_date", avail_col="ann").collect()}
     assert an == {2: D("2024-01-05"), 5: None}
+
+
+def test_ffill_split_equals_whole(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.choice("AB"), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 24 * 9)),
+             rnd.choice([None, None, float(rnd.randint(0, 99))])) for _ in range(200)]
+    rows = list({(k, t): (k, t, v) for k, t, v in rows}.values())       # unique (key, time)
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, x double")
+    a = sorted(map(tuple, ffill(df, ["x"], order="ts").collect()))
+    b = sorted(map(tuple, ffill(df, ["x"], order="ts", split="day").collect()))
+    assert a == b
