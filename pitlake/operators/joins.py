@@ -32,15 +32,22 @@ def add_lineage(df: DataFrame, iface: str, keys: Sequence[str], prefix: str = "f
 
 
 def join_daily(left: DataFrame, src: DataFrame, iface: str, key: str = "ticker",
-               date: str = "date", prefix: str = "feat_") -> DataFrame:
+               date: str = "date", prefix: str = "feat_", check_unique: bool = False) -> DataFrame:
     """Left join a daily or static source on (key, date), or on date
     alone when the source has no key (market-wide).
 
     Duplicate source rows fan out, as in the reference.  The physical join is
     left to Catalyst/AQE: a market-wide source that proves small at run time
     is broadcast, anything else is a sort-merge join on the join keys.
+    ``check_unique`` (T5) raises when a market-wide source repeats a date,
+    which would multiply every grid row of that day; it costs one aggregate
+    over the source (not the grid).
     """
     keys = [key, date] if key in src.columns else [date]
+    if check_unique and keys == [date]:
+        dup = src.groupBy(date).count().where(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"market-wide source {iface!r} has several rows for {date}={dup[0][date]}")
     right = add_lineage(src, iface, keys, prefix)
     return left.join(right, keys, "left")
 

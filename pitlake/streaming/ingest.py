@@ -59,14 +59,17 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
 
 
 def stream_ingest(spark: SparkSession, landing: str, silver: str, checkpoint: str, schema: T.StructType,
-                  columns_map: Mapping[str, str] | None = None, date_col: str = "data_date"):
+                  columns_map: Mapping[str, str] | None = None, date_col: str = "data_date",
+                  max_files_per_trigger: int = 1000):
     """T-S1: landing -> silver for files not yet processed, then stop.
 
     ``trigger(availableNow=True)`` processes everything present at start in
-    bounded micro-batches and ends; rerunning picks up only new files.
+    micro-batches of at most ``max_files_per_trigger`` files and ends;
+    rerunning picks up only new files.
     Returns the finished ``StreamingQuery``.
     """
-    src = spark.readStream.schema(schema).option("basePath", landing).parquet(landing)
+    src = (spark.readStream.schema(schema).option("basePath", landing)
+           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing))
     df = rename_by_map(src, dict(columns_map or {}))
     if date_col in df.columns and date_col != "date":
         df = df.drop("date").withColumnRenamed(date_col, "date")

@@ -132,3 +132,28 @@ def test_split_asof_partitions_by_key_and_period(spark):
     df = asof_join(left, AsofSource("s", src), date="ts", split="day")
     assert df.collect()[0].feat_v_s == 1                       # carried in from the previous day
     assert "hashpartitioning(__k#" in final_plan(df) and "__P" in final_plan(df)
+
+
+def test_hot_key_reduced_map_side(spark):
+    """A key holding most source rows is collapsed to one row per (key, date)
+    by a partial aggregate before the shuffle."""
+    rows = [("HOT", D("2024-01-02"), i) for i in range(300)] + [("B", D("2024-01-02"), 1)]
+    src = spark.createDataFrame(rows, "ticker string, date date, v int").repartition(4)
+    df = asof_join(_left(spark), AsofSource("s", src, tie_break=["v"]))
+    plan = final_plan(df)
+    assert "partial_max_by" in plan
+    assert {(r.ticker, r.feat_v_s) for r in df.collect()} >= {("A", None), ("B", 1)}
+
+
+def test_market_source_uniqueness_check(spark):
+    import pytest
+    mkt = spark.createDataFrame([(D("2024-01-03"), 9.0), (D("2024-01-03"), 8.0)], "date date, x double")
+    with pytest.raises(ValueError):
+        join_daily(_left(spark), mkt, "m", check_unique=True)
+    assert join_daily(_left(spark), mkt, "m").count() == 6          # default: fan out like the reference
+
+
+def test_bare_asof_prefix(spark):
+    src = spark.createDataFrame([("A", D("2024-01-02"), 1.0)], "ticker string, date date, v double")
+    out = asof_join(_left(spark), AsofSource("src", src, prefix=""))
+    assert "v_src" in out.columns                                     # reference naming (T6)
