@@ -2,7 +2,9 @@
 
 Each query is built and run to completion through the ``noop`` sink (all
 rows computed, none shipped to Python), once to warm the JVM and once timed.
-Prints one JSON line.
+Prints one JSON line; besides seconds per query it records the shuffle bytes
+written and the number of Exchanges of the timed run's final SQL execution
+(for report queries that is the last of their jobs).
 """
 
 from __future__ import annotations
@@ -14,10 +16,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pitlake.plans.metrics import last_execution_metrics  # noqa: E402
 from pitlake.plans.queries import QUERIES  # noqa: E402
 from pitlake.session import get_session  # noqa: E402
 
-HEADLINE = ["labels", "asof_keyed", "panel", "stats_summary", "export_cpt", "labels_lineitem", "asof_orders"]
+HEADLINE = ["labels", "asof_keyed", "panel", "stats_summary", "export_cpt", "labels_lineitem", "asof_orders",
+            "asof_events", "gold_lineitem"]
 
 
 def run(spark, name, sf):
@@ -32,13 +36,16 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", int(cpus))
-    out = {}
+    out, shuffle, exchanges = {}, {}, {}
     for n in names:
         run(spark, n, sf)              # warm-up (JIT, codegen caches)
         out[n] = round(run(spark, n, sf), 3)
+        m = last_execution_metrics(spark)
+        shuffle[n], exchanges[n] = m.get("shuffle_bytes"), m.get("exchanges")
     sf_name = os.path.basename(sf.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_wall_sec", "value": round(sum(out.values()), 3), "unit": "sec",
-                      "queries": out, "sf": float(sf_name) if sf_name.replace(".", "").isdigit() else sf}))
+                      "queries": out, "sf": float(sf_name) if sf_name.replace(".", "").isdigit() else sf,
+                      "shuffle_bytes": shuffle, "exchanges": exchanges}))
     spark.stop()
 
 

@@ -296,3 +296,36 @@ SQL["asof_events"] = """WITH s AS (
 SELECT e.event_id, e.user_id AS ticker, e.ts, s.signup_value AS feat_signup_value_signups,
        s.signup_id AS feat_signup_id_signups, s.ts AS effective_date_signups
 FROM events e ASOF LEFT JOIN s ON e.user_id = s.ticker AND e.ts >= s.ts"""
+
+SQL["gold_lineitem"] = """WITH
+bars AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price,
+                count(*) AS n_lines FROM lineitem GROUP BY 1, 2),
+cal AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem),
+ci AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS idx FROM cal),
+grid AS (SELECT s_suppkey AS ticker, c.date, c.idx FROM supplier CROSS JOIN ci c),
+ret AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date,
+               arg_max(l_extendedprice, (l_orderkey, l_linenumber)) AS ret_price,
+               arg_max(l_quantity, (l_orderkey, l_linenumber)) AS ret_qty,
+               arg_max(l_orderkey, (l_orderkey, l_linenumber)) AS l_orderkey,
+               arg_max(l_linenumber, (l_orderkey, l_linenumber)) AS l_linenumber
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+mkt AS (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS lines, max(l_extendedprice) AS top_price
+        FROM lineitem GROUP BY 1),
+pxi AS (SELECT b.ticker, c.idx, b.price AS p FROM bars b JOIN ci c USING (date))
+SELECT g.ticker, g.date, b.price AS feat_price_bars, b.n_lines AS feat_n_lines_bars,
+       r.ret_price AS feat_ret_price_returns, r.ret_qty AS feat_ret_qty_returns,
+       r.l_orderkey AS feat_l_orderkey_returns, r.l_linenumber AS feat_l_linenumber_returns,
+       r.date AS effective_date_returns, m.lines AS feat_lines_market, m.top_price AS feat_top_price_market,
+""" + ",\n".join(
+    f"""       CASE WHEN p0.p IS NOT NULL AND p{h}.p IS NOT NULL AND p0.p <> 0
+            THEN greatest(-2000.0, least(2000.0, 10000 * (p{h}.p / p0.p - 1))) END AS r_{h}d,
+       CASE WHEN p0.p IS NULL OR p{h}.p IS NULL OR p0.p = 0 THEN 1 ELSE 0 END AS label_na_{h}d"""
+    for h in (1, 5, 20)) + """
+FROM grid g
+LEFT JOIN bars b ON b.ticker = g.ticker AND b.date = g.date
+LEFT JOIN mkt m ON m.date = g.date
+LEFT JOIN pxi p0 ON p0.ticker = g.ticker AND p0.idx = g.idx
+LEFT JOIN pxi p1 ON p1.ticker = g.ticker AND p1.idx = g.idx + 1
+LEFT JOIN pxi p5 ON p5.ticker = g.ticker AND p5.idx = g.idx + 5
+LEFT JOIN pxi p20 ON p20.ticker = g.ticker AND p20.idx = g.idx + 20
+ASOF LEFT JOIN ret r ON r.ticker = g.ticker AND g.date >= r.date"""

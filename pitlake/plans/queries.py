@@ -147,6 +147,20 @@ def q_gold(spark, sf):
     return events_gold(_events(spark, sf))
 
 
+def q_gold_lineitem(spark, sf):
+    """Fused gold on the supplier x ship-day panel (the large one)."""
+    li = tb.load(spark, sf, "lineitem")
+    bars = tb.lineitem_bars(li)
+    cal = tb.lineitem_calendar(li)
+    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
+    return assemble_gold(
+        grid, cal,
+        daily=[AsofSource("bars", bars, unique=True)],
+        slow=[AsofSource("returns", tb.supplier_returns(li), tie_break=["l_orderkey", "l_linenumber"])],
+        market_daily=[("market", tb.lineitem_market(bars))],
+        labels=LabelSpec(bars, "price"))
+
+
 def q_gold_unfused(spark, sf):
     return events_gold_unfused(_events(spark, sf))
 
@@ -317,6 +331,7 @@ QUERIES = {
     "panel": q_panel,
     "gold": q_gold,
     "gold_unfused": q_gold_unfused,
+    "gold_lineitem": q_gold_lineitem,
     "export_cpt": q_export_cpt,
     "export_sft": q_export_sft,
     "export_txt": q_export_txt,

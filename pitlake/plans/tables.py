@@ -83,6 +83,19 @@ def lineitem_bars(lineitem: DataFrame) -> DataFrame:
             .agg(F.max("l_extendedprice").alias("price"), F.count(F.lit(1)).alias("n_lines")))
 
 
+def supplier_returns(lineitem: DataFrame) -> DataFrame:
+    """Keyed slow source: every returned line of a supplier, dated by ship day."""
+    return (lineitem.where(F.col("l_returnflag") == "R")
+            .select(F.col("l_suppkey").alias("ticker"), _day("l_shipdate").alias("date"),
+                    F.col("l_extendedprice").alias("ret_price"), F.col("l_quantity").alias("ret_qty"),
+                    "l_orderkey", "l_linenumber"))
+
+
+def lineitem_market(bars: DataFrame) -> DataFrame:
+    """Market-wide daily source rolled up from the supplier bars."""
+    return bars.groupBy("date").agg(F.sum("n_lines").alias("lines"), F.max("price").alias("top_price"))
+
+
 def lineitem_calendar(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(_day("l_shipdate").alias("date")).distinct()
 
