@@ -84,3 +84,36 @@ def normalise(df: DataFrame, columns_map: Mapping[str, str] | None = None,
     out = rename_by_map(df, columns_map or {})
     out = normalise_date(out)
     return attach_key(out, ticker)
+
+
+def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str = "ticker") -> DataFrame:
+    """Raw frame of a registered source -> silver with ``ticker`` / ``effective_date``.
+
+    Applies the source's column map, turns its entity-code column into an
+    exchange-qualified ticker (P8) and its date column into
+    ``effective_date`` (P2).  Sources without a date column are dated by
+    ``fetch_date`` -- a literal, or a column such as the landing table's
+    ``date`` partition (``yyyyMMdd``; ``static`` gives null).  Sources
+    without an entity column stay market-wide.
+    """
+    from pitlake.functions.scalar import ticker_of
+    from pitlake.sources.registry import COLUMNS_MAP, KEY_COLUMNS
+
+    if interface_id not in KEY_COLUMNS:
+        raise ValueError(f"unregistered source {interface_id!r}")
+    out = rename_by_map(df, COLUMNS_MAP.get(interface_id, {}))
+    code_col, date_col = KEY_COLUMNS[interface_id]
+    if code_col is not None and code_col in out.columns and key not in out.columns:
+        code = F.regexp_extract(F.col(f"`{code_col}`").cast("string"), r"(\d{1,6})", 1)
+        out = out.withColumn(key, F.when(code != "", ticker_of(code)))
+    if date_col is not None and date_col in out.columns:
+        if date_col != "date":
+            out = out.drop("date") if "date" in out.columns else out
+            out = out.withColumnRenamed(date_col, "date")
+    elif fetch_date is not None:
+        fd = fetch_date if not isinstance(fetch_date, str) or fetch_date in out.columns else F.lit(fetch_date)
+        if isinstance(fd, str):
+            fd = F.col(fd)
+        d = F.coalesce(F.try_to_date(fd.cast("string"), "yyyyMMdd"), F.try_to_date(fd.cast("string")))
+        out = out.drop("date").withColumn("date", d) if "date" in out.columns else out.withColumn("date", d)
+    return normalise_date(out)

@@ -81,6 +81,60 @@ BOOTSTRAP_SOURCE = {
     "tool_trade_date_hist_sina": "trading_calendar.csv",
 }
 
+# --- fixed values: entity-code column and date column of each source's documented output ---
+# (None: the source has no such column; its rows are market-wide, or dated by the fetch date)
+KEY_COLUMNS = {
+    "stock_zh_a_hist": (None, "date"),
+    "tool_trade_date_hist_sina": (None, "date"),
+    "stock_gpzy_pledge_ratio_em": ("股票代码", "交易日期"),
+    "stock_szse_summary": (None, None),
+    "stock_szse_sector_summary": (None, None),
+    "stock_sse_deal_daily": (None, None),
+    "stock_gsrl_gsdt_em": ("代码", "交易日"),
+    "stock_tfp_em": ("代码", "停牌时间"),
+    "news_trade_notify_suspend_baidu": ("股票代码", "停牌时间"),
+    "stock_yjbb_em": ("股票代码", "最新公告日期"),
+    "stock_yjkb_em": ("股票代码", "公告日期"),
+    "stock_yjyg_em": ("股票代码", "公告日期"),
+    "stock_yysj_em": ("股票代码", "首次预约时间"),
+    "stock_report_disclosure": ("股票代码", None),
+    "stock_industry_change_cninfo": ("证券代码", "变更日期"),
+    "stock_share_change_cninfo": ("证券代码", "公告日期"),
+    "stock_allotment_cninfo": ("证券代码", "上市公告日期"),
+    "stock_zcfz_em": ("股票代码", "公告日期"),
+    "stock_lrb_em": ("股票代码", "公告日期"),
+    "stock_xjll_em": ("股票代码", "公告日期"),
+    "stock_fhps_em": ("代码", "最新公告日期"),
+    "stock_zdhtmx_em": ("股票代码", "公告日期"),
+    "stock_notice_report": ("代码", "公告日期"),
+    "stock_gdfx_free_top_10_em": (None, None),
+    "stock_gdfx_top_10_em": (None, None),
+    "stock_gdfx_free_holding_change_em": (None, None),
+    "stock_gdfx_holding_change_em": (None, None),
+    "stock_gdfx_free_holding_detail_em": ("股票代码", "公告日"),
+    "stock_info_a_code_name": ("code", None),
+    "stock_info_sz_delist": ("证券代码", "终止上市日期"),
+    "stock_info_sh_delist": ("公司代码", "暂停上市日期"),
+    "stock_hold_num_cninfo": ("证劵代码", "变动日期"),
+    "stock_report_fund_hold": ("股票代码", None),
+    "stock_lhb_detail_daily_sina": ("股票代码", None),
+    "stock_margin_ratio_pa": ("证券代码", None),
+    "stock_margin_sse": (None, "信用交易日期"),
+    "stock_margin_detail_sse": ("标的证券代码", "信用交易日期"),
+    "stock_margin_szse": (None, None),
+    "stock_margin_detail_szse": ("证券代码", None),
+    "stock_margin_underlying_info_szse": ("证券代码", None),
+    "stock_board_industry_index_ths": (None, "日期"),
+    "stock_hot_search_baidu": ("名称/代码", None),
+    "bond_cash_summary_sse": (None, "数据日期"),
+    "bond_deal_summary_sse": (None, "数据日期"),
+    "bond_china_yield": (None, "日期"),
+    "fund_report_stock_cninfo": ("股票代码", None),
+    "fund_report_industry_allocation_cninfo": (None, None),
+    "macro_info_ws": (None, "时间"),
+    "stock_report_fund_hold_detail": ("股票代码", None),
+}
+
 # freq values joined by equality; all others are joined as-of
 EQUI_FREQS = ("D", "static")
 
@@ -100,6 +154,13 @@ def registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
+def avail_rule_of(interface_id: str) -> str | None:
+    for i, _, _, _, a, _ in SOURCES:
+        if i == interface_id:
+            return a
+    return None
+
+
 def freq_of(interface_id: str) -> str | None:
     for i, _, f, *_ in SOURCES:
         if i == interface_id:

@@ -97,3 +97,27 @@ def test_ffill_split_equals_whole(spark):
     a = sorted(map(tuple, ffill(df, ["x"], order="ts").collect()))
     b = sorted(map(tuple, ffill(df, ["x"], order="ts", split="day").collect()))
     assert a == b
+
+
+def test_normalise_registered_sources(spark):
+    from pitlake.operators.normalise import normalise_source
+    from pitlake.operators.panel import assemble
+    from pitlake.sources.registry import KEY_COLUMNS, SOURCES
+
+    assert set(KEY_COLUMNS) == {s[0] for s in SOURCES}
+    # quarterly report: code column + announcement date -> keyed as-of source
+    raw = spark.createDataFrame([("600519", "2024-01-02", 1.5), ("000651", "2024-01-04", 2.5)],
+                                "`股票代码` string, `最新公告日期` string, `每股收益` double")
+    silver = normalise_source(raw, "stock_yjbb_em")
+    assert {r.ticker for r in silver.collect()} == {"600519.SH", "000651.SZ"}
+    assert "effective_date" in silver.columns
+    # market-wide daily summary without a date column: dated by the fetch date
+    summ = spark.createDataFrame([("股票", 10)], "`证券类别` string, `数量` bigint")
+    s2 = normalise_source(summ, "stock_szse_summary", fetch_date="20240103")
+    assert s2.collect()[0].effective_date == D("2024-01-03") and "ticker" not in s2.columns
+    grid = spark.createDataFrame([("600519.SH", D("2024-01-03")), ("000651.SZ", D("2024-01-03"))],
+                                 "ticker string, date date")
+    panel = assemble(grid, [("stock_yjbb_em", silver), ("stock_szse_summary", s2)])
+    r = {x.ticker: x for x in panel.collect()}
+    assert r["600519.SH"]["feat_每股收益_stock_yjbb_em"] == 1.5 and r["000651.SZ"]["feat_每股收益_stock_yjbb_em"] is None
+    assert r["000651.SZ"]["feat_数量_stock_szse_summary"] == 10
