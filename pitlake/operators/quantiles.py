@@ -9,9 +9,11 @@ task.  Here the k-th smallest value is found by narrowing:
    true rank within n/A of p*n, so the values at p -/+ 3/A enclose rank k.
 2. One pass counts, per bracket, the values below it and inside it.
 3. When a bracket holds at most ``max_exact_rows`` values it is resolved
-   exactly: its values are counted per distinct value, ranked by a window
-   partitioned by bracket (bounded by ``max_exact_rows``) and the value whose
-   cumulative count crosses k is picked.  Larger brackets are narrowed again.
+   exactly: its values are gathered and sorted in one group per bracket
+   (bounded by ``max_exact_rows``) and the k-th is picked.  Larger brackets
+   are narrowed again.  A bracket that cannot shrink (one value repeated
+   very often) is resolved by counting distinct values and ranking them with
+   a window partitioned by bracket instead.
 
 Only the per-target bounds and the final values (a few numbers per column)
 reach the driver.  On small data the first round resolves directly.
@@ -37,15 +39,31 @@ def _in_bracket(c, lo, hi):
     return cond
 
 
-def _resolve(df: DataFrame, brackets: dict, wanted: dict) -> dict:
-    """brackets: bid -> (col, lo, hi); wanted: bid -> set of local ranks k.
-    Returns (bid, k) -> value."""
+def _bracket_rows(df: DataFrame, brackets: dict) -> DataFrame:
+    """(bracket id, value) for every value inside each bracket."""
     items = []
     for bid, (col, lo, hi) in brackets.items():
         c = F.col(f"`{col}`").cast("double")
         items.append(F.when(_in_bracket(c, lo, hi), F.struct(F.lit(bid).alias("b"), c.alias("v"))))
-    long = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
+    return (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
             .select("s.b", "s.v"))
+
+
+def _resolve(df: DataFrame, brackets: dict, wanted: dict, bounded: bool = True) -> dict:
+    """brackets: bid -> (col, lo, hi); wanted: bid -> set of local ranks k.
+    Returns (bid, k) -> value.
+
+    ``bounded``: every bracket holds at most ``max_exact_rows`` rows, so each
+    one is gathered as a sorted array in its own group.  Otherwise (heavy
+    ties) values are counted per distinct value and ranked by a window
+    partitioned by bracket, bounded by the number of distinct values.
+    """
+    long = _bracket_rows(df, brackets)
+    if bounded:
+        picks = {b: sorted(ks) for b, ks in wanted.items()}
+        arr = F.array_sort(F.collect_list("v"))
+        got = long.groupBy("b").agg(arr.alias("a")).collect()
+        return {(r["b"], k): r["a"][k] for r in got for k in picks.get(r["b"], ())}
     freq = long.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     cum = freq.select("b", "v", (F.sum("n").over(w) - F.col("n")).alias("lo_r"), F.sum("n").over(w).alias("hi_r"))
@@ -89,12 +107,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # bracket state per (col, rank): lo, hi, below, inside
     state = {(c, r): [None, None, 0, counts[c]] for c in cols for r in ranks[c]}
     found: dict = {}
+    forced: dict = {}
     for _ in range(max_rounds):
         open_t = [t for t in state if t not in found]
         if not open_t:
             break
         small = [t for t in open_t if state[t][3] <= max_exact_rows]
         if small:
+            bounded = all(not forced.get(t) for t in small)
             bid_of, brackets, wanted = {}, {}, {}
             for t in small:
                 c, r = t
@@ -104,7 +124,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     bid_of[key] = len(bid_of)
                     brackets[bid_of[key]] = key
                 wanted.setdefault(bid_of[key], set()).add(r - below)
-            res = _resolve(df, brackets, wanted)
+            res = _resolve(df, brackets, wanted, bounded)
             for t in small:
                 c, r = t
                 lo, hi, below, _ = state[t]
@@ -146,6 +166,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 # no progress (heavy ties): the bracket is one value range that
                 # cannot shrink; resolve it by counting even if large
                 state[t][3] = min(state[t][3], max_exact_rows)
+                forced[t] = True
     out = {}
     for (c, q), pl in plan.items():
         if pl is None:
