@@ -8,7 +8,6 @@ turned into rows afterwards -- the data itself is never unpivoted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark import StorageLevel
@@ -40,10 +39,6 @@ def _round_half_up(x: float, digits: int) -> float:
     return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
-def _rows(spark, schema, rows):
-    return spark.createDataFrame(rows, schema)
-
-
 def _inline(pairs: list[Column]) -> Column:
     return F.inline(F.array(*pairs))
 

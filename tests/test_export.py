@@ -4,7 +4,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from pitlake.functions.scalar import target_text
 from pitlake.operators.export import SFT_INSTRUCTION, to_cpt, to_sft, to_txt

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import final_plan
 from pitlake.operators.labels import dedupe_last, forward_labels

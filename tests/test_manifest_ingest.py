@@ -3,9 +3,7 @@
 import datetime as dt
 import hashlib
 import json
-import os
 
-from pyspark.sql import functions as F
 
 from conftest import FIXTURES
 from pitlake.operators.manifest import full_manifest, pending, read_done, record_done, replay_manifest, single_task
