@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake.functions.scalar import first_matching
-from pitlake.operators.audit import label_na_report, lookahead_audit, stats_summary
+from pitlake.operators.audit import accounting, label_na_report, lookahead_audit, stats_summary
 from pitlake.operators.calendar import enrich_calendar
 from pitlake.operators.export import to_cpt, to_sft, to_txt
 from pitlake.operators.grid import base_grid
@@ -66,7 +66,8 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
     write_gold(r.labels, f"{out_dir}/gold", "labels")
     g = r.gold.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_jsonl(to_cpt(g), f"{out_dir}/exports/cpt/finset_cpt_{suffix}.jsonl")
+        counted, obs = accounting(g, "gold")                 # A8: counted by the export job itself
+        write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/finset_cpt_{suffix}.jsonl")
         write_jsonl(to_sft(g), f"{out_dir}/exports/sft/finset_sft_{suffix}.jsonl")
         write_txt(to_txt(g), f"{out_dir}/exports/txt/finset_{suffix}_preview.txt")
         summary = stats_summary(g)
@@ -74,6 +75,7 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
         look = lookahead_audit(g)
         write_stats(summary, f"{out_dir}/exports/stats/stats_summary_{suffix}.csv")
         write_stats(na, f"{out_dir}/exports/stats/stats_label_na_{suffix}.csv")
-        return {"stats_summary": summary, "label_na": na, "lookahead": look}
+        return {"stats_summary": summary, "label_na": na, "lookahead": look,
+                "gold_shape": (obs.get["rows"], len(g.columns))}
     finally:
         g.unpersist()

@@ -13,6 +13,7 @@ replaces the reference's lock-protected checkpoint file).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
@@ -24,6 +25,8 @@ from pitlake.operators.manifest import pending, read_done, record_done
 from pitlake.operators.normalise import normalise_date, rename_by_map
 from pitlake.sources.sinks import RAW_PARTITIONS
 
+log = logging.getLogger(__name__)
+
 
 def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, landing: str,
                   files_glob: str, schema: T.StructType, file_format: str = "csv",
@@ -49,13 +52,19 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
            .withColumn("date", date_part)
            .drop("__path", "__rp", "params", "replay_path", "interface_id")
            .persist(StorageLevel.MEMORY_AND_DISK))
+    n_todo = todo.count()                       # A8: tasks this run should land
     try:
         out.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(landing)
         # only tasks that landed rows are recorded; empty ones are retried
         run_path = record_done(out.select("task_id").distinct(), done_path)
     finally:
         out.unpersist()
-    return spark.read.parquet(run_path).select("task_id")
+    landed = spark.read.parquet(run_path).select("task_id")
+    n_done = landed.count()
+    log.info("replayed %d of %d pending tasks", n_done, n_todo)
+    if n_todo and not n_done:
+        raise RuntimeError(f"none of the {n_todo} pending tasks produced rows")
+    return landed
 
 
 def stream_ingest(spark: SparkSession, landing: str, silver: str, checkpoint: str, schema: T.StructType,

@@ -61,6 +61,12 @@ def test_replay_ingest_and_stream(spark, tmp_path):
     # second run: nothing pending, nothing landed twice
     again = replay_ingest(spark, man, done, landing, f"{FIXTURES}/price_*.csv", PRICE_SCHEMA)
     assert again.count() == 0 and spark.read.parquet(landing).count() == 426
+    # a pending task whose file is missing lands nothing -> the run fails
+    import pytest
+    ghost = replay_manifest(registry(spark), spark.createDataFrame([("000001.SZ",)], "ticker string"),
+                            bootstrap_dir=FIXTURES).where("interface_id = 'stock_zh_a_hist'")
+    with pytest.raises(RuntimeError):
+        replay_ingest(spark, ghost, done, landing, f"{FIXTURES}/price_*.csv", PRICE_SCHEMA)
     # landing -> silver, incrementally
     schema = spark.read.parquet(landing).schema
     silver, ck = str(tmp_path / "silver"), str(tmp_path / "ck")
