@@ -124,7 +124,9 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         days = calendar_index(calendar).select(F.col("date").alias(date))
         per_day = days
         for name, src in market_daily:
-            per_day = join_daily(per_day, src, name, key=key, date=date)
+            # T5: a market-wide daily source must have one row per day (else
+            # raise), which is also what bounds the broadcast below
+            per_day = join_daily(per_day, src, name, key=key, date=date, check_unique=True)
         if market_slow:
             per_day = asof_join(per_day, list(market_slow), by=None, date=date, dates=days)
         # one row per trading day when each market source has one row per day

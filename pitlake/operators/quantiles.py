@@ -60,10 +60,15 @@ def _resolve(df: DataFrame, brackets: dict, wanted: dict, bounded: bool = True)
     """
     long = _bracket_rows(df, brackets)
     if bounded:
-        picks = {b: sorted(ks) for b, ks in wanted.items()}
+        # pick the wanted ranks inside Spark: only those values reach the driver
+        ranks = F.create_map(*[x for b, ks in wanted.items()
+                               for x in (F.lit(b), F.array(*[F.lit(int(k)) for k in sorted(ks)]))])
+        ks = F.element_at(ranks, F.col("b"))
         arr = F.array_sort(F.collect_list("v"))
-        got = long.groupBy("b").agg(arr.alias("a")).collect()
-        return {(r["b"], k): r["a"][k] for r in got for k in picks.get(r["b"], ())}
+        got = (long.groupBy("b").agg(arr.alias("a"))
+               .select("b", ks.alias("ks"), F.transform(ks, lambda k: F.element_at(F.col("a"), k + 1)).alias("vs"))
+               .collect())
+        return {(r["b"], k): v for r in got for k, v in zip(r["ks"], r["vs"])}
     freq = long.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     cum = freq.select("b", "v", (F.sum("n").over(w) - F.col("n")).alias("lo_r"), F.sum("n").over(w).alias("hi_r"))
