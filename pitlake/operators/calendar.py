@@ -42,6 +42,23 @@ AVAIL_OFFSETS = {"T_day_1500": 0, "T_plus_1": 1, "T_plus_5": 5}
 AVAIL_COLUMN_RULES = ("announcement_date", "change_date")
 
 
+def first_trading_index(days: DataFrame, calendar: DataFrame, day: str = "day", out: str = "idx") -> DataFrame:
+    """``(day, out)``: calendar index of the first trading date on or after each
+    distinct day of ``days`` (null past the calendar end).
+
+    Works on the distinct days (partial aggregate) stacked with the calendar:
+    a backward-ordered window over at most (days + trading days) rows -- one
+    row per date, bounded by the time span, not by data volume.
+    """
+    cal = calendar_index(calendar)
+    d = days.select(F.col(day).cast("date").alias("__k")).where(F.col("__k").isNotNull()).distinct()
+    both = (d.select("__k", F.lit(0).alias("__s"), F.lit(None).cast("int").alias("__ci"))
+            .unionByName(cal.select(F.col("date").alias("__k"), F.lit(1).alias("__s"), F.col("idx").alias("__ci"))))
+    wf = W.orderBy(F.col("__k").desc(), F.col("__s").desc()).rowsBetween(W.unboundedPreceding, 0)
+    return (both.withColumn("__n", F.last("__ci", ignorenulls=True).over(wf))
+            .where(F.col("__s") == 0).select(F.col("__k").alias(day), F.col("__n").alias(out)))
+
+
 def shift_available(df: DataFrame, calendar: DataFrame, rule: str, date: str = "date",
                     avail_col: str | None = None, out: str = "effective_date") -> DataFrame:
     """Earliest trading date on which a source row may be used.
@@ -51,10 +68,9 @@ def shift_available(df: DataFrame, calendar: DataFrame, rule: str, date: str = "
     ``announcement_date`` / ``change_date`` -> the date in ``avail_col``,
     moved to the first trading date on or after it.
 
-    Joins on the calendar index use a broadcast of the date-keyed calendar
-    (bounded by days); the data side is never shuffled.
+    The day -> date map has one row per distinct source day (bounded by the
+    time span), so it is broadcast; the data side is never shuffled.
     """
-    idx = F.broadcast(calendar_index(calendar))
     if rule in AVAIL_OFFSETS:
         n = AVAIL_OFFSETS[rule]
         src_day = F.col(date).cast("date")
@@ -65,19 +81,9 @@ def shift_available(df: DataFrame, calendar: DataFrame, rule: str, date: str = "
         src_day = F.col(avail_col).cast("date")
     else:
         raise ValueError(f"unknown avail_rule {rule!r}")
-    # first trading date on/after the source day: dates are not always
-    # trading days (weekend announcements), so match by the next calendar
-    # position.  ``next_idx`` = number of trading dates strictly before day.
-    cal = idx.select(F.col("date").alias("_cd"), F.col("idx").alias("_ci"))
     with_day = df.withColumn("_sd", src_day)
-    days = with_day.select("_sd").where(F.col("_sd").isNotNull()).distinct()
-    # as-of (forward) on the small distinct-day table, bounded by days
-    both = (days.select(F.col("_sd").alias("_k"), F.lit(0).alias("_side"), F.lit(None).cast("int").alias("_ci"))
-            .unionByName(cal.select(F.col("_cd").alias("_k"), F.lit(1).alias("_side"), "_ci")))
-    wf = W.orderBy(F.col("_k").desc(), F.col("_side").desc()).rowsBetween(W.unboundedPreceding, 0)
-    first_on_or_after = (both.withColumn("_ni", F.last("_ci", ignorenulls=True).over(wf))
-                         .where(F.col("_side") == 0).select(F.col("_k").alias("_sd"), "_ni"))
-    target = cal.select(F.col("_ci").alias("_ni2"), F.col("_cd").alias(out))
-    day_map = (first_on_or_after.withColumn("_ni2", F.col("_ni") + F.lit(n))
+    first = first_trading_index(with_day.select("_sd"), calendar, "_sd", "_ni")
+    target = calendar_index(calendar).select(F.col("idx").alias("_ni2"), F.col("date").alias(out))
+    day_map = (first.withColumn("_ni2", F.col("_ni") + F.lit(n))
                .join(target, "_ni2", "left").select("_sd", out))
     return with_day.join(F.broadcast(day_map), "_sd", "left").drop("_sd")

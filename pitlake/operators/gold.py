@@ -10,14 +10,22 @@ the grid rows and hash-partitioned by entity once:
 * keyed slow sources (as-of),
 * the label price series (full history).
 
-Then two windows run back to back on that partitioning (Spark adds only a
-Sort between them): an ordered (date, side) frame picks the latest source
-row for every source (daily ones keep it only if its date equals the row's),
-and a range frame over the trading-day index looks up the price h trading
-days ahead.  Market-wide sources are resolved on the calendar (one row per
-trading day) and broadcast.  Each entity partition holds at most a few rows
-per trading day per source (sources are reduced to one row per (entity,
-date) by partial aggregation first), so a hot entity cannot blow up a task.
+Every row carries its trading-day index; a slow source row dated on a
+non-trading day is placed on the first trading day on or after it (the first
+grid day that may see it).  Rows are sorted once by (index, side, date): a
+running frame picks the latest source row for each source (daily ones keep
+it only if its date equals the row's), and -- since that order also
+satisfies an order by index -- range frames ``[h, h]`` over the index read
+the price h trading days ahead without another sort.  Market-wide sources
+are resolved per trading day and broadcast.
+
+Each entity partition holds a few rows per trading day and source (sources
+are reduced to one row per (entity, day) by partial aggregation first), so
+a hot entity cannot blow up a task.
+
+``grid_on_calendar=False`` handles grids whose dates are not all trading
+days: rows are then ordered by (date, side) for the as-of frame and by the
+trading-day index for the label frames, which costs a second sort.
 """
 
 from __future__ import annotations
@@ -25,13 +33,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from pitlake.functions.scalar import label_na, return_bps
-from pitlake.operators.calendar import calendar_index
-from pitlake.operators.joins import AsofSource, _expand, _reduce_source, asof_join, join_daily
+from pitlake.operators.calendar import calendar_index, first_trading_index
+from pitlake.operators.joins import AsofSource, _expand, _reduce_source, asof_join
 
 HORIZONS = (1, 5, 20)
 
@@ -48,15 +56,18 @@ class LabelSpec:
 def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSource] = (),
                   slow: Sequence[AsofSource] = (), market_daily: Sequence[tuple[str, DataFrame]] = (),
                   market_slow: Sequence[AsofSource] = (), labels: LabelSpec | None = None,
-                  key: str = "ticker", date: str = "date") -> DataFrame:
+                  key: str = "ticker", date: str = "date", grid_on_calendar: bool = True) -> DataFrame:
     """Gold table = grid + every source's features (+ labels), one grid shuffle.
 
     ``daily`` sources follow J2 semantics for sources with one row per
     (key, date) (no fan-out; use :func:`join_daily` for sources that repeat
     keys).  ``slow`` ones follow J4.  Column names are those of the unfused
-    operators, so both paths give identical tables.
+    operators, so both paths give identical tables.  ``grid_on_calendar``
+    states that every grid date is a trading day (true for
+    :func:`base_grid`), which allows the single-sort plan.
     """
-    cal = F.broadcast(calendar_index(calendar))          # one row per trading day
+    cal_idx = calendar_index(calendar)
+    cal = F.broadcast(cal_idx.select(F.col("date").alias("__d"), F.col("idx").alias("__i")))  # one row per day
     daily, slow = list(daily), list(slow)
     for s in daily:
         s.keep_date_as = None
@@ -65,42 +76,64 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]
+    nulls = [F.lit(None).cast(t) for t in ptypes]
 
-    g = grid.withColumn("__d", F.col(date).cast("date"))
-    g = g.join(cal.select(F.col("date").alias("__d"), F.col("idx").alias("__i")), "__d", "left")
+    g = grid.withColumn("__d", F.col(date).cast("date")).join(cal, "__d", "left")
     lcols = list(grid.columns)
     lstruct = F.struct(*[F.col(f"`{c}`").alias(c) for c in lcols])
-    nulls = [F.lit(None).cast(t) for t in ptypes]
     parts = [g.select(F.col(key).alias("__k"), "__d", F.lit(1).alias("__side"), "__i", lstruct.alias("__l"),
-                      F.lit(None).cast("double").alias("__px"),
-                      *[nl.alias(p) for nl, p in zip(nulls, pcols)])]
+                      F.lit(None).cast("double").alias("__px"), *[nl.alias(p) for nl, p in zip(nulls, pcols)])]
     ltype = parts[0].schema["__l"].dataType
-    for i, r in enumerate(reduced):
-        parts.append(r.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"), F.lit(0).alias("__side"),
-                              F.lit(None).cast("int").alias("__i"), F.lit(None).cast(ltype).alias("__l"),
-                              F.lit(None).cast("double").alias("__px"),
-                              *[F.col("__p").alias(p) if j == i else nulls[j].alias(p) for j, p in enumerate(pcols)]))
+
+    def payload_row(r: DataFrame, i: int, idx: Column) -> DataFrame:
+        return r.select(F.col("__k"), F.col("__d"), F.lit(0).alias("__side"), idx.alias("__i"),
+                        F.lit(None).cast(ltype).alias("__l"), F.lit(None).cast("double").alias("__px"),
+                        *[F.col("__p").alias(p) if j == i else nulls[j].alias(p) for j, p in enumerate(pcols)])
+
+    for i, (s, r) in enumerate(zip(sources, reduced)):
+        r = r.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"), "__p")
+        if not grid_on_calendar:
+            parts.append(payload_row(r, i, F.lit(None).cast("int")))
+        elif s in daily:
+            # equality on a trading day: rows on other days can never match
+            parts.append(payload_row(r.join(cal, "__d", "inner"), i, F.col("__i")))
+        else:
+            # as-of: place on the first trading day on/after the row's date
+            # (the day map has one row per distinct day); rows after the
+            # calendar end are visible to no grid row
+            r = r.join(F.broadcast(first_trading_index(r.select("__d"), calendar, "__d", "__i")), "__d", "inner")
+            parts.append(payload_row(r, i, F.col("__i")))
     if labels is not None:
         px = labels.prices.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"),
                                   F.col(labels.price_col).cast("double").alias("__px"))
-        px = px.join(cal.select(F.col("date").alias("__d"), F.col("idx").alias("__i")), "__d", "inner")
+        px = px.join(cal, "__d", "inner")
         parts.append(px.select("__k", "__d", F.lit(0).alias("__side"), "__i", F.lit(None).cast(ltype).alias("__l"),
                                "__px", *[nl.alias(p) for nl, p in zip(nulls, pcols)]))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
 
-    # window 1: latest source row at or before the row's date (as-of / same-day)
-    w1 = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
     cols = ["__k", "__d", "__side", "__i", "__l", "__px"]
-    step = stacked.select(*cols, *[F.last(p, ignorenulls=True).over(w1).alias(p) for p in pcols])
-    # window 2: prices at trading-day index + h (same partitioning, new sort)
-    lab_cols = []
-    if labels is not None:
-        w2 = W.partitionBy("__k").orderBy("__i")
-        fwd = [F.max("__px").over(w2.rangeBetween(h, h)).alias(f"__f{h}") for h in labels.horizons]
-        base = ([] if labels.base_col else [F.max("__px").over(w2.rangeBetween(0, 0)).alias("__f0")])
-        step = step.select(*cols, *pcols, *fwd, *base)
+    horizons = list(labels.horizons) if labels is not None else []
+    if grid_on_calendar:
+        # one sort: rows sorted by (idx, side, date) feed the running frame, and
+        # that order also satisfies the (idx) order of the range frames
+        run = (W.partitionBy("__k").orderBy("__i", "__side", "__d")
+               .rowsBetween(W.unboundedPreceding, W.currentRow))
+        step = stacked.select(*cols, *[F.last(p, ignorenulls=True).over(run).alias(p) for p in pcols])
+        if labels is not None:
+            w2 = W.partitionBy("__k").orderBy("__i")
+            fwd = [F.max("__px").over(w2.rangeBetween(h, h)).alias(f"__f{h}") for h in horizons]
+            base = [] if labels.base_col else [F.max("__px").over(w2.rangeBetween(0, 0)).alias("__f0")]
+            step = step.select(*cols, *pcols, *fwd, *base)
+    else:
+        w1 = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+        step = stacked.select(*cols, *[F.last(p, ignorenulls=True).over(w1).alias(p) for p in pcols])
+        if labels is not None:
+            w2 = W.partitionBy("__k").orderBy("__i")
+            fwd = [F.max("__px").over(w2.rangeBetween(h, h)).alias(f"__f{h}") for h in horizons]
+            base = [] if labels.base_col else [F.max("__px").over(w2.rangeBetween(0, 0)).alias("__f0")]
+            step = step.select(*cols, *pcols, *fwd, *base)
     rows = step.where(F.col("__side") == 1)
 
     out = [F.col(f"__l.`{c}`").alias(c) for c in lcols]
@@ -110,28 +143,43 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
             out += [F.when(same, F.col(f"{p}.`{c}`")).alias(f"{s.prefix}{c}_{s.name}") for c in s._payload]
         else:
             out += _expand(s, p)
+    lab_cols = []
     if labels is not None:
         known = F.col("__i").isNotNull()
         p0 = F.col(f"__l.`{labels.base_col}`") if labels.base_col else F.col("__f0")
         p0 = F.when(known, p0)
-        for h in labels.horizons:
+        for h in horizons:
             ph = F.col(f"__f{h}")
-            lab_cols += [return_bps(p0, ph, labels.clip).alias(f"r_{h}d"), label_na(p0, ph, known).alias(f"label_na_{h}d")]
+            lab_cols += [return_bps(p0, ph, labels.clip).alias(f"r_{h}d"),
+                         label_na(p0, ph, known).alias(f"label_na_{h}d")]
     res = rows.select(*out, *lab_cols)
 
     # market-wide sources: resolved per trading day, then one broadcast join
     if market_daily or market_slow:
-        days = calendar_index(calendar).select(F.col("date").alias(date))
+        days = cal_idx.select(F.col("date").alias(date))
         per_day = days
         for name, src in market_daily:
-            # T5: a market-wide daily source must have one row per day (else
-            # raise), which is also what bounds the broadcast below
-            per_day = join_daily(per_day, src, name, key=key, date=date, check_unique=True)
+            per_day = per_day.join(_one_row_per_day(src, name, date), date, "left")
         if market_slow:
             per_day = asof_join(per_day, list(market_slow), by=None, date=date, dates=days)
-        # one row per trading day when each market source has one row per day
         feat = [c for c in per_day.columns if c != date]
-        lab_names = [f"{k}_{h}d" for h in (labels.horizons if labels else ()) for k in ("r", "label_na")]
+        lab_names = [f"{k}_{h}d" for h in horizons for k in ("r", "label_na")]
         keep = [c for c in res.columns if c not in lab_names]
         res = res.join(F.broadcast(per_day), date, "left").select(*keep, *feat, *lab_names)
     return res
+
+
+def _one_row_per_day(src: DataFrame, name: str, date: str, prefix: str = "feat_") -> DataFrame:
+    """A market-wide daily source as one row per day (T5).
+
+    A day with several rows would multiply every grid row of that day; the
+    query fails on it (``raise_error`` inside the plan, no extra job) instead
+    of fanning out.  One row per day is also what bounds the broadcast.
+    """
+    cols = [c for c in src.columns if c != date]
+    red = src.groupBy(F.col(date).cast("date").alias(date)).agg(
+        F.max(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__m"), F.count(F.lit(1)).alias("__n"))
+    msg = F.lit(f"market-wide source {name!r} has several rows for one {date}")
+    checked = F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__m"))
+    return red.select(date, checked.alias("__m")).select(
+        date, *[F.col(f"__m.`{c}`").alias(f"{prefix}{c}_{name}") for c in cols])

@@ -128,3 +128,15 @@ def test_label_properties_and_fused_equals_unfused(spark):
         assert sorted(fused.select(cols).collect(), key=key) == sorted(unfused.select(cols).collect(), key=key)
 
     check()
+
+
+def test_fused_market_source_must_be_one_row_per_day(spark):
+    from pitlake.operators.gold import assemble_gold
+    cal = spark.createDataFrame([(D("2024-01-02"),), (D("2024-01-03"),)], "date date")
+    grid = spark.createDataFrame([("A", D("2024-01-02")), ("A", D("2024-01-03"))], "ticker string, date date")
+    ok = spark.createDataFrame([(D("2024-01-02"), 1.0)], "date date, m double")
+    out = {r.date.day: r.feat_m_mkt for r in assemble_gold(grid, cal, market_daily=[("mkt", ok)]).collect()}
+    assert out == {2: 1.0, 3: None}
+    dup = spark.createDataFrame([(D("2024-01-02"), 1.0), (D("2024-01-02"), 2.0)], "date date, m double")
+    with pytest.raises(Exception, match="several rows"):
+        assemble_gold(grid, cal, market_daily=[("mkt", dup)]).collect()
