@@ -16,10 +16,55 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pitlake.plans.metrics import last_execution_metrics  # noqa: E402
 from pitlake.plans.queries import QUERIES  # noqa: E402
 from pitlake.session import get_session  # noqa: E402
 
+# --- measurement only: shuffle bytes and Exchange count of the last SQL
+# execution, read from Spark's SQL status store (kept with the web UI off) ---
+def last_execution_metrics(spark) -> dict:
+    store = spark._jsparkSession.sharedState().statusStore()
+    execs = store.executionsList()
+    n = execs.size()
+    if n == 0:
+        return {}
+    last = max((execs.apply(i) for i in range(n)), key=lambda e: e.executionId())
+    values = store.executionMetrics(last.executionId())
+    graph = store.planGraph(last.executionId())
+    nodes = graph.allNodes()
+    shuffle_bytes, exchanges = 0, 0
+    for i in range(nodes.size()):
+        node = nodes.apply(i)
+        name = node.name()
+        if name.startswith("Exchange"):
+            exchanges += 1
+        ms = node.metrics()
+        for j in range(ms.size()):
+            m = ms.apply(j)
+            if m.name() == "shuffle bytes written":
+                v = values.get(m.accumulatorId())
+                if v.isDefined():
+                    shuffle_bytes += _parse_bytes(v.get())
+    return {"shuffle_bytes": shuffle_bytes, "exchanges": exchanges}
+
+
+_UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 ** 4}
+
+
+def _parse_bytes(text: str) -> int:
+    """Metric text is either a number or 'total (min, med, max ...)\\nX.Y MiB (...)'."""
+    t = text.strip()
+    if "\n" in t:
+        t = t.split("\n", 1)[1]
+    t = t.split("(")[0].strip()
+    parts = t.split()
+    try:
+        if len(parts) == 2 and parts[1] in _UNITS:
+            return int(float(parts[0]) * _UNITS[parts[1]])
+        return int(float(parts[0]))
+    except (ValueError, IndexError):
+        return 0
+
+
 HEADLINE = ["labels", "asof_keyed", "panel", "stats_summary", "export_cpt", "labels_lineitem", "asof_orders",
             "asof_events", "gold_lineitem"]
 

@@ -33,6 +33,9 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
                   options: Mapping[str, str] | None = None) -> DataFrame:
     """M4 (batch): land every pending task's replay file and record it.
 
+    The landing table is ``source_domain=/interface=/date=/task=<id[:10]>``
+    (the task level plays the role of the per-task file name).
+
     ``files_glob`` names all replay files; rows are tied to their task by
     ``_metadata.file_path`` = ``replay_path``.  Returns the task ids recorded
     in this run.
@@ -50,11 +53,16 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
     out = (landed.withColumn("interface", F.col("interface_id"))
            .withColumn("ticker", F.element_at("params", F.lit("ticker")))
            .withColumn("date", date_part)
+           .withColumn("task", F.substring("task_id", 1, 10))
            .drop("__path", "__rp", "params", "replay_path", "interface_id")
            .persist(StorageLevel.MEMORY_AND_DISK))
     n_todo = todo.count()                       # A8: tasks this run should land
     try:
-        out.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(landing)
+        # one folder per task, replaced as a whole: a run that failed after
+        # landing but before recording lands the same task again without
+        # duplicating it
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*RAW_PARTITIONS, "task").parquet(landing))
         # only tasks that landed rows are recorded; empty ones are retried
         run_path = record_done(out.select("task_id").distinct(), done_path)
     finally:

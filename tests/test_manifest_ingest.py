@@ -61,6 +61,10 @@ def test_replay_ingest_and_stream(spark, tmp_path):
     # second run: nothing pending, nothing landed twice
     again = replay_ingest(spark, man, done, landing, f"{FIXTURES}/price_*.csv", PRICE_SCHEMA)
     assert again.count() == 0 and spark.read.parquet(landing).count() == 426
+    # a run that landed but never recorded (crash) is replayed without duplicates
+    lost = str(tmp_path / "done_lost")
+    replay_ingest(spark, man, lost, landing, f"{FIXTURES}/price_*.csv", PRICE_SCHEMA)
+    assert spark.read.parquet(landing).count() == 426
     # a pending task whose file is missing lands nothing -> the run fails
     import pytest
     ghost = replay_manifest(registry(spark), spark.createDataFrame([("000001.SZ",)], "ticker string"),
