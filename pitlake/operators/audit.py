@@ -56,35 +56,50 @@ def missing_report(df: DataFrame) -> DataFrame:
 def _column_stats(df: DataFrame, exact: bool, accuracy: int) -> tuple[list, list]:
     """One aggregate pass: rows, and per column missing count; per numeric
     column count, mean, std, min, max (plus an approximate quantile sketch
-    when not exact).  Exact quantiles then take a few more passes over the
-    numeric columns only, which are persisted (memory, spilling to disk;
-    lost blocks are recomputed from lineage) for the duration."""
+    when not exact).
+
+    Exact quantiles take a few more passes over the numeric columns, so the
+    passes run on a persisted projection holding only the numeric columns and
+    one null flag per other column (memory, spilling to disk; lost blocks are
+    recomputed from lineage), released afterwards.  An input that is already
+    cached is used as is.
+    """
     cols = numeric_columns(df.schema)
-    aggs = [F.count(F.lit(1)).alias("__n")] + [_missing(df, c).alias(f"__m{i}") for i, c in enumerate(df.columns)]
+    others = [c for c in df.columns if c not in cols]
+    src, cached = df, None
+    if exact and cols and not df.is_cached:
+        proj = df.select(*[_q(c) for c in cols], *[_q(c).isNull().alias(f"__null{i}") for i, c in enumerate(others)])
+        src = cached = proj.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def miss(c):
+        if src is not df and c in others:
+            return F.sum(F.col(f"__null{others.index(c)}").cast("int")).cast("bigint")
+        return _missing(df, c)
+
+    aggs = [F.count(F.lit(1)).alias("__n")] + [miss(c).alias(f"__m{i}") for i, c in enumerate(df.columns)]
     for i, c in enumerate(cols):
         x = F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double"))
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         if not exact:
             aggs.append(F.percentile_approx(x, list(PROBS), accuracy).alias(f"p{i}"))
-    num = df.persist(StorageLevel.MEMORY_AND_DISK) if exact and cols else None
     try:
-        first = (num if num is not None else df).agg(*aggs).first()
+        first = src.agg(*aggs).first()
         if exact:
-            qs = exact_quantiles(num, cols, PROBS, counts={c: first[f"c{i}"] for i, c in enumerate(cols)}) if cols else {}
+            qs = exact_quantiles(src, cols, PROBS, counts={c: first[f"c{i}"] for i, c in enumerate(cols)}) if cols else {}
             quant = {c: [qs[(c, p)] for p in PROBS] for c in cols}
         else:
             quant = {c: list(first[f"p{i}"]) if first[f"p{i}"] is not None else [None] * len(PROBS)
                      for i, c in enumerate(cols)}
     finally:
-        if num is not None:
-            num.unpersist()
+        if cached is not None:
+            cached.unpersist()
     desc = [(c, first[f"c{i}"], first[f"m{i}"], first[f"s{i}"], first[f"lo{i}"], *quant[c], first[f"hi{i}"])
             for i, c in enumerate(cols)]
     n = first["__n"]
-    miss = [(c, first[f"__m{i}"], _round_half_up(100.0 * first[f"__m{i}"] / n, 2) if n else None)
-            for i, c in enumerate(df.columns)]
-    return desc, miss
+    miss_rows = [(c, first[f"__m{i}"], _round_half_up(100.0 * first[f"__m{i}"] / n, 2) if n else None)
+                 for i, c in enumerate(df.columns)]
+    return desc, miss_rows
 
 
 DESC_SCHEMA = T.StructType([T.StructField("column", T.StringType())] +

@@ -172,6 +172,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 # cannot shrink; resolve it by counting even if large
                 state[t][3] = min(state[t][3], max_exact_rows)
                 forced[t] = True
+    missing = [t for t in state if t not in found]
+    if missing:
+        raise RuntimeError(f"exact quantiles did not converge in {max_rounds} rounds for {missing[:3]}; "
+                           "use exact=False")
     out = {}
     for (c, q), pl in plan.items():
         if pl is None:
