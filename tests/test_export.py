@@ -45,8 +45,8 @@ def test_target_truncates_toward_zero(spark):
 def test_sinks_roundtrip(spark, tmp_path):
     g = spark.createDataFrame([("贵州茅台\nx",)], "text string")
     write_jsonl(g, str(tmp_path / "j"))
-    line = open([os.path.join(tmp_path / "j", f) for f in os.listdir(tmp_path / "j") if f.endswith(".json")][0],
-                encoding="utf-8").read().strip()
+    line = "".join(open(os.path.join(tmp_path / "j", f), encoding="utf-8").read()
+                   for f in sorted(os.listdir(tmp_path / "j")) if f.endswith(".json")).strip()
     assert "贵州茅台" in line and json.loads(line) == {"text": "贵州茅台\nx"}
     write_txt(spark.createDataFrame([("a\n",), ("b\n",)], "text string").coalesce(1), str(tmp_path / "t"))
     body = open([os.path.join(tmp_path / "t", f) for f in os.listdir(tmp_path / "t") if f.startswith("part-")][0],
