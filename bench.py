@@ -3,8 +3,7 @@
 Each query is built and run to completion through the ``noop`` sink (all
 rows computed, none shipped to Python), once to warm the JVM and once timed.
 Prints one JSON line; besides seconds per query it records the shuffle bytes
-written and the number of Exchanges of the timed run's final SQL execution
-(for report queries that is the last of their jobs).
+written and the number of Exchanges over all SQL executions of the timed run.
 """
 
 from __future__ import annotations
@@ -19,31 +18,36 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pitlake.plans.queries import QUERIES  # noqa: E402
 from pitlake.session import get_session  # noqa: E402
 
-# --- measurement only: shuffle bytes and Exchange count of the last SQL
-# execution, read from Spark's SQL status store (kept with the web UI off) ---
-def last_execution_metrics(spark) -> dict:
+# --- measurement only: shuffle bytes and Exchange counts of SQL executions,
+# read from Spark's SQL status store (kept with the web UI off) ---
+def _last_execution_id(spark) -> int:
+    execs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max((execs.apply(i).executionId() for i in range(execs.size())), default=-1)
+
+
+def execution_metrics(spark, after_id: int) -> dict:
+    """Shuffle bytes written and Exchange nodes over every SQL execution with
+    an id above ``after_id`` (a query may run several jobs, e.g. the audit)."""
     store = spark._jsparkSession.sharedState().statusStore()
     execs = store.executionsList()
-    n = execs.size()
-    if n == 0:
-        return {}
-    last = max((execs.apply(i) for i in range(n)), key=lambda e: e.executionId())
-    values = store.executionMetrics(last.executionId())
-    graph = store.planGraph(last.executionId())
-    nodes = graph.allNodes()
     shuffle_bytes, exchanges = 0, 0
-    for i in range(nodes.size()):
-        node = nodes.apply(i)
-        name = node.name()
-        if name.startswith("Exchange"):
-            exchanges += 1
-        ms = node.metrics()
-        for j in range(ms.size()):
-            m = ms.apply(j)
-            if m.name() == "shuffle bytes written":
-                v = values.get(m.accumulatorId())
-                if v.isDefined():
-                    shuffle_bytes += _parse_bytes(v.get())
+    for k in range(execs.size()):
+        eid = execs.apply(k).executionId()
+        if eid <= after_id:
+            continue
+        values = store.executionMetrics(eid)
+        nodes = store.planGraph(eid).allNodes()
+        for i in range(nodes.size()):
+            node = nodes.apply(i)
+            if node.name().startswith("Exchange"):
+                exchanges += 1
+            ms = node.metrics()
+            for j in range(ms.size()):
+                m = ms.apply(j)
+                if m.name() == "shuffle bytes written":
+                    v = values.get(m.accumulatorId())
+                    if v.isDefined():
+                        shuffle_bytes += _parse_bytes(v.get())
     return {"shuffle_bytes": shuffle_bytes, "exchanges": exchanges}
 
 
@@ -84,8 +88,9 @@ def main():
     out, shuffle, exchanges = {}, {}, {}
     for n in names:
         run(spark, n, sf)              # warm-up (JIT, codegen caches)
+        before = _last_execution_id(spark)
         out[n] = round(run(spark, n, sf), 3)
-        m = last_execution_metrics(spark)
+        m = execution_metrics(spark, before)
         shuffle[n], exchanges[n] = m.get("shuffle_bytes"), m.get("exchanges")
     sf_name = os.path.basename(sf.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_wall_sec", "value": round(sum(out.values()), 3), "unit": "sec",
