@@ -1,14 +1,13 @@
 """End-to-end replay: raw price files -> silver -> gold -> exports + audit.
 
-One lazy plan per output; gold is persisted once because both the exports
-and the audit read it.  Writing any stage is optional (``out_dir``).
+``build`` gives the lazy stage DataFrames; ``run`` writes each stage and
+feeds the next stage from the written table.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,23 +58,28 @@ def build(spark: SparkSession, prices_path: str, universe_path: str, window_path
 
 def run(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
         out_dir: str, suffix: str = "smoke", calendar: DataFrame | None = None) -> dict:
-    """Build, write every stage and the reports; return the report frames."""
+    """Build, write every stage and the reports; return the report frames.
+
+    Each stage reads the previous stage's written table, never its lineage:
+    gold is joined from the written features and labels (J6), written once,
+    and both exports and the audit read that table.  Nothing is computed
+    twice, and a lost executor costs a task retry, not a recomputation of
+    upstream stages.
+    """
     r = build(spark, prices_path, universe_path, window_path, calendar)
     write_silver(r.silver_prices, f"{out_dir}/silver", PRICE)
-    write_gold(r.features, f"{out_dir}/gold", "features")
-    write_gold(r.labels, f"{out_dir}/gold", "labels")
-    g = r.gold.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counted, obs = accounting(g, "gold")                 # A8: counted by the export job itself
-        write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/finset_cpt_{suffix}.jsonl")
-        write_jsonl(to_sft(g), f"{out_dir}/exports/sft/finset_sft_{suffix}.jsonl")
-        write_txt(to_txt(g), f"{out_dir}/exports/txt/finset_{suffix}_preview.txt")
-        summary = stats_summary(g)
-        na = label_na_report(g)
-        look = lookahead_audit(g)
-        write_stats(summary, f"{out_dir}/exports/stats/stats_summary_{suffix}.csv")
-        write_stats(na, f"{out_dir}/exports/stats/stats_label_na_{suffix}.csv")
-        return {"stats_summary": summary, "label_na": na, "lookahead": look,
-                "gold_shape": (obs.get["rows"], len(g.columns))}
-    finally:
-        g.unpersist()
+    feat_path = write_gold(r.features, f"{out_dir}/gold", "features")
+    lab_path = write_gold(r.labels, f"{out_dir}/gold", "labels")
+    gold_df = join_gold(spark.read.parquet(feat_path), spark.read.parquet(lab_path))
+    g = spark.read.parquet(write_gold(gold_df, f"{out_dir}/gold", "gold"))
+    counted, obs = accounting(g, "gold")                    # A8: counted by the first export, no extra job
+    write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/finset_cpt_{suffix}.jsonl")
+    write_jsonl(to_sft(g), f"{out_dir}/exports/sft/finset_sft_{suffix}.jsonl")
+    write_txt(to_txt(g), f"{out_dir}/exports/txt/finset_{suffix}_preview.txt")
+    summary = stats_summary(g)
+    na = label_na_report(g)
+    look = lookahead_audit(g)
+    write_stats(summary, f"{out_dir}/exports/stats/stats_summary_{suffix}.csv")
+    write_stats(na, f"{out_dir}/exports/stats/stats_label_na_{suffix}.csv")
+    return {"stats_summary": summary, "label_na": na, "lookahead": look,
+            "gold_shape": (obs.get["rows"], len(g.columns))}

@@ -69,7 +69,7 @@ def test_run_writes_all_outputs(spark, tmp_path):
     rep = run(spark, f"{FIXTURES}/price_*.csv", f"{FIXTURES}/CSI300.csv", f"{FIXTURES}/smoke_dates.txt", out)
     assert rep["label_na"].count() == 3
     assert rep["gold_shape"] == (1500, 19)
-    for p in ("silver/interface=stock_zh_a_hist", "gold/features", "gold/labels",
+    for p in ("silver/interface=stock_zh_a_hist", "gold/features", "gold/labels", "gold/gold",
               "exports/cpt/finset_cpt_smoke.jsonl", "exports/sft/finset_sft_smoke.jsonl",
               "exports/txt/finset_smoke_preview.txt", "exports/stats/stats_summary_smoke.csv",
               "exports/stats/stats_label_na_smoke.csv"):
