@@ -51,12 +51,12 @@ def first_trading_index(days: DataFrame, calendar: DataFrame, day: str = "day",
     row per date, bounded by the time span, not by data volume.
     """
     cal = calendar_index(calendar)
-    d = days.select(F.col(day).cast("date").alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    both = (d.select("__k", F.lit(0).alias("__s"), F.lit(None).cast("int").alias("__ci"))
-            .unionByName(cal.select(F.col("date").alias("__k"), F.lit(1).alias("__s"), F.col("idx").alias("__ci"))))
-    wf = W.orderBy(F.col("__k").desc(), F.col("__s").desc()).rowsBetween(W.unboundedPreceding, 0)
+    d = days.select(F.col(day).cast("date").alias("__day")).where(F.col("__day").isNotNull()).distinct()
+    both = (d.select("__day", F.lit(0).alias("__s"), F.lit(None).cast("int").alias("__ci"))
+            .unionByName(cal.select(F.col("date").alias("__day"), F.lit(1).alias("__s"), F.col("idx").alias("__ci"))))
+    wf = W.orderBy(F.col("__day").desc(), F.col("__s").desc()).rowsBetween(W.unboundedPreceding, 0)
     return (both.withColumn("__n", F.last("__ci", ignorenulls=True).over(wf))
-            .where(F.col("__s") == 0).select(F.col("__k").alias(day), F.col("__n").alias(out)))
+            .where(F.col("__s") == 0).select(F.col("__day").alias(day), F.col("__n").alias(out)))
 
 
 def shift_available(df: DataFrame, calendar: DataFrame, rule: str, date: str = "date",

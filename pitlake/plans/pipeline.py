@@ -22,7 +22,7 @@ from pitlake.operators.normalise import normalise
 from pitlake.operators.panel import assemble
 from pitlake.sources.files import read_prices, read_universe, read_window, window_bounds
 from pitlake.sources.registry import COLUMNS_MAP
-from pitlake.sources.sinks import write_gold, write_jsonl, write_silver, write_stats, write_txt
+from pitlake.sources.sinks import read_silver, write_gold, write_jsonl, write_silver, write_stats, write_txt
 
 PRICE = "stock_zh_a_hist"
 CALENDAR = "tool_trade_date_hist_sina"
@@ -37,12 +37,18 @@ class Replay:
     gold: DataFrame
 
 
+def silver_prices(spark: SparkSession, prices_path: str) -> DataFrame:
+    """Raw price files -> silver (standard names, ``effective_date``, ticker)."""
+    return normalise(read_prices(spark, prices_path), COLUMNS_MAP[PRICE])
+
+
 def build(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
-          calendar: DataFrame | None = None, horizons=(1, 5, 20)) -> Replay:
+          calendar: DataFrame | None = None, horizons=(1, 5, 20), silver: DataFrame | None = None) -> Replay:
     """Silver prices, trading calendar (the price dates when none is given,
-    T8), gold features over the window, labels over the full history, gold."""
-    raw = read_prices(spark, prices_path)
-    silver = normalise(raw, COLUMNS_MAP[PRICE])                  # date -> effective_date
+    T8), gold features over the window, labels over the full history, gold.
+    ``silver`` replaces the raw read with an already written silver table."""
+    if silver is None:
+        silver = silver_prices(spark, prices_path)
     if calendar is None:
         calendar = silver.select(F.col("effective_date").alias("date")).distinct()
     cal = enrich_calendar(calendar)                               # W3 columns
@@ -57,17 +63,20 @@ def build(spark: SparkSession, prices_path: str, universe_path: str, window_path
 
 
 def run(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
-        out_dir: str, suffix: str = "smoke", calendar: DataFrame | None = None) -> dict:
+        out_dir: str, suffix: str = "smoke", calendar: DataFrame | None = None,
+        buckets: int | None = None) -> dict:
     """Build, write every stage and the reports; return the report frames.
 
     Each stage reads the previous stage's written table, never its lineage:
     gold is joined from the written features and labels (J6), written once,
     and both exports and the audit read that table.  Nothing is computed
     twice, and a lost executor costs a task retry, not a recomputation of
-    upstream stages.
+    upstream stages.  ``buckets`` stores silver bucketed by ticker, so the
+    entity windows of gold read it without a shuffle.
     """
-    r = build(spark, prices_path, universe_path, window_path, calendar)
-    write_silver(r.silver_prices, f"{out_dir}/silver", PRICE)
+    write_silver(silver_prices(spark, prices_path), f"{out_dir}/silver", PRICE, buckets=buckets)
+    silver = read_silver(spark, f"{out_dir}/silver", PRICE)
+    r = build(spark, prices_path, universe_path, window_path, calendar, silver=silver)
     feat_path = write_gold(r.features, f"{out_dir}/gold", "features")
     lab_path = write_gold(r.labels, f"{out_dir}/gold", "labels")
     gold_df = join_gold(spark.read.parquet(feat_path), spark.read.parquet(lab_path))

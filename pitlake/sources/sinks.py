@@ -17,13 +17,41 @@ def write_raw(df: DataFrame, base: str, mode: str = "append") -> None:
     df.write.mode(mode).partitionBy(*RAW_PARTITIONS).parquet(base)
 
 
-def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overwrite") -> str:
-    """One dataset per interface at ``base/interface=<id>``."""
+def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overwrite",
+                 buckets: int | None = None, key: str = "ticker", date: str = "date") -> str:
+    """One dataset per interface at ``base/interface=<id>``.
+
+    ``buckets`` stores a keyed source bucketed (and sorted) by entity as the
+    catalog table ``silver_<id>`` (see :func:`read_silver`).  Gold assembly
+    over sources bucketed alike -- same key, same bucket count -- runs its
+    entity windows without shuffling them: the shuffle is paid once, when
+    silver is written, not on every gold build.
+    """
     path = f"{base.rstrip('/')}/interface={interface_id}"
-    df.write.mode(mode).parquet(path)
+    if buckets and key in df.columns:
+        sort = [c for c in (key, date) if c in df.columns]
+        (df.write.mode(mode).bucketBy(buckets, key).sortBy(*sort).option("path", path)
+         .saveAsTable(silver_table(interface_id)))
+    else:
+        # a plain write replaces any bucketed table registered for this interface
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {silver_table(interface_id)}")
+        df.write.mode(mode).parquet(path)
     return path
 
 
+def silver_table(interface_id: str) -> str:
+    return "silver_" + "".join(ch if ch.isalnum() else "_" for ch in interface_id)
+
+
+def read_silver(spark, base: str, interface_id: str):
+    """Silver of one interface: the bucketed catalog table when there is one
+    (it carries the bucketing), else the plain parquet folder."""
+    name = silver_table(interface_id)
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
+    return spark.read.parquet(f"{base.rstrip('/')}/interface={interface_id}")
+
+
 def write_gold(df: DataFrame, base: str, kind: str, sort_keys=("ticker", "date"),
                mode: str = "overwrite") -> str:
     """Gold features / labels, range-partitioned and sorted by key (O1).

@@ -66,9 +66,12 @@ def test_single_values_full_history(spark):
 
 def test_run_writes_all_outputs(spark, tmp_path):
     out = str(tmp_path / "out")
-    rep = run(spark, f"{FIXTURES}/price_*.csv", f"{FIXTURES}/CSI300.csv", f"{FIXTURES}/smoke_dates.txt", out)
+    rep = run(spark, f"{FIXTURES}/price_*.csv", f"{FIXTURES}/CSI300.csv", f"{FIXTURES}/smoke_dates.txt", out,
+              buckets=4)
     assert rep["label_na"].count() == 3
     assert rep["gold_shape"] == (1500, 19)
+    s = {r["column"]: r for r in rep["stats_summary"].collect()}
+    assert s["r_1d"]["count"] == 8 and s["r_1d"]["mean"] == pytest.approx(4.141348326, rel=1e-8)
     for p in ("silver/interface=stock_zh_a_hist", "gold/features", "gold/labels", "gold/gold",
               "exports/cpt/finset_cpt_smoke.jsonl", "exports/sft/finset_sft_smoke.jsonl",
               "exports/txt/finset_smoke_preview.txt", "exports/stats/stats_summary_smoke.csv",

@@ -140,3 +140,32 @@ def test_fused_market_source_must_be_one_row_per_day(spark):
     dup = spark.createDataFrame([(D("2024-01-02"), 1.0), (D("2024-01-02"), 2.0)], "date date, m double")
     with pytest.raises(Exception, match="several rows"):
         assemble_gold(grid, cal, market_daily=[("mkt", dup)]).collect()
+
+
+def test_gold_from_bucketed_silver_needs_no_entity_shuffle(spark, tmp_path):
+    """Silver bucketed by ticker: the fused gold windows run without an
+    Exchange on the entity key (all remaining exchanges are per-date tables)."""
+    import re
+
+    from conftest import final_plan
+    from pitlake.operators.gold import LabelSpec, assemble_gold
+    from pitlake.operators.grid import base_grid
+    from pitlake.operators.joins import AsofSource
+    from pitlake.sources.sinks import read_silver, write_silver
+
+    rows = [(f"T{k}", D("2024-01-01") + dt.timedelta(days=d), float(10 + k + d)) for k in range(20) for d in range(15)
+            if (k + d) % 4]
+    px = spark.createDataFrame(rows, "ticker string, date date, p double")
+    ev = spark.createDataFrame([(f"T{k}", D("2024-01-01") + dt.timedelta(days=2 * k % 15), float(k)) for k in range(20)],
+                               "ticker string, date date, e double")
+    base = str(tmp_path / "silver")
+    write_silver(px, base, "px_src", buckets=4)
+    write_silver(ev, base, "ev_src", buckets=4)
+    b, e = read_silver(spark, base, "px_src"), read_silver(spark, base, "ev_src")
+    cal = b.select("date").distinct()
+    g = assemble_gold(base_grid(b.select("ticker").distinct(), cal), cal,
+                      daily=[AsofSource("px", b, unique=True)], slow=[AsofSource("ev", e)],
+                      labels=LabelSpec(b, "p"))
+    keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", final_plan(g))
+    assert "__k" not in keys and "ticker" not in keys, keys
+    assert g.count() == 20 * 15
