@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -53,7 +54,14 @@ def winsorize_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]], e
     cols = list(bounds)
     if exact:
         probs = sorted({p for b in bounds.values() for p in b})
-        qs = exact_quantiles(df, cols, probs)
+        # the narrowing passes read only these columns: persist that projection
+        # (memory, spilling to disk) unless the input is cached already
+        src = df if df.is_cached else df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            qs = exact_quantiles(src, cols, probs)
+        finally:
+            if src is not df:
+                src.unpersist()
         return {c: (qs[(c, bounds[c][0])], qs[(c, bounds[c][1])]) for c in cols}
     row = df.agg(*[F.percentile_approx(F.col(c), list(bounds[c]), accuracy).alias(c) for c in cols]).first()
     return {c: tuple(row[c]) if row[c] is not None else (None, None) for c in cols}
