@@ -64,7 +64,7 @@ def build(spark: SparkSession, prices_path: str, universe_path: str, window_path
 
 def run(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
         out_dir: str, suffix: str = "smoke", calendar: DataFrame | None = None,
-        buckets: int | None = None) -> dict:
+        buckets: int | None = None, name: str = "dataset") -> dict:
     """Build, write every stage and the reports; return the report frames.
 
     Each stage reads the previous stage's written table, never its lineage:
@@ -82,9 +82,9 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
     gold_df = join_gold(spark.read.parquet(feat_path), spark.read.parquet(lab_path))
     g = spark.read.parquet(write_gold(gold_df, f"{out_dir}/gold", "gold"))
     counted, obs = accounting(g, "gold")                    # A8: counted by the first export, no extra job
-    write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/finset_cpt_{suffix}.jsonl")
-    write_jsonl(to_sft(g), f"{out_dir}/exports/sft/finset_sft_{suffix}.jsonl")
-    write_txt(to_txt(g), f"{out_dir}/exports/txt/finset_{suffix}_preview.txt")
+    write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/{name}_cpt_{suffix}.jsonl")
+    write_jsonl(to_sft(g), f"{out_dir}/exports/sft/{name}_sft_{suffix}.jsonl")
+    write_txt(to_txt(g), f"{out_dir}/exports/txt/{name}_{suffix}_preview.txt")
     summary = stats_summary(g)
     na = label_na_report(g)
     look = lookahead_audit(g)

@@ -73,9 +73,9 @@ def test_run_writes_all_outputs(spark, tmp_path):
     s = {r["column"]: r for r in rep["stats_summary"].collect()}
     assert s["r_1d"]["count"] == 8 and s["r_1d"]["mean"] == pytest.approx(4.141348326, rel=1e-8)
     for p in ("silver/interface=stock_zh_a_hist", "gold/features", "gold/labels", "gold/gold",
-              "exports/cpt/finset_cpt_smoke.jsonl", "exports/sft/finset_sft_smoke.jsonl",
-              "exports/txt/finset_smoke_preview.txt", "exports/stats/stats_summary_smoke.csv",
+              "exports/cpt/dataset_cpt_smoke.jsonl", "exports/sft/dataset_sft_smoke.jsonl",
+              "exports/txt/dataset_smoke_preview.txt", "exports/stats/stats_summary_smoke.csv",
               "exports/stats/stats_label_na_smoke.csv"):
         assert os.path.isdir(os.path.join(out, p)), p
-    cpt = spark.read.json(f"{out}/exports/cpt/finset_cpt_smoke.jsonl")
+    cpt = spark.read.json(f"{out}/exports/cpt/dataset_cpt_smoke.jsonl")
     assert cpt.count() == 1500 and cpt.columns == ["text"]
