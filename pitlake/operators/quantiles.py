@@ -113,6 +113,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     state = {(c, r): [None, None, 0, counts[c]] for c in cols for r in ranks[c]}
     found: dict = {}
     forced: dict = {}
+    widen: dict = {}
     for _ in range(max_rounds):
         open_t = [t for t in state if t not in found]
         if not open_t:
@@ -143,7 +144,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             lo, hi, below, inside = state[t]
             x = F.col(f"`{c}`").cast("double")
             p = (r - below) / max(inside - 1, 1)
-            m = 3.0 / accuracy + 1.0 / inside
+            m = widen.get(t, 1) * 3.0 / accuracy + 1.0 / inside
             ps = [max(0.0, p - m), min(1.0, p + m)]
             exprs.append(F.percentile_approx(F.when(_in_bracket(x, lo, hi), x), ps, accuracy).alias(f"a{i}"))
             where.append((t, ps))
@@ -165,9 +166,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for i, t in enumerate(big):
             c, r = t
             below, inside = row[f"b{i}"], row[f"i{i}"]
-            if below <= r < below + inside and inside < state[t][3]:
+            if not (below <= r < below + inside):
+                widen[t] = widen.get(t, 1) * 4          # the sketch bound missed: retry wider
+            elif inside < state[t][3]:
                 state[t] = [*proposals[t], below, inside]
-            elif inside >= state[t][3]:
+            else:
                 # no progress (heavy ties): the bracket is one value range that
                 # cannot shrink; resolve it by counting even if large
                 state[t][3] = min(state[t][3], max_exact_rows)
