@@ -31,7 +31,7 @@ trading-day index for the label frames, which costs a second sort.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,10 +68,11 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     """
     cal_idx = calendar_index(calendar)
     cal = F.broadcast(cal_idx.select(F.col("date").alias("__d"), F.col("idx").alias("__i")))  # one row per day
-    daily, slow = list(daily), list(slow)
-    for s in daily:
-        s.keep_date_as = None
+    # work on copies: the caller's source specs stay as they are
+    daily = [replace(s, keep_date_as=None) for s in daily]
+    slow = [replace(s) for s in slow]
     sources = daily + slow
+    is_daily = [True] * len(daily) + [False] * len(slow)
     reduced = [_reduce_source(s, key, date) for s in sources]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
@@ -90,11 +91,11 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
                         F.lit(None).cast(ltype).alias("__l"), F.lit(None).cast("double").alias("__px"),
                         *[F.col("__p").alias(p) if j == i else nulls[j].alias(p) for j, p in enumerate(pcols)])
 
-    for i, (s, r) in enumerate(zip(sources, reduced)):
+    for i, r in enumerate(reduced):
         r = r.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"), "__p")
         if not grid_on_calendar:
             parts.append(payload_row(r, i, F.lit(None).cast("int")))
-        elif s in daily:
+        elif is_daily[i]:
             # equality on a trading day: rows on other days can never match
             parts.append(payload_row(r.join(cal, "__d", "inner"), i, F.col("__i")))
         else:
@@ -137,8 +138,8 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     rows = step.where(F.col("__side") == 1)
 
     out = [F.col(f"__l.`{c}`").alias(c) for c in lcols]
-    for s, p in zip(sources, pcols):
-        if s in daily:
+    for s, p, day in zip(sources, pcols, is_daily):
+        if day:
             same = F.col(f"{p}.__date") == F.col("__d")
             out += [F.when(same, F.col(f"{p}.`{c}`")).alias(f"{s.prefix}{c}_{s.name}") for c in s._payload]
         else:
