@@ -1,10 +1,9 @@
-"""Export records (F3-F8) and sinks."""
+"""Export records (F3-F8) and sinks."""
 
 import datetime as dt
 import json
 import os
 
-
 from pyspark.sql import functions as F
 
 from pitlake.functions.scalar import target_text
@@ -57,7 +56,6 @@ def test_sinks_roundtrip(spark, tmp_path):
 
 
 def test_raw_gold_and_stats_sinks(spark, tmp_path):
-    import datetime as dt
     import glob
 
     from pitlake.sources.sinks import write_gold, write_raw, write_stats
