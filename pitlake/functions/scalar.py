@@ -93,16 +93,35 @@ def date_text(c, with_time: bool = True) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
+# --- fixed values: JSON short escapes (as Python's json module writes them) ---
+_JSON_SHORT = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def _json_char(ch: Column) -> Column:
+    """One character as ASCII-only JSON text: short escapes, ``\\uXXXX`` for
+    control and non-ASCII characters, surrogate pairs above U+FFFF."""
+    code = F.ascii(ch)                                   # the code point
+    u = lambda x: F.format_string("\\u%04x", x)        # noqa: E731
+    off = code - F.lit(0x10000)
+    pair = F.concat(u(F.lit(0xD800) + F.shiftright(off, 10)), u(F.lit(0xDC00) + off.bitwiseAND(F.lit(0x3FF))))
+    out = None
+    for k, v in _JSON_SHORT.items():
+        out = F.when(ch == F.lit(k), F.lit(v)) if out is None else out.when(ch == F.lit(k), F.lit(v))
+    return (out.when(code > 0xFFFF, pair)
+            .when((code < 0x20) | (code > 0x7E), u(code))
+            .otherwise(ch))
+
+
 def _json_str(c: Column) -> Column:
-    esc = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), 0)   # one element per code point
+    return F.concat(F.lit('"'), F.array_join(F.transform(chars, _json_char), ""), F.lit('"'))
 
 
 def canonical_params_json(params) -> Column:
     """Canonical JSON of a string map: keys sorted, ``", "`` and ``": "`` separators.
 
-    Equals Python's ``json.dumps(params, sort_keys=True)`` for ASCII keys and
-    values (non-ASCII would be \\u-escaped by Python).
+    Equals Python's ``json.dumps(params, sort_keys=True)`` byte for byte,
+    including its ``\\uXXXX`` escaping of non-ASCII and control characters.
     """
     params = _c(params)
     entries = F.array_sort(F.map_entries(F.coalesce(params, F.create_map().cast("map<string,string>"))))

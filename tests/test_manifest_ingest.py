@@ -79,3 +79,10 @@ def test_replay_ingest_and_stream(spark, tmp_path):
     assert s1.count() == 426 and "effective_date" in s1.columns and "date" not in s1.columns
     stream_ingest(spark, landing, silver, ck, schema)           # no new files -> no new rows
     assert spark.read.parquet(silver).count() == 426
+
+
+def test_task_id_non_ascii_and_control_chars(spark):
+    params = {"symbol": "当月", "x": 'a"b\\c\n\t\x01\x7f😀', "date": "2024-01-02"}
+    t = single_task(spark, "stock_szse_sector_summary", params, "szse.cn").collect()[0]
+    assert t.params_json == json.dumps(params, sort_keys=True)
+    assert t.task_id == _ref_id("stock_szse_sector_summary", params)
