@@ -120,3 +120,16 @@ def test_normalise_registered_sources(spark):
     r = {x.ticker: x for x in panel.collect()}
     assert r["600519.SH"]["feat_每股收益_stock_yjbb_em"] == 1.5 and r["000651.SZ"]["feat_每股收益_stock_yjbb_em"] is None
     assert r["000651.SZ"]["feat_数量_stock_szse_summary"] == 10
+
+
+def test_declared_feature_schema(spark):
+    from pitlake.operators.treat import apply_feature_schema
+    df = spark.createDataFrame([("A", D("2024-01-02"), "1.5", None, 7), ("A", D("2024-01-03"), "bad", 1, None)],
+                               "ticker string, date date, o string, m int, v bigint")
+    out = apply_feature_schema(df, {"open": "o", "is_member": "m", "volume": "v"})
+    types = {f.name: f.dataType.typeName() for f in out.schema.fields}
+    assert types["o"] == "double" and types["m"] == "byte" and types["v"] == "double"
+    rows = {r.date.day: r for r in out.collect()}
+    assert rows[2].o == 1.5 and rows[3].o is None            # unparseable -> null, no failure
+    assert rows[2].m == 0 and rows[3].m == 1                  # is_member: fill_zero
+    assert rows[3].v is None                                  # volume: keep_nan
