@@ -133,3 +133,13 @@ def test_declared_feature_schema(spark):
     assert rows[2].o == 1.5 and rows[3].o is None            # unparseable -> null, no failure
     assert rows[2].m == 0 and rows[3].m == 1                  # is_member: fill_zero
     assert rows[3].v is None                                  # volume: keep_nan
+
+
+def test_date_key_cast_and_trade_date(spark):
+    from pitlake.operators.normalise import pick_date_key, to_date_key
+    ts = spark.createDataFrame([(dt.datetime(2025, 8, 11, 15, 0),)], "date timestamp_ntz")
+    assert to_date_key(ts).collect()[0].date == D("2025-08-11")          # P11: timestamp -> day
+    cal = spark.createDataFrame([(D("2024-01-02"),)], "trade_date date")
+    assert pick_date_key(cal).columns == ["date"]                          # P4: calendar's trade_date
+    both = spark.createDataFrame([(D("2024-01-01"), D("2024-01-02"))], "date date, effective_date date")
+    assert pick_date_key(both).collect()[0].date == D("2024-01-02")        # effective_date wins
