@@ -57,3 +57,28 @@ def test_approx_mode(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
     r = describe_numeric(df, exact=False).collect()[0]
     assert r["50%"] == 50.0 and r["count"] == 101
+
+
+def test_exact_quantiles_property(spark):
+    """Random columns with nulls, NaN and ties; a tiny exact budget forces the
+    sketch-narrowing rounds.  Always equal to pandas' linear quantiles."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    vals = st.one_of(st.none(), st.just(float("nan")), st.integers(-5, 5).map(float),
+                     st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(vals, min_size=1, max_size=120), st.integers(3, 40))
+    def check(xs, budget):
+        df = spark.createDataFrame([(x,) for x in xs], "v double")
+        probs = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+        got = exact_quantiles(df, ["v"], probs, max_exact_rows=budget, accuracy=20)
+        s = pd.Series([x for x in xs if x is not None], dtype="float64").dropna()
+        for p in probs:
+            if s.empty:
+                assert got[("v", p)] is None
+            else:
+                assert got[("v", p)] == pytest.approx(s.quantile(p), rel=1e-12, abs=1e-9)
+
+    check()
