@@ -210,6 +210,7 @@ def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str,
     for s, p in zip(sources, pcols):
         sel += _expand(s, p)
     matched = matched.select(F.col("__d"), *sel)
+    # ``matched`` has one row per distinct date: bounded by the time span
     joined = left.join(F.broadcast(matched), F.col(date).cast("date") == F.col("__d"), "left")
     return joined.drop("__d")
 

@@ -60,7 +60,7 @@ def replay_manifest(registry: DataFrame, tickers: DataFrame, raw_base: str = "da
     pattern = BOOTSTRAP_SOURCE[price]
     pre, post = pattern.split("{ticker}")
     px = (tickers.select("ticker").distinct()
-          .crossJoin(F.broadcast(reg.where(F.col("interface_id") == price)))
+          .crossJoin(F.broadcast(reg.where(F.col("interface_id") == price)))   # one registry row
           .select("interface_id", "source_domain", "ticker", F.lit("smoke_test_price_hist").alias("scope"),
                   F.concat(F.lit(f"{boot}/{pre}"), F.regexp_replace("ticker", r"\.", ""), F.lit(post)).alias("replay_path"),
                   F.create_map(F.lit("ticker"), F.col("ticker")).alias("params")))
