@@ -33,7 +33,7 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
                   options: Mapping[str, str] | None = None) -> DataFrame:
     """M4 (batch): land every pending task's replay file and record it.
 
-    The landing table is ``source_domain=/interface=/date=/task=<id[:10]>``
+    The landing table is ``source_domain=/interface=/date=/task=part-<id[:10]>``
     (the task level plays the role of the per-task file name).
 
     ``files_glob`` names all replay files; rows are tied to their task by
@@ -53,7 +53,8 @@ def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, land
     out = (landed.withColumn("interface", F.col("interface_id"))
            .withColumn("ticker", F.element_at("params", F.lit("ticker")))
            .withColumn("date", date_part)
-           .withColumn("task", F.substring("task_id", 1, 10))
+           # "part-<id[:10]>": a value that is never read back as a number
+           .withColumn("task", F.concat(F.lit("part-"), F.substring("task_id", 1, 10)))
            .drop("__path", "__rp", "params", "replay_path", "interface_id")
            .persist(StorageLevel.MEMORY_AND_DISK))
     n_todo = todo.count()                       # A8: tasks this run should land
