@@ -95,8 +95,9 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         r = r.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"), "__p")
         if not grid_on_calendar:
             parts.append(payload_row(r, i, F.lit(None).cast("int")))
-        elif is_daily[i]:
-            # equality on a trading day: rows on other days can never match
+        elif is_daily[i] or sources[i].on_calendar:
+            # equality on a trading day: rows on other days can never match;
+            # a slow source dated on trading days only needs no day mapping
             parts.append(payload_row(r.join(cal, "__d", "inner"), i, F.col("__i")))
         else:
             # as-of: place on the first trading day on/after the row's date

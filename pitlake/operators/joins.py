@@ -63,6 +63,7 @@ class AsofSource:
     prefix: str = "feat_"
     keep_date_as: str | None = "effective_date_{name}"   # T2: source date for the audit
     unique: bool = False                     # already one row per (key, date): skip the reduction
+    on_calendar: bool = False                # every date is a trading day: no first-trading-day mapping
     _payload: list = field(default_factory=list, repr=False)
 
 

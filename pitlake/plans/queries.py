@@ -130,7 +130,8 @@ def events_gold(ev: DataFrame) -> DataFrame:
     return assemble_gold(
         events_grid(bars), tb.event_calendar(bars),
         daily=[AsofSource("bars", bars, unique=True)],      # bars: one row per (user, day)
-        slow=[AsofSource("signup", tb.signup_source(ev), tie_break=PANEL_TIES["signup"])],
+        # signups are events, and the calendar is the event days: on calendar
+        slow=[AsofSource("signup", tb.signup_source(ev), tie_break=PANEL_TIES["signup"], on_calendar=True)],
         market_daily=[("market", tb.market_daily(bars))],
         market_slow=[AsofSource("weekly", tb.weekly_purchase_report(ev))],
         labels=LabelSpec(bars, "close"))
@@ -156,7 +157,9 @@ def q_gold_lineitem(spark, sf):
     return assemble_gold(
         grid, cal,
         daily=[AsofSource("bars", bars, unique=True)],
-        slow=[AsofSource("returns", tb.supplier_returns(li), tie_break=["l_orderkey", "l_linenumber"])],
+        # returned lines are lineitems, and the calendar is their ship days: on calendar
+        slow=[AsofSource("returns", tb.supplier_returns(li), tie_break=["l_orderkey", "l_linenumber"],
+                         on_calendar=True)],
         market_daily=[("market", tb.lineitem_market(bars))],
         labels=LabelSpec(bars, "price"))
 

@@ -169,3 +169,19 @@ def test_gold_from_bucketed_silver_needs_no_entity_shuffle(spark, tmp_path):
     keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", final_plan(g))
     assert "__k" not in keys and "ticker" not in keys, keys
     assert g.count() == 20 * 15
+
+
+def test_slow_source_on_calendar_shortcut_is_equivalent(spark):
+    from pitlake.operators.gold import assemble_gold
+    from pitlake.operators.grid import base_grid
+    from pitlake.operators.joins import AsofSource
+
+    days = [D("2024-01-01") + dt.timedelta(days=i) for i in range(0, 20, 2)]      # trading days: every 2nd day
+    cal = spark.createDataFrame([(d,) for d in days], "date date")
+    grid = base_grid(spark.createDataFrame([("A",), ("B",)], "ticker string"), cal)
+    src = spark.createDataFrame([(k, days[i], float(i)) for k in "AB" for i in (1, 4, 7) if not (k == "B" and i == 4)],
+                                "ticker string, date date, v double")
+    a = assemble_gold(grid, cal, slow=[AsofSource("s", src)])
+    b = assemble_gold(grid, cal, slow=[AsofSource("s", src, on_calendar=True)])
+    key = lambda r: (r.ticker, r.date)
+    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
