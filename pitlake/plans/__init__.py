@@ -1,0 +1 @@
+"""Registered queries, oracle SQL, driver-table adapters and the end-to-end pipeline."""
