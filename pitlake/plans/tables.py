@@ -9,9 +9,12 @@ The driver data has no market prices, so the panel stands in as follows
 * keyed slow source: each user's ``signup`` events (as-of per user).
 * market-wide slow source: a weekly purchase report, published on the last
   day (Sunday) of each ISO week (as-of without key).
-* market-wide daily source: per-day event count and maximum value.
+* market-wide daily source: per-day event count and maximum value, rolled
+  up from the bars.
 * lineitem: entity = supplier (``supplier`` table is the universe), day =
-  ship date, price = the day's highest extended price.
+  ship date, price = the day's highest extended price; a supplier's
+  returned lines are its keyed slow source, and a per-day roll-up of the
+  bars its market-wide daily source.
 * orders: an irregular keyed source with same-day ties (tie-break
   ``o_orderkey``) for customers (``customer`` is the universe), on a
   monthly calendar made of each month's first order date.
