@@ -73,7 +73,8 @@ def read_window(spark: SparkSession, path: str | None) -> DataFrame:
     """Date window = first..last date listed in a text file.
 
     Returns a one-row DataFrame ``(lo, hi)``; falls back to the default window
-    when the file is absent.
+    when the file is absent.  An empty file gives null bounds, which the grid
+    reads as "no limit" (the whole calendar).
     """
     if path is not None:
         try:

@@ -143,3 +143,13 @@ def test_date_key_cast_and_trade_date(spark):
     assert pick_date_key(cal).columns == ["date"]                          # P4: calendar's trade_date
     both = spark.createDataFrame([(D("2024-01-01"), D("2024-01-02"))], "date date, effective_date date")
     assert pick_date_key(both).collect()[0].date == D("2024-01-02")        # effective_date wins
+
+
+def test_empty_window_file_means_whole_calendar(spark, tmp_path):
+    from pitlake.operators.grid import base_grid
+    p = tmp_path / "empty.txt"
+    p.write_text("\n")
+    lo, hi = window_bounds(read_window(spark, str(p)))
+    assert (lo, hi) == (None, None)
+    cal = spark.createDataFrame([(D("2024-01-02"),), (D("2024-01-03"),)], "date date")
+    assert base_grid(spark.createDataFrame([("A",)], "ticker string"), cal, lo, hi).count() == 2
