@@ -12,9 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlake.llm.bpe import bpe_stage
 from pitlake.llm.common import load, written
 from pitlake.llm.exact_dedup import exact_dedup_stage
+from pitlake.llm.minhash import near_dedup_stage
+from pitlake.llm.mixing import mixing_stage
+from pitlake.llm.quality import quality_stage
 
 STAGES = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("mixing", mixing_stage),
     ("bpe", bpe_stage),
 ]
 

@@ -10,7 +10,7 @@ byte symbols, word ends, lower-casing and dropped white space.  Its added
 tokens are found in the raw text.  Decoding joins the tokens with one space.
 
 Distinct words of a slice of a batch are encoded once, and a slice holds
-SLICE_CHARS characters unless one text is longer; nothing outlives a slice.
+a million characters unless one text is longer; nothing outlives a slice.
 The vocabulary (a fixed file, under 2 MB) is read on the driver and broadcast.
 
 Defined cases: a null text counts as empty, an empty text has no ids and
@@ -29,12 +29,10 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-SLICE_CHARS = 1_000_000
+from pitlake.llm.texts import over_texts
 
 
 @dataclass
@@ -173,44 +171,26 @@ class Coder:
         return " ".join(self.names[i] for i in ids.tolist() if i in self.names)
 
 
-def slices(texts: list[str], limit: int = SLICE_CHARS):
-    """Bounds of consecutive slices of about ``limit`` characters."""
-    at, size = 0, 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield at, k
-            at, size = k, 0
-        size += len(t)
-    if texts[at:]:
-        yield at, len(texts)
-
-
 def coded(docs: DataFrame, vocabulary_path: str, digest: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its id and n_tokens, with ids and decoded text, or if ``digest`` their SHA-256."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vars(read_vocabulary(vocabulary_path)))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(vocabulary_path)))
 
-    def run(frames):
+    def make():
         coder = Coder(Vocabulary(**shared.value))
-        for f in frames:
-            texts = f["t"].tolist()
-            for a, b in slices(texts):
-                ids = coder.encode(texts[a:b])
-                decoded = [coder.decode(i) for i in ids]
-                out = {"k": f["k"].iloc[a:b].to_numpy(), "n_tokens": [len(i) for i in ids]}
-                if digest:
-                    out |= {"ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-                            "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded]}
-                else:
-                    out |= {"ids": [i.tolist() for i in ids], "decoded": decoded}
-                yield pd.DataFrame(out)
-
-    kept = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<long>, decoded string"
-    # the id travels as text, so that a null or a large one stays what it is
-    kind = docs.schema[id_col].dataType
-    out = docs.select(F.col(id_col).cast("string").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t")) \
-        .mapInPandas(run, f"k string, n_tokens long, {kept}")
-    return out.withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", id_col)
+
+        def run(texts):
+            ids = coder.encode(texts)
+            decoded = [coder.decode(i) for i in ids]
+            out = {"n_tokens": [len(i) for i in ids]}
+            if digest:
+                return out | {"ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
+                              "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded]}
+            return out | {"ids": ids, "decoded": decoded}
+
+        return run
+
+    kept = {"ids_sha256": "string", "decoded_sha256": "string"} if digest else {"ids": "array<long>", "decoded": "string"}
+    return over_texts(docs, id_col, text_col, make, {"n_tokens": "long"} | kept)
 
 
 def default_vocabulary() -> str:

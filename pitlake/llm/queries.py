@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitlake.llm import bpe, exact_dedup, pii, sharding, topk
+from pitlake.llm import bpe, exact_dedup, minhash, mixing, pii, quality, sharding, topk
 from pitlake.llm.common import load
 
 
@@ -14,7 +14,10 @@ QUERIES = {
     "op2_sharding": _over("documents", sharding.sharding_query),
     "op4_pii": _over("documents", pii.pii_query),
     "op5_topk_search": _over("embeddings", topk.topk_query),
+    "op6_mixing": lambda spark, sf_dir: mixing.mixing_query(spark, load(spark, sf_dir, "documents"), sf_dir),
+    "op7_quality_fm": lambda spark, sf_dir: quality.quality_query(spark, load(spark, sf_dir, "documents"), sf_dir),
     "op8_bpe": _over("documents", bpe.bpe_query),
+    "op9_minhash_dedup": _over("documents", minhash.near_dedup_query),
     "op10_exact_dedup": _over("documents", exact_dedup.exact_dedup_query),
 }
 
