@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitlake.llm import bpe, exact_dedup, minhash, mixing, pii, quality, sharding, topk
+from pitlake.llm import bpe, exact_dedup, minhash, mixing, pii, quality, sharding, substring, topk
 from pitlake.llm.common import load
 
 
@@ -11,6 +11,7 @@ def _over(table, query):
 
 
 QUERIES = {
+    "op1_substring_dedup": _over("documents", substring.substring_query),
     "op2_sharding": _over("documents", sharding.sharding_query),
     "op4_pii": _over("documents", pii.pii_query),
     "op5_topk_search": _over("embeddings", topk.topk_query),
