@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitlake.llm import bpe, exact_dedup, minhash, mixing, pii, quality, sharding, substring, topk
+from pitlake.llm import bpe, ctw, exact_dedup, minhash, mixing, pii, quality, sharding, substring, topk
 from pitlake.llm.common import load
 
 
@@ -13,6 +13,7 @@ def _over(table, query):
 QUERIES = {
     "op1_substring_dedup": _over("documents", substring.substring_query),
     "op2_sharding": _over("documents", sharding.sharding_query),
+    "op3_ctw": _over("documents", ctw.ctw_query),
     "op4_pii": _over("documents", pii.pii_query),
     "op5_topk_search": _over("embeddings", topk.topk_query),
     "op6_mixing": lambda spark, sf_dir: mixing.mixing_query(spark, load(spark, sf_dir, "documents"), sf_dir),

@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.llm.packed import planes, unplanes
 from pitlake.llm.texts import slices
 from pitlake.llm.words import BASE, Rolling, WordHashes, words_of
 
@@ -54,20 +55,6 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(KINDS)], NAMES)
 
 
-def planes(a: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each integer, byte plane by byte plane (equal bytes lie together and compress)."""
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def unplanes(raw: list[bytes], width: int) -> np.ndarray:
-    out = []
-    for b in raw:
-        m = np.zeros((len(b) // width, 8), np.uint8)
-        m[:, :width] = np.frombuffer(b, np.uint8).reshape(width, -1).T
-        out.append(m.view("<u8").ravel())
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
 def by_document(owner: np.ndarray, places: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> tuple:
     """Places packed with the id and print of their documents; ``owner`` is sorted."""
     starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, int)
