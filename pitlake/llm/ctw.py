@@ -138,7 +138,7 @@ def _nodes(level: DataFrame) -> DataFrame:
 
 def _signed(p: Column, rest: Column) -> Column:
     """A chance as a 32-bit number without loss near 1: itself up to 1/2, else minus the rest."""
-    return F.when(p <= 0.5, p).otherwise(-rest).cast("float")
+    return F.when(p <= 0.5, p).otherwise(-F.greatest(rest, F.lit(1e-30))).cast("float")
 
 
 def tree(strings_: DataFrame, depth: int) -> DataFrame:
@@ -213,11 +213,8 @@ def log10_chances(strings_: np.ndarray, model: tuple, depth: int) -> np.ndarray:
 class Scorer:
     """Scores texts with one shard; remembers the chances of the strings it has met."""
 
-    def __init__(self, model: tuple, pairs: np.ndarray, first: bool, depth: int):
-        self.model, self.depth = model, depth
-        self.own = np.zeros(1 << 16, bool)
-        self.own[pairs] = True
-        self.every = first and not len(pairs)
+    def __init__(self, model: tuple, own: np.ndarray, depth: int):
+        self.model, self.own, self.depth = model, own, depth      # own: which two-byte contexts are the shard's
         self.known, self.chance = np.zeros(0, np.uint64), np.zeros(0)
 
     def __call__(self, documents: list[list[bytes]]) -> np.ndarray:
@@ -228,7 +225,7 @@ class Scorer:
             self.known, self.chance, new = self.known[:0], self.chance[:0], distinct
         both = np.concatenate([self.known, new])
         order = np.argsort(both)
-        own = self.every | self.own[((new >> np.uint64(8)) & np.uint64(65535)).astype(int)]
+        own = self.own[((new >> np.uint64(8)) & np.uint64(65535)).astype(int)]
         self.chance = np.concatenate([self.chance, np.where(own, log10_chances(new, self.model, self.depth), 0.0)])[order]
         self.known = both[order]
         each = self.chance[np.searchsorted(self.known, keys)]
@@ -268,10 +265,13 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
     order = np.argsort(h)
     words = spark.sparkContext.broadcast((h[order], hot.column("n").to_numpy()[order]))
     nodes = written(tree(counted.filter("kind = 0"), depth), "ctw-tree")
-    passes = []
-    for k, pairs in enumerate(shards(nodes)):
-        model = spark.sparkContext.broadcast(shard_arrays(nodes, pairs))
-        passes.append(named.mapInArrow(_pass(words if k == 0 else None, model, pairs, parts, depth), ROW))
+    passes, packed = [], shards(nodes)
+    owner = np.zeros(1 << 16, int)          # contexts that training has not seen are the first shard's
+    for k, pairs in enumerate(packed):
+        owner[pairs] = k
+    for k, pairs in enumerate(packed):
+        model = spark.sparkContext.broadcast((shard_arrays(nodes, pairs), owner == k))
+        passes.append(named.mapInArrow(_pass(words if k == 0 else None, model, parts, depth), ROW))
     answered = union_all(passes).groupBy("part").applyInArrow(_count_rare(parts), ROW)
 
     def finish(table: pa.Table) -> pa.Table:
@@ -296,11 +296,11 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _pass(words, model, pairs, parts: int, depth: int):
+def _pass(words, model, parts: int, depth: int):
     """One pass over the texts: scores with a shard; the first also takes the words."""
     def run(batches):
         hashes = WordHashes()
-        scorer = Scorer(model.value, pairs, words is not None, depth)
+        scorer = Scorer(*model.value, depth)
         for b in batches:
             keys, texts = b.column(0).to_numpy(), [t or "" for t in b.column(1).to_pylist()]
             for a, z in slices(texts, CHUNK):
