@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import attach, keep_documents, written
+from pitlake.llm.common import attach, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -47,9 +47,10 @@ def exact_dedup_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one row of each group of equal texts."""
-    kept = exact_groups(docs).filter("kept").select("doc_id").distinct()
-    return (keep_documents(docs, kept).withColumn("__h", F.md5(normalised(F.col("text"))))
-            .dropDuplicates(["doc_id", "__h"]).drop("__h"))
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept")).distinct()
+    hashed = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
+    return (hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["__id"]) & (hashed["__sha"] == kept["__kept"]), "left_semi")
+            .dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
 
 
 SQL = r"""

@@ -10,7 +10,8 @@ in a tree of fan-in FAN_IN, so no task sees more than FAN_IN lists of a query.
 Defined cases: a vector that is null or empty, or holds a null or non-finite
 component, takes no part; a query sees candidates of its own length only;
 candidates with the query's id are its own rows and are left out; repeated
-query rows run once, repeated candidate rows count each; ties go to the
+query rows run once, rows of one id with different vectors run each,
+repeated candidate rows count each; ties go to the
 smaller id; rows with a null id take no part; no queries or no candidates give
 no rows; extra columns are never read.
 """
@@ -68,7 +69,7 @@ def tile_best(queries: np.ndarray, query_ids: np.ndarray, tile: np.ndarray, ids:
 
 def _searcher(block, scale: float, k: int):
     def run(frames):
-        b_ids, b_matrix = block.value
+        b_ids, b_keys, b_matrix = block.value
         best, held, n = None, [], 0
 
         def flush():
@@ -89,7 +90,7 @@ def _searcher(block, scale: float, k: int):
         if held:
             flush()
         if best is not None and len(best[0]):
-            yield pd.DataFrame({"query_id": b_ids[best[0]], "vec_id": best[1], "score": best[2]})
+            yield pd.DataFrame({"query_id": b_ids[best[0]], "query_key": b_keys[best[0]], "vec_id": best[1], "score": best[2]})
 
     return run
 
@@ -110,22 +111,22 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float =
     lists = []
     for dim, n in sorted((r["dim"], r["count"]) for r in asked.groupBy("dim").count().collect()):
         blocks = math.ceil(n / QUERY_BLOCK)
-        own = asked.filter(F.col("dim") == dim).withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
+        own = asked.filter(F.col("dim") == dim).withColumn("key", F.xxhash64("id", "v"))
         for b in range(blocks):
-            got = own.filter(F.col("block") == b).select("id", "v").toPandas()      # QUERY_BLOCK rows on average
+            got = own.filter(F.pmod("key", F.lit(blocks)) == b).select("id", "key", "v").toPandas()      # QUERY_BLOCK rows on average
             if len(got):
-                block = spark.sparkContext.broadcast((got["id"].to_numpy(np.int64), integer_matrix(got["v"].tolist(), scale)))
+                block = spark.sparkContext.broadcast((got["id"].to_numpy(np.int64), got["key"].to_numpy(np.int64), integer_matrix(got["v"].tolist(), scale)))
                 lists.append(rows.filter(F.col("dim") == dim).select("id", "v")
-                             .mapInPandas(_searcher(block, scale, k), "query_id long, vec_id long, score long")
+                             .mapInPandas(_searcher(block, scale, k), "query_id long, query_key long, vec_id long, score long")
                              .withColumn("part", F.spark_partition_id()))
     if not lists:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = union_all(lists).groupBy("query_id", "part").agg(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id")).alias("top"))
+    best = union_all(lists).groupBy("query_id", "query_key", "part").agg(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id")).alias("top"))
     groups = sum(f.rdd.getNumPartitions() for f in lists[:1])
     while groups > 1:
         groups = math.ceil(groups / FAN_IN)
         merged = F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k)
-        best = best.groupBy("query_id", F.floor(F.col("part") / FAN_IN).alias("part")).agg(merged.alias("top"))
+        best = best.groupBy("query_id", "query_key", F.floor(F.col("part") / FAN_IN).alias("part")).agg(merged.alias("top"))
     best = best.withColumn("top", F.slice(F.array_sort("top"), 1, k))
     return (best.select("query_id", F.posexplode("top").alias("pos", "e"))
             .select("query_id", (F.col("pos") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"), (-F.col("e.neg")).alias("score")))
