@@ -6,6 +6,6 @@ Every stage is a ``DataFrame -> DataFrame`` function built from Spark SQL
 built-ins, so Catalyst plans the whole chain as one query.
 """
 
-from pitlake.session import get_session, ensure_checkpoint_dir
+from pitlake.session import get_session
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["get_session"]

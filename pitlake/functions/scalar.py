@@ -21,18 +21,19 @@ def _c(x) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    """Missing values are nulls in Spark; NaN from pandas-written files is mapped once."""
+    """Missing values are nulls in Spark; NaN from pandas-written files becomes one."""
     c = _c(c)
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c.cast("double")), c)
 
 
 def return_bps(p, p_h, clip: float | None = 2000.0) -> Column:
     """``10000 * (p_h / p - 1)`` clipped to ``[-clip, clip]``.
 
     The guard comes first: ``greatest``/``least`` skip nulls (a null would
-    clip to the bound) and ANSI division by zero raises.
+    clip to the bound), take NaN as the greatest value, and ANSI division by
+    zero raises.  A NaN price is a missing price.
     """
-    p, p_h = _c(p), _c(p_h)
+    p, p_h = nan_to_null(p), nan_to_null(p_h)
     raw = F.lit(10000) * (p_h / p - F.lit(1))
     val = raw if clip is None else F.greatest(F.lit(-float(clip)), F.least(F.lit(float(clip)), raw))
     return F.when(p.isNotNull() & p_h.isNotNull() & (p != 0), val)
@@ -41,9 +42,9 @@ def return_bps(p, p_h, clip: float | None = 2000.0) -> Column:
 def label_na(p, p_h, known_date: Column | None = None) -> Column:
     """1 when the label cannot be computed, else 0.
 
-    Not computable: date not in the calendar, p null, p_h null or p == 0.
+    Not computable: date not in the calendar, p or p_h null or NaN, or p == 0.
     """
-    p, p_h = _c(p), _c(p_h)
+    p, p_h = nan_to_null(p), nan_to_null(p_h)
     bad = p.isNull() | p_h.isNull() | (p == 0)
     if known_date is not None:
         bad = bad | ~known_date
@@ -79,8 +80,8 @@ def feature_text(features: Sequence[tuple[str, Column, T.DataType | None]],
 
 
 def target_text(label, na) -> Column:
-    """``LABEL_NA=1`` or the label truncated toward zero."""
-    label, na = _c(label), _c(na)
+    """``LABEL_NA=1`` (flag set, or label null or NaN) or the label truncated toward zero."""
+    label, na = nan_to_null(label), _c(na)
     return (F.when((na == 1) | label.isNull(), F.lit("LABEL_NA=1"))
             .otherwise(label.cast("bigint").cast("string")))
 
@@ -163,11 +164,12 @@ def pct(part, whole, digits: int = 2) -> Column:
 def ticker_of(code, pad: bool = True) -> Column:
     """Exchange-qualified ticker: ``6xxxxx`` -> ``.SH``, anything else -> ``.SZ``.
 
-    Codes stay strings; ``pad`` restores leading zeros lost upstream.
+    Codes stay strings; ``pad`` restores leading zeros lost upstream and
+    leaves codes of six or more characters whole.
     """
     c = F.trim(_c(code).cast("string"))
     if pad:
-        c = F.lpad(c, 6, "0")
+        c = F.when(F.length(c) < 6, F.lpad(c, 6, "0")).otherwise(c)
     return F.concat(c, F.when(c.startswith("6"), F.lit(".SH")).otherwise(F.lit(".SZ")))
 
 

@@ -53,7 +53,7 @@ def missing_report(df: DataFrame) -> DataFrame:
             .select("column", "missing_count", pct(F.col("missing_count"), F.col("__n")).alias("missing_percentage")))
 
 
-def _column_stats(df: DataFrame, exact: bool, accuracy: int) -> tuple[list, list]:
+def _column_stats(df: DataFrame, exact: bool, accuracy: int, reuse: bool = True) -> tuple[list, list]:
     """One aggregate pass: rows, and per column missing count; per numeric
     column count, mean, std, min, max (plus an approximate quantile sketch
     when not exact).
@@ -62,12 +62,13 @@ def _column_stats(df: DataFrame, exact: bool, accuracy: int) -> tuple[list, list
     passes run on a persisted projection holding only the numeric columns and
     one null flag per other column (memory, spilling to disk; lost blocks are
     recomputed from lineage), released afterwards.  An input that is already
-    cached is used as is.
+    cached is used as is, and so is a stored table (``reuse=False``), whose
+    passes read the needed columns only.
     """
     cols = numeric_columns(df.schema)
     others = [c for c in df.columns if c not in cols]
     src, cached = df, None
-    if exact and cols and not df.is_cached:
+    if exact and reuse and cols and not df.is_cached:
         proj = df.select(*[_q(c) for c in cols], *[_q(c).isNull().alias(f"__null{i}") for i, c in enumerate(others)])
         src = cached = proj.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -118,12 +119,12 @@ def describe_numeric(df: DataFrame, exact: bool = True, accuracy: int = 10_000)
     return df.sparkSession.createDataFrame(desc, DESC_SCHEMA)
 
 
-def stats_summary(df: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+def stats_summary(df: DataFrame, exact: bool = True, accuracy: int = 10_000, reuse: bool = True) -> DataFrame:
     """A7 (= A2 full-outer-join A1 on ``column``, J9), ordered by column.
 
     Built from the same single aggregate pass as A1 and A2 (plus the exact
     quantile passes), not by re-reading the table per report."""
-    desc, miss = _column_stats(df, exact, accuracy)
+    desc, miss = _column_stats(df, exact, accuracy, reuse)
     # both halves are one small row per column: merge them here
     d = {r[0]: r[1:] for r in desc}
     m = {r[0]: r[1:] for r in miss}

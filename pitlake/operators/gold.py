@@ -35,11 +35,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from pitlake.functions.scalar import label_na, return_bps
 from pitlake.operators.calendar import calendar_index, first_trading_index
-from pitlake.operators.joins import AsofSource, _expand, _reduce_source, asof_join
+from pitlake.operators.joins import AsofSource, _expand, _reduce_source, add_lineage, asof_join, one_row_per_day
+from pitlake.operators.labels import price_at, price_rows
 
 HORIZONS = (1, 5, 20)
 
@@ -51,6 +53,7 @@ class LabelSpec:
     horizons: Sequence[int] = HORIZONS
     clip: float | None = 2000.0
     base_col: str | None = None  # grid/feature column holding the base price; default: same-day price
+    price_order: Sequence[str] | None = None   # of several prices for one key and day the last by these; None: the query fails
 
 
 def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSource] = (),
@@ -59,12 +62,12 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
                   key: str = "ticker", date: str = "date", grid_on_calendar: bool = True) -> DataFrame:
     """Gold table = grid + every source's features (+ labels), one grid shuffle.
 
-    ``daily`` sources follow J2 semantics for sources with one row per
-    (key, date) (no fan-out; use :func:`join_daily` for sources that repeat
-    keys).  ``slow`` ones follow J4.  Column names are those of the unfused
-    operators, so both paths give identical tables.  ``grid_on_calendar``
-    states that every grid date is a trading day (true for
-    :func:`base_grid`), which allows the single-sort plan.
+    ``daily`` sources have one row per (key, date), and the query fails on a
+    second one (:func:`join_daily` is for sources that repeat keys).  ``slow``
+    ones follow J4.  Column names are those of the unfused operators, so both
+    paths give identical tables.  ``grid_on_calendar`` states that every grid
+    date is a trading day (true for :func:`base_grid`), which allows the
+    single-sort plan; the query fails on another date.
     """
     cal_idx = calendar_index(calendar)
     cal = F.broadcast(cal_idx.select(F.col("date").alias("__d"), F.col("idx").alias("__i")))  # one row per day
@@ -73,13 +76,21 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     slow = [replace(s) for s in slow]
     sources = daily + slow
     is_daily = [True] * len(daily) + [False] * len(slow)
-    reduced = [_reduce_source(s, key, date) for s in sources]
+    reduced = [_reduce_source(s, key, date, T.DateType(), unique=day) for s, day in zip(sources, is_daily)]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]
     nulls = [F.lit(None).cast(t) for t in ptypes]
 
-    g = grid.withColumn("__d", F.col(date).cast("date")).join(cal, "__d", "left")
+    def on_calendar(df: DataFrame, what: str) -> DataFrame:
+        """``df`` with its index; the query fails on a row dated off the calendar."""
+        msg = F.lit(f"{what} has a row on a day that is not in the calendar")
+        off = F.col("__i").isNull() & F.col("__d").isNotNull()
+        found = df.join(cal, "__d", "left")
+        return found.withColumn("__i", F.when(off, F.raise_error(msg).cast("int")).otherwise(F.col("__i")))
+
+    g = grid.withColumn("__d", F.col(date).cast("date"))
+    g = on_calendar(g, "the grid") if grid_on_calendar else g.join(cal, "__d", "left")
     lcols = list(grid.columns)
     lstruct = F.struct(*[F.col(f"`{c}`").alias(c) for c in lcols])
     parts = [g.select(F.col(key).alias("__k"), "__d", F.lit(1).alias("__side"), "__i", lstruct.alias("__l"),
@@ -95,10 +106,12 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         r = r.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"), "__p")
         if not grid_on_calendar:
             parts.append(payload_row(r, i, F.lit(None).cast("int")))
-        elif is_daily[i] or sources[i].on_calendar:
-            # equality on a trading day: rows on other days can never match;
-            # a slow source dated on trading days only needs no day mapping
+        elif is_daily[i]:
+            # equality on a trading day: rows on other days can never match
             parts.append(payload_row(r.join(cal, "__d", "inner"), i, F.col("__i")))
+        elif sources[i].on_calendar:
+            # dated on trading days only: no day mapping, and the plan holds it to that
+            parts.append(payload_row(on_calendar(r, f"source {sources[i].name!r}"), i, F.col("__i")))
         else:
             # as-of: place on the first trading day on/after the row's date
             # (the day map has one row per distinct day); rows after the
@@ -106,8 +119,7 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
             r = r.join(F.broadcast(first_trading_index(r.select("__d"), calendar, "__d", "__i")), "__d", "inner")
             parts.append(payload_row(r, i, F.col("__i")))
     if labels is not None:
-        px = labels.prices.select(F.col(key).alias("__k"), F.col(date).cast("date").alias("__d"),
-                                  F.col(labels.price_col).cast("double").alias("__px"))
+        px = price_rows(labels.prices, labels.price_col, labels.price_order, key, date).toDF("__k", "__d", "__px")
         px = px.join(cal, "__d", "inner")
         parts.append(px.select("__k", "__d", F.lit(0).alias("__side"), "__i", F.lit(None).cast(ltype).alias("__l"),
                                "__px", *[nl.alias(p) for nl, p in zip(nulls, pcols)]))
@@ -125,16 +137,16 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         step = stacked.select(*cols, *[F.last(p, ignorenulls=True).over(run).alias(p) for p in pcols])
         if labels is not None:
             w2 = W.partitionBy("__k").orderBy("__i")
-            fwd = [F.max("__px").over(w2.rangeBetween(h, h)).alias(f"__f{h}") for h in horizons]
-            base = [] if labels.base_col else [F.max("__px").over(w2.rangeBetween(0, 0)).alias("__f0")]
+            fwd = [price_at(w2, h).alias(f"__f{h}") for h in horizons]
+            base = [] if labels.base_col else [price_at(w2, 0).alias("__f0")]
             step = step.select(*cols, *pcols, *fwd, *base)
     else:
         w1 = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
         step = stacked.select(*cols, *[F.last(p, ignorenulls=True).over(w1).alias(p) for p in pcols])
         if labels is not None:
             w2 = W.partitionBy("__k").orderBy("__i")
-            fwd = [F.max("__px").over(w2.rangeBetween(h, h)).alias(f"__f{h}") for h in horizons]
-            base = [] if labels.base_col else [F.max("__px").over(w2.rangeBetween(0, 0)).alias("__f0")]
+            fwd = [price_at(w2, h).alias(f"__f{h}") for h in horizons]
+            base = [] if labels.base_col else [price_at(w2, 0).alias("__f0")]
             step = step.select(*cols, *pcols, *fwd, *base)
     rows = step.where(F.col("__side") == 1)
 
@@ -161,7 +173,7 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         days = cal_idx.select(F.col("date").alias(date))
         per_day = days
         for name, src in market_daily:
-            per_day = per_day.join(_one_row_per_day(src, name, date), date, "left")
+            per_day = per_day.join(add_lineage(one_row_per_day(src, name, date), name, [date]), date, "left")
         if market_slow:
             per_day = asof_join(per_day, list(market_slow), by=None, date=date, dates=days)
         feat = [c for c in per_day.columns if c != date]
@@ -169,19 +181,3 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         keep = [c for c in res.columns if c not in lab_names]
         res = res.join(F.broadcast(per_day), date, "left").select(*keep, *feat, *lab_names)
     return res
-
-
-def _one_row_per_day(src: DataFrame, name: str, date: str, prefix: str = "feat_") -> DataFrame:
-    """A market-wide daily source as one row per day (T5).
-
-    A day with several rows would multiply every grid row of that day; the
-    query fails on it (``raise_error`` inside the plan, no extra job) instead
-    of fanning out.  One row per day is also what bounds the broadcast.
-    """
-    cols = [c for c in src.columns if c != date]
-    red = src.groupBy(F.col(date).cast("date").alias(date)).agg(
-        F.max(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__m"), F.count(F.lit(1)).alias("__n"))
-    msg = F.lit(f"market-wide source {name!r} has several rows for one {date}")
-    checked = F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__m"))
-    return red.select(date, checked.alias("__m")).select(
-        date, *[F.col(f"__m.`{c}`").alias(f"{prefix}{c}_{name}") for c in cols])

@@ -13,10 +13,11 @@ still contributes at most one row per day to its window partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 
@@ -32,26 +33,36 @@ def add_lineage(df: DataFrame, iface: str, keys: Sequence[str], prefix: str = "f
 
 
 def join_daily(left: DataFrame, src: DataFrame, iface: str, key: str = "ticker",
-               date: str = "date", prefix: str = "feat_", check_unique: bool = False) -> DataFrame:
+               date: str = "date", prefix: str = "feat_", check_unique: bool = True) -> DataFrame:
     """Left join a daily or static source on (key, date), or on date
     alone when the source has no key (market-wide).
 
-    Duplicate source rows fan out, as in the reference.  The physical join is
-    left to Catalyst/AQE: a market-wide source that proves small at run time
-    is broadcast, anything else is a sort-merge join on the join keys.
-    ``check_unique`` (T5) raises when a market-wide source repeats a date,
-    which would multiply every grid row of that day; it costs one aggregate
-    over the source (not the grid).
+    Duplicate rows of a keyed source fan out, as in the reference.  The
+    physical join is left to Catalyst/AQE: a market-wide source that proves
+    small at run time is broadcast, anything else is a sort-merge join on the
+    join keys.  A market-wide source that repeats a date would multiply every
+    grid row of that day (T5): the query fails on it, inside the plan, unless
+    ``check_unique`` is off.
     """
     keys = [key, date] if key in src.columns else [date]
     if check_unique and keys == [date]:
-        dup = src.groupBy(date).count().where(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"market-wide source {iface!r} has several rows for {date}={dup[0][date]}")
+        src = one_row_per_day(src, iface, date)
     right = add_lineage(src, iface, keys, prefix)
     return left.join(right, keys, "left")
 
 
+def one_row_per_day(src: DataFrame, name: str, date: str = "date") -> DataFrame:
+    """A market-wide daily source as one row per day (T5); the query fails on
+    a day with several rows (``raise_error`` inside the plan, no extra job).
+    One row per day is also what bounds a broadcast of it."""
+    cols = [c for c in src.columns if c != date]
+    red = src.where(F.col(date).isNotNull()).groupBy(F.col(date).cast("date").alias(date)).agg(
+        F.max(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__m"), F.count(F.lit(1)).alias("__n"))
+    msg = F.lit(f"market-wide source {name!r} has several rows for one {date}")
+    checked = F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__m"))
+    return red.select(date, checked.alias("__m")).select(date, *[F.col(f"__m.`{c}`").alias(c) for c in cols])
+
+
 @dataclass
 class AsofSource:
     """One as-of source: ``df`` has the join key (optional), ``date`` and payload."""
@@ -62,29 +73,35 @@ class AsofSource:
     tie_break: Sequence[str] | None = None   # among same-date rows keep the largest
     prefix: str = "feat_"
     keep_date_as: str | None = "effective_date_{name}"   # T2: source date for the audit
-    unique: bool = False                     # already one row per (key, date): skip the reduction
-    on_calendar: bool = False                # every date is a trading day: no first-trading-day mapping
+    unique: bool = False                     # one row per (key, date): the query fails on a second
+    on_calendar: bool = False                # every date is a trading day: the query fails on another
     _payload: list = field(default_factory=list, repr=False)
 
 
-def _reduce_source(s: AsofSource, by: str | None, date: str) -> DataFrame:
+def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType | None = None,
+                   unique: bool = False) -> DataFrame:
     """One row per (key, date): the whole row with the largest tie-break.
 
     max_by/max are partial aggregates, so the reduction happens map-side
-    before any shuffle.
+    before any shuffle.  The date is cast to ``on_type`` (the left side's)
+    before the reduction; among rows that then fall on one date the latest
+    original date comes first, then the tie-break.  ``unique`` (or the
+    source's own flag) states one row per (key, date): the same aggregate
+    counts them, and the query fails on a second one.
     """
     keys = ([by] if by else []) + [date]
     cols = list(s.cols) if s.cols is not None else [c for c in s.df.columns if c not in keys]
     s._payload = cols
+    on = F.col(f"`{date}`").cast(on_type) if on_type is not None else F.col(f"`{date}`")
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols], F.col(date).alias("__date"))
-    if s.unique:
-        return s.df.where(F.col(date).isNotNull()).select(*keys, row.alias("__p"))
-    if s.tie_break:
-        order = F.struct(*[F.col(f"`{c}`") for c in s.tie_break])
-        agg = F.max_by(row, order)
-    else:
-        agg = F.max(row)
-    return s.df.where(F.col(date).isNotNull()).groupBy(*keys).agg(agg.alias("__p"))
+    order = [F.col(f"`{date}`"), *[F.col(f"`{c}`") for c in s.tie_break or []]]
+    agg = F.max_by(row, F.struct(*order)) if s.tie_break else F.max(F.struct(F.col(f"`{date}`").alias("__o"), row.alias("__r")))["__r"]
+    src = s.df.where(F.col(date).isNotNull())
+    if not (unique or s.unique):
+        return src.groupBy(*([by] if by else []), on.alias(date)).agg(agg.alias("__p"))
+    msg = F.lit(f"source {s.name!r} has several rows for one {'key and ' if by else ''}date")
+    return (src.groupBy(*([by] if by else []), on.alias(date)).agg(agg.alias("__p"), F.count(F.lit(1)).alias("__n"))
+            .select(*keys, F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__p")).alias("__p")))
 
 
 def _expand(s: AsofSource, col: str) -> list[Column]:
@@ -105,7 +122,8 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
 
     ``by=None`` is the market-wide (key-less) variant; it matches on the
     distinct dates of ``left``, or on ``dates`` (e.g. the calendar the grid
-    was built from) when given, which spares recomputing the left side.
+    was built from) when given, which spares recomputing the left side; a
+    left side with timestamps is matched on its distinct timestamps.
 
     ``split`` (a ``date_trunc`` unit such as ``"day"`` or ``"month"``) bounds
     the window partitions by (key, period) instead of key: needed when the
@@ -117,10 +135,12 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
         sources = [sources]
     if not sources:
         return left
-    if by is None:
+    if by is None and isinstance(left.schema[date].dataType, T.DateType):
         return _asof_market(left, sources, date, dates)
+    if by is None:
+        return _asof_market_times(left, sources, date)
     on_type = left.schema[date].dataType
-    reduced = [_reduce_source(s, by, date) for s in sources]
+    reduced = [_reduce_source(s, by, date, on_type) for s in sources]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]
@@ -183,16 +203,29 @@ def _split_stack(lpart: DataFrame, rparts: list, pcols: list, ptypes: list, ltyp
     return stacked, w
 
 
+def _asof_market_times(left: DataFrame, sources: Sequence[AsofSource], date: str) -> DataFrame:
+    """J5 on timestamps: the match is made on the distinct left timestamps in
+    (day) partitions with a carry-in row a day, and joined back on the
+    timestamp.  There may be as many timestamps as rows, so that join is left
+    to Catalyst and AQE."""
+    one = F.lit(0).alias("__one")
+    times = left.select(date, one).where(F.col(date).isNotNull()).distinct()
+    keyed = [replace(s, df=s.df.select("*", one), cols=s.cols if s.cols is not None else [c for c in s.df.columns if c != date])
+             for s in sources]
+    matched = asof_join(times, keyed, by="__one", date=date, split="day").drop("__one")
+    return left.join(matched, date, "left").select(*left.columns, *[c for c in matched.columns if c != date])
+
+
 def _asof_market(left: DataFrame, sources: Sequence[AsofSource], date: str,
                  dates: DataFrame | None = None) -> DataFrame:
-    """Key-less as-of.
+    """J5 on dates: key-less as-of.
 
     A window with no key would run in one task over all left rows, so the
     match is made on the distinct left dates only (one row per day, bounded
     by the calendar) and joined back by date with a broadcast of that
     date-keyed result.
     """
-    reduced = [_reduce_source(s, None, date) for s in sources]
+    reduced = [_reduce_source(s, None, date, T.DateType()) for s in sources]
     n = len(sources)
     pcols = [f"__p{i}" for i in range(n)]
     ptypes = [r.schema["__p"].dataType for r in reduced]

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -40,16 +40,34 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
             .select(*keys, *[F.col(f"__r.`{c}`").alias(c) for c in rest]))
 
 
+def price_rows(prices: DataFrame, price_col: str, order: Sequence[str] | None, key: str = "ticker", date: str = "date") -> DataFrame:
+    """key, day and ``__px`` of every price; with ``order`` the last by it of
+    each key and day (A6)."""
+    px = prices.select(key, F.col(date).cast("date").alias(date), F.col(price_col).cast("double").alias("__px"),
+                       *[F.col(f"`{c}`").alias(f"__o{i}") for i, c in enumerate(order or [])])
+    px = px.where(F.col(date).isNotNull())
+    if order:
+        px = dedupe_last(px, [key, date], [f"__o{i}" for i in range(len(order))])
+    return px.select(key, date, "__px")
+
+
+def price_at(window, h: int) -> Column:
+    """The price ``h`` trading days ahead; the query fails on two different rows for that day."""
+    frame = window.rangeBetween(h, h)
+    msg = F.lit("several prices for one key and day; give their order")
+    return F.when(F.count("__px").over(frame) > 1, F.raise_error(msg).cast("double")).otherwise(F.max("__px").over(frame))
+
+
 def forward_labels(grid: DataFrame, prices: DataFrame, calendar: DataFrame, price_col: str,
                    horizons: Sequence[int] = HORIZONS, clip: float | None = 2000.0,
                    base_col: str | None = None, key: str = "ticker", date: str = "date",
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), price_order: Sequence[str] | None = None) -> DataFrame:
     """W2 + F1 + F2: ``r_{h}d`` (bps, clipped) and ``label_na_{h}d`` per grid row.
 
-    ``prices`` is the full price history, one row per (key, date) (use
-    :func:`dedupe_last` first if it may repeat); forward prices are looked
-    up there, not in the windowed grid, so the last grid days keep their
-    labels.  The base price is ``base_col`` of the grid when given (the
+    ``prices`` is the full price history; of several rows for one (key, date)
+    the last by ``price_order`` counts, and without an order the query fails
+    on them.  Forward prices are looked up there, not in the windowed grid,
+    so the last grid days keep their labels.  NaN prices are missing prices.  The base price is ``base_col`` of the grid when given (the
     gold feature column), else the price on the row's own date.  Rows whose
     date is not a trading day get NA for every horizon.
     """
@@ -57,15 +75,14 @@ def forward_labels(grid: DataFrame, prices: DataFrame, calendar: DataFrame, pric
     g = grid.select(key, F.col(date).cast("date").alias(date), *keep,
                     *([F.col(base_col).alias("__p0")] if base_col else []))
     g = g.join(cal, date, "left")
-    px = prices.select(key, F.col(date).cast("date").alias(date), F.col(price_col).cast("double").alias("__px"))
-    px = px.join(cal, date, "inner")
+    px = price_rows(prices, price_col, price_order, key, date).join(cal, date, "inner")
     lcols = [date, *keep] + (["__p0"] if base_col else [])
     ltype = g.select(F.struct(*lcols).alias("s")).schema["s"].dataType
     stacked = (g.select(key, "idx", F.lit(None).cast("double").alias("__px"), F.struct(*lcols).alias("__l"))
                .unionByName(px.select(key, "idx", "__px", F.lit(None).cast(ltype).alias("__l"))))
     w = W.partitionBy(key).orderBy("idx")
-    fwd = {h: F.max("__px").over(w.rangeBetween(h, h)) for h in horizons}
-    p0 = F.col("__l.__p0") if base_col else F.max("__px").over(w.rangeBetween(0, 0))
+    fwd = {h: price_at(w, h) for h in horizons}
+    p0 = F.col("__l.__p0") if base_col else price_at(w, 0)
     looked = (stacked.select(key, "idx", "__l", p0.alias("__p0v"),
                              *[fwd[h].alias(f"__p{h}") for h in horizons])
               .where(F.col("__l").isNotNull()))

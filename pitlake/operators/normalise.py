@@ -86,15 +86,22 @@ def normalise(df: DataFrame, columns_map: Mapping[str, str] | None = None,
     return attach_key(out, ticker)
 
 
-def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str = "ticker") -> DataFrame:
+# --- fixed value: where an entity column holds its code: digits alone, after a
+# two-letter market mark, or after the name and a slash; a market suffix may follow ---
+CODE = r"^(?:.*/)?(?:[A-Za-z]{2})?(\d+)(?:\.[A-Za-z]{2})?$"
+
+
+def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str = "ticker", ticker=None) -> DataFrame:
     """Raw frame of a registered source -> silver with ``ticker`` / ``effective_date``.
 
     Applies the source's column map, turns its entity-code column into an
     exchange-qualified ticker (P8) and its date column into
     ``effective_date`` (P2).  Sources without a date column are dated by
     ``fetch_date`` -- a literal, or a column such as the landing table's
-    ``date`` partition (``yyyyMMdd``; ``static`` gives null).  Sources
-    without an entity column stay market-wide.
+    ``date`` partition (``yyyyMMdd``; ``static`` gives null).  A value of the
+    entity column without a code in the documented place gives a null ticker.
+    Sources without an entity column take the task's ``ticker`` (a literal or
+    a column, P3) when there is one, else they stay market-wide.
     """
     from pitlake.functions.scalar import ticker_of
     from pitlake.sources.registry import COLUMNS_MAP, KEY_COLUMNS
@@ -104,8 +111,10 @@ def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str
     out = rename_by_map(df, COLUMNS_MAP.get(interface_id, {}))
     code_col, date_col = KEY_COLUMNS[interface_id]
     if code_col is not None and code_col in out.columns and key not in out.columns:
-        code = F.regexp_extract(F.col(f"`{code_col}`").cast("string"), r"(\d{1,6})", 1)
+        code = F.regexp_extract(F.trim(F.col(f"`{code_col}`").cast("string")), CODE, 1)
         out = out.withColumn(key, F.when(code != "", ticker_of(code)))
+    elif ticker is not None and key not in out.columns:
+        out = attach_key(out, ticker, key)
     if date_col is not None and date_col in out.columns:
         if date_col != "date":
             out = out.drop("date") if "date" in out.columns else out

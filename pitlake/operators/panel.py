@@ -13,18 +13,33 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pitlake.operators.joins import AsofSource, asof_join, join_daily
+from pitlake.operators.calendar import shift_available
+from pitlake.operators.joins import AsofSource, asof_join, join_daily, lineage_name
+from pitlake.operators.labels import dedupe_last
 from pitlake.operators.normalise import pick_date_key
-from pitlake.sources.registry import EQUI_FREQS, freq_of
+from pitlake.sources.registry import EQUI_FREQS, avail_rule_of, freq_of
 
 log = logging.getLogger(__name__)
 
 
+def available(src: DataFrame, calendar: DataFrame, rule: str, key: str = "ticker", date: str = "date",
+              avail_col: str | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+    """D4 before a join: ``src`` dated by the trading day it may be used from,
+    also kept as ``effective_date``.  Of several rows of a key that become
+    usable on one day the latest counts; a row that never does is left out."""
+    shifted = shift_available(src, calendar, rule, date=date, avail_col=avail_col, out="__eff")
+    keys = [c for c in (key,) if c in src.columns]
+    dated = shifted.where("__eff IS NOT NULL").withColumnRenamed(date, "__src").withColumnRenamed("__eff", date)
+    return dedupe_last(dated, [*keys, date], ["__src", *tie_break]).drop("__src").withColumn("effective_date", F.col(date))
+
+
 def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
              freqs: Mapping[str, str] | None = None, tie_breaks: Mapping[str, Sequence[str]] | None = None,
              key: str = "ticker", date: str = "date", asof_prefix: str = "feat_",
-             on_error: str = "raise", calendar: DataFrame | None = None) -> DataFrame:
+             on_error: str = "raise", calendar: DataFrame | None = None,
+             avail: Mapping[str, str | tuple[str, str]] | str | None = None) -> DataFrame:
     """Left-fold sources onto ``grid`` (one lazy plan).
 
     ``freqs`` overrides the registry; a source that is neither registered nor
@@ -32,7 +47,14 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     ``on_error="skip"`` logs and skips a source whose join fails to analyse;
     ``"raise"`` (default) surfaces it.  ``calendar`` (the grid's dates) lets
     market-wide as-of sources match on it instead of the grid's distinct dates.
+
+    ``avail`` (D4) gives sources' availability rules, with the column for the
+    rules that need one, or is ``"registry"`` for the registered rules; such a
+    source is joined on the trading day it may be used from, which is kept as
+    ``effective_date_<source>`` (needs ``calendar``).  Without it sources join
+    on their own dates.
     """
+    rules = {i: avail_rule_of(i) for i, _ in (sources.items() if isinstance(sources, Mapping) else sources)} if avail == "registry" else dict(avail or {})
     items = list(sources.items()) if isinstance(sources, Mapping) else list(sources)
     freqs = dict(freqs or {})
     tie_breaks = dict(tie_breaks or {})
@@ -48,10 +70,19 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
             if date not in src.columns:
                 log.warning("no date column in %r; skipped", iface)
                 continue
+            ties = list(tie_breaks.get(iface) or [])
+            if rules.get(iface):
+                if calendar is None:
+                    raise ValueError("availability rules need the calendar")
+                rule, col = rules[iface] if isinstance(rules[iface], tuple) else (rules[iface], None)
+                src = available(src, calendar, rule, key, date, col, ties)
             if freq in EQUI_FREQS:
                 out = join_daily(out, src, iface, key=key, date=date)
+                if rules.get(iface):
+                    out = out.withColumnRenamed(lineage_name("effective_date", iface), f"effective_date_{iface}")
             else:
-                s = AsofSource(iface, src, tie_break=tie_breaks.get(iface), prefix=asof_prefix)
+                src = src.drop("effective_date") if rules.get(iface) else src      # the as-of join keeps its date itself
+                s = AsofSource(iface, src, tie_break=ties or None, prefix=asof_prefix)
                 (keyed if key in src.columns else market).append(s)
         except Exception:
             if on_error == "skip":

@@ -8,15 +8,15 @@ task.  Here the k-th smallest value is found by narrowing:
    each target rank: with accuracy A the value returned for fraction p has
    true rank within n/A of p*n, so the values at p -/+ 3/A enclose rank k.
 2. One pass counts, per bracket, the values below it and inside it.
-3. When a bracket holds at most ``max_exact_rows`` values it is resolved
-   exactly: its values are gathered and sorted in one group per bracket
-   (bounded by ``max_exact_rows``) and the k-th is picked.  Larger brackets
-   are narrowed again.  A bracket that cannot shrink (one value repeated
-   very often) is resolved by counting distinct values and ranking them with
-   a window partitioned by bracket instead.
-
-Only the per-target bounds and the final values (a few numbers per column)
-reach the driver.  On small data the first round resolves directly.
+3. The bracket replaces the old one and is narrowed again, until it is no
+   wider than the sketch or holds half as many rows as before or more (few
+   distinct values, each very often).
+4. The distinct values of all brackets are counted and ranked by a window
+   partitioned by bracket, which holds about a sketch's worth of them.
+
+Every round halves a bracket or ends, so there is no limit on rounds, and
+every size ends in step 4.  Only the per-target bounds and the final values (a
+few numbers per column) reach the driver.
 """
 
 from __future__ import annotations
@@ -40,36 +40,22 @@ def _in_bracket(c, lo, hi):
 
 
 def _bracket_rows(df: DataFrame, brackets: dict) -> DataFrame:
-    """(bracket id, value) for every value inside each bracket."""
-    items = []
+    """(bracket id, value) for every value inside each bracket; rows outside
+    all brackets are filtered before anything is exploded."""
+    items, inside = [], F.lit(False)
     for bid, (col, lo, hi) in brackets.items():
         c = F.col(f"`{col}`").cast("double")
+        inside = inside | F.coalesce(_in_bracket(c, lo, hi), F.lit(False))
         items.append(F.when(_in_bracket(c, lo, hi), F.struct(F.lit(bid).alias("b"), c.alias("v"))))
-    return (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
+    return (df.where(inside).select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
             .select("s.b", "s.v"))
 
 
-def _resolve(df: DataFrame, brackets: dict, wanted: dict, bounded: bool = True) -> dict:
+def _resolve(df: DataFrame, brackets: dict, wanted: dict) -> dict:
     """brackets: bid -> (col, lo, hi); wanted: bid -> set of local ranks k.
-    Returns (bid, k) -> value.
-
-    ``bounded``: every bracket holds at most ``max_exact_rows`` rows, so each
-    one is gathered as a sorted array in its own group.  Otherwise (heavy
-    ties) values are counted per distinct value and ranked by a window
-    partitioned by bracket, bounded by the number of distinct values.
-    """
-    long = _bracket_rows(df, brackets)
-    if bounded:
-        # pick the wanted ranks inside Spark: only those values reach the driver
-        ranks = F.create_map(*[x for b, ks in wanted.items()
-                               for x in (F.lit(b), F.array(*[F.lit(int(k)) for k in sorted(ks)]))])
-        ks = F.element_at(ranks, F.col("b"))
-        arr = F.array_sort(F.collect_list("v"))
-        got = (long.groupBy("b").agg(arr.alias("a"))
-               .select("b", ks.alias("ks"), F.transform(ks, lambda k: F.element_at(F.col("a"), k + 1)).alias("vs"))
-               .collect())
-        return {(r["b"], k): v for r in got for k, v in zip(r["ks"], r["vs"])}
-    freq = long.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
+    Returns (bid, k) -> value, by counting distinct values (partial
+    aggregate) and ranking them inside each bracket."""
+    freq = _bracket_rows(df, brackets).groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     cum = freq.select("b", "v", (F.sum("n").over(w) - F.col("n")).alias("lo_r"), F.sum("n").over(w).alias("hi_r"))
     spark = df.sparkSession
@@ -81,13 +67,13 @@ def _resolve(df: DataFrame, brackets: dict, wanted: dict, bounded: bool = True)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    counts: dict | None = None, max_exact_rows: int = 1_000_000,
-                    accuracy: int = 10_000, max_rounds: int = 8) -> dict:
+                    counts: dict | None = None, accuracy: int = 10_000) -> dict:
     """Linear-interpolation quantiles (pandas ``describe`` / SQL
     ``quantile_cont``).  Returns ``{(col, prob): value or None}``.
 
     ``counts`` (non-null, non-NaN count per column) may be passed in when the
-    caller already aggregated them.
+    caller already aggregated them.  ``accuracy`` is the sketch's: a bracket
+    no larger than it needs no further narrowing.
     """
     cols = list(cols)
     if not cols:
@@ -111,35 +97,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             ranks[c].update({lo_r, hi_r})
     # bracket state per (col, rank): lo, hi, below, inside
     state = {(c, r): [None, None, 0, counts[c]] for c in cols for r in ranks[c]}
-    found: dict = {}
-    forced: dict = {}
+    ready: set = set()
     widen: dict = {}
-    for _ in range(max_rounds):
-        open_t = [t for t in state if t not in found]
-        if not open_t:
+    while True:
+        # narrow every bracket with a sketch and recount, as long as one is wider than the sketch
+        ready |= {t for t in state if state[t][3] <= accuracy}
+        wide = [t for t in state if t not in ready]
+        if not wide:
             break
-        small = [t for t in open_t if state[t][3] <= max_exact_rows]
-        if small:
-            bounded = all(not forced.get(t) for t in small)
-            bid_of, brackets, wanted = {}, {}, {}
-            for t in small:
-                c, r = t
-                lo, hi, below, _ = state[t]
-                key = (c, lo, hi)
-                if key not in bid_of:
-                    bid_of[key] = len(bid_of)
-                    brackets[bid_of[key]] = key
-                wanted.setdefault(bid_of[key], set()).add(r - below)
-            res = _resolve(df, brackets, wanted, bounded)
-            for t in small:
-                c, r = t
-                lo, hi, below, _ = state[t]
-                found[t] = res[(bid_of[(c, lo, hi)], r - below)]
-            continue
-        # narrow the large brackets with a sketch, then recount
-        big = open_t
         exprs, where = [], []
-        for i, t in enumerate(big):
+        for i, t in enumerate(wide):
             c, r = t
             lo, hi, below, inside = state[t]
             x = F.col(f"`{c}`").cast("double")
@@ -155,7 +122,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             a_lo, a_hi = row[f"a{i}"]
             proposals[t] = (lo if ps[0] == 0.0 else a_lo, hi if ps[1] == 1.0 else a_hi)
         cnt = []
-        for i, t in enumerate(big):
+        for i, t in enumerate(wide):
             c, _ = t
             lo, hi = proposals[t]
             x = F.col(f"`{c}`").cast("double")
@@ -163,22 +130,24 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             cnt.append(F.count(F.when(base & (x < F.lit(lo)) if lo is not None else F.lit(False), 1)).alias(f"b{i}"))
             cnt.append(F.count(F.when(_in_bracket(x, lo, hi), 1)).alias(f"i{i}"))
         row = df.agg(*cnt).first()
-        for i, t in enumerate(big):
-            c, r = t
+        for i, t in enumerate(wide):
             below, inside = row[f"b{i}"], row[f"i{i}"]
-            if not (below <= r < below + inside):
-                widen[t] = widen.get(t, 1) * 4          # the sketch bound missed: retry wider
-            elif inside < state[t][3]:
+            if not (below <= t[1] < below + inside):
+                widen[t] = widen.get(t, 1) * 4          # the sketch bound missed: again, wider, up to the whole bracket
+                continue
+            if inside >= state[t][3] / 2:
+                ready.add(t)                            # few distinct values, each very often: counting them ends it
+            if inside < state[t][3]:
                 state[t] = [*proposals[t], below, inside]
-            else:
-                # no progress (heavy ties): the bracket is one value range that
-                # cannot shrink; resolve it by counting even if large
-                state[t][3] = min(state[t][3], max_exact_rows)
-                forced[t] = True
-    missing = [t for t in state if t not in found]
-    if missing:
-        raise RuntimeError(f"exact quantiles did not converge in {max_rounds} rounds for {missing[:3]}; "
-                           "use exact=False")
+    found: dict = {}
+    if state:
+        bid_of, brackets, wanted = {}, {}, {}
+        for (c, r), (lo, hi, below, _) in state.items():
+            bid = bid_of.setdefault((c, lo, hi), len(bid_of))
+            brackets[bid] = (c, lo, hi)
+            wanted.setdefault(bid, set()).add(r - below)
+        res = _resolve(df, brackets, wanted)
+        found = {(c, r): res[(bid_of[(c, lo, hi)], r - below)] for (c, r), (lo, hi, below, _) in state.items()}
     out = {}
     for (c, q), pl in plan.items():
         if pl is None:

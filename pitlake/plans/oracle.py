@@ -50,7 +50,7 @@ SQL: dict[str, str] = {}
 SQL["bars"] = f"WITH {EV} SELECT * FROM bars"
 
 SQL["base_grid"] = f"""WITH {EV} SELECT ticker, date FROM grid
-WHERE date BETWEEN (SELECT min(date) FROM cal) AND (SELECT max(date) FROM cal)"""
+WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-24'"""
 
 SQL["join_daily"] = f"""WITH {EV}
 SELECT g.ticker, g.date, {', '.join(f'b.{c} AS feat_{c}_bars' for c in BARS_COLS)}
@@ -188,14 +188,16 @@ SQL["lookahead"] = GOLD_WITH + " UNION ALL ".join(
 SQL["silver_orders"] = """SELECT o_orderkey, o_custkey AS ticker, o_orderstatus, o_totalprice AS amount, o_orderpriority,
   CAST(o_orderdate AS DATE) AS effective_date FROM orders"""
 
-SQL["silver_union"] = """SELECT user_id, ts, value AS amount, CAST(NULL AS VARCHAR) AS props FROM events WHERE event_type = 'purchase'
-UNION ALL SELECT user_id, ts, CAST(NULL AS DOUBLE), props FROM events WHERE event_type = 'signup'"""
+SQL["silver_union"] = """SELECT user_id, ts, CASE WHEN event_type = 'purchase' THEN value END AS amount,
+  CASE WHEN event_type IN ('signup', 'error') THEN props END AS props, CASE WHEN event_type = 'view' THEN event_id END AS view_id,
+  CASE WHEN event_type = 'click' THEN event_id END AS click_id, CASE WHEN event_type = 'error' THEN value END AS error_value
+FROM events WHERE event_type IN ('purchase', 'signup', 'view', 'click', 'error')"""
 
 CODES = """codes AS (
   SELECT l_orderkey, l_linenumber, code, code || CASE WHEN starts_with(code, '6') THEN '.SH' ELSE '.SZ' END AS ticker
   FROM (SELECT l_orderkey, l_linenumber,
-               lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 1000000 AS VARCHAR), 6, '0') AS code
-        FROM lineitem))"""
+               CASE WHEN length(c) < 6 THEN lpad(c, 6, '0') ELSE c END AS code
+        FROM (SELECT *, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS c FROM lineitem)))"""
 SQL["exchange_code"] = f"WITH {CODES} SELECT * FROM codes"
 
 SQL["dedupe_last"] = """SELECT ticker, date, l_orderkey, l_linenumber, l_extendedprice, l_quantity FROM (
@@ -329,3 +331,85 @@ LEFT JOIN pxi p1 ON p1.ticker = g.ticker AND p1.idx = g.idx + 1
 LEFT JOIN pxi p5 ON p5.ticker = g.ticker AND p5.idx = g.idx + 5
 LEFT JOIN pxi p20 ON p20.ticker = g.ticker AND p20.idx = g.idx + 20
 ASOF LEFT JOIN ret r ON r.ticker = g.ticker AND g.date >= r.date"""
+
+# ------------------- gaps, missing and repeated prices, times, look-ahead
+WEEKDAY = "dayofweek(date) NOT IN (0, 6)"
+SHIP_BARS = """px AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS p FROM lineitem GROUP BY 1, 2),
+days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem),
+cal AS (SELECT date FROM days WHERE dayofweek(date) NOT IN (0, 6)),
+grid AS (SELECT s_suppkey AS ticker, d.date FROM supplier CROSS JOIN days d)"""
+
+SQL["labels_gapped"] = f"WITH {SHIP_BARS}" + _labels_sql("grid", "px", "cal")
+
+SQL["calendar_gapped"] = f"""SELECT date, 1 AS is_trade, lag(date) OVER (ORDER BY date) AS prev_trade_date,
+       lead(date) OVER (ORDER BY date) AS next_trade_date
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem) WHERE {WEEKDAY}"""
+
+WCAL = f"""wcal AS (SELECT date FROM cal WHERE {WEEKDAY}),
+wci AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS idx FROM wcal),
+wgrid AS (SELECT u.ticker, c.date, c.idx FROM uni u CROSS JOIN wci c)"""
+
+SQL["avail_shift_gapped"] = f"""WITH {EV}, {WCAL},
+m0 AS (SELECT m.*, (SELECT min(idx) FROM wci WHERE wci.date >= m.date) AS i0 FROM market m)
+SELECT m0.date, m0.n_events, m0.max_value, c1.date AS eff_t1, c5.date AS eff_t5
+FROM m0 LEFT JOIN wci c1 ON c1.idx = m0.i0 + 1 LEFT JOIN wci c5 ON c5.idx = m0.i0 + 5"""
+
+SQL["gold_gapped"] = f"""WITH {EV}, {WCAL}, pxi AS (SELECT b.ticker, c.idx, b.close AS p FROM bars b JOIN wci c USING (date))
+SELECT g.ticker, g.date, {', '.join(f'b.{c} AS feat_{c}_bars' for c in BARS_COLS)},
+       s.signup_value AS feat_signup_value_signup, s.signup_ts AS feat_signup_ts_signup, s.date AS effective_date_signup,
+       w.max_purchase AS feat_max_purchase_weekly, w.n_purchases AS feat_n_purchases_weekly, w.date AS effective_date_weekly,
+""" + ", ".join(
+    f"CASE WHEN p0.p IS NOT NULL AND p{h}.p IS NOT NULL AND p0.p <> 0 "
+    f"THEN greatest(-2000.0, least(2000.0, 10000 * (p{h}.p / p0.p - 1))) END AS r_{h}d, "
+    f"CASE WHEN p0.p IS NULL OR p{h}.p IS NULL OR p0.p = 0 THEN 1 ELSE 0 END AS label_na_{h}d" for h in (1, 5, 20)) + """
+FROM wgrid g LEFT JOIN bars b ON b.ticker = g.ticker AND b.date = g.date
+LEFT JOIN pxi p0 ON p0.ticker = g.ticker AND p0.idx = g.idx
+""" + "\n".join(f"LEFT JOIN pxi p{h} ON p{h}.ticker = g.ticker AND p{h}.idx = g.idx + {h}" for h in (1, 5, 20)) + """
+ASOF LEFT JOIN signup s ON s.ticker = g.ticker AND g.date >= s.date
+ASOF LEFT JOIN weekly w ON g.date >= w.date"""
+
+SQL["labels_nan"] = f"""WITH {EV},
+bad AS (SELECT DISTINCT user_id AS ticker, CAST(ts AS DATE) AS date FROM events WHERE event_type = 'error'),
+px AS (SELECT b.ticker, b.date, CASE WHEN x.ticker IS NOT NULL THEN NULL WHEN b.volume = 1 THEN 0.0 ELSE b.close END AS p
+       FROM bars b LEFT JOIN bad x ON x.ticker = b.ticker AND x.date = b.date)""" + _labels_sql("grid", "px", "cal")
+
+SQL["labels_dup"] = """WITH
+px AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, arg_max(l_extendedprice, (l_orderkey, l_linenumber)) AS p
+       FROM lineitem GROUP BY 1, 2),
+cal AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem),
+grid AS (SELECT s_suppkey AS ticker, c.date FROM supplier CROSS JOIN cal c)""" + _labels_sql("grid", "px", "cal")
+
+SQL["asof_market_ts"] = """WITH s AS (
+  SELECT ts, arg_max(value, event_id) AS error_value, max(event_id) AS error_id FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT e.event_id, e.ts, s.error_id AS feat_error_id_errors, s.error_value AS feat_error_value_errors, s.ts AS effective_date_errors
+FROM events e ASOF LEFT JOIN s ON e.ts >= s.ts"""
+
+SQL["asof_day_time"] = f"""WITH {EV}, s AS (
+  SELECT user_id AS ticker, CAST(ts AS DATE) AS day, arg_max(value, (ts, event_id)) AS signup_value,
+         arg_max(event_id, (ts, event_id)) AS signup_id, max(ts) AS ts
+  FROM events WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT g.ticker, g.date, s.signup_value AS feat_signup_value_signups, s.signup_id AS feat_signup_id_signups,
+       s.ts AS effective_date_signups
+FROM grid g ASOF LEFT JOIN s ON s.ticker = g.ticker AND g.date >= s.day"""
+
+SQL["panel_available"] = f"""WITH {EV}, {WCAL},
+m0 AS (SELECT m.*, (SELECT min(idx) FROM wci WHERE wci.date >= m.date) + 1 AS i FROM market m),
+m1 AS (SELECT c.date AS eff, arg_max(n_events, m0.date) AS n_events, arg_max(max_value, m0.date) AS max_value
+       FROM m0 JOIN wci c ON c.idx = m0.i GROUP BY 1),
+b0 AS (SELECT b.*, (SELECT min(wcal.date) FROM wcal WHERE wcal.date >= b.date) AS eff FROM bars b),
+b1 AS (SELECT * FROM b0 WHERE eff IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ticker, eff ORDER BY date DESC) = 1)
+SELECT g.ticker, g.date, {', '.join(f'b.{c} AS feat_{c}_bars' for c in BARS_COLS)}, b.eff AS effective_date_bars,
+       m.n_events AS feat_n_events_market, m.max_value AS feat_max_value_market, m.eff AS effective_date_market
+FROM wgrid g LEFT JOIN b1 b ON b.ticker = g.ticker AND b.eff = g.date LEFT JOIN m1 m ON m.eff = g.date"""
+
+SQL["lookahead_violations"] = f"""WITH {EV}, {WCAL},
+m0 AS (SELECT m.date, (SELECT min(idx) FROM wci WHERE wci.date >= m.date) + 1 AS i FROM market m),
+j AS (SELECT g.date, c.date AS eff FROM wgrid g LEFT JOIN m0 ON m0.date = g.date LEFT JOIN wci c ON c.idx = m0.i)
+SELECT 'effective_date_market' AS column, CAST(sum(CASE WHEN eff > date THEN 1 ELSE 0 END) AS BIGINT) AS violations,
+       sum(CASE WHEN eff > date THEN 1 ELSE 0 END) = 0 AS passed FROM j"""
+
+SQL["split_inside"] = """SELECT date, CASE
+  WHEN date >= DATE '1993-01-01' AND date < DATE '1995-01-01' THEN 'train'
+  WHEN date >= DATE '1995-01-03' AND date < DATE '1997-01-01' THEN 'validation'
+  WHEN date >= DATE '1997-01-01' AND date <= DATE '1998-06-30' THEN 'test' END AS split
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)"""

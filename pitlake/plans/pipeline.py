@@ -43,7 +43,8 @@ def silver_prices(spark: SparkSession, prices_path: str) -> DataFrame:
 
 
 def build(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
-          calendar: DataFrame | None = None, horizons=(1, 5, 20), silver: DataFrame | None = None) -> Replay:
+          calendar: DataFrame | None = None, horizons=(1, 5, 20), silver: DataFrame | None = None,
+          avail=None) -> Replay:
     """Silver prices, trading calendar (the price dates when none is given,
     T8), gold features over the window, labels over the full history, gold.
     ``silver`` replaces the raw read with an already written silver table."""
@@ -54,7 +55,7 @@ def build(spark: SparkSession, prices_path: str, universe_path: str, window_path
     cal = enrich_calendar(calendar)                               # W3 columns
     lo, hi = window_bounds(read_window(spark, window_path))
     grid = base_grid(read_universe(spark, universe_path), calendar, lo, hi)
-    features = assemble(grid, [(PRICE, silver), (CALENDAR, cal)], calendar=calendar)
+    features = assemble(grid, [(PRICE, silver), (CALENDAR, cal)], calendar=calendar, avail=avail)
     px_col = first_matching(features.columns, "adj_close_hfq")
     prices = silver.select("ticker", F.col("effective_date").alias("date"), "adj_close_hfq")
     labels = forward_labels(features.select("ticker", "date", px_col), prices, calendar, "adj_close_hfq",
@@ -85,7 +86,7 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
     write_jsonl(to_cpt(counted), f"{out_dir}/exports/cpt/{name}_cpt_{suffix}.jsonl")
     write_jsonl(to_sft(g), f"{out_dir}/exports/sft/{name}_sft_{suffix}.jsonl")
     write_txt(to_txt(g), f"{out_dir}/exports/txt/{name}_{suffix}_preview.txt")
-    summary = stats_summary(g)
+    summary = stats_summary(g, reuse=False)      # g is a written table
     na = label_na_report(g)
     look = lookahead_audit(g)
     write_stats(summary, f"{out_dir}/exports/stats/stats_summary_{suffix}.csv")

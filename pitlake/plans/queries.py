@@ -36,6 +36,9 @@ def events_grid(bars: DataFrame) -> DataFrame:
     return base_grid(tb.event_universe(bars), tb.event_calendar(bars))
 
 
+GRID_WINDOW = ("2024-01-05", "2024-01-24")
+
+
 # 1 ------------------------------------------------------------- S4, P11, bars
 def q_bars(spark: SparkSession, sf: str) -> DataFrame:
     return tb.event_bars(_events(spark, sf))
@@ -45,9 +48,8 @@ def q_bars(spark: SparkSession, sf: str) -> DataFrame:
 def q_base_grid(spark, sf):
     bars = tb.event_bars(_events(spark, sf))
     cal = tb.event_calendar(bars)
-    # window = first..last trading day of the data (S5 semantics, inclusive)
-    lo_hi = cal.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return base_grid(tb.event_universe(bars), cal, lo_hi["lo"], lo_hi["hi"])
+    # an inclusive window (P6) that cuts the calendar on both sides
+    return base_grid(tb.event_universe(bars), cal, *GRID_WINDOW)
 
 
 # 3 ------------------------------------------------------------ J2, J3, P5
@@ -222,16 +224,20 @@ def q_silver_orders(spark, sf):
 
 def q_silver_union(spark, sf):
     ev = _events(spark, sf)
-    purchases = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("amount"))
-    signups = ev.where(F.col("event_type") == "signup").select("user_id", "ts", "props")
-    return union_sources([purchases, signups])
+    of = lambda kind: ev.where(F.col("event_type") == kind)
+    purchases = of("purchase").select("user_id", "ts", F.col("value").alias("amount"))
+    signups = of("signup").select("user_id", "ts", "props")
+    views = of("view").select("user_id", "ts", F.col("event_id").alias("view_id"))
+    clicks = of("click").select("user_id", "ts", F.col("event_id").alias("click_id"))
+    errors = of("error").select("user_id", "ts", F.col("value").alias("error_value"), "props")
+    return union_sources([purchases, signups, views, clicks, errors])
 
 
 def lineitem_codes(li: DataFrame) -> DataFrame:
-    """6-digit codes with leading zeros: the last six digits of the price in cents."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1000000
-    code = F.lpad(cents.cast("string"), 6, "0")
-    return li.select("l_orderkey", "l_linenumber", code.alias("code"), ticker_of(code).alias("ticker"))
+    """Codes of each line: its price in cents, with leading zeros up to six digits, or whole if longer."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
+    ticker = ticker_of(cents)
+    return li.select("l_orderkey", "l_linenumber", F.regexp_extract(ticker, r"^(\d+)", 1).alias("code"), ticker.alias("ticker"))
 
 
 def q_exchange_code(spark, sf):
@@ -320,7 +326,117 @@ def q_is_member(spark, sf):
     return membership(od, cust.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("ticker")))
 
 
+# 12 ------------------------- gaps, missing and repeated prices, times, look-ahead
+def weekdays(cal: DataFrame) -> DataFrame:
+    """The calendar without its Saturdays and Sundays: sources still have rows on them."""
+    return cal.where(~F.dayofweek("date").isin(1, 7))
+
+
+def q_labels_gapped(spark, sf):
+    """Labels over a calendar with gaps; prices on closed days cannot be seen."""
+    li = tb.load(spark, sf, "lineitem")
+    cal = weekdays(tb.lineitem_calendar(li))
+    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), tb.lineitem_calendar(li))
+    return forward_labels(grid, tb.lineitem_bars(li), cal, "price")
+
+
+def q_calendar_gapped(spark, sf):
+    return enrich_calendar(weekdays(tb.lineitem_calendar(tb.load(spark, sf, "lineitem"))))
+
+
+def q_avail_shift_gapped(spark, sf):
+    bars = tb.event_bars(_events(spark, sf))
+    cal = weekdays(tb.event_calendar(bars))
+    m = shift_available(tb.market_daily(bars), cal, "T_plus_1", out="eff_t1")
+    return shift_available(m, cal, "T_plus_5", out="eff_t5")
+
+
+def q_gold_gapped(spark, sf):
+    """Fused gold on weekdays; signups and weekly reports dated on closed days wait for the next open one."""
+    ev = _events(spark, sf)
+    bars = tb.event_bars(ev)
+    cal = weekdays(tb.event_calendar(bars))
+    return assemble_gold(base_grid(tb.event_universe(bars), cal), cal, daily=[AsofSource("bars", bars)],
+                         slow=[AsofSource("signup", tb.signup_source(ev), tie_break=PANEL_TIES["signup"])],
+                         market_slow=[AsofSource("weekly", tb.weekly_purchase_report(ev))], labels=LabelSpec(bars, "close"))
+
+
+def q_labels_nan(spark, sf):
+    """A day's close is NaN where the user had an error that day, and zero where the day had one event."""
+    ev = _events(spark, sf)
+    bars = tb.event_bars(ev)
+    bad = ev.where(F.col("event_type") == "error").select(F.col("user_id").alias("ticker"), F.to_date("ts").alias("date"), F.lit(True).alias("bad")).distinct()
+    px = bars.join(bad, ["ticker", "date"], "left").withColumn(
+        "close", F.when(F.col("bad"), float("nan")).when(F.col("volume") == 1, 0.0).otherwise(F.col("close"))).drop("bad")
+    return forward_labels(events_grid(bars), px, tb.event_calendar(bars), "close")
+
+
+def q_labels_dup(spark, sf):
+    """Several raw prices a day: the last by (order, line) counts (A6 inside W2)."""
+    li = tb.load(spark, sf, "lineitem")
+    px = li.select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), "l_extendedprice", "l_orderkey", "l_linenumber")
+    cal = tb.lineitem_calendar(li)
+    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
+    return forward_labels(grid, px, cal, "l_extendedprice", price_order=["l_orderkey", "l_linenumber"])
+
+
+def q_asof_market_ts(spark, sf):
+    """Every event against the latest error event of any user at or before it, in time."""
+    ev = _events(spark, sf)
+    errors = ev.where(F.col("event_type") == "error").select("ts", F.col("event_id").alias("error_id"), F.col("value").alias("error_value"))
+    return asof_join(ev.select("event_id", "ts"), AsofSource("errors", errors, tie_break=["error_id"]), by=None, date="ts")
+
+
+def q_asof_day_time(spark, sf):
+    """Days against a source with times: the last signup of the latest day that has one."""
+    ev = _events(spark, sf)
+    src = (ev.where(F.col("event_type") == "signup")
+           .select(F.col("user_id").alias("ticker"), F.col("ts").alias("date"), F.col("value").alias("signup_value"), F.col("event_id").alias("signup_id")))
+    return asof_join(events_grid(tb.event_bars(ev)), AsofSource("signups", src, tie_break=["signup_id"]), by="ticker")
+
+
+AVAIL_RULES = {"market": "T_plus_1", "bars": "T_day_1500"}
+
+
+def q_panel_available(spark, sf):
+    """The panel by availability: market numbers are seen a trading day later."""
+    ev = _events(spark, sf)
+    bars = tb.event_bars(ev)
+    cal = weekdays(tb.event_calendar(bars))
+    return assemble(base_grid(tb.event_universe(bars), cal), [("bars", bars), ("market", tb.market_daily(bars))],
+                    freqs={"bars": "D", "market": "D"}, calendar=cal, avail=AVAIL_RULES)
+
+
+def q_lookahead_violations(spark, sf):
+    """The audit of a naive same-day join of T_plus_1 numbers: every joined row sees the future."""
+    bars = tb.event_bars(_events(spark, sf))
+    cal = weekdays(tb.event_calendar(bars))
+    market = shift_available(tb.market_daily(bars), cal, "T_plus_1", out="effective_date_market")
+    naive = base_grid(tb.event_universe(bars), cal).join(market, "date", "left")
+    return lookahead_audit(naive)
+
+
+# fixed bounds, both boundary days of a gap and of a change among the ship days
+SPLITS_INSIDE = (("train", "1993-01-01", "1995-01-01"), ("validation", "1995-01-03", "1997-01-01"), ("test", "1997-01-01", "1998-06-30"))
+
+
+def q_split_inside(spark, sf):
+    """Splits whose bounds lie inside the ship days, so each branch and boundary occurs."""
+    return assign_split(tb.lineitem_calendar(tb.load(spark, sf, "lineitem")), SPLITS_INSIDE)
+
+
 QUERIES = {
+    "labels_gapped": q_labels_gapped,
+    "calendar_gapped": q_calendar_gapped,
+    "avail_shift_gapped": q_avail_shift_gapped,
+    "gold_gapped": q_gold_gapped,
+    "labels_nan": q_labels_nan,
+    "labels_dup": q_labels_dup,
+    "asof_market_ts": q_asof_market_ts,
+    "asof_day_time": q_asof_day_time,
+    "panel_available": q_panel_available,
+    "lookahead_violations": q_lookahead_violations,
+    "split_inside": q_split_inside,
     "bars": q_bars,
     "base_grid": q_base_grid,
     "join_daily": q_join_daily,

@@ -8,7 +8,6 @@ the session the cluster gives it.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,27 +36,4 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating one only in local mode.
-
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; we read
-    it and never replace it.  A machine-local folder is only chosen when the
-    setting is unset and the master is local (tests, benches).
-    """
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir()
-    if cur:
-        return cur
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
-    d = tempfile.mkdtemp(prefix="pitlake-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir()

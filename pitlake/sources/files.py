@@ -35,14 +35,17 @@ def read_prices(spark: SparkSession, path: str, schema: T.StructType = PRICE_SCH
     """All per-ticker price CSVs under ``path`` in one scan.
 
     The ticker comes from each file's name (``_metadata.file_path``), so a
-    thousand files are one parallel read rather than a thousand jobs.
+    thousand files are one parallel read rather than a thousand jobs; a file
+    whose name holds no ticker fails the read.
     """
     df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
           .csv(path))
     fp = F.col("_metadata.file_path")
     code = F.regexp_extract(fp, _PRICE_FILE, 1)
     exch = F.regexp_extract(fp, _PRICE_FILE, 2)
-    return df.select(F.concat(code, F.lit("."), exch).alias("ticker"), *schema.fieldNames())
+    unknown = F.raise_error(F.concat(F.lit("no ticker in the name of price file "), fp)).cast("string")
+    ticker = F.when(code == "", unknown).otherwise(F.concat(code, F.lit("."), exch))
+    return df.select(ticker.alias("ticker"), *schema.fieldNames())
 
 
 def read_universe(spark: SparkSession, path: str, with_weight: bool = False) -> DataFrame:

@@ -166,7 +166,3 @@ def freq_of(interface_id: str) -> str | None:
         if i == interface_id:
             return f
     return None
-
-
-def is_registered(interface_id: str) -> bool:
-    return freq_of(interface_id) is not None

@@ -6,6 +6,8 @@ stage before them is a lazy DataFrame.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overw
     """One dataset per interface at ``base/interface=<id>``.
 
     ``buckets`` stores a keyed source bucketed (and sorted) by entity as the
-    catalog table ``silver_<id>`` (see :func:`read_silver`).  Gold assembly
+    catalog table of that folder (see :func:`read_silver`).  Gold assembly
     over sources bucketed alike -- same key, same bucket count -- runs its
     entity windows without shuffling them: the shuffle is paid once, when
     silver is written, not on every gold build.
@@ -31,22 +33,29 @@ def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overw
     if buckets and key in df.columns:
         sort = [c for c in (key, date) if c in df.columns]
         (df.write.mode(mode).bucketBy(buckets, key).sortBy(*sort).option("path", path)
-         .saveAsTable(silver_table(interface_id)))
-    else:
-        # a plain write replaces any bucketed table registered for this interface
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {silver_table(interface_id)}")
-        df.write.mode(mode).parquet(path)
+         .saveAsTable(silver_table(base, interface_id)))
+        return path
+    name = silver_table(base, interface_id)
+    if df.sparkSession.catalog.tableExists(name):
+        if mode != "overwrite":
+            raise ValueError(f"{path} is a bucketed table; write to it with its buckets")
+        # the folder's files are replaced by unbucketed ones: its table entry goes with them
+        df.sparkSession.sql(f"DROP TABLE {name}")
+    df.write.mode(mode).parquet(path)
     return path
 
 
-def silver_table(interface_id: str) -> str:
-    return "silver_" + "".join(ch if ch.isalnum() else "_" for ch in interface_id)
+def silver_table(base: str, interface_id: str) -> str:
+    """Catalog name of one folder's bucketed table: another base, or an id
+    that differs in its signs only, has another name."""
+    place = hashlib.md5(f"{base.rstrip('/')}\n{interface_id}".encode()).hexdigest()[:12]
+    return "silver_" + "".join(ch if ch.isalnum() else "_" for ch in interface_id) + "_" + place
 
 
 def read_silver(spark, base: str, interface_id: str):
     """Silver of one interface: the bucketed catalog table when there is one
     (it carries the bucketing), else the plain parquet folder."""
-    name = silver_table(interface_id)
+    name = silver_table(base, interface_id)
     if spark.catalog.tableExists(name):
         return spark.table(name)
     return spark.read.parquet(f"{base.rstrip('/')}/interface={interface_id}")
