@@ -148,9 +148,9 @@ def test_hot_key_reduced_map_side(spark):
 def test_market_source_uniqueness_check(spark):
     import pytest
     mkt = spark.createDataFrame([(D("2024-01-03"), 9.0), (D("2024-01-03"), 8.0)], "date date, x double")
-    with pytest.raises(ValueError):
-        join_daily(_left(spark), mkt, "m", check_unique=True)
-    assert join_daily(_left(spark), mkt, "m").count() == 6          # default: fan out like the reference
+    with pytest.raises(Exception, match="several rows"):
+        join_daily(_left(spark), mkt, "m").collect()
+    assert join_daily(_left(spark), mkt, "m", check_unique=False).count() == 6      # on request: fan out like the reference
 
 
 def test_bare_asof_prefix(spark):

@@ -1,0 +1,136 @@
+"""Nothing is cut, invented or assumed: codes, missing prices, times, stated properties, silver folders."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from pitlake.functions.scalar import label_na, return_bps, target_text, ticker_of
+from pitlake.operators.gold import LabelSpec, assemble_gold
+from pitlake.operators.joins import AsofSource, asof_join
+from pitlake.operators.labels import forward_labels
+from pitlake.operators.normalise import normalise_source
+from pitlake.operators.panel import assemble
+from pitlake.sources.files import read_prices
+from pitlake.sources.sinks import read_silver, write_silver
+
+
+def D(s):
+    return dt.date.fromisoformat(s)
+
+
+def T(s):
+    return dt.datetime.fromisoformat(s)
+
+
+DAYS = [D("2024-01-02"), D("2024-01-03"), D("2024-01-05")]
+
+
+@pytest.fixture()
+def cal(spark):
+    return spark.createDataFrame([(d,) for d in DAYS], "date date")
+
+
+@pytest.fixture()
+def grid(spark):
+    return spark.createDataFrame([("A", d) for d in DAYS], "ticker string, date date")
+
+
+def test_codes_stay_whole(spark):
+    df = spark.createDataFrame([("651",), ("600519",), ("6005191",), ("6005192",)], "c string")
+    assert [r[0] for r in df.select(ticker_of("c")).collect()] == ["000651.SZ", "600519.SH", "6005191.SH", "6005192.SH"]
+
+
+def test_code_is_taken_from_its_place(spark):
+    from pitlake.sources.registry import KEY_COLUMNS
+
+    iface, code_col = next((i, c) for i, (c, d) in KEY_COLUMNS.items() if c is not None)
+    values = ["600519", "sh600519", "360 Security/601360", "6005191", "no code 7", None, "000651.SZ"]
+    df = spark.createDataFrame([(v, "2024-01-02") for v in values], f"`{code_col}` string, date string")
+    got = [r.ticker for r in normalise_source(df, iface).collect()]
+    assert got == ["600519.SH", "600519.SH", "601360.SH", "6005191.SH", None, None, "000651.SZ"]
+
+
+def test_key_from_the_task(spark):
+    from pitlake.sources.registry import KEY_COLUMNS
+
+    iface = next(i for i, (c, d) in KEY_COLUMNS.items() if c is None)
+    df = spark.createDataFrame([(1.0, "2024-01-02")], "x double, date string")
+    assert normalise_source(df, iface, ticker="600519.SH").first().ticker == "600519.SH"
+    assert "ticker" not in normalise_source(df, iface).columns
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(10.0, nan), (nan, 10.0), (nan, nan), (10.0, 11.0), (0.0, 1.0), (None, 1.0)], "p double, q double")
+    rows = df.select(return_bps("p", "q").alias("r"), label_na("p", "q").alias("n")).collect()
+    assert [r.n for r in rows] == [1, 1, 1, 0, 1, 1]
+    assert [r.r for r in rows] == [None, None, None, pytest.approx(1000.0), None, None]
+    text = spark.createDataFrame([(nan, 0), (12.9, 0), (None, 0), (3.0, 1)], "l double, n int").select(target_text("l", "n")).collect()
+    assert [r[0] for r in text] == ["LABEL_NA=1", "12", "LABEL_NA=1", "LABEL_NA=1"]
+
+
+def test_repeated_prices(spark, grid, cal):
+    px = spark.createDataFrame([("A", DAYS[0], 10.0, 1), ("A", DAYS[1], 20.0, 1), ("A", DAYS[1], 10.1, 2)], "ticker string, date date, p double, o int")
+    with pytest.raises(Exception, match="several prices"):
+        forward_labels(grid, px, cal, "p", (1,)).collect()
+    with pytest.raises(Exception, match="several prices"):
+        assemble_gold(grid, cal, labels=LabelSpec(px, "p", (1,))).collect()
+    for out in (forward_labels(grid, px, cal, "p", (1,), price_order=["o"]), assemble_gold(grid, cal, labels=LabelSpec(px, "p", (1,), price_order=["o"]))):
+        assert {r.date: r.r_1d for r in out.collect()}[DAYS[0]] == pytest.approx(100.0)
+
+
+def test_stated_properties_are_held(spark, grid, cal):
+    twice = spark.createDataFrame([("A", DAYS[0], 1.0), ("A", DAYS[0], 2.0)], "ticker string, date date, v double")
+    with pytest.raises(Exception, match="several rows"):
+        assemble_gold(grid, cal, daily=[AsofSource("s", twice)]).collect()
+    off = spark.createDataFrame([("A", D("2024-01-01"), 7.0)], "ticker string, date date, v double")
+    with pytest.raises(Exception, match="not in the calendar"):
+        assemble_gold(grid, cal, slow=[AsofSource("s", off, on_calendar=True)]).collect()
+    assert [r.feat_v_s for r in assemble_gold(grid, cal, slow=[AsofSource("s", off)]).collect()] == [7.0, 7.0, 7.0]
+    closed = grid.unionByName(spark.createDataFrame([("A", D("2024-01-04"))], "ticker string, date date"))
+    with pytest.raises(Exception, match="not in the calendar"):
+        assemble_gold(closed, cal, slow=[AsofSource("s", off)]).collect()
+    assert assemble_gold(closed, cal, slow=[AsofSource("s", off)], grid_on_calendar=False).count() == 4
+
+
+def test_market_asof_does_not_see_later_times(spark):
+    left = spark.createDataFrame([(1, T("2024-01-02 09:00:00")), (2, T("2024-01-02 16:00:00")), (3, T("2024-01-09 00:00:00")), (4, None)], "k int, t timestamp")
+    src = spark.createDataFrame([(T("2024-01-02 15:00:00"), 5.0), (T("2023-12-30 10:00:00"), 1.0)], "t timestamp, v double")
+    got = {r.k: r.feat_v_s for r in asof_join(left, AsofSource("s", src), by=None, date="t").collect()}
+    assert got == {1: 1.0, 2: 5.0, 3: 5.0, 4: None}
+
+
+def test_day_against_times_takes_the_last_of_the_day(spark, grid):
+    src = spark.createDataFrame([("A", T("2024-01-02 09:00:00"), 1.0), ("A", T("2024-01-02 17:00:00"), 2.0), ("A", T("2024-01-02 12:00:00"), 3.0)],
+                                "ticker string, date timestamp, v double")
+    for tie in (None, ["v"]):
+        assert {r.feat_v_s for r in asof_join(grid, AsofSource("s", src, tie_break=tie)).collect()} == {2.0}
+    market = src.drop("ticker")
+    assert {r.feat_v_s for r in asof_join(grid, AsofSource("s", market), by=None).collect()} == {2.0}
+
+
+def test_availability_rule_moves_a_source(spark, grid, cal):
+    mkt = spark.createDataFrame([(d, float(k)) for k, d in enumerate(DAYS)], "date date, v double")
+    out = assemble(grid, [("m", mkt)], freqs={"m": "D"}, calendar=cal, avail={"m": "T_plus_1"})
+    assert {r.date: (r.feat_v_m, r.effective_date_m) for r in out.collect()} == {DAYS[0]: (None, None), DAYS[1]: (0.0, DAYS[1]), DAYS[2]: (1.0, DAYS[2])}
+
+
+def test_silver_of_another_folder(spark, tmp_path):
+    df = spark.createDataFrame([("A", DAYS[0], 1.0)], "ticker string, date date, v double")
+    one, two = str(tmp_path / "b1"), str(tmp_path / "b2")
+    write_silver(df, one, "a-b", buckets=2)
+    write_silver(df.withColumn("v", F.lit(2.0)), two, "a-b")
+    write_silver(df.withColumn("v", F.lit(3.0)), one, "a_b")
+    assert [read_silver(spark, b, i).first().v for b, i in ((one, "a-b"), (two, "a-b"), (one, "a_b"))] == [1.0, 2.0, 3.0]
+    with pytest.raises(ValueError):
+        write_silver(df, one, "a-b", mode="append")
+
+
+def test_price_file_without_a_ticker(spark, tmp_path):
+    from conftest import FIXTURES
+
+    lines = open(f"{FIXTURES}/price_600519SH.csv", encoding="utf-8").read()
+    (tmp_path / "price_430047BJ.csv").write_text(lines, encoding="utf-8")
+    with pytest.raises(Exception, match="no ticker"):
+        read_prices(spark, str(tmp_path / "price_*.csv")).collect()

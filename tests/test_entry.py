@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from pitlake.plans.queries import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver test data not present")
 
@@ -16,8 +17,8 @@ def test_entry_smoke(spark):
     assert df.columns[:2] == ["ticker", "date"] and df.count() > 0
 
 
-def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_panel_query_has_oracle():
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
 def _norm(rows, cols):
@@ -35,7 +36,7 @@ def _norm(rows, cols):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("region nation customer supplier part orders lineitem events").split():
