@@ -2,23 +2,29 @@
 verification, full-set confirmation, and connected components.
 
 1. One pass makes each document's set of distinct 5-word shingles (64-bit
-   fingerprints) and from it HASHES multiply-add minima, hashed band by band
-   into BANDS keys, and one byte of each minimum for verification.
+   fingerprints) and from it HASHES multiply-add minima: the first BANDS *
+   ROWS are hashed band by band into keys, and one byte of each is kept for
+   verification.
 2. Documents of equal word sequences form a class, represented by its
    smallest id: copies are never compared.
 3. In each bucket (equal band key) every member is compared with the bucket's
    smallest id, its hub: as many pairs as rows.  Signatures that agree in too
-   few places are dropped (the bound is over five standard deviations below
-   the threshold), the others are confirmed on full sets.
+   few places are dropped (the bound is 3.5 standard deviations below the
+   threshold), the others are confirmed on full sets.
 4. Components of the confirmed links are built.  A bucket all of whose members
    are in one component cannot join anything more.  In the other buckets the
-   members of different components are compared with each other, so that no
-   link is lost where a member is near another member but not near the hub.
+   members outside the largest component, the strays, are compared by their
+   signatures with the members of other components, in blocks.  First each
+   stray's likeliest partner is confirmed on full sets, as many pairs as rows,
+   which joins nearly all of what belongs together; then, with the strays that
+   remain, every pair whose signatures agree.  So no link is lost where a
+   member is near another member but not near the hub.
 5. Components again, over all links; each document gets its class's.
 
 Hot buckets, hubs and classes are split (``attach``, salted verification).
 With BANDS bands of ROWS minima a pair at the threshold has no common bucket
-with a chance of 2 in 10,000, less above it.
+with a chance of 2 in 10,000, and signatures that agree in too few places with
+a chance of 2 in 10,000; above the threshold both chances fall steeply.
 
 Defined cases: null and empty texts, or texts without words, have no shingles
 and link with nothing; fewer than five words make one shingle; a null id is
@@ -32,6 +38,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,14 +47,13 @@ from pitlake.llm.components import components
 from pitlake.llm.texts import over_texts
 from pitlake.llm.words import Rolling, WordHashes, words_of
 
-SHINGLE, BANDS, ROWS = 5, 32, 5
-HASHES = BANDS * ROWS
+SHINGLE, BANDS, ROWS, HASHES = 5, 32, 5, 320
 #: similarity threshold, intersection over union, in hundredths
 THRESHOLD = 75
-#: places of HASHES that must agree: 0.75 less five standard deviations of the estimate
-AGREE = int(HASHES * (0.75 - 5 * (0.75 * 0.25 / HASHES) ** 0.5))
-#: members that one verification group compares with its hub
-GROUP = 400
+#: places of HASHES that must agree: 0.75 less 3.5 standard deviations of the estimate
+AGREE = int(HASHES * (0.75 - 3.5 * (0.75 * 0.25 / HASHES) ** 0.5))
+#: members that one verification group compares with its hub; members and strays that one task compares
+GROUP, BLOCK = 400, 2048
 #: shingles multiplied at a time
 STEP = 2048
 
@@ -96,7 +102,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 s = shingle_set(words, hashes, rolling)
                 if len(s):
                     m = minima(s)
-                    keys = band(m)[::ROWS]      # one hash of each run of ROWS minima
+                    keys = band(m[:BANDS * ROWS])[::ROWS]      # one hash of each run of ROWS minima
                     out.append((len(s), hashlib.md5(b" ".join(words)).digest(), keys.tobytes(), m.astype(np.uint8).tobytes()))
                 else:
                     out.append((0, None, None, None))
@@ -161,9 +167,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = written(_texts_of(docs, placed.select("rep").distinct(), id_col, text_col), "near-texts")
     links = verified(pairs, nodes, texts)
     found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-components")
-    more = _across(placed, found, pairs)
-    links = links.unionByName(verified(more, nodes, texts))
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    for every in (False, True):
+        more = verified(across(placed, found, nodes, every).join(pairs, ["a", "b"], "left_anti"), nodes, texts)
+        if more.isEmpty():
+            continue
+        # the stars found so far stand for the links they were made of
+        joined = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        found = written(components(joined), "near-components")
     known = written(classes.select("content", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
                     .select("content", "n", F.coalesce("component", "rep").alias("component_id")), "near-known")
     some = attach(some.select("doc_id", "n_shingles", "content"), known, ["content"], "n").select("doc_id", "n_shingles", "component_id")
@@ -175,16 +185,45 @@ def _texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> D
     return docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep", "left_semi").dropDuplicates(["rep"])
 
 
-def _across(placed: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket that are in different components and have not been compared."""
-    own = placed.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    own = written(own, "near-own")
-    still = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("c")).filter("low <> high")
+def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) of members of one bucket in different components whose
+    signatures agree: of each stray the likeliest one, or ``every`` one."""
+    own = written(placed.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")), "near-own")
+    parts = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    still = parts.groupBy("key").agg(F.max_by("comp", "n").alias("top"), F.sum("n").alias("c"), F.max("n").alias("most"))
     # a bucket of two that is still open holds one pair, and that has been compared
-    rows = written(attach(own, written(still.filter("c > 2"), "near-open"), ["key"], "c").select("key", "rep", "comp"), "near-open-rows")
-    other = rows.select("key", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"))
-    pairs = rows.join(other, "key").filter("comp <> comp2 AND rep < rep2").select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    still = written(still.filter("c > most AND c > 2"), "near-open")
+    rows = attach(own, still, ["key"], "c").join(nodes.select("rep", "n_shingles", "bands", "signature"), "rep")
+    blocks, stray_blocks = F.ceil(F.col("c") / BLOCK).cast("int"), F.ceil((F.col("c") - F.col("most")) / BLOCK).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    at = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    kept = ["key", "rep", "comp", "n_shingles", "bands", "signature"]
+    members = rows.select(*kept, F.lit(False).alias("stray"), at(blocks).alias("x"), each(stray_blocks).alias("y"))
+    strays = rows.filter("comp <> top").select(*kept, F.lit(True).alias("stray"), at(stray_blocks).alias("y"), each(blocks).alias("x"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        rep, comp, size = (t.column(c).to_numpy() for c in ("rep", "comp", "n_shingles"))
+        stray = t.column("stray").to_numpy(zero_copy_only=False)
+        signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
+        bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), np.uint64).reshape(-1, BANDS)
+        band = t.column("key")[0].as_py()[0] if len(t) else 0
+        m, s = np.flatnonzero(~stray), np.flatnonzero(stray)
+        out = []
+        for k in s:
+            ok = m[(comp[m] != comp[k]) & (np.minimum(size[m], size[k]) * 100 >= np.maximum(size[m], size[k]) * THRESHOLD)]
+            same = (signature[ok] == signature[k]).sum(axis=1)
+            # a pair that shares several buckets is taken in the first of them
+            take = (same >= AGREE) & ~(bands[ok, :band] == bands[k, :band]).any(axis=1)
+            ok, same = ok[take], same[take]
+            if len(ok) and not every:
+                ok, same = ok[[same.argmax()]], same[[same.argmax()]]
+            out += [(int(rep[k]), int(rep[j]), int(n)) for j, n in zip(ok, same)]
+        return pa.table([pa.array([o[c] for o in out], pa.int64()) for c in range(3)], ["s", "m", "same"])
+
+    pairs = members.unionByName(strays).groupBy("key", "x", "y").applyInArrow(compare, "s long, m long, same long")
+    if not every:
+        pairs = pairs.groupBy("s").agg(F.max_by("m", F.struct("same", "m")).alias("m"))
+    return pairs.select(F.least("s", "m").alias("a"), F.greatest("s", "m").alias("b")).distinct()
 
 
 def near_dedup_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
