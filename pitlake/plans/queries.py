@@ -70,10 +70,10 @@ def q_labels(spark, sf):
 
 
 def q_labels_lineitem(spark, sf):
-    li = tb.load(spark, sf, "lineitem")
-    cal = tb.lineitem_calendar(li)
+    bars = tb.lineitem_bars(tb.load(spark, sf, "lineitem"))
+    cal = tb.event_calendar(bars)               # the bars' days: their exchange is reused, lineitem is not read again
     grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
-    return forward_labels(grid, tb.lineitem_bars(li), cal, "price")
+    return forward_labels(grid, bars, cal, "price")
 
 
 # 5 ---------------------------------------------------------- J4, J5, O2
@@ -154,7 +154,7 @@ def q_gold_lineitem(spark, sf):
     """Fused gold on the supplier x ship-day panel (the large one)."""
     li = tb.load(spark, sf, "lineitem")
     bars = tb.lineitem_bars(li)
-    cal = tb.lineitem_calendar(li)
+    cal = tb.event_calendar(bars)
     grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
     return assemble_gold(
         grid, cal,

@@ -6,9 +6,9 @@ driver-side loop -- written to the hive-style landing table and recorded as
 done.  A task that produced no rows is not recorded, so the next run retries
 it.
 
-T-S1 turns the landing table into silver incrementally: every new landing
-file is processed exactly once, tracked by the stream's checkpoint (which
-replaces the reference's lock-protected checkpoint file).
+T-S1 turns the landing table into silver incrementally: new landing files are
+tracked by the stream's checkpoint (which replaces the reference's
+lock-protected checkpoint file), and each of their tasks is written as a whole.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pitlake.sources.sinks import RAW_PARTITIONS
 
 log = logging.getLogger(__name__)
 
+SILVER_PARTITIONS = ("interface", "task")
+
 
 def replay_ingest(spark: SparkSession, manifest: DataFrame, done_path: str, landing: str,
                   files_glob: str, schema: T.StructType, file_format: str = "csv",
@@ -83,16 +85,26 @@ def stream_ingest(spark: SparkSession, landing: str, silver: str, checkpoint: st
 
     ``trigger(availableNow=True)`` processes everything present at start in
     micro-batches of at most ``max_files_per_trigger`` files and ends;
-    rerunning picks up only new files.
+    rerunning picks up only new files.  Silver has one folder per interface
+    and task, and a batch rewrites the folders of its tasks as a whole, from
+    all their landed files: a task that is landed again, or whose files fall
+    into two batches, or a batch that is run again replaces its rows.
     Returns the finished ``StreamingQuery``.
     """
     src = (spark.readStream.schema(schema).option("basePath", landing)
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing))
-    df = rename_by_map(src, dict(columns_map or {}))
-    if date_col in df.columns and date_col != "date":
-        df = df.drop("date").withColumnRenamed(date_col, "date")
-    df = normalise_date(df)
-    q = (df.writeStream.format("parquet").option("path", silver).option("checkpointLocation", checkpoint)
-         .partitionBy("interface").trigger(availableNow=True).outputMode("append").start())
+
+    def rewrite(batch: DataFrame, _: int) -> None:
+        tasks = batch.select(*SILVER_PARTITIONS).distinct()         # a batch's files at most
+        df = (batch.sparkSession.read.schema(schema).option("basePath", landing).parquet(landing)
+              .join(F.broadcast(tasks), list(SILVER_PARTITIONS), "left_semi"))
+        df = rename_by_map(df, dict(columns_map or {}))
+        if date_col in df.columns and date_col != "date":
+            df = df.drop("date").withColumnRenamed(date_col, "date")
+        (normalise_date(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*SILVER_PARTITIONS).parquet(silver))
+
+    q = (src.writeStream.foreachBatch(rewrite).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

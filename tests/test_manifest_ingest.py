@@ -79,6 +79,10 @@ def test_replay_ingest_and_stream(spark, tmp_path):
     assert s1.count() == 426 and "effective_date" in s1.columns and "date" not in s1.columns
     stream_ingest(spark, landing, silver, ck, schema)           # no new files -> no new rows
     assert spark.read.parquet(silver).count() == 426
+    # a task landed again (new files, same rows) replaces its silver rows
+    replay_ingest(spark, man, str(tmp_path / "done_again"), landing, f"{FIXTURES}/price_*.csv", PRICE_SCHEMA)
+    stream_ingest(spark, landing, silver, ck, schema)
+    assert spark.read.parquet(silver).count() == 426
 
 
 def test_task_id_non_ascii_and_control_chars(spark):
