@@ -17,7 +17,8 @@ verification, full-set confirmation, and connected components.
    signatures with the members of other components, in blocks.  First each
    stray's likeliest partner is confirmed on full sets, as many pairs as rows,
    which joins nearly all of what belongs together; then, with the strays that
-   remain, every pair whose signatures agree.  So no link is lost where a
+   remain, every pair whose signatures agree is confirmed where it is found,
+   and the links alone leave the block.  So no link is lost where a
    member is near another member but not near the hub.
 5. Components again, over all links; each document gets its class's.
 
@@ -53,7 +54,7 @@ THRESHOLD = 75
 #: places of HASHES that must agree: 0.75 less 3.5 standard deviations of the estimate
 AGREE = int(HASHES * (0.75 - 3.5 * (0.75 * 0.25 / HASHES) ** 0.5))
 #: members that one verification group compares with its hub; members and strays that one task compares
-GROUP, BLOCK = 400, 2048
+GROUP, BLOCK = 400, 512
 #: shingles multiplied at a time
 STEP = 2048
 
@@ -68,6 +69,11 @@ def shingle_set(words: list[bytes], hashes: WordHashes, rolling: Rolling) -> np.
     return np.unique(rolling(h))
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
+
+
 class Minima:
     """The smallest value of each of HASHES functions a * x + b modulo 2^64 over a set."""
 
@@ -144,8 +150,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
                 if pd.isna(b):
                     hub = s                 # heads its members in the sorted partition
                     continue
-                common = len(np.intersect1d(hub, s, assume_unique=True))
-                if 100 * common >= THRESHOLD * (len(hub) + len(s) - common):
+                if _linked(hub, s):
                     linked.append((a, int(b)))
             yield pd.DataFrame(linked, columns=["a", "b"]).astype("int64")
 
@@ -168,7 +173,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = verified(pairs, nodes, texts)
     found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-components")
     for every in (False, True):
-        more = verified(across(placed, found, nodes, every).join(pairs, ["a", "b"], "left_anti"), nodes, texts)
+        more = across(placed, found, nodes, texts if every else None)
+        more = written(more, "near-links") if every else verified(more.join(pairs, ["a", "b"], "left_anti"), nodes, texts)
         if more.isEmpty():
             continue
         # the stars found so far stand for the links they were made of
@@ -185,19 +191,22 @@ def _texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> D
     return docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep", "left_semi").dropDuplicates(["rep"])
 
 
-def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
-    """Pairs (a, b) of members of one bucket in different components whose
-    signatures agree: of each stray the likeliest one, or ``every`` one."""
+def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of members of one bucket in different components: of each
+    stray the one whose signatures agree in most places, or with ``texts``
+    every pair whose signatures agree and whose full sets are linked."""
     own = written(placed.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")), "near-own")
     parts = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     still = parts.groupBy("key").agg(F.max_by("comp", "n").alias("top"), F.sum("n").alias("c"), F.max("n").alias("most"))
     # a bucket of two that is still open holds one pair, and that has been compared
     still = written(still.filter("c > most AND c > 2"), "near-open")
     rows = attach(own, still, ["key"], "c").join(nodes.select("rep", "n_shingles", "bands", "signature"), "rep")
+    rows = rows.join(texts, "rep") if texts is not None else rows.withColumn("text", F.lit(None).cast("string"))
     blocks, stray_blocks = F.ceil(F.col("c") / BLOCK).cast("int"), F.ceil((F.col("c") - F.col("most")) / BLOCK).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     at = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
-    kept = ["key", "rep", "comp", "n_shingles", "bands", "signature"]
+    kept = ["key", "rep", "comp", "n_shingles", "bands", "signature", "text"]
+    every = texts is not None
     members = rows.select(*kept, F.lit(False).alias("stray"), at(blocks).alias("x"), each(stray_blocks).alias("y"))
     strays = rows.filter("comp <> top").select(*kept, F.lit(True).alias("stray"), at(stray_blocks).alias("y"), each(blocks).alias("x"))
 
@@ -208,14 +217,25 @@ def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, every: bool) -
         bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), np.uint64).reshape(-1, BANDS)
         band = t.column("key")[0].as_py()[0] if len(t) else 0
         m, s = np.flatnonzero(~stray), np.flatnonzero(stray)
-        out = []
+        out, sets = [], {}
+        hashes, rolling = WordHashes(), Rolling(SHINGLE)
+
+        def full(k: int) -> np.ndarray:
+            """The full set of a row's document, made when it is first needed."""
+            if rep[k] not in sets:
+                sets[rep[k]] = shingle_set(words_of(t.column("text")[int(k)].as_py(), lower=True), hashes, rolling)
+            return sets[rep[k]]
+
         for k in s:
             ok = m[(comp[m] != comp[k]) & (np.minimum(size[m], size[k]) * 100 >= np.maximum(size[m], size[k]) * THRESHOLD)]
             same = (signature[ok] == signature[k]).sum(axis=1)
             # a pair that shares several buckets is taken in the first of them
             take = (same >= AGREE) & ~(bands[ok, :band] == bands[k, :band]).any(axis=1)
             ok, same = ok[take], same[take]
-            if len(ok) and not every:
+            if every:
+                linked = [_linked(full(k), full(j)) for j in ok]
+                ok, same = ok[linked], same[linked]
+            elif len(ok):
                 ok, same = ok[[same.argmax()]], same[[same.argmax()]]
             out += [(int(rep[k]), int(rep[j]), int(n)) for j, n in zip(ok, same)]
         return pa.table([pa.array([o[c] for o in out], pa.int64()) for c in range(3)], ["s", "m", "same"])
