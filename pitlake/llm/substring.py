@@ -9,7 +9,9 @@ also starts somewhere else, in the same document or another.
    two equal windows each holds a run that equals a block of the other.
    A run that occurs again and equals a block is an anchor.
 2. Only the windows around anchors are looked at again: a window is repeated
-   if its own 96-bit hash occurs again.  Neighbouring repeated windows merge
+   if its own hash occurs again (64 bits, and a second hash that chooses the
+   part: with P parts, equal hashes of unequal windows have a chance of one in
+   P * 2^64 a pair).  Neighbouring repeated windows merge
    into maximal exact repeats, which are removed.  Extension by counting needs
    no pairs of occurrences, so a passage in a third of all documents costs as
    much as any other text of its length.
@@ -46,9 +48,9 @@ WINDOW = 35
 PART_BYTES, DOC_BYTES, CHUNK = 12_000_000, 8_000_000, 4_000_000
 NULL_ID = -(1 << 63)
 #: packed arrays of entries (kind 0) and answers (kind 1)
-PACKED = "part int, kind int, dest int, hashes binary, extra binary, flags binary, ids binary, prints binary, counts binary, places binary"
+PACKED = "part int, kind int, dest int, hashes binary, flags binary, ids binary, prints binary, counts binary, places binary"
 NAMES = [c.split()[0] for c in PACKED.split(", ")]
-KINDS = [pa.int32()] * 3 + [pa.binary()] * 7
+KINDS = [pa.int32()] * 3 + [pa.binary()] * 6
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -75,22 +77,16 @@ def answers(owner: np.ndarray, places: np.ndarray, ids: np.ndarray, prints: np.n
     order = np.lexsort((places, owner, dest))
     owner, places, dest = owner[order], places[order], dest[order]
     cut = np.flatnonzero(np.r_[True, dest[1:] != dest[:-1], True]) if len(dest) else np.zeros(1, int)
-    return [(int(dest[a]) if part is None else part, 1, int(dest[a]), b"", b"", b"", *by_document(owner[a:z], places[a:z], ids, prints))
+    return [(int(dest[a]) if part is None else part, 1, int(dest[a]), b"", b"", *by_document(owner[a:z], places[a:z], ids, prints))
             for a, z in zip(cut[:-1], cut[1:])]
 
 
-def deal(h: np.ndarray, extra: np.ndarray, block: np.ndarray, owner: np.ndarray, places: np.ndarray, ids: np.ndarray, prints: np.ndarray,
-         hash_bytes: int, parts: int, doc_parts: int) -> list[tuple]:
-    """A task's rows: answers for the hashes it saw more than once, one entry for every hash."""
-    part, stored = (h >> np.uint64(40)) % np.uint64(parts), h
-    if hash_bytes < 8:
-        stored = h & np.uint64((1 << 8 * hash_bytes) - 1)
-    order = np.lexsort((extra, h)) if len(extra) else np.argsort(h, kind="stable")
+def deal(h: np.ndarray, part: np.ndarray, block: np.ndarray, owner: np.ndarray, places: np.ndarray, ids: np.ndarray, prints: np.ndarray,
+         hash_bytes: int, doc_parts: int) -> list[tuple]:
+    """A task's rows: answers for the hashes it saw more than once, one entry for every hash, in its part."""
+    order = np.argsort(h, kind="stable")
     s = h[order]
-    new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
-    if len(extra):
-        new[1:] |= extra[order][1:] != extra[order][:-1]
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.zeros(0, int)
     sizes = np.diff(np.append(starts, len(s)))
     known = np.repeat(sizes > 1, sizes)
     rows = answers(owner[order][known], places[order][known], ids, prints, doc_parts)
@@ -108,8 +104,7 @@ def deal(h: np.ndarray, extra: np.ndarray, block: np.ndarray, owner: np.ndarray,
         k = at[a:z]
         k = np.concatenate([k[flag[k] < 2], k[flag[k] >= 2]])
         asked = k[flag[k] < 2]
-        rows.append((int(part[k[0]]), 0, -1, planes(stored[k], hash_bytes), extra[k].astype("<u4").tobytes() if len(extra) else b"",
-                     np.packbits(flag[k] & 1).tobytes(), *by_document(owner[asked], places[asked], ids, prints)))
+        rows.append((int(part[k[0]]), 0, -1, planes(h[k], hash_bytes), np.packbits(flag[k] & 1).tobytes(), *by_document(owner[asked], places[asked], ids, prints)))
     return rows
 
 
@@ -118,18 +113,14 @@ def find_repeated(rows: dict, hash_bytes: int, need_block: bool, doc_parts: int)
     h = unplanes(rows["hashes"], hash_bytes)
     if not len(h):
         return []
-    extra = np.frombuffer(b"".join(rows["extra"]), "<u4")
     sizes = [len(b) // hash_bytes for b in rows["hashes"]]
     block = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(rows["flags"], sizes)])
     ids, prints, places = places_of(rows)
     # entries that want an answer come first in each row; number them as the places are
     asked = [int(np.frombuffer(c, "<u4").sum()) for c in rows["counts"]]
     number = np.concatenate([np.r_[np.arange(a), np.full(n - a, -1 << 40)] + o for a, n, o in zip(asked, sizes, np.cumsum([0, *asked]))])
-    order = np.lexsort((extra, h)) if len(extra) else np.argsort(h, kind="stable")
-    new = np.r_[True, h[order][1:] != h[order][:-1]]
-    if len(extra):
-        new[1:] |= extra[order][1:] != extra[order][:-1]
-    starts = np.flatnonzero(new)
+    order = np.argsort(h, kind="stable")
+    starts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
     runs = np.diff(np.append(starts, len(h)))
     hit = runs > 1
     if need_block:
@@ -189,8 +180,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 found = [rolling(hashes.of(words)) if len(words) >= window else np.zeros(0, np.uint64) for words in map(words_of, texts_[a:z])]
                 n = np.array([len(f) for f in found])
                 places = np.concatenate([np.arange(x) for x in n])
-                rows = deal(np.concatenate(found), np.zeros(0, np.uint32), places % block == 0, np.repeat(np.arange(z - a), n), places,
-                            keys[a:z], np.zeros(z - a, np.uint64), 5, parts, doc_parts)
+                h = np.concatenate(found)
+                rows = deal(h, (h >> np.uint64(40)) % np.uint64(parts), places % block == 0, np.repeat(np.arange(z - a), n), places,
+                            keys[a:z], np.zeros(z - a, np.uint64), 5, doc_parts)
                 yield from _table(rows).to_batches()
 
     anchors = _exchange(named.select("key", "text").mapInArrow(probe, PACKED), 5, True, doc_parts)
@@ -218,14 +210,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
             start = np.flatnonzero(np.cumsum(near[:-1]) > 0)
             h = hashes.of(words)
             h1.append(one(h)[start])
-            h2.append((two(h)[start] >> np.uint64(32)).astype(np.uint32))
+            h2.append(two(h)[start] % np.uint64(parts))
             owner.append(np.full(len(start), k))
             places.append(start)
             prints[k] = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
         if not h1:
             return _table([])
-        h1, h2, owner, places = map(np.concatenate, (h1, h2, owner, places))
-        return _table(deal(h1, h2, np.zeros(len(h1), bool), owner, places, keys, np.array(prints, np.uint64), 8, parts, doc_parts))
+        h1, part, owner, places = map(np.concatenate, (h1, h2, owner, places))
+        return _table(deal(h1, part, np.zeros(len(h1), bool), owner, places, keys, np.array(prints, np.uint64), 8, doc_parts))
 
     by_dest = lambda df: df.groupBy("dest")
     windows = by_dest(laid).cogroup(by_dest(anchors)).applyInArrow(extend, PACKED)
