@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from pitlake.operators.calendar import shift_available
 from pitlake.operators.joins import AsofSource, asof_join, join_daily, lineage_name
@@ -25,14 +26,26 @@ log = logging.getLogger(__name__)
 
 
 def available(src: DataFrame, calendar: DataFrame, rule: str, key: str = "ticker", date: str = "date",
-              avail_col: str | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+              avail_col: str | None = None, daily: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
     """D4 before a join: ``src`` dated by the trading day it may be used from,
-    also kept as ``effective_date``.  Of several rows of a key that become
-    usable on one day the latest counts; a row that never does is left out."""
+    also kept as ``effective_date``; a row that never is used is left out.
+
+    Of the rows of a key that become usable on one day those of an earlier
+    source date are superseded.  A ``daily`` source keeps every row of the
+    latest source day, so repeated keys fan out (J2) and a market-wide source
+    is held to one row a day (T5).  Of an as-of source the latest row counts,
+    by ``tie_break`` among equals, or without one the largest (as in J4)."""
+    rest = [c for c in src.columns if c not in (key, date)]
     shifted = shift_available(src, calendar, rule, date=date, avail_col=avail_col, out="__eff")
     keys = [c for c in (key,) if c in src.columns]
     dated = shifted.where("__eff IS NOT NULL").withColumnRenamed(date, "__src").withColumnRenamed("__eff", date)
-    return dedupe_last(dated, [*keys, date], ["__src", *tie_break]).drop("__src").withColumn("effective_date", F.col(date))
+    if daily:
+        day = F.col("__src").cast("date")
+        latest = F.max(day).over(W.partitionBy(*keys, date))
+        kept = dated.withColumn("__last", latest).where(day.eqNullSafe(F.col("__last"))).drop("__last")
+    else:
+        kept = dedupe_last(dated, [*keys, date], ["__src", *(tie_break or rest)])
+    return kept.drop("__src").withColumn("effective_date", F.col(date))
 
 
 def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
@@ -75,7 +88,7 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
                 if calendar is None:
                     raise ValueError("availability rules need the calendar")
                 rule, col = rules[iface] if isinstance(rules[iface], tuple) else (rules[iface], None)
-                src = available(src, calendar, rule, key, date, col, ties)
+                src = available(src, calendar, rule, key, date, col, freq in EQUI_FREQS, ties)
             if freq in EQUI_FREQS:
                 out = join_daily(out, src, iface, key=key, date=date)
                 if rules.get(iface):

@@ -116,6 +116,23 @@ def test_availability_rule_moves_a_source(spark, grid, cal):
     assert {r.date: (r.feat_v_m, r.effective_date_m) for r in out.collect()} == {DAYS[0]: (None, None), DAYS[1]: (0.0, DAYS[1]), DAYS[2]: (1.0, DAYS[2])}
 
 
+def test_availability_keeps_repeated_rows_of_a_day(spark, grid, cal):
+    sat, sun = D("2024-01-06"), D("2024-01-07")
+    more = cal.unionByName(spark.createDataFrame([(D("2024-01-08"),)], "date date"))
+    wide = grid.unionByName(spark.createDataFrame([("A", D("2024-01-08"))], "ticker string, date date"))
+    # two reasons of one stock and day; of a weekend's notices those of the later day
+    lhb = spark.createDataFrame([("A", DAYS[0], "x"), ("A", DAYS[0], "y"), ("A", DAYS[1], "z")], "ticker string, date date, v string")
+    out = assemble(grid, [("stock_lhb_detail_daily_sina", lhb)], calendar=cal, avail="registry")
+    got = sorted((r.date, r.feat_v_stock_lhb_detail_daily_sina or "", r.effective_date_stock_lhb_detail_daily_sina) for r in out.collect())
+    assert got == [(DAYS[0], "", None), (DAYS[1], "x", DAYS[1]), (DAYS[1], "y", DAYS[1]), (DAYS[2], "z", DAYS[2])]
+    notes = spark.createDataFrame([("A", sat, sat, "old"), ("A", sun, sun, "x"), ("A", sun, sun, "y")], "ticker string, date date, ann date, v string")
+    out = assemble(wide, [("stock_notice_report", notes)], calendar=more, avail={"stock_notice_report": ("announcement_date", "ann")})
+    assert sorted(r.feat_v_stock_notice_report for r in out.collect() if r.feat_v_stock_notice_report) == ["x", "y"]
+    market = spark.createDataFrame([(DAYS[0], 1.0), (DAYS[0], 2.0)], "date date, v double")
+    with pytest.raises(Exception, match="several rows"):
+        assemble(grid, [("m", market)], freqs={"m": "D"}, calendar=cal, avail={"m": "T_plus_1"}).collect()
+
+
 def test_silver_of_another_folder(spark, tmp_path):
     df = spark.createDataFrame([("A", DAYS[0], 1.0)], "ticker string, date date, v double")
     one, two = str(tmp_path / "b1"), str(tmp_path / "b2")
