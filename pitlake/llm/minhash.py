@@ -9,7 +9,7 @@ verification, full-set confirmation, and connected components.
    smallest id: copies are never compared.
 3. In each bucket (equal band key) every member is compared with the bucket's
    smallest id, its hub: as many pairs as rows.  Signatures that agree in too
-   few places are dropped (the bound is 3.5 standard deviations below the
+   few places are dropped (the bound is five standard deviations below the
    threshold), the others are confirmed on full sets.
 4. Components of the confirmed links are built.  A bucket all of whose members
    are in one component cannot join anything more.  In the other buckets the
@@ -25,7 +25,7 @@ verification, full-set confirmation, and connected components.
 Hot buckets, hubs and classes are split (``attach``, salted verification).
 With BANDS bands of ROWS minima a pair at the threshold has no common bucket
 with a chance of 2 in 10,000, and signatures that agree in too few places with
-a chance of 2 in 10,000; above the threshold both chances fall steeply.
+a chance of 4 in 10 million; above the threshold both chances fall steeply.
 
 Defined cases: null and empty texts, or texts without words, have no shingles
 and link with nothing; fewer than five words make one shingle; a null id is
@@ -51,8 +51,8 @@ from pitlake.llm.words import Rolling, WordHashes, words_of
 SHINGLE, BANDS, ROWS, HASHES = 5, 32, 5, 320
 #: similarity threshold, intersection over union, in hundredths
 THRESHOLD = 75
-#: places of HASHES that must agree: 0.75 less 3.5 standard deviations of the estimate
-AGREE = int(HASHES * (0.75 - 3.5 * (0.75 * 0.25 / HASHES) ** 0.5))
+#: places of HASHES that must agree: 0.75 less five standard deviations of the estimate
+AGREE = int(HASHES * (0.75 - 5 * (0.75 * 0.25 / HASHES) ** 0.5))
 #: members that one verification group compares with its hub; members and strays that one task compares
 GROUP, BLOCK = 400, 512
 #: shingles multiplied at a time

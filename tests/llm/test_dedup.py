@@ -1,6 +1,7 @@
 """Operators 1, 9 and 10 against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -150,6 +151,13 @@ def test_signature_bound_is_below_threshold():
     assert 0.6 < minhash.AGREE / minhash.HASHES < 0.69
 
 
+def test_signature_bound_loses_next_to_nothing():
+    """The binomial tail below the bound for a pair at the threshold, whose bytes also agree by chance."""
+    n, p = minhash.HASHES, 0.75 + 0.25 / 256
+    assert sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(minhash.AGREE)) < 1e-6
+    assert minhash.AGREE / n < 0.65
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
