@@ -5,10 +5,10 @@ verification, full-set confirmation, and connected components.
    fingerprints) and from it HASHES multiply-add minima: the first BANDS *
    ROWS are hashed band by band into keys, and one byte of each is kept for
    verification.
-2. Documents of equal word sequences form a class, represented by its
-   smallest id: copies are never compared.
+2. Documents of equal word sequences form a class, which has a node number and
+   its smallest id's text: copies are never compared.
 3. In each bucket (equal band key) every member is compared with the bucket's
-   smallest id, its hub: as many pairs as rows.  Signatures that agree in too
+   smallest node, its hub: as many pairs as rows.  Signatures that agree in too
    few places are dropped (the bound is five standard deviations below the
    threshold), the others are confirmed on full sets.
 4. Components of the confirmed links are built.  A bucket all of whose members
@@ -20,7 +20,8 @@ verification, full-set confirmation, and connected components.
    remain, every pair whose signatures agree is confirmed where it is found,
    and the links alone leave the block.  So no link is lost where a
    member is near another member but not near the hub.
-5. Components again, over all links; each document gets its class's.
+5. Components again, over all links; each document gets the smallest id of
+   its class's component.
 
 Hot buckets, hubs and classes are split (``attach``, salted verification).
 With BANDS bands of ROWS minima a pair at the threshold has no common bucket
@@ -29,8 +30,11 @@ a chance of 4 in 10 million; above the threshold both chances fall steeply.
 
 Defined cases: null and empty texts, or texts without words, have no shingles
 and link with nothing; fewer than five words make one shingle; a null id is
-a document that is its own component (null); rows that repeat an id count as
-one node; an empty table gives no rows; extra columns are never read.
+a document that is its own component (null); rows that repeat an id are told
+apart by their texts: each text has its own component, named by its smallest
+id, and where the smallest id has several texts in one component, those of the
+least content hash are kept; an empty table gives no rows; extra columns are
+never read.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import attach, keep_documents, written
+from pitlake.llm.common import attach, written
 from pitlake.llm.components import components
 from pitlake.llm.texts import over_texts
 from pitlake.llm.words import Rolling, WordHashes, words_of
@@ -123,7 +127,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     """The pairs (a, b) that are linked: signatures first, then full sets."""
     pairs = written(pairs, "near-pairs")
     per_hub = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_hub")), "near-hubs")
-    side = lambda x: classes.select(F.col("rep").alias(x), F.col("signature").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     hubs = written(per_hub.join(side("a"), "a"), "near-hub-signatures")
 
     @F.pandas_udf("int")
@@ -135,9 +139,9 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     # the smaller set can hold at most all of the intersection
     near = near.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * THRESHOLD).filter(agreeing("s_a", "s_b") >= AGREE)
     near = written(near.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n_hub") / GROUP)).alias("salt")), "near-checked")
-    text = texts.select(F.col("rep"), "text")
-    members = near.join(text, near["b"] == text["rep"]).select("a", "salt", "b", "text")
-    heads = near.select("a", "salt").distinct().join(text, F.col("a") == F.col("rep")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    text = texts.select("node", "text")
+    members = near.join(text, near["b"] == text["node"]).select("a", "salt", "b", "text")
+    heads = near.select("a", "salt").distinct().join(text, F.col("a") == F.col("node")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
     laid = heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def confirm(frames):
@@ -159,17 +163,31 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id and kept."""
-    signed = written(signatures(docs, id_col, text_col), "near-signatures")
+    return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The text and ``row``, which tells documents apart: the id and a hash of the text."""
+    return docs.select(F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("print")).alias("row"), F.col(text_col).alias("text"))
+
+
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_groups`` with the hash of the text, print."""
+    signed = written(signatures(_named(docs, id_col, text_col), "row", "text").select("doc_id.*", "n_shingles", "content", "bands", "signature"), "near-signatures")
     some = signed.filter("n_shingles > 0")
-    classes = written(some.groupBy("content").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_shingles"),
-                                                  F.first("bands").alias("bands"), F.first("signature").alias("signature")), "near-classes")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "print")))
+    classes = some.groupBy("content").agg(first.alias("first"), F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_shingles"),
+                                          F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    # the numbers hold once they are written
+    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), F.col("first.doc_id").alias("rep"), F.col("first.print").alias("print"),
+                                     "content", "n", "n_shingles", "bands", "signature"), "near-classes")
     nodes = classes.filter(F.col("rep").isNotNull())
-    bands = nodes.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.concat(
+    bands = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.concat(
         F.unhex(F.lpad(F.hex(i), 2, "0")), F.substring("bands", i * 8 + 1, F.lit(8))))).alias("key"))
-    buckets = written(bands.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1"), "near-buckets")
+    buckets = written(bands.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1"), "near-buckets")
     placed = written(attach(bands, buckets, ["key"], "c"), "near-placed")      # rows that share a bucket with another
-    pairs = placed.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    texts = written(_texts_of(docs, placed.select("rep").distinct(), id_col, text_col), "near-texts")
+    pairs = placed.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    texts = written(_texts_of(docs, nodes.join(placed.select("node").distinct(), "node", "left_semi"), id_col, text_col), "near-texts")
     links = verified(pairs, nodes, texts)
     found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-components")
     for every in (False, True):
@@ -180,38 +198,43 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         # the stars found so far stand for the links they were made of
         joined = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
         found = written(components(joined), "near-components")
-    known = written(classes.select("content", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
-                    .select("content", "n", F.coalesce("component", "rep").alias("component_id")), "near-known")
-    some = attach(some.select("doc_id", "n_shingles", "content"), known, ["content"], "n").select("doc_id", "n_shingles", "component_id")
-    none = signed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = written(classes.select("node", "content", "rep", "n").join(found, "node", "left").select("content", "rep", "n", F.coalesce("component", "node").alias("comp")), "near-own-classes")
+    least = F.min(F.when(F.col("rep").isNotNull(), F.struct("rep", "content")))
+    heads = written(own.groupBy("comp").agg(least.alias("head"), F.count(F.lit(1)).alias("n_classes")), "near-heads")
+    known = written(attach(own, heads, ["comp"], "n_classes")
+                    .select("content", "n", F.col("head.rep").alias("component_id"), F.coalesce(F.col("head.content") == F.col("content"), F.lit(True)).alias("first")), "near-known")
+    some = attach(some.select("doc_id", "print", "n_shingles", "content"), known, ["content"], "n").select("doc_id", "print", "n_shingles", "component_id", "first")
+    none = signed.filter("n_shingles = 0").select("doc_id", "print", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return some.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("first")).drop("first")
 
 
-def _texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep", "left_semi").dropDuplicates(["rep"])
+def _texts_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """node and text of ``nodes``: the text of the class's smallest id that has the class's content."""
+    texts = _named(docs, id_col, text_col).select(F.col("row.doc_id").cast("long").alias("rep"), F.col("row.print").alias("print"), "text")
+    return texts.join(nodes.select("rep", "print", "node"), ["rep", "print"]).dropDuplicates(["rep", "print"]).select("node", "text")
 
 
 def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of members of one bucket in different components: of each
     stray the one whose signatures agree in most places, or with ``texts``
     every pair whose signatures agree and whose full sets are linked."""
-    own = written(placed.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")), "near-own")
+    own = written(placed.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")), "near-own")
     parts = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     still = parts.groupBy("key").agg(F.max_by("comp", "n").alias("top"), F.sum("n").alias("c"), F.max("n").alias("most"))
     # a bucket of two that is still open holds one pair, and that has been compared
     still = written(still.filter("c > most AND c > 2"), "near-open")
-    rows = attach(own, still, ["key"], "c").join(nodes.select("rep", "n_shingles", "bands", "signature"), "rep")
-    rows = rows.join(texts, "rep") if texts is not None else rows.withColumn("text", F.lit(None).cast("string"))
+    rows = attach(own, still, ["key"], "c").join(nodes.select("node", "n_shingles", "bands", "signature"), "node")
+    rows = rows.join(texts, "node") if texts is not None else rows.withColumn("text", F.lit(None).cast("string"))
     blocks, stray_blocks = F.ceil(F.col("c") / BLOCK).cast("int"), F.ceil((F.col("c") - F.col("most")) / BLOCK).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    at = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
-    kept = ["key", "rep", "comp", "n_shingles", "bands", "signature", "text"]
+    at = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    kept = ["key", "node", "comp", "n_shingles", "bands", "signature", "text"]
     every = texts is not None
     members = rows.select(*kept, F.lit(False).alias("stray"), at(blocks).alias("x"), each(stray_blocks).alias("y"))
     strays = rows.filter("comp <> top").select(*kept, F.lit(True).alias("stray"), at(stray_blocks).alias("y"), each(blocks).alias("x"))
 
     def compare(t: pa.Table) -> pa.Table:
-        rep, comp, size = (t.column(c).to_numpy() for c in ("rep", "comp", "n_shingles"))
+        node, comp, size = (t.column(c).to_numpy() for c in ("node", "comp", "n_shingles"))
         stray = t.column("stray").to_numpy(zero_copy_only=False)
         signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
         bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), np.uint64).reshape(-1, BANDS)
@@ -222,9 +245,9 @@ def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFra
 
         def full(k: int) -> np.ndarray:
             """The full set of a row's document, made when it is first needed."""
-            if rep[k] not in sets:
-                sets[rep[k]] = shingle_set(words_of(t.column("text")[int(k)].as_py(), lower=True), hashes, rolling)
-            return sets[rep[k]]
+            if node[k] not in sets:
+                sets[node[k]] = shingle_set(words_of(t.column("text")[int(k)].as_py(), lower=True), hashes, rolling)
+            return sets[node[k]]
 
         for k in s:
             ok = m[(comp[m] != comp[k]) & (np.minimum(size[m], size[k]) * 100 >= np.maximum(size[m], size[k]) * THRESHOLD)]
@@ -237,7 +260,7 @@ def across(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFra
                 ok, same = ok[linked], same[linked]
             elif len(ok):
                 ok, same = ok[[same.argmax()]], same[[same.argmax()]]
-            out += [(int(rep[k]), int(rep[j]), int(n)) for j, n in zip(ok, same)]
+            out += [(int(node[k]), int(node[j]), int(n)) for j, n in zip(ok, same)]
         return pa.table([pa.array([o[c] for o in out], pa.int64()) for c in range(3)], ["s", "m", "same"])
 
     pairs = members.unionByName(strays).groupBy("key", "x", "y").applyInArrow(compare, "s long, m long, same long")
@@ -251,6 +274,6 @@ def near_dedup_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with one row of each near-duplicate group: the smallest id's (one row, if it repeats)."""
-    kept = near_groups(docs).filter("kept").select("doc_id").distinct()
-    return keep_documents(docs, kept)
+    """Documents with one text of each near-duplicate group: the smallest id's (each row of it, if it repeats)."""
+    kept = _grouped(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("print").alias("__print")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & (F.xxhash64(docs["text"]) == kept["__print"]), "left_semi")

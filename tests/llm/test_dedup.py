@@ -147,6 +147,21 @@ def test_near_stage(spark, no_docs):
     assert near_dedup_stage(spark, no_docs, "").count() == 0
 
 
+def test_near_repeated_id_with_two_texts(spark):
+    """An id's texts have a component each: a link of either is found, and a clean text stays."""
+    rng = random.Random(7)
+    base = [[f"{g}{rng.randint(0, 9999)}" for _ in range(150)] for g in "abcd"]
+    text, near = [" ".join(w) for w in base], [" ".join([*w[:149], "x"]) for w in base]
+    # 13 has a near copy of 5 and a clean text; 20 has the first texts of two groups; 30 has two near texts
+    pairs = [(5, text[0]), (13, near[0]), (13, text[1]), (20, text[2]), (20, "e f g h i j k"), (21, near[2]), (22, "e f g h i j  k"), (30, text[3]), (30, near[3])]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    got = {(r.doc_id, r.text) for r in near_dedup_stage(spark, docs, "").collect()}
+    clean = {(5, text[0]), (13, text[1]), (20, text[2]), (20, "e f g h i j k")}
+    assert clean < got and len(got) == len(clean) + 1 and max(got)[0] == 30
+    rows = order((r.doc_id, r.component_id) for r in near_groups(docs).collect())
+    assert rows == order([(5, 5), (13, 5), (13, 13), (20, 20), (20, 20), (21, 20), (22, 20), (30, 30), (30, 30)])
+
+
 def test_signature_bound_is_below_threshold():
     assert 0.6 < minhash.AGREE / minhash.HASHES < 0.69
 
