@@ -42,8 +42,8 @@ KINDS = {
 }
 BASE = ("email", "ip", "card", "phone")
 CONTEXT, CONTEXT_GAIN, ADD_AT = 40, 0.35, 0.6
-#: lengths are summed in blocks of so many matches
-BLOCK = 256
+#: lengths are summed in blocks of so many matches; matches, of two code points at least, that reach over the context
+BLOCK, REACH = 256, CONTEXT // 2
 
 _append = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
 
@@ -60,6 +60,12 @@ def _before(lengths: Column) -> Column:
     return F.when(n > 0, F.flatten(inside)).otherwise(F.array().cast("array<int>"))
 
 
+def _tails(m: Column, p: Column) -> Column:
+    """The last CONTEXT code points of each piece and the match after it."""
+    last = lambda s: F.right(s, F.lit(CONTEXT))
+    return F.zip_with(m, F.slice(p, F.lit(1), F.size(m)), lambda a, b: last(F.concat(last(b), last(a))))
+
+
 def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
@@ -113,13 +119,17 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     spans = []
     for kind, (_, _, prior, words) in KINDS.items():
         m, p, b = F.col(f"m_{kind}"), F.col(f"p_{kind}"), F.col(f"b_{kind}")
-        near = lambda x: F.lower(F.right(x["p"], F.lit(CONTEXT))).rlike(f"(?<![a-z])(?:{words})")  # noqa: E731,B023
-        score = lambda x: F.least(F.lit(1.0), F.lit(prior) + F.when(near(x), CONTEXT_GAIN).otherwise(0.0))  # noqa: E731,B023
-        zipped = F.arrays_zip(m.alias("m"), F.slice(p, F.lit(1), F.size(m)).alias("p"), b.alias("b"))
+        before = lambda t, x: F.concat(F.array_join(F.slice(t, F.greatest(x["i"] - REACH + 1, F.lit(1)), F.least(x["i"], F.lit(REACH))), ""),
+                                       F.right(x["p"], F.lit(CONTEXT)))
+        near = lambda t, x: F.lower(F.right(before(t, x), F.lit(CONTEXT))).rlike(f"(?<![a-z])(?:{words})")  # noqa: E731,B023
+        score = lambda t, x: F.least(F.lit(1.0), F.lit(prior) + F.when(near(t, x), CONTEXT_GAIN).otherwise(0.0))  # noqa: E731,B023
+        zipped = F.arrays_zip(m.alias("m"), F.slice(p, F.lit(1), F.size(m)).alias("p"), b.alias("b"), F.transform(m, lambda _, i: i).alias("i"))
         valid = F.filter(zipped, lambda x: _valid(kind, x["m"]))  # noqa: B023
-        made = F.transform(valid, lambda x: F.struct(
+        # both arrays are made once: they are the one element's fields
+        once = F.array(F.struct(_tails(m, p).alias("t"), valid.alias("v")))
+        made = F.flatten(F.transform(once, lambda s: F.transform(s["v"], lambda x: F.struct(
             F.lit(kind).alias("kind"), (x["b"] + F.length(x["p"])).alias("start"),  # noqa: B023
-            (x["b"] + F.length(x["p"]) + F.length(x["m"])).alias("end"), score(x).alias("score"), x["m"].alias("value")))
+            (x["b"] + F.length(x["p"]) + F.length(x["m"])).alias("end"), score(s["t"], x).alias("score"), x["m"].alias("value")))))  # noqa: B023
         spans.append(made if kind in BASE else F.filter(made, lambda s: s["score"] >= ADD_AT))
     return df.select(F.col("__id").alias(id_col), F.concat(*spans).alias("spans"))
 

@@ -195,6 +195,22 @@ def test_pii_added_spans_and_scores(spark):
     assert spans[0].score == 1.0 and spans[1].score == 0.9
 
 
+def test_pii_context_reaches_over_earlier_matches(spark):
+    rng = random.Random(6)
+    texts = ["ssn 123-45-6789, 987-65-4321", "tel +1 555 123 4567; +1 555 123 4568, then some forty code points more of it: +1 555 123 4569", "ip 1.2.3.4,300.1.1.1,5.6.7.8"]
+    pieces = ["ssn ", "tel ", "visa ", "ip ", "12 34, ", "1 2;", "a.b@c.de ", "123-45-6789", "4111 1111 1111 1111", "+1 555 123 4567;", "1.2.3.4", "900.1.1.1 ", ", ", "x", "\U0001f600é "]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {r.doc_id: [(s.kind, s.value, round(s.score, 2)) for s in r.spans] for r in rows}
+    assert spans[0] == [("id", "123-45-6789", 0.65), ("id", "987-65-4321", 0.65)]
+    assert [x[2] for x in spans[1]] == [0.95, 0.95, 0.6] and [x[2] for x in spans[2]] == [0.95, 0.95]
+    for r in rows:
+        for s in r.spans:
+            _, _, prior, words = pii.KINDS[s.kind]
+            near = re.search(f"(?<![a-z])(?:{words})", texts[r.doc_id][max(0, s.start - 40):s.start].lower())
+            assert s.score == pytest.approx(min(1.0, prior + (0.35 if near else 0.0)))
+
+
 # ------------------------------------------------------------------ top-k
 def brute_top(vectors, k=10):
     ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
