@@ -7,13 +7,16 @@ The rates, a nonnegative number of expected copies per document, minimise
 
     sum over domains of (expected tokens - target)^2 / present tokens
 
-by projected gradient steps from rate 1.  In this scaling, and with a
-document's step taken per token, the largest curvature is 1, so a step of 1
-never overshoots.  The gradient needs the domains' token totals only: each
-iteration is one distributed pass whose rows are a few numbers per task.
-
-A document's rate follows from its posterior and the totals' errors so far,
-so no state per document is kept between the iterations.
+with, among its solutions, the rates nearest to 1 (a term of weight STIFF).
+Its dual has one number a domain: a document's rate is 1 less its posterior
+times these, held at the least rate, so no state per document is kept.  Newton
+steps with a line search solve the dual; each is one distributed pass whose
+rows are a few numbers per task, and weakly separated posteriors take no more
+steps than others.  The fit ends when the targets are met or when the dual's
+gradient, the residual of the optimality condition, is nought: then active
+bounds, or posteriors that are all alike, let nothing come nearer, which is
+logged.  If neither comes in STEPS passes the fit fails.  The query's rows have
+the target and the reached total of their domain.
 
 Defined cases: a null or empty text has no tokens, posterior equal to the
 domains' shares, and a rate like any other; a null id is carried through;
@@ -24,6 +27,8 @@ no rows; extra columns are never read.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +38,13 @@ from pitlake.llm.common import load, written
 from pitlake.llm.texts import over_texts
 from pitlake.llm.words import WordHashes, words_of
 
+log = logging.getLogger(__name__)
+
 CELLS, SMOOTH = 1 << 14, 0.5
 #: labelled rows that the classifier is fitted on
 SAMPLE = 20_000
-#: stop when every total is this near its best, or after so many steps
-NEAR, STEPS = 1e-4, 200
+#: weight of the rates' distance from 1; stop when every total is this near its target, or when the residual is this small; fail after so many passes
+STIFF, NEAR, STILL, STEPS = 1e-7, 1e-4, 1e-6, 200
 
 #: target share of tokens of each domain in the registered query and the pipeline
 TARGETS = {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14}
@@ -108,38 +115,58 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
 
 
 def fit_rates(soft: DataFrame, weights: np.ndarray, least: float = 0.0, budget: float | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Errors of the steps taken, target totals and reached totals.
+    """The dual solution (a list of one vector, or none if no step was needed), target totals and reached totals.
 
     ``budget`` is the number of tokens to mix; if None, the smallest one that
     asks no domain for less than it has.
     """
     k = len(weights)
 
-    def totals(errors: list[np.ndarray]) -> np.ndarray:
+    def look(dual: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """The totals at a dual point, their curvature over the rates that are free to move, and the rates' part of the dual's value."""
         def run(batches):
-            s = np.zeros(k)
+            s = np.zeros(k + k * k + 1)
             for b in batches:
-                p = _matrix(b.column(1), k)
-                s += (p * (b.column(0).to_numpy() * _rates(p, errors, least))[:, None]).sum(axis=0)
+                p, n = _matrix(b.column(1), k), b.column(0).to_numpy()
+                z = 1.0 - p @ dual
+                free = z >= least
+                s[:k] += (p * (n * np.maximum(least, z))[:, None]).sum(axis=0)
+                s[k:-1] += ((p * (n * free)[:, None]).T @ p).ravel()
+                s[-1] += (n * np.where(free, z * z / 2, least * z - least * least / 2)).sum()
             yield pa.RecordBatch.from_arrays([pa.array([s.tolist()], pa.list_(pa.float64()))], ["s"])
 
         rows = soft.select("n_tokens", "posterior").mapInArrow(run, "s array<double>")
-        got = rows.agg(*(F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(k))).first()
-        return np.array([x or 0.0 for x in got])
+        got = np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(k + k * k + 1))).first()])
+        return got[:k], got[k:-1].reshape(k, k), float(got[-1])
 
-    present = totals([])
+    dual = np.zeros(k)
+    now, curve, value = look(dual)
+    present = now / max(1.0, least)
     scale = np.maximum(present, 1.0)
     budget = budget if budget is not None else float((present / weights).max(initial=0.0))
-    target, now, errors = weights * budget, present, []
-    for _ in range(STEPS):
+    target, passes, root = weights * budget, 0, scale ** 0.5
+    whole = lambda d, v: STIFF / 2 * float((scale * d * d).sum()) + float(target @ d) + v
+    while True:
         e = (now - target) / scale
+        slope = STIFF * dual - e
+        errors = [dual] if dual.any() else []
         if np.abs(e).max(initial=0.0) < NEAR:
-            break
-        errors.append(e)
-        before, now = now, totals(errors)
-        if np.abs(now - before).max() < NEAR * 0.01 * max(1.0, target.max()):
-            break                       # the constraints let nothing come nearer
-    return errors, target, now
+            return errors, target, now
+        if np.abs(slope).max() < STILL:
+            log.warning("mixing: no free rate brings the totals nearer; target %s, reached %s", target.tolist(), now.tolist())
+            return errors, target, now
+        step = -np.linalg.solve(curve / np.outer(root, root) + STIFF * np.eye(k), slope * root) / root
+        down, size = float((slope * scale) @ step), 1.0
+        while True:
+            if passes == STEPS:
+                raise RuntimeError(f"mixing: not settled after {STEPS} passes; target {target.tolist()}, reached {now.tolist()}")
+            passes += 1
+            found = look(dual + size * step)
+            if whole(dual + size * step, found[2]) <= whole(dual, value) + 1e-4 * size * down + 1e-12 * abs(whole(dual, value)) or size < 1e-9:
+                break
+            size /= 4
+        dual = dual + size * step
+        now, curve, value = found
 
 
 def mixed(soft: DataFrame, errors: list[np.ndarray], domains: list[str], least: float = 0.0) -> DataFrame:
@@ -168,8 +195,10 @@ def mixing_query(spark: SparkSession, docs: DataFrame, sf_dir: str, targets: dic
     names = list(targets or TARGETS)
     weights = np.array([(targets or TARGETS)[d] for d in names])
     soft = written(posteriors(docs, learn_domains(docs, load(spark, sf_dir, "labels"), names, "lang")), "mix-posteriors")
-    errors, _, _ = fit_rates(soft, weights)
-    return mixed(soft, errors, names).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+    errors, target, reached = fit_rates(soft, weights)
+    of = lambda x: F.element_at(F.create_map(*(F.lit(v) for d, t in zip(names, x) for v in (d, float(t)))), F.col("domain"))
+    return (mixed(soft, errors, names).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+            .withColumn("domain_target", of(target)).withColumn("domain_reached", of(reached)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

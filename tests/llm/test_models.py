@@ -68,6 +68,21 @@ def test_rates_reach_targets(spark):
     assert (rates >= 1).all() and np.abs(again - rates).max() < 2e-2
 
 
+def test_mixing_of_weakly_separated_posteriors(spark, monkeypatch):
+    """Small steps are not the end: the targets are met where rates can meet them, and a fit that is cut short fails."""
+    rng = np.random.default_rng(5)
+    p = np.clip(0.5 + rng.normal(0, 0.004, 600), 0.45, 0.55)
+    soft = spark.createDataFrame([(k, 100, [float(x), float(1 - x)]) for k, x in enumerate(p)], "doc_id long, n_tokens long, posterior array<double>")
+    weights = np.array([0.501, 0.499])
+    errors, target, reached = mixing.fit_rates(soft, weights, budget=60_000.0)
+    assert np.abs(reached - target).max() < 1e-3 * target.max() / 5
+    rates = mixing._rates(np.c_[p, 1 - p], errors, 0.0)
+    assert (np.c_[p, 1 - p] * rates[:, None] * 100).sum(axis=0) == pytest.approx(reached)
+    monkeypatch.setattr(mixing, "STEPS", 0)
+    with pytest.raises(RuntimeError, match="not settled"):
+        mixing.fit_rates(soft, weights, budget=60_000.0)
+
+
 def test_mixing_query(spark):
     docs = load(spark, SF, "documents")
     rows = mixing.mixing_query(spark, docs, SF).join(docs.select("doc_id", "lang"), "doc_id").collect()
