@@ -30,7 +30,7 @@ trading-day index for the label frames, which costs a second sort.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -40,8 +40,9 @@ from pyspark.sql.window import Window as W
 
 from pitlake.functions.scalar import label_na, return_bps
 from pitlake.operators.calendar import calendar_index, first_trading_index
-from pitlake.operators.joins import AsofSource, _expand, _reduce_source, add_lineage, asof_join, one_row_per_day
+from pitlake.operators.joins import AsofSource, _expand, _reduce_source, add_lineage, asof_join, lineage_name, one_row_per_day
 from pitlake.operators.labels import price_at, price_rows
+from pitlake.operators.panel import avail_rules, available
 
 HORIZONS = (1, 5, 20)
 
@@ -59,7 +60,8 @@ class LabelSpec:
 def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSource] = (),
                   slow: Sequence[AsofSource] = (), market_daily: Sequence[tuple[str, DataFrame]] = (),
                   market_slow: Sequence[AsofSource] = (), labels: LabelSpec | None = None,
-                  key: str = "ticker", date: str = "date", grid_on_calendar: bool = True) -> DataFrame:
+                  key: str = "ticker", date: str = "date", grid_on_calendar: bool = True,
+                  avail: Mapping[str, str | tuple[str, str]] | str | None = None) -> DataFrame:
     """Gold table = grid + every source's features (+ labels), one grid shuffle.
 
     ``daily`` sources have one row per (key, date), and the query fails on a
@@ -68,12 +70,34 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     paths give identical tables.  ``grid_on_calendar`` states that every grid
     date is a trading day (true for :func:`base_grid`), which allows the
     single-sort plan; the query fails on another date.
+
+    ``avail`` gives sources' availability rules as in :func:`assemble`; a daily
+    source with a rule keeps its day as ``effective_date_<source>``.
     """
     cal_idx = calendar_index(calendar)
     cal = F.broadcast(cal_idx.select(F.col("date").alias("__d"), F.col("idx").alias("__i")))  # one row per day
     # work on copies: the caller's source specs stay as they are
     daily = [replace(s, keep_date_as=None) for s in daily]
     slow = [replace(s) for s in slow]
+    names = [*(s.name for s in [*daily, *slow, *market_slow]), *(name for name, _ in market_daily)]
+    rules = avail_rules(names, avail)
+
+    def usable(s: AsofSource) -> AsofSource:
+        """An as-of source dated by the day it may be used from."""
+        if not rules.get(s.name):
+            return s
+        cols = s.cols if s.cols is not None else [c for c in s.df.columns if c not in (key, date)]
+        src = available(s.df, calendar, *rules[s.name], key=key, date=date, tie_break=s.tie_break or ())
+        return replace(s, df=src, cols=cols, on_calendar=True)
+
+    def usable_daily(name: str, src: DataFrame) -> DataFrame:
+        return available(src, calendar, *rules[name], key=key, date=date, daily=True) if rules.get(name) else src
+
+    daily = [replace(s, df=usable_daily(s.name, s.df), cols=[*s.cols, "effective_date"] if rules.get(s.name) and s.cols is not None else s.cols) for s in daily]
+    slow, market_slow = [usable(s) for s in slow], [usable(s) for s in market_slow]
+    market_daily = [(name, usable_daily(name, src)) for name, src in market_daily]
+    own_date = {lineage_name("effective_date", n, s.prefix): f"effective_date_{n}" for s in daily if rules.get(n := s.name)}
+    own_date |= {lineage_name("effective_date", n): f"effective_date_{n}" for n, _ in market_daily if rules.get(n)}
     sources = daily + slow
     is_daily = [True] * len(daily) + [False] * len(slow)
     reduced = [_reduce_source(s, key, date, T.DateType(), unique=day) for s, day in zip(sources, is_daily)]
@@ -180,4 +204,4 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         lab_names = [f"{k}_{h}d" for h in horizons for k in ("r", "label_na")]
         keep = [c for c in res.columns if c not in lab_names]
         res = res.join(F.broadcast(per_day), date, "left").select(*keep, *feat, *lab_names)
-    return res
+    return res.withColumnsRenamed(own_date)

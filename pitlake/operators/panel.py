@@ -25,8 +25,8 @@ from pitlake.sources.registry import EQUI_FREQS, avail_rule_of, freq_of
 log = logging.getLogger(__name__)
 
 
-def available(src: DataFrame, calendar: DataFrame, rule: str, key: str = "ticker", date: str = "date",
-              avail_col: str | None = None, daily: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
+def available(src: DataFrame, calendar: DataFrame, rule: str, avail_col: str | None = None, key: str = "ticker",
+              date: str = "date", daily: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
     """D4 before a join: ``src`` dated by the trading day it may be used from,
     also kept as ``effective_date``; a row that never is used is left out.
 
@@ -48,6 +48,12 @@ def available(src: DataFrame, calendar: DataFrame, rule: str, key: str = "ticker
     return kept.drop("__src").withColumn("effective_date", F.col(date))
 
 
+def avail_rules(names: Sequence[str], avail: Mapping[str, str | tuple[str, str]] | str | None) -> dict[str, tuple[str, str | None] | None]:
+    """Rule and column of each source; ``"registry"`` takes the registered rules."""
+    rules = {i: avail_rule_of(i) for i in names} if avail == "registry" else dict(avail or {})
+    return {i: r if isinstance(r, tuple) or not r else (r, None) for i, r in rules.items()}
+
+
 def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
              freqs: Mapping[str, str] | None = None, tie_breaks: Mapping[str, Sequence[str]] | None = None,
              key: str = "ticker", date: str = "date", asof_prefix: str = "feat_",
@@ -67,8 +73,8 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     ``effective_date_<source>`` (needs ``calendar``).  Without it sources join
     on their own dates.
     """
-    rules = {i: avail_rule_of(i) for i, _ in (sources.items() if isinstance(sources, Mapping) else sources)} if avail == "registry" else dict(avail or {})
     items = list(sources.items()) if isinstance(sources, Mapping) else list(sources)
+    rules = avail_rules([i for i, _ in items], avail)
     freqs = dict(freqs or {})
     tie_breaks = dict(tie_breaks or {})
     out = grid
@@ -87,8 +93,7 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
             if rules.get(iface):
                 if calendar is None:
                     raise ValueError("availability rules need the calendar")
-                rule, col = rules[iface] if isinstance(rules[iface], tuple) else (rules[iface], None)
-                src = available(src, calendar, rule, key, date, col, freq in EQUI_FREQS, ties)
+                src = available(src, calendar, *rules[iface], key=key, date=date, daily=freq in EQUI_FREQS, tie_break=ties)
             if freq in EQUI_FREQS:
                 out = join_daily(out, src, iface, key=key, date=date)
                 if rules.get(iface):

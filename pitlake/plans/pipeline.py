@@ -65,7 +65,7 @@ def build(spark: SparkSession, prices_path: str, universe_path: str, window_path
 
 def run(spark: SparkSession, prices_path: str, universe_path: str, window_path: str | None,
         out_dir: str, suffix: str = "smoke", calendar: DataFrame | None = None,
-        buckets: int | None = None, name: str = "dataset") -> dict:
+        buckets: int | None = None, name: str = "dataset", avail=None) -> dict:
     """Build, write every stage and the reports; return the report frames.
 
     Each stage reads the previous stage's written table, never its lineage:
@@ -73,11 +73,12 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
     and both exports and the audit read that table.  Nothing is computed
     twice, and a lost executor costs a task retry, not a recomputation of
     upstream stages.  ``buckets`` stores silver bucketed by ticker, so the
-    entity windows of gold read it without a shuffle.
+    entity windows of gold read it without a shuffle.  ``avail`` gives the
+    sources' availability rules, as in :func:`assemble`.
     """
     write_silver(silver_prices(spark, prices_path), f"{out_dir}/silver", PRICE, buckets=buckets)
     silver = read_silver(spark, f"{out_dir}/silver", PRICE)
-    r = build(spark, prices_path, universe_path, window_path, calendar, silver=silver)
+    r = build(spark, prices_path, universe_path, window_path, calendar, silver=silver, avail=avail)
     feat_path = write_gold(r.features, f"{out_dir}/gold", "features")
     lab_path = write_gold(r.labels, f"{out_dir}/gold", "labels")
     gold_df = join_gold(spark.read.parquet(feat_path), spark.read.parquet(lab_path))

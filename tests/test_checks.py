@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitlake.functions.scalar import label_na, return_bps, target_text, ticker_of
+from pitlake.operators.audit import lookahead_audit
 from pitlake.operators.gold import LabelSpec, assemble_gold
 from pitlake.operators.joins import AsofSource, asof_join
 from pitlake.operators.labels import forward_labels
@@ -133,6 +134,33 @@ def test_availability_keeps_repeated_rows_of_a_day(spark, grid, cal):
         assemble(grid, [("m", market)], freqs={"m": "D"}, calendar=cal, avail={"m": "T_plus_1"}).collect()
 
 
+def test_fused_gold_by_availability(spark, grid, cal):
+    """The fused plan dates every kind of source as the step-by-step one does."""
+    bars = spark.createDataFrame([("A", d, float(k)) for k, d in enumerate(DAYS)], "ticker string, date date, v double")
+    slow = spark.createDataFrame([("A", D("2024-01-01"), 7.0, 1), ("A", DAYS[0], 8.0, 1), ("A", DAYS[0], 9.0, 2)], "ticker string, date date, w double, o int")
+    market, news = bars.drop("ticker").withColumnRenamed("v", "m"), slow.drop("ticker").withColumnRenamed("w", "n")
+    rules = {"bars": "T_day_1500", "slow": "T_plus_1", "market": "T_plus_1", "news": "T_plus_1"}
+    fused = assemble_gold(grid, cal, daily=[AsofSource("bars", bars)], slow=[AsofSource("slow", slow, tie_break=["o"])],
+                          market_daily=[("market", market)], market_slow=[AsofSource("news", news, tie_break=["o"])], avail=rules)
+    steps = assemble(grid, [("bars", bars), ("market", market), ("slow", slow), ("news", news)],
+                     freqs={"bars": "D", "market": "D", "slow": "Q", "news": "event"}, tie_breaks={"slow": ["o"], "news": ["o"]}, calendar=cal, avail=rules)
+    assert set(fused.columns) == set(steps.columns)
+    assert sorted(map(str, fused.select(*steps.columns).collect())) == sorted(map(str, steps.collect()))
+    seen = {r.date: r for r in fused.collect()}
+    assert (seen[DAYS[1]].feat_m_market, seen[DAYS[1]].effective_date_market, seen[DAYS[1]].feat_w_slow) == (0.0, DAYS[1], 9.0)
+    assert all(r.passed for r in lookahead_audit(fused).collect())
+    with pytest.raises(Exception, match="several rows"):
+        assemble_gold(grid, cal, daily=[AsofSource("bars", bars.unionByName(bars))], avail=rules).collect()
+
+
+def test_run_by_availability(spark, tmp_path):
+    from conftest import FIXTURES
+    from pitlake.plans.pipeline import run
+
+    rep = run(spark, f"{FIXTURES}/price_*.csv", f"{FIXTURES}/CSI300.csv", f"{FIXTURES}/smoke_dates.txt", str(tmp_path / "out"), avail={"stock_zh_a_hist": "T_day_1500"})
+    assert [(r["column"], r.passed) for r in rep["lookahead"].collect()] == [("effective_date_stock_zh_a_hist", True)]
+
+
 def test_silver_of_another_folder(spark, tmp_path):
     df = spark.createDataFrame([("A", DAYS[0], 1.0)], "ticker string, date date, v double")
     one, two = str(tmp_path / "b1"), str(tmp_path / "b2")
