@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,9 +18,3 @@ def spark():
 def tmpdir_path(tmp_path):
     return str(tmp_path)
 
-
-def final_plan(df) -> str:
-    """Executed (adaptive, final) physical plan text, without the initial plan."""
-    df.collect()
-    s = df._jdf.queryExecution().executedPlan().toString()
-    return s.split("== Initial Plan ==")[0]

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import final_plan
+from paths import final_plan
 from pitlake.operators.grid import base_grid
 from pitlake.operators.joins import AsofSource, asof_join, join_daily
 from pitlake.operators.panel import assemble

@@ -154,7 +154,7 @@ def test_fused_gold_by_availability(spark, grid, cal):
 
 
 def test_run_by_availability(spark, tmp_path):
-    from conftest import FIXTURES
+    from paths import FIXTURES
     from pitlake.plans.pipeline import run
 
     rep = run(spark, f"{FIXTURES}/price_*.csv", f"{FIXTURES}/CSI300.csv", f"{FIXTURES}/smoke_dates.txt", str(tmp_path / "out"), avail={"stock_zh_a_hist": "T_day_1500"})
@@ -173,7 +173,7 @@ def test_silver_of_another_folder(spark, tmp_path):
 
 
 def test_price_file_without_a_ticker(spark, tmp_path):
-    from conftest import FIXTURES
+    from paths import FIXTURES
 
     lines = open(f"{FIXTURES}/price_600519SH.csv", encoding="utf-8").read()
     (tmp_path / "price_430047BJ.csv").write_text(lines, encoding="utf-8")

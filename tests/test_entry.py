@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pitlake.plans.queries import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver test data not present")

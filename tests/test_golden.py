@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from pitlake.operators.audit import label_na_report, stats_summary
 from pitlake.plans.pipeline import build, run
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import final_plan
+from paths import final_plan
 from pitlake.operators.labels import dedupe_last, forward_labels
 
 
@@ -147,7 +147,7 @@ def test_gold_from_bucketed_silver_needs_no_entity_shuffle(spark, tmp_path):
     Exchange on the entity key (all remaining exchanges are per-date tables)."""
     import re
 
-    from conftest import final_plan
+    from paths import final_plan
     from pitlake.operators.gold import LabelSpec, assemble_gold
     from pitlake.operators.grid import base_grid
     from pitlake.operators.joins import AsofSource

@@ -5,7 +5,7 @@ import hashlib
 import json
 
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from pitlake.operators.manifest import full_manifest, pending, read_done, record_done, replay_manifest, single_task
 from pitlake.sources.files import PRICE_SCHEMA
 from pitlake.sources.registry import SOURCES, registry

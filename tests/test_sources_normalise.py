@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import FIXTURES
+from paths import FIXTURES
 from pitlake.functions.scalar import ticker_of
 from pitlake.operators.calendar import calendar_index, enrich_calendar, shift_available
 from pitlake.operators.normalise import (apply_schema, attach_key, normalise, normalise_date, pick_date_key,
