@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitlake.llm import bpe, ctw, exact_dedup, minhash, mixing, pii, quality, sharding, substring, topk
+from pitlake.llm import alignment, bpe, ctw, exact_dedup, minhash, mixing, pii, quality, sharding, simhash, spelling, substring, topk
 from pitlake.llm.common import load
 
 
@@ -21,6 +21,9 @@ QUERIES = {
     "op8_bpe": _over("documents", bpe.bpe_query),
     "op9_minhash_dedup": _over("documents", minhash.near_dedup_query),
     "op10_exact_dedup": _over("documents", exact_dedup.exact_dedup_query),
+    "op11_simhash_dedup": _over("documents", simhash.simhash_query),
+    "op12_spelling_variants": _over("documents", spelling.spelling_query),
+    "op13_token_alignment": _over("documents", alignment.alignment_query),
 }
 
 SQL = {"op10_exact_dedup": exact_dedup.SQL, "op5_topk_search": topk.SQL}
