@@ -16,7 +16,9 @@
    holders and are joined by shuffle, so no key is hot.
 
 The vocabularies are fixed files, read by the executors' libraries from the
-bytes that the driver broadcasts.
+bytes that the driver broadcasts.  A's file is encoded by ``tiktoken`` where it
+is a plain byte-level one whose ids follow the merges (the ids are then the
+same, for every code point, in a fraction of the time), else by ``tokenizers``.
 
 Defined cases: a text that is null or empty, or whose tokens do not spell it
 out again, has no tokens: zeros and an empty string; ties for an id's highest
@@ -53,30 +55,60 @@ SPACE_PIECE = "▁"
 
 
 # ------------------------------------------------------------------ tokenizers
+#: fixed value: how byte-level BPE splits a text before merging
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Tokenizers:
     """A (byte-level BPE, ``tokenizers`` file) and B (``sentencepiece`` model), and the bytes of each id."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_str(a_file.decode())
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
+        spec = json.loads(a_file)
         value = {s: k for k, s in enumerate(byte_symbols())}
-        names = self.a.get_vocab(with_added_tokens=True)
-        added = {t["content"] for t in json.loads(a_file)["added_tokens"]}
-        self.a_bytes = [b""] * (max(names.values()) + 1)
+        names = spec["model"]["vocab"]
+        added = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        self.a_bytes = [b""] * (max([*names.values(), *added]) + 1)
         for name, i in names.items():
-            self.a_bytes[i] = name.encode() if name in added else bytes(value[c] for c in name)
+            self.a_bytes[i] = bytes(value[c] for c in name)
+        for i, name in added.items():
+            self.a_bytes[i] = name
+        self.encode_a = self._by_ranks(spec, added) if self._plain(spec) else self._by_file(a_file)
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
 
+    @staticmethod
+    def _plain(spec: dict) -> bool:
+        """Whether the file splits in the usual way and the id of each merge follows its rank."""
+        model, split = spec["model"], spec["pre_tokenizer"] or {}
+        options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        return (spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") is True
+                and split.get("add_prefix_space") is False and not any(model.get(k) for k in options) and merged == list(range(256, 256 + len(merged)))
+                and len(model["vocab"]) == 256 + len(merged))
+
+    def _by_ranks(self, spec: dict, added: dict):
+        import tiktoken
+
+        ranks = {b: i for i, b in enumerate(self.a_bytes) if b and i not in added}
+        one = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [one.encode_ordinary(t) for t in texts]
+
+    @staticmethod
+    def _by_file(a_file: bytes):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tokenizers
+
+        one = tokenizers.Tokenizer.from_str(a_file.decode())
+        one.encode_special_tokens = True
+        one.no_truncation()
+        one.no_padding()
+        return lambda texts: [e.ids for e in one.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_PIECE, " ").encode()
@@ -84,7 +116,7 @@ class Tokenizers:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids by A and by B of each text; none where they do not spell it out."""
         some = [t for t in texts if t]
-        a = iter(e.ids for e in self.a.encode_batch([" " + t for t in some], add_special_tokens=False))
+        a = iter(self.encode_a([" " + t for t in some]))
         b = iter(self.b.encode(some, num_threads=1) if some else [])
         out = []
         for t in texts:

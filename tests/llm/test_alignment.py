@@ -91,6 +91,17 @@ def test_alignment_odd_texts_and_rare_pairs(spark, monkeypatch, common):
     assert got(alignment(df)) == brute(pairs)
 
 
+def test_both_encoders_of_a_give_the_same_ids():
+    files = [open(p, "rb").read() for p in default_files()]
+    t = module.Tokenizers(*files)
+    spec = __import__("json").loads(files[0])
+    assert t._plain(spec) and not t._plain(spec | {"normalizer": {"type": "NFC"}})
+    rng = random.Random(6)
+    texts = [f" a{chr(c)}1 {chr(c)}'s{chr(c)}\t{chr(c)}9" for c in range(1, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rng.choice("ab '\n\té1.") for _ in range(200)) for _ in range(300)] + ["<|endoftext|>", "x" * 5000, " " * 5000]
+    assert t.encode_a(texts) == t._by_file(files[0])(texts)
+
+
 def test_large_groups_by_distinct_ids(spark, monkeypatch):
     monkeypatch.setattr(module, "LISTED", 0)
     pairs = list(enumerate(ODD))
