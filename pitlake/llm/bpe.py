@@ -171,8 +171,12 @@ class Coder:
         return " ".join(self.names[i] for i in ids.tolist() if i in self.names)
 
 
-def coded(docs: DataFrame, vocabulary_path: str, digest: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its id and n_tokens, with ids and decoded text, or if ``digest`` their SHA-256."""
+#: columns that ``coded`` can make
+MADE = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def coded(docs: DataFrame, vocabulary_path: str, columns: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document its id and the chosen columns of MADE."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(vocabulary_path)))
 
     def make():
@@ -180,17 +184,15 @@ def coded(docs: DataFrame, vocabulary_path: str, digest: bool, id_col: str = "do
 
         def run(texts):
             ids = coder.encode(texts)
-            decoded = [coder.decode(i) for i in ids]
-            out = {"n_tokens": [len(i) for i in ids]}
-            if digest:
-                return out | {"ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-                              "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded]}
-            return out | {"ids": ids, "decoded": decoded}
+            decoded = [coder.decode(i) for i in ids] if {"decoded", "decoded_sha256"} & set(columns) else []
+            found = {"n_tokens": lambda: [len(i) for i in ids], "ids": lambda: [i.astype(np.int32) for i in ids], "decoded": lambda: decoded,
+                     "ids_sha256": lambda: [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
+                     "decoded_sha256": lambda: [hashlib.sha256(d.encode()).hexdigest() for d in decoded]}
+            return {c: found[c]() for c in columns}
 
         return run
 
-    kept = {"ids_sha256": "string", "decoded_sha256": "string"} if digest else {"ids": "array<long>", "decoded": "string"}
-    return over_texts(docs, id_col, text_col, make, {"n_tokens": "long"} | kept)
+    return over_texts(docs, id_col, text_col, make, {c: MADE[c] for c in columns})
 
 
 def default_vocabulary() -> str:
@@ -200,9 +202,14 @@ def default_vocabulary() -> str:
 
 
 def bpe_query(spark: SparkSession, docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
-    return coded(docs, vocabulary_path or default_vocabulary(), digest=True)
+    return coded(docs, vocabulary_path or default_vocabulary(), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the digests of ids and decoded text."""
-    return bpe_query(spark, docs)
+    """Token ids of every document, with the digests of ids and decoded text.
+
+    A null or empty text has an empty array of ids; repeated rows and null ids
+    are encoded row by row; texts of any length are encoded whole; no rows give
+    no rows.
+    """
+    return coded(docs, default_vocabulary(), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))

@@ -6,10 +6,11 @@ run of ASCII white space is replaced by one space.  The texts are shuffled
 once, for the byte comparison, with copies merged before the shuffle; the
 rows that learn their group carry hashes only.
 
-Defined cases: a null text counts as empty; empty texts form one group; a
+Defined cases: a null text counts as empty; empty texts form one group; very
+long texts are hashed and compared whole; a
 group whose ids are all null has a null ``keep_id`` and its rows count as
 kept; rows that repeat a doc_id and a text are all marked alike (the pipeline
-stage then keeps one of them); an empty table gives no rows; extra columns
+stage keeps one row of each group); an empty table gives no rows; extra columns
 are never read.
 """
 
@@ -46,11 +47,20 @@ def exact_dedup_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with one row of each group of equal texts."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept")).distinct()
-    hashed = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
-    return (hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["__id"]) & (hashed["__sha"] == kept["__kept"]), "left_semi")
-            .dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
+    """Documents with one row of each group of equal texts: the smallest id's, or any if all ids are null.
+
+    Null and empty texts are one group; of rows that repeat the smallest id one
+    stays; very long texts are compared whole; no rows give no rows.  The texts are
+    shuffled once, copies of a task merged before: the kept row travels with
+    its group, its own text only where white space sets it apart.
+    """
+    plain = normalised(F.col("text"))
+    rest = F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("r")
+    rows = docs.select(plain.alias("__plain"), rest, F.when(~F.col("text").eqNullSafe(plain), F.struct("text")).alias("own"))
+    order = F.struct(F.col("r.doc_id").isNull().alias("none"), F.col("r.doc_id").alias("id"), F.hash("r", "own").alias("h"))
+    kept = rows.groupBy(F.unhex(F.md5("__plain")).alias("__h"), "__plain").agg(F.min_by(F.struct("r", "own"), order).alias("k"))
+    text = F.when(F.col("k.own").isNull(), F.col("__plain")).otherwise(F.col("k.own.text")).alias("text")
+    return kept.select(*(text if c == "text" else F.col(f"k.r.{c}").alias(c) for c in docs.columns))
 
 
 SQL = r"""

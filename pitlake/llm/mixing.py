@@ -7,27 +7,31 @@ The rates, a nonnegative number of expected copies per document, minimise
 
     sum over domains of (expected tokens - target)^2 / present tokens
 
-with, among its solutions, the rates nearest to 1 (a term of weight STIFF).
-Its dual has one number a domain: a document's rate is 1 less its posterior
-times these, held at the least rate, so no state per document is kept.  Newton
-steps with a line search solve the dual; each is one distributed pass whose
-rows are a few numbers per task, and weakly separated posteriors take no more
-steps than others.  The fit ends when the targets are met or when the dual's
-gradient, the residual of the optimality condition, is nought: then active
-bounds, or posteriors that are all alike, let nothing come nearer, which is
-logged.  If neither comes in STEPS passes the fit fails.  The query's rows have
-the target and the reached total of their domain.
+Projected gradient steps find them, from all rates 1: each step moves a rate
+against its posterior times one number a domain, holds it at the least rate, and
+goes all or part of the way there.  Step lengths are spectral (from the last
+step's change of rates and totals), and a step that raises the sum above the
+last ones' is shortened to its best part, which is known because totals are
+linear in the rates.  A rate is its row's posterior and the list of steps, so
+no state per document is kept; a step is one distributed pass whose rows are a
+few numbers per task.  The fit ends when the targets are met; or when the
+projected-gradient residual is nought: then active bounds, or posteriors that are all
+alike, let nothing come nearer; or after STEPS steps with the best point
+reached.  Which it was is in the column ``fit`` ("met", "optimal", "stopped"),
+beside the target and the reached total of the domain.
 
 Defined cases: a null or empty text has no tokens, posterior equal to the
 domains' shares, and a rate like any other; a null id is carried through;
 repeated rows get a rate each; domains without labelled rows keep the smoothed
 posterior; with no labelled rows, posteriors are equal; an empty table gives
-no rows; extra columns are never read.
+no rows; very long texts are counted whole, and of equal posteriors the first
+domain is the likeliest; extra columns are never read.
 """
 
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +47,10 @@ log = logging.getLogger(__name__)
 CELLS, SMOOTH = 1 << 14, 0.5
 #: labelled rows that the classifier is fitted on
 SAMPLE = 20_000
-#: weight of the rates' distance from 1; stop when every total is this near its target, or when the residual is this small; fail after so many passes
-STIFF, NEAR, STILL, STEPS = 1e-7, 1e-4, 1e-6, 200
+#: stop when every total is this near its target, or when a plain step's squared length is this share of the sum, or after so many steps
+NEAR, STILL, STEPS = 1e-4, 1e-6, 200
+#: a full step may raise the sum above the last one's, but not above the highest of so many
+LOOK_BACK, LONGEST = 8, 1e6
 
 #: target share of tokens of each domain in the registered query and the pipeline
 TARGETS = {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14}
@@ -103,10 +109,11 @@ def posteriors(docs: DataFrame, table: np.ndarray, id_col: str = "doc_id", text_
     return over_texts(docs, id_col, text_col, make, {"n_tokens": "long", "posterior": "array<double>"})
 
 
-def _rates(p: np.ndarray, errors: list[np.ndarray], least: float) -> np.ndarray:
-    r = np.ones(len(p))
-    for e in errors:
-        r = np.maximum(least, r - p @ e)
+def _rates(p: np.ndarray, steps: list[tuple[np.ndarray, float, float]], least: float) -> np.ndarray:
+    """The rates after ``steps`` (gradient in the domains, step length, part taken)."""
+    r = np.full(len(p), max(1.0, least))
+    for gradient, length, part in steps:
+        r = r + part * (np.maximum(least, r - length * (p @ gradient)) - r)
     return r
 
 
@@ -114,68 +121,81 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, k)
 
 
-def fit_rates(soft: DataFrame, weights: np.ndarray, least: float = 0.0, budget: float | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The dual solution (a list of one vector, or none if no step was needed), target totals and reached totals.
+@dataclass
+class Fit:
+    steps: list           # (gradient in the domains, step length, part taken) of each step
+    target: np.ndarray    # tokens asked of each domain
+    reached: np.ndarray   # expected tokens of each domain
+    state: str            # met, optimal or stopped
+
+
+def _summed(soft: DataFrame, width: int, sums) -> np.ndarray:
+    """``sums(posteriors, tokens)``, ``width`` numbers, added up over all rows of ``soft``."""
+
+    def run(batches):
+        s = np.zeros(width)
+        for b in batches:
+            n = b.column(0).to_numpy()
+            s += sums(b.column(1).flatten().to_numpy().reshape(len(n), -1), n)
+        yield pa.RecordBatch.from_arrays([pa.array([s.tolist()], pa.list_(pa.float64()))], ["s"])
+
+    rows = soft.select("n_tokens", "posterior").mapInArrow(run, "s array<double>")
+    return np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(width))).first()])
+
+
+def fit_rates(soft: DataFrame, weights: np.ndarray, least: float = 0.0, budget: float | None = None) -> Fit:
+    """Rates of the written table ``soft`` (n_tokens, posterior) whose expected totals are ``weights`` of ``budget``.
 
     ``budget`` is the number of tokens to mix; if None, the smallest one that
     asks no domain for less than it has.
     """
     k = len(weights)
-
-    def look(dual: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """The totals at a dual point, their curvature over the rates that are free to move, and the rates' part of the dual's value."""
-        def run(batches):
-            s = np.zeros(k + k * k + 1)
-            for b in batches:
-                p, n = _matrix(b.column(1), k), b.column(0).to_numpy()
-                z = 1.0 - p @ dual
-                free = z >= least
-                s[:k] += (p * (n * np.maximum(least, z))[:, None]).sum(axis=0)
-                s[k:-1] += ((p * (n * free)[:, None]).T @ p).ravel()
-                s[-1] += (n * np.where(free, z * z / 2, least * z - least * least / 2)).sum()
-            yield pa.RecordBatch.from_arrays([pa.array([s.tolist()], pa.list_(pa.float64()))], ["s"])
-
-        rows = soft.select("n_tokens", "posterior").mapInArrow(run, "s array<double>")
-        got = np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(k + k * k + 1))).first()])
-        return got[:k], got[k:-1].reshape(k, k), float(got[-1])
-
-    dual = np.zeros(k)
-    now, curve, value = look(dual)
-    present = now / max(1.0, least)
-    scale = np.maximum(present, 1.0)
-    budget = budget if budget is not None else float((present / weights).max(initial=0.0))
-    target, passes, root = weights * budget, 0, scale ** 0.5
-    whole = lambda d, v: STIFF / 2 * float((scale * d * d).sum()) + float(target @ d) + v
+    now = present = _summed(soft, k, lambda p, n: n @ p) * max(1.0, least)
+    scale = np.maximum(present / max(1.0, least), 1.0)
+    budget = budget if budget is not None else float((present / max(1.0, least) / weights).max(initial=0.0))
+    target = weights * budget
+    missed = lambda totals: float((((totals - target) ** 2) / scale).sum()) / 2
+    steps, length, seen = [], 1.0, []
+    best = Fit(steps, target, now, "stopped")
     while True:
-        e = (now - target) / scale
-        slope = STIFF * dual - e
-        errors = [dual] if dual.any() else []
-        if np.abs(e).max(initial=0.0) < NEAR:
-            return errors, target, now
-        if np.abs(slope).max() < STILL:
-            log.warning("mixing: no free rate brings the totals nearer; target %s, reached %s", target.tolist(), now.tolist())
-            return errors, target, now
-        step = -np.linalg.solve(curve / np.outer(root, root) + STIFF * np.eye(k), slope * root) / root
-        down, size = float((slope * scale) @ step), 1.0
-        while True:
-            if passes == STEPS:
-                raise RuntimeError(f"mixing: not settled after {STEPS} passes; target {target.tolist()}, reached {now.tolist()}")
-            passes += 1
-            found = look(dual + size * step)
-            if whole(dual + size * step, found[2]) <= whole(dual, value) + 1e-4 * size * down + 1e-12 * abs(whole(dual, value)) or size < 1e-9:
-                break
-            size /= 4
-        dual = dual + size * step
-        now, curve, value = found
-
-
-def mixed(soft: DataFrame, errors: list[np.ndarray], domains: list[str], least: float = 0.0) -> DataFrame:
+        if missed(now) <= missed(best.reached):
+            best = Fit(steps, target, now, "stopped")
+        if np.abs((now - target) / scale).max(initial=0.0) < NEAR:
+            best = Fit(steps, target, now, "met")
+            return best
+        if len(steps) == STEPS:
+            break
+        gradient = (now - target) / scale
+
+        def sums(p, n, steps=steps, gradient=gradient, length=length):
+            r = _rates(p, steps, least)
+            along = p @ gradient
+            move, plain = np.maximum(least, r - length * along) - r, np.maximum(least, r - along) - r
+            return np.concatenate([(n * move) @ p, [n @ move ** 2, n @ plain ** 2]])
+
+        got = _summed(soft, k + 2, sums)
+        if got[k + 1] <= STILL * missed(now):
+            best = Fit(steps, target, now, "optimal")
+            break
+        change, part = got[:k], 1.0
+        slope, curve = float(gradient @ change), float((change ** 2 / scale).sum())
+        seen = [*seen, missed(now)][-LOOK_BACK:]
+        if missed(now + change) > max(seen) + 1e-4 * slope:
+            part = min(1.0, -slope / curve)
+        steps = [*steps, (gradient, length, part)]
+        now = now + part * change
+        length = min(max(got[k] / curve, 1.0), LONGEST) if curve > 0 else LONGEST
+    log.warning("mixing: %s after %d steps; target %s, reached %s", best.state, len(best.steps), target.tolist(), best.reached.tolist())
+    return best
+
+
+def mixed(soft: DataFrame, steps: list, domains: list[str], least: float = 0.0) -> DataFrame:
     """``soft`` with each document's rate, likeliest domain and copies (the rate, rounded by a hash of the id)."""
     k = len(domains)
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(_matrix(b.column(2), k), errors, least))], [*b.schema.names, "rate"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(_matrix(b.column(2), k), steps, least))], [*b.schema.names, "rate"])
 
     kind = soft.schema["doc_id"].dataType.simpleString()
     rated = soft.select("doc_id", "n_tokens", "posterior").mapInArrow(run, f"doc_id {kind}, n_tokens long, posterior array<double>, rate double")
@@ -195,19 +215,25 @@ def mixing_query(spark: SparkSession, docs: DataFrame, sf_dir: str, targets: dic
     names = list(targets or TARGETS)
     weights = np.array([(targets or TARGETS)[d] for d in names])
     soft = written(posteriors(docs, learn_domains(docs, load(spark, sf_dir, "labels"), names, "lang")), "mix-posteriors")
-    errors, target, reached = fit_rates(soft, weights)
+    fit = fit_rates(soft, weights)
     of = lambda x: F.element_at(F.create_map(*(F.lit(v) for d, t in zip(names, x) for v in (d, float(t)))), F.col("domain"))
-    return (mixed(soft, errors, names).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
-            .withColumn("domain_target", of(target)).withColumn("domain_reached", of(reached)))
+    return (mixed(soft, fit.steps, names).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+            .withColumn("domain_target", of(fit.target)).withColumn("domain_reached", of(fit.reached)).withColumn("fit", F.lit(fit.state)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents, each as often as its rate says; rates are held at 1 or more, so every document stays."""
+    """Documents, each as often as its rate says; rates are held at 1 or more, so every document stays.
+
+    Null ids and repeated rows get a rate row by row; a null, empty or very
+    long text is a row like any other; without labels or rows the stage gives
+    what it got.  Reached totals are logged.
+    """
     names, weights = list(TARGETS), np.array(list(TARGETS.values()))
     table = learn_domains(docs, load(spark, sf_dir, "labels"), names, "lang")
-    soft = written(posteriors(docs, table), "mix-posteriors")
-    errors, _, _ = fit_rates(soft, weights, least=1.0)
     rows = docs.withColumn("__row", F.struct(*docs.columns))       # whole rows pass through, without a join
-    rated = mixed(posteriors(rows, table, "__row"), errors, names, least=1.0)
+    soft = written(posteriors(rows, table, "__row"), "mix-posteriors")
+    fit = fit_rates(soft, weights, least=1.0)
+    log.info("mixing: %s after %d steps; target %s, reached %s", fit.state, len(fit.steps), fit.target.tolist(), fit.reached.tolist())
+    rated = mixed(soft, fit.steps, names, least=1.0)
     times = rated.withColumn("n", copies(F.col("rate"), F.col("doc_id.doc_id")))
     return times.select("doc_id", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), "n")))).select("doc_id.*")

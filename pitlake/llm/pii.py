@@ -1,9 +1,10 @@
 """PII: regular expressions propose spans, checksums confirm them, nearby
 context words adjust the score.  Built-in functions only.
 
-Positions come from one linear pass: ``split`` gives the pieces between the
-matches that ``regexp_extract_all`` gives, and running sums of their lengths
-give starts and ends in code points.  The patterns are written so that no
+Positions come from one pass: ``split`` gives the pieces between the
+matches that ``regexp_extract_all`` gives, and running sums of their lengths,
+in blocks and each made once, give starts and ends in code points.  The time
+grows with the length of a text and the number of its matches.  The patterns are written so that no
 text makes them backtrack over a whole run from each of its positions; they
 match exactly what their plain forms (in the comments) match.
 
@@ -13,7 +14,9 @@ phone (8 to 15 digits); these base spans always stay.  Added spans: iban
 ADD_AT.  A span's score is its kind's prior, raised by CONTEXT_GAIN when a
 context word of its kind stands in the CONTEXT code points before it.
 
-Defined cases: a null or empty text has no spans; repeated rows are scored
+Defined cases: a null or empty text has no spans; a very long text is read
+whole, and so is one of very many matches; of matches that overlap within a
+kind the leftmost stays, kinds do not hide each other; repeated rows are scored
 one by one; a null id is carried through; an empty table gives no rows; extra
 columns are never read.
 """
@@ -48,16 +51,21 @@ BLOCK, REACH = 256, CONTEXT // 2
 _append = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` made once, however often it is used: it is the one element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _before(lengths: Column) -> Column:
     """Running sums of ``lengths``, each without its own: linear in blocks."""
-    n = F.size(lengths)
-    part = lambda b: F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))
-    blocks = F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))
-    starts = F.aggregate(F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x)),
-                         F.array(F.lit(0)), _append)
-    inside = F.transform(blocks, lambda b: F.slice(
-        F.aggregate(part(b), F.array(F.element_at(starts, b + 1)), _append), 1, F.size(part(b))))
-    return F.when(n > 0, F.flatten(inside)).otherwise(F.array().cast("array<int>"))
+    blocks = lambda v: F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+    part = lambda v, b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK))
+    total = lambda v: F.aggregate(F.transform(blocks(v), lambda b: F.aggregate(part(v, b), F.lit(0), lambda a, x: a + x)),
+                                  F.array(F.lit(0)), _append)
+    inside = lambda v, starts: F.flatten(F.transform(blocks(v), lambda b: F.slice(
+        F.aggregate(part(v, b), F.array(F.element_at(starts, b + 1)), _append), 1, F.size(part(v, b)))))
+    sums = lambda v: F.when(F.size(v) > 0, _once(total(v), lambda starts: inside(v, starts))).otherwise(F.array().cast("array<int>"))
+    return _once(lengths, sums)
 
 
 def _tails(m: Column, p: Column) -> Column:

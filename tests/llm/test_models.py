@@ -1,5 +1,7 @@
 """Operators 6 and 7 and the pipeline: held-out accuracy, optimality, effects."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,31 +58,59 @@ def test_rates_reach_targets(spark):
     n = rng.integers(1, 500, 400)
     soft = spark.createDataFrame([(k, int(a), b.tolist()) for k, (a, b) in enumerate(zip(n, p))], "doc_id long, n_tokens long, posterior array<double>")
     weights = np.array([0.6, 0.3, 0.1])
-    errors, target, reached = mixing.fit_rates(soft, weights)
-    assert np.abs(reached - target).max() / target.max() < 1e-3
-    rates = mixing._rates(p, errors, 0.0)
-    assert (rates >= 0).all() and (p * (n * rates)[:, None]).sum(axis=0) == pytest.approx(reached)
-    # rates held at 1: at the optimum no step changes anything
-    errors, target, reached = mixing.fit_rates(soft, weights, least=1.0, budget=float(n.sum()) * 0.9)
-    rates = mixing._rates(p, errors, 1.0)
+    fit = mixing.fit_rates(soft, weights)
+    assert fit.state == "met" and np.abs(fit.reached - fit.target).max() / fit.target.max() < 1e-3
+    rates = mixing._rates(p, fit.steps, 0.0)
+    assert (rates >= 0).all() and (p * (n * rates)[:, None]).sum(axis=0) == pytest.approx(fit.reached)
+
+
+def dense_least_squares(p, n, target, least, rounds=2000):
+    """The same least squares, one rate after the other to its own optimum: the totals and the sum."""
+    total = present = (p * n[:, None]).sum(axis=0)
+    r = np.ones(len(p))
+    for _ in range(rounds):
+        for i in range(len(p)):
+            slope, curve = n[i] * p[i] @ ((total - target) / present), n[i] ** 2 * (p[i] ** 2 / present).sum()
+            new = max(least, r[i] - slope / curve)
+            total, r[i] = total + n[i] * p[i] * (new - r[i]), new
+    return total, ((total - target) ** 2 / present).sum()
+
+
+@pytest.mark.parametrize("least,share,weights", [(1.0, 0.9, (0.6, 0.3, 0.1)), (0.0, 1.0, (0.85, 0.1, 0.05)), (1.0, 1.5, (0.6, 0.3, 0.1))])
+def test_rates_against_dense_least_squares(spark, monkeypatch, least, share, weights):
+    """Also where bounds keep the totals from their targets, the sum and the reached totals are those of the dense solution."""
+    rng = np.random.default_rng(2)
+    p, n = rng.dirichlet([0.8, 0.8, 0.8], 60), rng.integers(1, 500, 60)
+    soft = spark.createDataFrame([(k, int(a), b.tolist()) for k, (a, b) in enumerate(zip(n, p))], "doc_id long, n_tokens long, posterior array<double>").coalesce(1)
+    budget = float(n.sum()) * share
+    fit = mixing.fit_rates(soft, np.array(weights), least=least, budget=budget)
+    rates = mixing._rates(p, fit.steps, least)
     present = (p * n[:, None]).sum(axis=0)
-    again = np.maximum(1.0, rates - p @ ((reached - target) / present))
-    assert (rates >= 1).all() and np.abs(again - rates).max() < 2e-2
+    assert (rates >= least).all() and (p * (n * rates)[:, None]).sum(axis=0) == pytest.approx(fit.reached)
+    total, value = dense_least_squares(p, n, fit.target, least)
+    assert fit.state in ("met", "optimal")
+    assert ((fit.reached - fit.target) ** 2 / present).sum() <= value * 1.01 + 0.01 and np.abs(fit.reached - total).max() <= 1e-2 * budget
 
 
 def test_mixing_of_weakly_separated_posteriors(spark, monkeypatch):
-    """Small steps are not the end: the targets are met where rates can meet them, and a fit that is cut short fails."""
+    """Small steps are not the end: the targets are met where rates can meet them, and a fit that is cut short says so."""
     rng = np.random.default_rng(5)
     p = np.clip(0.5 + rng.normal(0, 0.004, 600), 0.45, 0.55)
     soft = spark.createDataFrame([(k, 100, [float(x), float(1 - x)]) for k, x in enumerate(p)], "doc_id long, n_tokens long, posterior array<double>")
     weights = np.array([0.501, 0.499])
-    errors, target, reached = mixing.fit_rates(soft, weights, budget=60_000.0)
-    assert np.abs(reached - target).max() < 1e-3 * target.max() / 5
-    rates = mixing._rates(np.c_[p, 1 - p], errors, 0.0)
-    assert (np.c_[p, 1 - p] * rates[:, None] * 100).sum(axis=0) == pytest.approx(reached)
+    fit = mixing.fit_rates(soft, weights, budget=60_000.0)
+    assert fit.state == "met" and np.abs(fit.reached - fit.target).max() < 1e-3 * fit.target.max() / 5
+    rates = mixing._rates(np.c_[p, 1 - p], fit.steps, 0.0)
+    assert (np.c_[p, 1 - p] * rates[:, None] * 100).sum(axis=0) == pytest.approx(fit.reached)
     monkeypatch.setattr(mixing, "STEPS", 0)
-    with pytest.raises(RuntimeError, match="not settled"):
-        mixing.fit_rates(soft, weights, budget=60_000.0)
+    fit = mixing.fit_rates(soft, weights, budget=60_000.0)
+    assert fit.state == "stopped" and fit.steps == [] and fit.reached.sum() == pytest.approx(60_000.0)
+
+
+def test_mixing_of_posteriors_all_alike(spark):
+    soft = spark.createDataFrame([(k, 100, [0.5, 0.5]) for k in range(50)], "doc_id long, n_tokens long, posterior array<double>")
+    fit = mixing.fit_rates(soft, np.array([0.7, 0.3]), budget=5000.0)
+    assert fit.state == "optimal" and fit.reached == pytest.approx([2500.0, 2500.0], rel=1e-3)
 
 
 def test_mixing_query(spark):
@@ -121,10 +151,12 @@ def test_pipeline(spark):
 
 def test_pipeline_edges(spark, edge_docs, no_docs, tmp_path):
     spark.createDataFrame([(k, k % 2, 0) for k in range(10)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    small = edge_docs.filter("length(text) < 5000 OR text IS NULL")
-    for docs in (small, no_docs):
+    for docs in (edge_docs, no_docs):
         now = docs
         for _, stage in corpus_pipeline.STAGES[:-1]:
             now = stage(spark, now, str(tmp_path))
             assert now.columns == docs.columns
-        assert corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).count() == now.count()
+        coded = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).collect()
+        assert len(coded) == now.count() and all(len(r.ids) == r.n_tokens for r in coded)
+        assert all(hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest() == r.ids_sha256 for r in coded)
+        assert docs is no_docs or sum(r.n_tokens for r in coded) > 0

@@ -1,6 +1,7 @@
 """Operators 2, 3, 4, 5 and 8 against brute force."""
 
 import hashlib
+import time
 import math
 import random
 import re
@@ -195,6 +196,17 @@ def test_pii_added_spans_and_scores(spark):
     assert spans[0].score == 1.0 and spans[1].score == 0.9
 
 
+def test_pii_of_very_many_matches(spark):
+    """Time in proportion to the matches: 100,000 of each base kind in one text."""
+    unit, n = "a@b.cd 1.2.3.4 x +4912345678 x 4111111111111111 x ", 100_000
+    began = time.time()
+    row = pii.pii_query(spark, spark.createDataFrame([(1, unit * n)], "doc_id long, text string").repartition(1)).collect()[0]
+    assert time.time() - began < 120
+    places = {"email": (0, 6), "ip": (7, 14), "card": (31, 47), "phone": (17, 28)}
+    want = ",".join(f"{k}:{a + i * len(unit)}:{z + i * len(unit)}" for k, (a, z) in places.items() for i in range(n))
+    assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == (n,) * 4 and row.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
 def test_pii_context_reaches_over_earlier_matches(spark):
     rng = random.Random(6)
     texts = ["ssn 123-45-6789, 987-65-4321", "tel +1 555 123 4567; +1 555 123 4568, then some forty code points more of it: +1 555 123 4569", "ip 1.2.3.4,300.1.1.1,5.6.7.8"]
@@ -248,7 +260,7 @@ def test_bpe_equals_the_library(spark, edge_docs, edge_pairs, no_docs):
     pairs += [(2000, "aaaaaaaa" * 99 + " I'm 'S <|startoftext|>x<|endoftext|>"), (2001, "\x00\x1c\x85 \U0001f468‍\U0001f469 ½①")]
     docs = spark.createDataFrame(pairs, "doc_id long, text string")
     got = {}
-    for r in bpe.coded(docs, bpe.default_vocabulary(), digest=False).collect():
+    for r in bpe.coded(docs, bpe.default_vocabulary(), ("ids", "decoded")).collect():
         got.setdefault(r.doc_id, []).append((r.ids, r.decoded))
     for i, t in pairs:
         ids = lib.encode(t or "", add_special_tokens=False).ids
