@@ -10,6 +10,6 @@ normalise  P1-P4, P11, P12, U1, source key maps
 treat      D1-D5, W4
 export     F3-F7 records
 audit      A1-A4, A7, A8, J9 reports
-quantiles  exact quantiles by narrowing
+quantiles  exact quantiles digit by digit
 manifest   M1-M3, F9-F11, J7, U2
 """

@@ -113,7 +113,7 @@ def describe_numeric(df: DataFrame, exact: bool = True, accuracy: int = 10_000)
 
     The report has one row per column, so it is built from the few collected
     numbers.  ``exact=False`` uses ``percentile_approx`` (one pass, bounded
-    sketch) instead of the exact narrowing passes.
+    sketch) instead of the exact counting passes.
     """
     desc, _ = _column_stats(df, exact, accuracy)
     return df.sparkSession.createDataFrame(desc, DESC_SCHEMA)

@@ -75,6 +75,7 @@ class AsofSource:
     keep_date_as: str | None = "effective_date_{name}"   # T2: source date for the audit
     unique: bool = False                     # one row per (key, date): the query fails on a second
     on_calendar: bool = False                # every date is a trading day: the query fails on another
+    period: str | None = None                # reports that are restated: the column with the period they speak of
     _payload: list = field(default_factory=list, repr=False)
 
 
@@ -88,6 +89,12 @@ def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType
     original date comes first, then the tie-break.  ``unique`` (or the
     source's own flag) states one row per (key, date): the same aggregate
     counts them, and the query fails on a second one.
+
+    A source with a ``period`` is dated by when its reports became known.  A
+    day then gives the report of the newest period known so far, in its latest
+    version (date, then tie-break): a restatement of an older period that
+    arrives later does not displace it.  Reports without a period come
+    before all others.
     """
     keys = ([by] if by else []) + [date]
     cols = list(s.cols) if s.cols is not None else [c for c in s.df.columns if c not in keys]
@@ -97,6 +104,8 @@ def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType
     order = [F.col(f"`{date}`"), *[F.col(f"`{c}`") for c in s.tie_break or []]]
     agg = F.max_by(row, F.struct(*order)) if s.tie_break else F.max(F.struct(F.col(f"`{date}`").alias("__o"), row.alias("__r")))["__r"]
     src = s.df.where(F.col(date).isNotNull())
+    if s.period:
+        return _newest_known(s, src, row, order, by, date, on)
     if not (unique or s.unique):
         return src.groupBy(*([by] if by else []), on.alias(date)).agg(agg.alias("__p"))
     msg = F.lit(f"source {s.name!r} has several rows for one {'key and ' if by else ''}date")
@@ -104,6 +113,21 @@ def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType
             .select(*keys, F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__p")).alias("__p")))
 
 
+def _newest_known(s: AsofSource, src: DataFrame, row: Column, order: list, by: str | None, date: str, on: Column) -> DataFrame:
+    """As-of in two times: per (key, day of knowledge) the best report known by
+    then.  Each day's best is a partial aggregate, and the running maximum over
+    the days needs one window on the key, of one row a day."""
+    if s.unique:
+        raise ValueError(f"source {s.name!r}: reports with a period may share a date, so it cannot be unique")
+    if by is None and not isinstance(src.select(on).schema[0].dataType, T.DateType):
+        raise ValueError(f"source {s.name!r}: reports without a key are joined by day")
+    keys = [by] if by else []
+    best = F.struct(F.col(f"`{s.period}`").alias("p"), F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))).alias("o"))
+    daily = src.groupBy(*keys, on.alias(date)).agg(F.max_by(F.struct(best.alias("b"), row.alias("r")), best).alias("__x"))
+    w = (W.partitionBy(*keys) if by else W.partitionBy(F.lit(0))).orderBy(date).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return daily.select(*keys, date, F.max_by("__x.r", "__x.b").over(w).alias("__p"))
+
+
 def _expand(s: AsofSource, col: str) -> list[Column]:
     out = [F.col(f"{col}.`{c}`").alias(lineage_name(c, s.name, s.prefix)) for c in s._payload]
     if s.keep_date_as:
@@ -115,6 +139,8 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
               date: str = "date", dates: DataFrame | None = None, split: str | None = None) -> DataFrame:
     """For every left row, the latest source row with source date <= left date.
 
+    A source with a ``period`` is matched in two times: of all reports known by
+    the left date, the newest period's latest version.
     Exact matches count; no tolerance; a missing match gives nulls; the whole
     matched row is taken even if some of its values are null.  Several
     sources on the same key share one window.  ``date`` may be a date or a

@@ -2,21 +2,22 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a column in one
 aggregation buffer -- for a global aggregate that is the whole column in one
-task.  Here the k-th smallest value is found by narrowing:
-
-1. ``percentile_approx`` (a bounded sketch, partial aggregation) brackets
-   each target rank: with accuracy A the value returned for fraction p has
-   true rank within n/A of p*n, so the values at p -/+ 3/A enclose rank k.
-2. One pass counts, per bracket, the values below it and inside it.
-3. The bracket replaces the old one and is narrowed again, until it is no
-   wider than the sketch or holds half as many rows as before or more (few
-   distinct values, each very often).
-4. The distinct values of all brackets are counted and ranked by a window
-   partitioned by bracket, which holds about a sketch's worth of them.
-
-Every round halves a bracket or ends, so there is no limit on rounds, and
-every size ends in step 4.  Only the per-target bounds and the final values (a
-few numbers per column) reach the driver.
+task.  Here the k-th smallest value is found digit by digit:
+
+1. Every value has a leading digit: its sign and its logarithm in steps of a
+   ``STEPS``-th of a doubling, some 68,000 digits for all doubles.  One pass counts
+   all columns' values per digit, with each digit's least and greatest value.
+2. Running counts tell which digit holds a wanted rank.  Where its least and
+   greatest value are one, or the rank is the first or last of it, that is the value.
+3. Otherwise the next digit is the value's place between the two, in ``PLACES``
+   equal parts; only values between them are counted, and step 2 follows.
+
+Both digits never fall as values rise (a logarithm, a difference and a quotient
+round that way), so they sort as the values do.  A digit of step 1 spans 2^48
+doubles and step 3 divides by 2^16 each time: four passes in all for doubles of
+any size, and fewer for short ones.  A pass is a partial aggregate of all columns
+and ranks together; only the wanted digits' bounds, a few numbers per column,
+reach the driver.
 """
 
 from __future__ import annotations
@@ -24,63 +25,77 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-
-def _in_bracket(c, lo, hi):
-    cond = c.isNotNull() & ~F.isnan(c)
-    if lo is not None:
-        cond = cond & (c >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (c <= F.lit(hi))
-    return cond
-
-
-def _bracket_rows(df: DataFrame, brackets: dict) -> DataFrame:
-    """(bracket id, value) for every value inside each bracket; rows outside
-    all brackets are filtered before anything is exploded."""
-    items, inside = [], F.lit(False)
-    for bid, (col, lo, hi) in brackets.items():
-        c = F.col(f"`{col}`").cast("double")
-        inside = inside | F.coalesce(_in_bracket(c, lo, hi), F.lit(False))
-        items.append(F.when(_in_bracket(c, lo, hi), F.struct(F.lit(bid).alias("b"), c.alias("v"))))
-    return (df.where(inside).select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
-            .select("s.b", "s.v"))
-
-
-def _resolve(df: DataFrame, brackets: dict, wanted: dict) -> dict:
-    """brackets: bid -> (col, lo, hi); wanted: bid -> set of local ranks k.
-    Returns (bid, k) -> value, by counting distinct values (partial
-    aggregate) and ranking them inside each bracket."""
-    freq = _bracket_rows(df, brackets).groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cum = freq.select("b", "v", (F.sum("n").over(w) - F.col("n")).alias("lo_r"), F.sum("n").over(w).alias("hi_r"))
-    spark = df.sparkSession
-    tgt = spark.createDataFrame([(b, int(k)) for b, ks in wanted.items() for k in ks],
-                                T.StructType([T.StructField("b", T.IntegerType()), T.StructField("k", T.LongType())]))
+#: leading digits per doubling (2^52 doubles), and parts of a later digit
+STEPS, PLACES = 16, 1 << 16
+
+
+def _known(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x)
+
+
+def _leading(x: Column) -> Column:
+    """Sign and binary logarithm as a whole number, in the order of the values."""
+    size = F.abs(x)
+    # the least double is 2^-1074: all logarithms become positive; infinity comes after the greatest
+    digit = F.when(size == float("inf"), F.lit(2200 * STEPS)).otherwise((F.floor(F.log2(size) * STEPS) + 1080 * STEPS).cast("int"))
+    return F.when(x == 0, F.lit(0)).when(x > 0, digit).otherwise(-digit)
+
+
+def _place(x: Column, lo: float, hi: float) -> Column:
+    return F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(PLACES - 1))).cast("int")
+
+
+def _digits(df: DataFrame, brackets: dict) -> DataFrame:
+    """(b, d, v): the digit of every value that lies in a bracket; ``brackets``:
+    id -> (column, least, greatest), or no bounds for the leading digit.  The
+    brackets of a column do not overlap, so a value has one digit at most."""
+    of: dict[str, list] = {}
+    for b, (c, lo, hi) in brackets.items():
+        of.setdefault(c, []).append((b, lo, hi))
+    items, any_of = [], F.lit(False)
+    for c, parts in of.items():
+        x = F.col(f"`{c}`").cast("double")
+        item = None
+        for b, lo, hi in parts:
+            inside = _known(x) if lo is None else _known(x) & x.between(F.lit(lo), F.lit(hi))
+            row = F.struct(F.lit(b).alias("b"), (_leading(x) if lo is None else _place(x, lo, hi)).alias("d"), x.alias("v"))
+            item = F.when(inside, row) if item is None else item.when(inside, row)
+            any_of = any_of | inside
+        items.append(item)
+    return df.where(F.coalesce(any_of, F.lit(False))).select(F.explode(F.array_compact(F.array(*items))).alias("s")).select("s.b", "s.d", "s.v")
+
+
+def _pick(df: DataFrame, brackets: dict, wanted: dict) -> list:
+    """One pass: of each wanted rank (bracket id -> ranks inside the bracket)
+    its digit's values below (lo_r), number, least and greatest value."""
+    freq = (_digits(df, brackets).groupBy("b", "d")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")))
+    # a bracket has PLACES digits at most
+    w = W.partitionBy("b").orderBy("d").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cum = freq.select("b", "n", "least", "most", F.sum("n").over(w).alias("hi_r")).withColumn("lo_r", F.col("hi_r") - F.col("n"))
+    tgt = df.sparkSession.createDataFrame([(b, int(k)) for b, ks in wanted.items() for k in sorted(ks)],
+                                          T.StructType([T.StructField("b", T.IntegerType()), T.StructField("k", T.LongType())]))
     # the target table has one row per wanted rank: a handful per column
     hit = cum.join(F.broadcast(tgt), (cum.b == tgt.b) & (cum.lo_r <= tgt.k) & (tgt.k < cum.hi_r))
-    return {(r["b"], r["k"]): r["v"] for r in hit.select(tgt.b.alias("b"), "k", "v").collect()}
+    return hit.select(tgt.b.alias("b"), "k", "lo_r", "n", "least", "most").collect()
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    counts: dict | None = None, accuracy: int = 10_000) -> dict:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], counts: dict | None = None) -> dict:
     """Linear-interpolation quantiles (pandas ``describe`` / SQL
-    ``quantile_cont``).  Returns ``{(col, prob): value or None}``.
-
-    ``counts`` (non-null, non-NaN count per column) may be passed in when the
-    caller already aggregated them.  ``accuracy`` is the sketch's: a bracket
-    no larger than it needs no further narrowing.
+    ``quantile_cont``).  Returns ``{(col, prob): value or None}``; nulls and
+    NaN do not count.  ``counts`` (non-null, non-NaN count per column) may be
+    passed in when the caller already aggregated them.
     """
-    cols = list(cols)
+    cols = list(dict.fromkeys(cols))
     if not cols:
         return {}
     if counts is None:
-        row = df.agg(*[F.count(F.when(_in_bracket(F.col(f"`{c}`").cast("double"), None, None), 1)).alias(f"n{i}")
-                       for i, c in enumerate(cols)]).first()
+        row = df.agg(*[F.count(F.when(_known(F.col(f"`{c}`").cast("double")), 1)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     # targets: (col, rank) for the floor and ceiling rank of each prob
     ranks: dict[str, set] = {c: set() for c in cols}
@@ -95,68 +110,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
             plan[(c, q)] = (lo_r, hi_r, pos - lo_r)
             ranks[c].update({lo_r, hi_r})
-    # bracket state per (col, rank): lo, hi, below, inside
-    state = {(c, r): [None, None, 0, counts[c]] for c in cols for r in ranks[c]}
-    ready: set = set()
-    widen: dict = {}
-    while True:
-        # narrow every bracket with a sketch and recount, as long as one is wider than the sketch
-        ready |= {t for t in state if state[t][3] <= accuracy}
-        wide = [t for t in state if t not in ready]
-        if not wide:
-            break
-        exprs, where = [], []
-        for i, t in enumerate(wide):
-            c, r = t
-            lo, hi, below, inside = state[t]
-            x = F.col(f"`{c}`").cast("double")
-            p = (r - below) / max(inside - 1, 1)
-            m = widen.get(t, 1) * 3.0 / accuracy + 1.0 / inside
-            ps = [max(0.0, p - m), min(1.0, p + m)]
-            exprs.append(F.percentile_approx(F.when(_in_bracket(x, lo, hi), x), ps, accuracy).alias(f"a{i}"))
-            where.append((t, ps))
-        row = df.agg(*exprs).first()
-        proposals = {}
-        for i, (t, ps) in enumerate(where):
-            lo, hi, below, inside = state[t]
-            a_lo, a_hi = row[f"a{i}"]
-            proposals[t] = (lo if ps[0] == 0.0 else a_lo, hi if ps[1] == 1.0 else a_hi)
-        cnt = []
-        for i, t in enumerate(wide):
-            c, _ = t
-            lo, hi = proposals[t]
-            x = F.col(f"`{c}`").cast("double")
-            base = x.isNotNull() & ~F.isnan(x)
-            cnt.append(F.count(F.when(base & (x < F.lit(lo)) if lo is not None else F.lit(False), 1)).alias(f"b{i}"))
-            cnt.append(F.count(F.when(_in_bracket(x, lo, hi), 1)).alias(f"i{i}"))
-        row = df.agg(*cnt).first()
-        for i, t in enumerate(wide):
-            below, inside = row[f"b{i}"], row[f"i{i}"]
-            if not (below <= t[1] < below + inside):
-                widen[t] = widen.get(t, 1) * 4          # the sketch bound missed: again, wider, up to the whole bracket
-                continue
-            if inside >= state[t][3] / 2:
-                ready.add(t)                            # few distinct values, each very often: counting them ends it
-            if inside < state[t][3]:
-                state[t] = [*proposals[t], below, inside]
     found: dict = {}
-    if state:
-        bid_of, brackets, wanted = {}, {}, {}
-        for (c, r), (lo, hi, below, _) in state.items():
-            bid = bid_of.setdefault((c, lo, hi), len(bid_of))
-            brackets[bid] = (c, lo, hi)
-            wanted.setdefault(bid, set()).add(r - below)
-        res = _resolve(df, brackets, wanted)
-        found = {(c, r): res[(bid_of[(c, lo, hi)], r - below)] for (c, r), (lo, hi, below, _) in state.items()}
-    out = {}
-    for (c, q), pl in plan.items():
-        if pl is None:
-            out[(c, q)] = None
-            continue
-        lo_r, hi_r, frac = pl
-        v_lo, v_hi = found[(c, lo_r)], found[(c, hi_r)]
-        out[(c, q)] = _lerp(v_lo, v_hi, frac)
-    return out
+    brackets = {i: (c, None, None) for i, c in enumerate(cols) if ranks[c]}
+    wanted = {i: {k: k for k in ranks[c]} for i, (c, _, _) in brackets.items()}     # rank inside the bracket -> rank of the column
+    while brackets:
+        ids, next_brackets, next_wanted = {}, {}, {}
+        for r in _pick(df, brackets, wanted):
+            c, rank = brackets[r["b"]][0], wanted[r["b"]][r["k"]]
+            inside = r["k"] - r["lo_r"]
+            if r["least"] == r["most"] or inside == 0 or inside == r["n"] - 1:
+                found[(c, rank)] = r["least"] if inside == 0 else r["most"]
+                continue
+            b = ids.setdefault((c, r["least"]), len(ids))
+            next_brackets[b] = (c, r["least"], r["most"])
+            next_wanted.setdefault(b, {})[inside] = rank
+        brackets, wanted = next_brackets, next_wanted
+    return {(c, q): None if pl is None else _lerp(found[(c, pl[0])], found[(c, pl[1])], pl[2]) for (c, q), pl in plan.items()}
 
 
 def _lerp(lo: float, hi: float, d: float) -> float:

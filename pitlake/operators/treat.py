@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from pitlake.operators.joins import AsofSource, asof_join, lineage_name
 from pitlake.operators.quantiles import exact_quantiles
 
 # --- fixed values: declared feature schema (name, dtype, missing strategy, winsorize bounds) ---
@@ -50,11 +52,11 @@ def _clip(c: Column, lo, hi) -> Column:
 
 def winsorize_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]], exact: bool = True,
                      accuracy: int = 10_000) -> dict[str, tuple]:
-    """Quantile bounds per column (exact by distributed narrowing, or sketch)."""
+    """Quantile bounds per column (exact by digit selection, or sketch)."""
     cols = list(bounds)
     if exact:
         probs = sorted({p for b in bounds.values() for p in b})
-        # the narrowing passes read only these columns: persist that projection
+        # the counting passes read only these columns: persist that projection
         # (memory, spilling to disk) unless the input is cached already
         src = df if df.is_cached else df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -156,6 +158,45 @@ def membership(df: DataFrame, universe: DataFrame, key: str = "ticker", out: str
     return df.join(u, key, "left").withColumn(out, F.coalesce(F.col("__m"), F.lit(0).cast("tinyint"))).drop("__m")
 
 
+def open_spans(spans: DataFrame, key: str = "ticker", start: str = "start", end: str = "end") -> DataFrame:
+    """``(key, date, n_open)``: how many spans of a key are open from that day on.
+
+    A sweep: a span adds one on its first day and takes it away on the day after
+    its last (never, if ``end`` is null).  The changes are summed per (key, day) map-side
+    first, so overlapping and repeated spans cost one row a day, and one running
+    sum per key gives the levels.  Spans without a start or that end before it are none.
+    """
+    day = lambda c: F.col(c).cast("date")
+    known = spans.select(F.col(key), day(start).alias("__s"), day(end).alias("__e")).where(
+        F.col(key).isNotNull() & F.col("__s").isNotNull() & (F.col("__e").isNull() | (F.col("__e") >= F.col("__s"))))
+    change = lambda d, n: F.struct(d.alias("date"), F.lit(n).cast("long").alias("n"))
+    after = F.when(F.col("__e").isNotNull(), change(F.date_add("__e", 1), -1))
+    changes = (known.select(key, F.explode(F.array_compact(F.array(change(F.col("__s"), 1), after))).alias("c"))
+               .groupBy(key, "c.date").agg(F.sum("c.n").alias("n")).where("n <> 0"))
+    w = W.partitionBy(key).orderBy("date").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return changes.select(key, "date", F.sum("n").over(w).alias("n_open"))
+
+
+def suspension(df: DataFrame, spans: DataFrame, key: str = "ticker", date: str = "date", start: str = "start",
+               end: str = "end", out: str = "is_suspended", count: str | None = None, split: str | None = None) -> DataFrame:
+    """1 on the rows whose day lies in one of their key's spans (both ends
+    inclusive, open-ended if ``end`` is null), else 0, as int8; ``count`` also
+    keeps how many spans are open.
+
+    No range join: the levels of ``open_spans`` are joined as of the row's day
+    (one window on the key; ``split`` as in ``asof_join``, for keys that hold
+    a large share of all rows).  Rows without a key or day are not suspended.
+    """
+    levels = AsofSource("spans", open_spans(spans, key, start, end).withColumnRenamed("date", date), cols=["n_open"],
+                        prefix="__", keep_date_as=None)
+    n = F.coalesce(F.col(lineage_name("n_open", "spans", "__")), F.lit(0).cast("long"))
+    if isinstance(df.schema[date].dataType, T.StringType):
+        raise TypeError(f"{date!r} must be a date or a timestamp")
+    joined = asof_join(df, levels, by=key, date=date, split=split)
+    flag = F.when(n > 0, 1).otherwise(0).cast("tinyint").alias(out)
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), flag, *([n.alias(count)] if count else []))
+
+
 def apply_feature_schema(df: DataFrame, feature_map: Mapping[str, str],
                          schema: Sequence[tuple] = FEATURE_SCHEMA) -> DataFrame:
     """P12 + D2 for the declared features present in ``feature_map``

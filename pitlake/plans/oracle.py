@@ -292,6 +292,29 @@ SQL["is_member"] = """SELECT o_custkey AS ticker, CAST(o_orderdate AS DATE) AS d
   CAST(CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) THEN 1 ELSE 0 END AS TINYINT) AS is_member
 FROM orders"""
 
+SQL["is_suspended"] = """WITH
+spans AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS s,
+                 CASE WHEN NOT (l_linenumber = 7 AND l_quantity >= 49) THEN CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) END AS e
+          FROM lineitem WHERE l_returnflag = 'R'),
+grid AS (SELECT s_suppkey AS ticker, date FROM supplier CROSS JOIN (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem)),
+open AS (SELECT g.ticker, g.date, count(*) AS n FROM grid g
+         JOIN spans x ON x.ticker = g.ticker AND x.s <= g.date AND (x.e IS NULL OR x.e >= g.date) GROUP BY 1, 2)
+SELECT g.ticker, g.date, CAST(CASE WHEN o.n > 0 THEN 1 ELSE 0 END AS TINYINT) AS is_suspended, coalesce(o.n, 0) AS n_open
+FROM grid g LEFT JOIN open o ON o.ticker = g.ticker AND o.date = g.date"""
+
+SQL["asof_restated"] = """WITH
+cal AS (SELECT min(CAST(o_orderdate AS DATE)) AS date FROM orders
+        GROUP BY date_trunc('month', CAST(o_orderdate AS DATE))),
+rep AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS known, CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) AS DATE) AS quarter,
+               l_orderkey, l_linenumber, l_extendedprice AS price
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+grid AS (SELECT s_suppkey AS ticker, cal.date FROM supplier CROSS JOIN cal),
+best AS (SELECT g.ticker, g.date, r.* EXCLUDE (ticker) FROM grid g JOIN rep r ON r.ticker = g.ticker AND r.known <= g.date
+         QUALIFY row_number() OVER (PARTITION BY g.ticker, g.date ORDER BY quarter DESC, known DESC, l_orderkey DESC, l_linenumber DESC) = 1)
+SELECT g.ticker, g.date, b.quarter AS feat_quarter_reports, b.l_orderkey AS feat_l_orderkey_reports,
+       b.l_linenumber AS feat_l_linenumber_reports, b.price AS feat_price_reports, b.known AS effective_date_reports
+FROM grid g LEFT JOIN best b ON b.ticker = g.ticker AND b.date = g.date"""
+
 SQL["asof_events"] = """WITH s AS (
   SELECT user_id AS ticker, ts, arg_max(value, event_id) AS signup_value, max(event_id) AS signup_id
   FROM events WHERE event_type = 'signup' GROUP BY 1, 2)

@@ -1,7 +1,8 @@
 """Registered queries over the driver tables (one per operator group).
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables.  Floating-point aggregates whose value depends on summation order
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables;
+those that need exact quantiles (``describe``, ``stats_summary``,
+``winsorize``) run their counting passes while they are built.  Floating-point aggregates whose value depends on summation order
 (mean, std, interpolated quantiles) are rounded to 6 decimals here and in the
 matching oracle SQL, so both sides compare exactly.
 """
@@ -23,7 +24,7 @@ from pitlake.operators.labels import dedupe_last, forward_labels
 from pitlake.operators.manifest import full_manifest, pending, replay_manifest
 from pitlake.operators.normalise import normalise, union_sources
 from pitlake.operators.panel import assemble
-from pitlake.operators.treat import apply_feature_schema, assign_split, ffill, fill_missing, membership, winsorize
+from pitlake.operators.treat import apply_feature_schema, assign_split, ffill, fill_missing, membership, suspension, winsorize
 from pitlake.plans import tables as tb
 from pitlake.sources.registry import registry
 
@@ -97,6 +98,14 @@ def q_asof_orders(spark, sf):
     return asof_join(grid, src, by="ticker")
 
 
+def q_asof_restated(spark, sf):
+    """As-of in two times: of all reports known by a month's first order date, the newest quarter's latest version."""
+    od, li = tb.load(spark, sf, "orders"), tb.load(spark, sf, "lineitem")
+    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), tb.monthly_calendar(od))
+    src = AsofSource("reports", tb.order_reports(li, od), period="quarter", tie_break=["l_orderkey", "l_linenumber"])
+    return asof_join(grid, src, by="ticker")
+
+
 def q_asof_events(spark, sf):
     """As-of on time over every event (not a grid): the latest signup at or
     before each event, split into (user, day) partitions so a user holding a
@@ -320,6 +329,12 @@ def q_calendar_enriched(spark, sf):
     return enrich_calendar(tb.lineitem_calendar(tb.load(spark, sf, "lineitem")))
 
 
+def q_is_suspended(spark, sf):
+    li = tb.load(spark, sf, "lineitem")
+    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), tb.lineitem_calendar(li))
+    return suspension(grid, tb.return_spans(li), count="n_open")
+
+
 def q_is_member(spark, sf):
     od = tb.order_source(tb.load(spark, sf, "orders")).select("ticker", "date", "o_orderkey")
     cust = tb.load(spark, sf, "customer")
@@ -447,6 +462,7 @@ QUERIES = {
     "asof_market": q_asof_market,
     "asof_orders": q_asof_orders,
     "asof_events": q_asof_events,
+    "asof_restated": q_asof_restated,
     "panel": q_panel,
     "gold": q_gold,
     "gold_unfused": q_gold_unfused,
@@ -475,4 +491,5 @@ QUERIES = {
     "avail_announce": q_avail_announce,
     "calendar_enriched": q_calendar_enriched,
     "is_member": q_is_member,
+    "is_suspended": q_is_suspended,
 }

@@ -94,6 +94,24 @@ def supplier_returns(lineitem: DataFrame) -> DataFrame:
                     "l_orderkey", "l_linenumber"))
 
 
+def return_spans(lineitem: DataFrame) -> DataFrame:
+    """Spans per supplier: each returned line, from its ship day for as many days as its
+    quantity; the last lines of large orders stay open.  They overlap and repeat."""
+    day = _day("l_shipdate")
+    still_open = (F.col("l_linenumber") == 7) & (F.col("l_quantity") >= 49)
+    return (lineitem.where(F.col("l_returnflag") == "R")
+            .select(F.col("l_suppkey").alias("ticker"), day.alias("start"),
+                    F.when(~still_open, F.date_add(day, F.col("l_quantity").cast("int"))).alias("end")))
+
+
+def order_reports(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Restated reports per supplier: each line speaks of its order's quarter and becomes known on
+    its ship day, in no order of quarters."""
+    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.trunc(_day("o_orderdate"), "quarter").alias("quarter"))
+    return lineitem.join(od, "l_orderkey").select(F.col("l_suppkey").alias("ticker"), _day("l_shipdate").alias("date"), "quarter",
+                                                  "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
+
+
 def lineitem_market(bars: DataFrame) -> DataFrame:
     """Market-wide daily source rolled up from the supplier bars."""
     return bars.groupBy("date").agg(F.sum("n_lines").alias("lines"), F.max("price").alias("top_price"))

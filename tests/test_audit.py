@@ -5,9 +5,11 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from pitlake.operators.audit import (accounting, describe_numeric, label_na_report, lookahead_audit,
                                      missing_report, stats_summary)
+from pitlake.operators import quantiles
 from pitlake.operators.quantiles import exact_quantiles
 
 
@@ -23,13 +25,15 @@ def test_describe_matches_pandas(spark):
             assert got[c][col] == pytest.approx(pdf.loc[c, stat], rel=1e-12), (c, stat)
 
 
-def test_exact_quantiles_narrowing_path(spark):
-    """A coarse sketch takes several narrowing rounds."""
+def test_exact_quantiles_take_several_digits(spark, monkeypatch):
+    """Coarse digits take several passes."""
+    monkeypatch.setattr(quantiles, "STEPS", 1)
+    monkeypatch.setattr(quantiles, "PLACES", 4)
     rnd = random.Random(3)
     vals = [float(rnd.randint(0, 500)) for _ in range(5000)]   # many ties
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     probs = (0.001, 0.25, 0.5, 0.75, 0.999)
-    got = exact_quantiles(df, ["v"], probs, accuracy=100)
+    got = exact_quantiles(df, ["v"], probs)
     want = pd.Series(vals).quantile(list(probs))
     for p in probs:
         assert got[("v", p)] == pytest.approx(want[p], rel=1e-12)
@@ -59,9 +63,9 @@ def test_approx_mode(spark):
     assert r["50%"] == 50.0 and r["count"] == 101
 
 
-def test_exact_quantiles_property(spark):
-    """Random columns with nulls, NaN and ties; a coarse sketch forces
-    narrowing rounds.  Always equal to pandas' linear quantiles."""
+def test_exact_quantiles_property(spark, monkeypatch):
+    """Random columns with nulls, NaN and ties; coarse digits force further
+    passes.  Always equal to pandas' linear quantiles."""
     from hypothesis import given, settings
     from hypothesis import strategies as st
 
@@ -69,11 +73,12 @@ def test_exact_quantiles_property(spark):
                      st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
 
     @settings(max_examples=12, deadline=None)
-    @given(st.lists(vals, min_size=1, max_size=120), st.integers(5, 40))
-    def check(xs, accuracy):
+    @given(st.lists(vals, min_size=1, max_size=120), st.integers(2, 40))
+    def check(xs, places):
+        monkeypatch.setattr(quantiles, "PLACES", places)
         df = spark.createDataFrame([(x,) for x in xs], "v double")
         probs = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
-        got = exact_quantiles(df, ["v"], probs, accuracy=accuracy)
+        got = exact_quantiles(df, ["v"], probs)
         s = pd.Series([x for x in xs if x is not None], dtype="float64").dropna()
         for p in probs:
             if s.empty:
@@ -82,3 +87,39 @@ def test_exact_quantiles_property(spark):
                 assert got[("v", p)] == pytest.approx(s.quantile(p), rel=1e-12, abs=1e-9)
 
     check()
+
+
+def test_exact_quantiles_of_any_doubles_in_four_passes(spark, monkeypatch):
+    """Values over the whole range of doubles, neighbours a bit apart, and several columns at once."""
+    import math
+    import struct
+
+    rnd = random.Random(11)
+    wild = [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64)))[0] for _ in range(4000)]
+    wild = [x for x in wild if math.isfinite(x)][:3000] + [0.0, 5e-324, -5e-324, 1.7e308, -1.7e308] * 3
+    close = [1.0]
+    while len(close) < len(wild):
+        close.append(math.nextafter(close[-1], 2.0))
+    rnd.shuffle(close)
+    df = spark.createDataFrame(list(zip(wild, close)), "a double, b double").repartition(3)
+    passes = []
+    pick = quantiles._pick
+    monkeypatch.setattr(quantiles, "_pick", lambda *x: passes.append(1) or pick(*x))
+    probs = [k / (len(wild) - 1) for k in (0, 1, 700, 1500, 2222, len(wild) - 1)]
+    got = exact_quantiles(df, ["a", "b"], probs)
+    for c, xs in (("a", sorted(wild)), ("b", sorted(close))):
+        for p in probs:
+            pos = (len(xs) - 1) * p
+            assert got[(c, p)] in {xs[math.floor(pos)], xs[math.ceil(pos)]} or xs[math.floor(pos)] <= got[(c, p)] <= xs[math.ceil(pos)]
+    assert len(passes) <= 4
+
+
+def test_leading_digit_never_falls(spark):
+    import math
+
+    rnd = random.Random(5)
+    xs = sorted({s * math.ldexp(1 + rnd.random(), rnd.randint(-1074, 1022)) for s in (1, -1) for _ in range(2000)} | {
+        s * y for e in range(-1074, 1024, 7) for s in (1, -1) for y in (math.ldexp(1, e), math.nextafter(math.ldexp(1, e), 0.0))} | {0.0, math.inf, -math.inf})
+    rows = spark.createDataFrame([(x,) for x in xs], "v double").select("v", quantiles._leading(F.col("v")).alias("d")).collect()
+    digits = [r.d for r in sorted(rows, key=lambda r: r.v)]
+    assert digits == sorted(digits)
