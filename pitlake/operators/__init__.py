@@ -3,6 +3,7 @@
 calendar   W1 calendar index, W3 enrichment, D4 availability shift
 grid       J1 base grid, P6 date window
 joins      J2/J3 equi joins, J4/J5 as-of joins, P5 lineage names, J6 gold join
+slices     hot keys of an ordered scan, cut by their rows (J4, W4)
 panel      J10 panel assembly
 gold       fused J10 + W2 + J6 (one shuffle of the grid)
 labels     W2 forward values, F1/F2 labels, A6 last-wins dedupe

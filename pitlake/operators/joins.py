@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from pitlake.operators.slices import heads, hot_keys, tag
+
 
 def lineage_name(col: str, iface: str, prefix: str = "feat_") -> str:
     """P5: ``feat_<col>_<iface>`` (``prefix=""`` reproduces the bare as-of names)."""
@@ -155,7 +157,12 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
     the window partitions by (key, period) instead of key: needed when the
     left side is an event stream in which one key may hold a large share of
     all rows.  Each period receives the latest earlier source row as a
-    carry-in, so the result is identical.
+    carry-in, so the result is identical.  ``split="rows"`` cuts the keys that
+    hold more than a task's share at quantiles of their own times instead
+    (:mod:`pitlake.operators.slices`): no period has to be guessed, a burst
+    inside one period is cut too, and rows of one time, or without a time, are
+    dealt by a hash of the row (rows equal in every column stay together).  It
+    runs two passes over keys and times when the join is built.
     """
     if isinstance(sources, AsofSource):
         sources = [sources]
@@ -184,8 +191,13 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
         for p in rparts:
             stacked = stacked.unionByName(p)
         w = W.partitionBy("__k").orderBy("__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    elif split == "rows":
+        times = left.select(F.col(by).alias("__k"), F.col(date).alias("__d"))
+        for x in sources:
+            times = times.union(x.df.select(F.col(by), F.col(date).cast(on_type)).where(F.col(date).isNotNull()))
+        stacked, w = _sliced_stack(lpart, rparts, pcols, ptypes, hot_keys(times, "__k", "__d"))
     else:
-        stacked, w = _split_stack(lpart, rparts, pcols, ptypes, ltype, split)
+        stacked, w = _split_stack(lpart, rparts, pcols, ptypes, split)
     filled = stacked.select("__side", "__l", *[F.last(p, ignorenulls=True).over(w).alias(p) for p in pcols])
     out = filled.where(F.col("__side") == 1)
     sel = [F.col(f"__l.`{c}`").alias(c) for c in left.columns]
@@ -194,39 +206,61 @@ def asof_join(left: DataFrame, sources: Sequence[AsofSource] | AsofSource, by: s
     return out.select(*sel)
 
 
-def _split_stack(lpart: DataFrame, rparts: list, pcols: list, ptypes: list, ltype, unit: str):
-    """Stack for the period-split as-of: rows keyed by (key, period) plus one
-    carry-in row per left (key, period) holding each source's latest row
-    from earlier periods.
+def _carry_in(heads: DataFrame, rparts: list, pcols: list, ptypes: list) -> DataFrame:
+    """``heads`` (``__k``, ``__P`` and more) with each source's latest row from
+    earlier periods ``__P`` of the key.
 
-    The carry-in is found on small tables: the distinct left (key, period)
-    pairs and each source's last row per (key, period) (partial max_by), with
-    a window over periods per key -- bounded by the number of periods.
+    Found on small tables: the heads and each source's last row per
+    (key, period) (partial max_by), with a window over periods per key --
+    bounded by the number of periods.
     """
-    per = lambda c: F.date_trunc(unit, c)
-    lp = lpart.select("__k", per(F.col("__d")).alias("__P")).distinct()
-    heads = lp.select("__k", "__P", F.lit(0).alias("__o"), *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])
+    more = [c for c in heads.columns if c not in ("__k", "__P")]
+    stack = heads.select("__k", "__P", F.lit(0).alias("__o"), *more, *[F.lit(None).cast(t).alias(p) for p, t in zip(pcols, ptypes)])
     for i, r in enumerate(rparts):
-        last_i = (r.groupBy("__k", per(F.col("__d")).alias("__P"))
-                  .agg(F.max_by(F.col(pcols[i]), F.col("__d")).alias(pcols[i])))
-        heads = heads.unionByName(last_i.select("__k", "__P", F.lit(1).alias("__o"),
-                                                *[F.col(p) if j == i else F.lit(None).cast(ptypes[j]).alias(p)
-                                                  for j, p in enumerate(pcols)]))
-    # left period heads sort before the same period's source summary: strictly earlier periods only
-    wc = W.partitionBy("__k").orderBy("__P", "__o").rowsBetween(W.unboundedPreceding, W.currentRow)
-    carry = (heads.select("__k", "__P", "__o", *[F.last(p, ignorenulls=True).over(wc).alias(p) for p in pcols])
-             .where(F.col("__o") == 0))
-    carry_rows = carry.select("__k", F.lit(None).cast(lpart.schema["__d"].dataType).alias("__d"),
-                              F.lit(0).alias("__side"), F.lit(None).cast(ltype).alias("__l"), *pcols,
-                              "__P", F.lit(0).alias("__c"))
+        last_i = r.groupBy("__k", "__P").agg(F.max_by(F.col(pcols[i]), F.col("__d")).alias(pcols[i]))
+        stack = stack.unionByName(last_i.withColumn("__o", F.lit(1)), allowMissingColumns=True)
+    # a period's head sorts before the same period's source summary: strictly earlier periods only
+    w = W.partitionBy("__k").orderBy("__P", "__o").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (stack.select("__k", "__P", "__o", *more, *[F.last(p, ignorenulls=True).over(w).alias(p) for p in pcols])
+            .where(F.col("__o") == 0).drop("__o"))
+
+
+def _stack_parts(lpart: DataFrame, rparts: list, carry: DataFrame) -> DataFrame:
+    """Left rows, source rows and, before both (``__c``), the carry-in rows."""
     body = lpart
     for p in rparts:
         body = body.unionByName(p)
-    body = body.select("*", per(F.col("__d")).alias("__P"), F.lit(1).alias("__c"))
-    stacked = body.unionByName(carry_rows)
-    w = (W.partitionBy("__k", "__P").orderBy("__c", "__d", "__side")
-         .rowsBetween(W.unboundedPreceding, W.currentRow))
-    return stacked, w
+    first = carry.select("*", F.lit(None).cast(lpart.schema["__d"].dataType).alias("__d"), F.lit(0).alias("__side"),
+                         F.lit(None).cast(lpart.schema["__l"].dataType).alias("__l"), F.lit(0).alias("__c"))
+    return body.withColumn("__c", F.lit(1)).unionByName(first)
+
+
+def _split_stack(lpart: DataFrame, rparts: list, pcols: list, ptypes: list, unit: str):
+    """Stack for the period-split as-of: rows keyed by (key, period) plus one
+    carry-in row per left (key, period)."""
+    lpart, *rparts = [p.withColumn("__P", F.date_trunc(unit, F.col("__d"))) for p in (lpart, *rparts)]
+    carry = _carry_in(lpart.select("__k", "__P").distinct(), rparts, pcols, ptypes)
+    w = W.partitionBy("__k", "__P").orderBy("__c", "__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return _stack_parts(lpart, rparts, carry), w
+
+
+def _sliced_stack(lpart: DataFrame, rparts: list, pcols: list, ptypes: list, hot: DataFrame):
+    """Stack for the as-of with hot keys cut by rows: keyed by (key, slice,
+    copy).  Left rows of a slice with copies are dealt over them, source and
+    carry-in rows go to each."""
+    lpart, *rparts = [tag(p, hot, "__k", "__d") for p in (lpart, *rparts)]
+    copies = F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__z")
+    carry = _carry_in(heads(hot), [r.drop("__n") for r in rparts], pcols, ptypes).select("*", copies).drop("__n")
+    fields = [f for f in lpart.schema["__l"].dataType.fields if not _has_map(f.dataType)]
+    spread = F.pmod(F.xxhash64(*[F.col(f"__l.`{f.name}`") for f in fields]), F.col("__n")).cast("int")
+    body = _stack_parts(lpart.withColumn("__z", spread).drop("__n"), [r.select("*", copies).drop("__n") for r in rparts], carry)
+    w = W.partitionBy("__k", "__P", "__z").orderBy("__c", "__d", "__side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return body, w
+
+
+def _has_map(t: T.DataType) -> bool:
+    """Maps have no hash."""
+    return "map<" in t.simpleString() or "variant" in t.simpleString()
 
 
 def _asof_market_times(left: DataFrame, sources: Sequence[AsofSource], date: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window as W
 
 from pitlake.operators.joins import AsofSource, asof_join, lineage_name
 from pitlake.operators.quantiles import exact_quantiles
+from pitlake.operators.slices import hot_keys, tag
 
 # --- fixed values: declared feature schema (name, dtype, missing strategy, winsorize bounds) ---
 FEATURE_SCHEMA = (
@@ -112,9 +113,13 @@ def ffill(df: DataFrame, cols: Sequence[str], by: str = "ticker", order: str = "
     holds one row per trading day, so partitions are bounded by the calendar.
     ``split`` (a ``date_trunc`` unit) partitions by (key, period) instead and
     seeds each period with the last non-null value of earlier periods, for
-    frames where one key may hold a large share of all rows.
+    frames where one key may hold a large share of all rows.  ``"rows"`` cuts
+    such keys at quantiles of their own times (as in ``asof_join``); rows of
+    one time stay together, as each may fill the next.
     """
     cols = [c for c in cols if c in df.columns]
+    if split == "rows":
+        return _ffill_sliced(df, cols, by, order)
     if split is None:
         w = W.partitionBy(by).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
         return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in cols else F.col(f"`{c}`")
@@ -133,6 +138,25 @@ def ffill(df: DataFrame, cols: Sequence[str], by: str = "ticker", order: str = "
                            if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
+def _ffill_sliced(df: DataFrame, cols: Sequence[str], by: str, order: str) -> DataFrame:
+    """W4 with hot keys cut by rows.  The carried values are one row per slice
+    of a hot key, fewer than two a task, and so are broadcast."""
+    hot = hot_keys(df, by, order)
+    tagged = tag(df, hot, by, order).drop("__n")
+    cs = range(len(cols))
+    each = (tagged.join(F.broadcast(hot.select("__h")), F.col(by).eqNullSafe(F.col("__h")), "left_semi")
+            .groupBy(F.col(by).alias("__k"), "__P")
+            .agg(*[F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.struct("__P", order))).alias(f"__l{i}")
+                   for i, c in enumerate(cols)]))
+    wp = W.partitionBy("__k").orderBy("__P").rowsBetween(W.unboundedPreceding, -1)
+    carry = each.select("__k", F.col("__P").alias("__Q"), *[F.last(f"__l{i}", ignorenulls=True).over(wp).alias(f"__c{i}") for i in cs])
+    w = W.partitionBy(by, "__P").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = tagged.withColumns({f"__f{i}": F.last(F.col(f"`{c}`"), ignorenulls=True).over(w) for i, c in enumerate(cols)})
+    joined = filled.join(F.broadcast(carry), F.col(by).eqNullSafe(F.col("__k")) & (F.col("__P") == F.col("__Q")), "left")
+    return joined.select(*[F.coalesce(f"__f{cols.index(c)}", f"__c{cols.index(c)}").alias(c) if c in cols else F.col(f"`{c}`")
+                           for c in df.columns])
+
+
 def assign_split(df: DataFrame, splits: Sequence[tuple[str, str, str]] = SPLITS, date: str = "date",
                  out: str = "split") -> DataFrame:
     """D3: split name per row: ``[start, end)`` for all but the last split,

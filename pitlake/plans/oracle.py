@@ -322,6 +322,21 @@ SELECT e.event_id, e.user_id AS ticker, e.ts, s.signup_value AS feat_signup_valu
        s.signup_id AS feat_signup_id_signups, s.ts AS effective_date_signups
 FROM events e ASOF LEFT JOIN s ON e.user_id = s.ticker AND e.ts >= s.ts"""
 
+STREAM = """ev AS (SELECT *, CASE WHEN event_type IN ('view', 'signup', 'error') THEN 'shared'
+                           ELSE CAST(user_id AS VARCHAR) END AS stream FROM events)"""
+
+SQL["asof_hot"] = f"""WITH {STREAM},
+s AS (SELECT stream, ts, arg_max(value, event_id) AS large, max(event_id) AS large_id FROM ev WHERE value >= 90 GROUP BY 1, 2)
+SELECT e.event_id, e.stream, e.ts, s.large AS feat_large_stream, s.large_id AS feat_large_id_stream,
+       s.ts AS effective_date_stream
+FROM ev e ASOF LEFT JOIN s ON e.stream = s.stream AND e.ts >= s.ts"""
+
+SQL["ffill_hot"] = f"""WITH {STREAM},
+m AS (SELECT stream, ts, max(value) AS value FROM ev GROUP BY 1, 2)
+SELECT stream, ts, value, last_value(CASE WHEN value >= 90 THEN value END IGNORE NULLS) OVER (
+         PARTITION BY stream ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS large
+FROM m"""
+
 SQL["gold_lineitem"] = """WITH
 bars AS (SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price,
                 count(*) AS n_lines FROM lineitem GROUP BY 1, 2),

@@ -106,6 +106,21 @@ def q_asof_restated(spark, sf):
     return asof_join(grid, src, by="ticker")
 
 
+def q_asof_hot(spark, sf):
+    """As-of on time where one key holds more than half of all events: the latest large one of the key at or before each."""
+    ev = tb.stream_events(_events(spark, sf))
+    src = ev.where(F.col("value") >= 90).select("stream", "ts", F.col("value").alias("large"), F.col("event_id").alias("large_id"))
+    return asof_join(ev.select("event_id", "stream", "ts"), AsofSource("stream", src, tie_break=["large_id"]),
+                     by="stream", date="ts", split="rows")
+
+
+def q_ffill_hot(spark, sf):
+    """Forward fill in time where one key holds more than half of all rows: the last large value of the key, one row an instant."""
+    ev = tb.stream_events(_events(spark, sf)).groupBy("stream", "ts").agg(F.max("value").alias("value"))
+    seen = ev.withColumn("large", F.when(F.col("value") >= 90, F.col("value")))
+    return ffill(seen, ["large"], by="stream", order="ts", split="rows")
+
+
 def q_asof_events(spark, sf):
     """As-of on time over every event (not a grid): the latest signup at or
     before each event, split into (user, day) partitions so a user holding a
@@ -462,6 +477,8 @@ QUERIES = {
     "asof_market": q_asof_market,
     "asof_orders": q_asof_orders,
     "asof_events": q_asof_events,
+    "asof_hot": q_asof_hot,
+    "ffill_hot": q_ffill_hot,
     "asof_restated": q_asof_restated,
     "panel": q_panel,
     "gold": q_gold,
