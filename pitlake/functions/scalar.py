@@ -156,6 +156,38 @@ def date_param(interface_id, date) -> Column:
     return F.when(hyphen, F.date_format(d, "yyyy-MM-dd")).otherwise(F.date_format(d, "yyyyMMdd"))
 
 
+# --- fixed values: the written forms of a date, and the pattern whose groups are year, month and day ---
+DATE_FORMS = {
+    "yyyymmdd": r"^(\d{4})(\d{2})(\d{2})$",                                          # 20240930
+    "yyyymm": r"^(\d{4})(\d{2})()$",                                                 # 202409: the month's first day
+    "separated": r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:[ T].*)?$",                # 2024-09-30, 2024/9/30 15:00
+    "year-month": r"^(\d{4})[-/.](\d{1,2})()$",                                      # 2024-09
+    "text": r"^(\d{4})年(\d{1,2})月(?:(\d{1,2})日.*|份?)$",                             # 2024年9月30日, 2024年09月份
+}
+
+
+def date_form(c) -> Column:
+    """Name of the form of :data:`DATE_FORMS` a written date has; null for none."""
+    s = _written(c)
+    return F.coalesce(*[F.when(s.rlike(p), F.lit(n)) for n, p in DATE_FORMS.items()])
+
+
+def parse_date(c) -> Column:
+    """A date from any of the forms; a month is its first day, as is usual for
+    parsers.  The forms exclude one another, so each value is read by its own;
+    anything else, and a day that does not exist, is null."""
+    s = _written(c)
+    part = lambda p, g: F.regexp_extract(s, p, g)               # noqa: E731
+    day = lambda p: F.when(part(p, 3) == "", F.lit("1")).otherwise(part(p, 3))      # noqa: E731
+    iso = F.coalesce(*[F.when(s.rlike(p), F.concat_ws("-", part(p, 1), part(p, 2), day(p))) for p in DATE_FORMS.values()])
+    return F.try_to_date(iso)
+
+
+def _written(c) -> Column:
+    """Numbers are written without exponent or fraction."""
+    return F.regexp_replace(F.trim(F.coalesce(_c(c).try_cast("bigint").cast("string"), _c(c).cast("string"))), r"^(\d+)\.0$", "$1")
+
+
 def pct(part, whole, digits: int = 2) -> Column:
     """``round(100 * part / whole, digits)`` (HALF_UP)."""
     return F.round(F.lit(100.0) * _c(part) / _c(whole), digits)

@@ -87,7 +87,7 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
         if not rules.get(s.name):
             return s
         cols = s.cols if s.cols is not None else [c for c in s.df.columns if c not in (key, date)]
-        src = available(s.df, calendar, *rules[s.name], key=key, date=date, tie_break=s.tie_break or ())
+        src = available(s.df, calendar, *rules[s.name], key=key, date=date, tie_break=s.tie_break or (), period=s.period)
         return replace(s, df=src, cols=cols, on_calendar=True)
 
     def usable_daily(name: str, src: DataFrame) -> DataFrame:

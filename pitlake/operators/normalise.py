@@ -11,6 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
+
+from pitlake.functions.scalar import date_form, parse_date, pct
 
 
 def rename_by_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -21,18 +24,31 @@ def rename_by_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def normalise_date(df: DataFrame, date: str = "date", out: str = "effective_date") -> DataFrame:
     """``date`` -> ``effective_date`` (DateType), dropping ``date``.
 
-    Unparseable values become null (``try_to_date``) rather than failing the
-    job; a frame without ``date`` is returned unchanged.
+    Written dates may have any of the forms of :func:`parse_date`.
+    Unparseable values become null rather than failing the job
+    (:func:`date_report` counts them); a frame without ``date`` is returned
+    unchanged.
     """
     if date not in df.columns:
         return df
     c = F.col(date)
     dt = df.schema[date].dataType
     val = c.cast("date") if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
-        else F.try_to_date(c.cast("string"))
+        else parse_date(c)
     return df.withColumn(out, val).drop(date) if out != date else df.withColumn(out, val)
 
 
+def date_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per date column and form: rows, rows that parse, and the share of the
+    column's rows (percent).  Form null: empty values (``parsed`` 0) and values
+    of no known form.  One pass over all columns."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), date_form(F.col(f"`{c}`")).alias("form"),
+                                        parse_date(F.col(f"`{c}`")).isNotNull().alias("ok")) for c in cols])).alias("x")
+    counts = df.select(each).groupBy("x.column", "x.form").agg(F.count(F.lit(1)).alias("rows"), F.count_if("x.ok").alias("parsed"))
+    whole = F.sum("rows").over(W.partitionBy("column"))             # a handful of rows a column
+    return counts.withColumn("percent", pct(F.col("rows"), whole))
+
+
 def attach_key(df: DataFrame, ticker, key: str = "ticker") -> DataFrame:
     """Add the task's ticker when the task has one and the data lacks it."""
     if ticker is None or key in df.columns:
@@ -68,13 +84,48 @@ def apply_schema(df: DataFrame, schema: Sequence[tuple[str, str]]) -> DataFrame:
                        for c in df.columns])
 
 
+def common_type(types: Sequence[T.DataType]) -> T.DataType:
+    """Least type that holds every value of ``types``: whole numbers widen to
+    the longest, any other mix of numbers to double (decimals of one scale
+    stay decimal), dates and timestamps to the timestamp, whatever else
+    differs to string.  An all-null (void) column takes the others' type."""
+    kinds = [t for i, t in enumerate(types) if t not in types[:i] and not isinstance(t, T.NullType)]
+    if len(kinds) <= 1:
+        return kinds[0] if kinds else T.StringType()
+    if all(isinstance(t, T.IntegralType) for t in kinds):
+        return max(kinds, key=lambda t: ("tinyint", "smallint", "int", "bigint").index(t.simpleString()))
+    if all(isinstance(t, T.DecimalType) for t in kinds) and len({t.scale for t in kinds}) == 1:
+        return max(kinds, key=lambda t: t.precision)
+    if all(isinstance(t, T.NumericType) for t in kinds):
+        return T.DoubleType()
+    if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in kinds):
+        return next((t for t in kinds if isinstance(t, T.TimestampType)), T.TimestampNTZType())
+    return T.StringType()
+
+
 def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
-    """Stack frames of one interface; columns = union, missing -> null."""
+    """Stack frames of one interface; columns = union, missing -> null.
+
+    Fetches of one interface may disagree on a column's type (a column that
+    was all whole numbers, empty, or held text one day): each frame is cast to
+    the column's :func:`common_type` before the union, so no value is lost or
+    read as another.  Nested columns have to agree.
+    """
     if not dfs:
         raise ValueError("nothing to union")
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=True)
+    types: dict[str, list] = {}
+    for d in dfs:
+        for f in d.schema.fields:
+            types.setdefault(f.name, []).append(f.dataType)
+    want = {c: common_type(ts) for c, ts in types.items()}
+    for c, ts in types.items():
+        if len({t.simpleString() for t in ts}) > 1 and any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in ts):
+            raise ValueError(f"column {c!r} is nested and differs: {[t.simpleString() for t in ts]}")
+    out = None
+    for d in dfs:
+        cast = d.select(*[F.col(f"`{f.name}`") if f.dataType == want[f.name] else F.col(f"`{f.name}`").cast(want[f.name]).alias(f.name)
+                          for f in d.schema.fields])
+        out = cast if out is None else out.unionByName(cast, allowMissingColumns=True)
     return out
 
 
@@ -123,6 +174,6 @@ def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str
         fd = fetch_date if not isinstance(fetch_date, str) or fetch_date in out.columns else F.lit(fetch_date)
         if isinstance(fd, str):
             fd = F.col(fd)
-        d = F.coalesce(F.try_to_date(fd.cast("string"), "yyyyMMdd"), F.try_to_date(fd.cast("string")))
+        d = parse_date(fd)
         out = out.drop("date").withColumn("date", d) if "date" in out.columns else out.withColumn("date", d)
     return normalise_date(out)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from pitlake.operators.audit import accounting
 from pitlake.operators.calendar import shift_available
 from pitlake.operators.joins import AsofSource, asof_join, join_daily, lineage_name
 from pitlake.operators.labels import dedupe_last
@@ -26,7 +27,7 @@ log = logging.getLogger(__name__)
 
 
 def available(src: DataFrame, calendar: DataFrame, rule: str, avail_col: str | None = None, key: str = "ticker",
-              date: str = "date", daily: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
+              date: str = "date", daily: bool = False, tie_break: Sequence[str] = (), period: str | None = None) -> DataFrame:
     """D4 before a join: ``src`` dated by the trading day it may be used from,
     also kept as ``effective_date``; a row that never is used is left out.
 
@@ -34,7 +35,8 @@ def available(src: DataFrame, calendar: DataFrame, rule: str, avail_col: str | N
     source date are superseded.  A ``daily`` source keeps every row of the
     latest source day, so repeated keys fan out (J2) and a market-wide source
     is held to one row a day (T5).  Of an as-of source the latest row counts,
-    by ``tie_break`` among equals, or without one the largest (as in J4)."""
+    by ``tie_break`` among equals, or without one the largest (as in J4); of
+    reports with a ``period`` the newest period's latest row."""
     rest = [c for c in src.columns if c not in (key, date)]
     shifted = shift_available(src, calendar, rule, date=date, avail_col=avail_col, out="__eff")
     keys = [c for c in (key,) if c in src.columns]
@@ -44,7 +46,7 @@ def available(src: DataFrame, calendar: DataFrame, rule: str, avail_col: str | N
         latest = F.max(day).over(W.partitionBy(*keys, date))
         kept = dated.withColumn("__last", latest).where(day.eqNullSafe(F.col("__last"))).drop("__last")
     else:
-        kept = dedupe_last(dated, [*keys, date], ["__src", *(tie_break or rest)])
+        kept = dedupe_last(dated, [*keys, date], [*([period] if period else []), "__src", *(tie_break or rest)])
     return kept.drop("__src").withColumn("effective_date", F.col(date))
 
 
@@ -58,7 +60,8 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
              freqs: Mapping[str, str] | None = None, tie_breaks: Mapping[str, Sequence[str]] | None = None,
              key: str = "ticker", date: str = "date", asof_prefix: str = "feat_",
              on_error: str = "raise", calendar: DataFrame | None = None,
-             avail: Mapping[str, str | tuple[str, str]] | str | None = None) -> DataFrame:
+             avail: Mapping[str, str | tuple[str, str]] | str | None = None,
+             periods: Mapping[str, str] | None = None, counted: dict | None = None) -> DataFrame:
     """Left-fold sources onto ``grid`` (one lazy plan).
 
     ``freqs`` overrides the registry; a source that is neither registered nor
@@ -72,12 +75,20 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     source is joined on the trading day it may be used from, which is kept as
     ``effective_date_<source>`` (needs ``calendar``).  Without it sources join
     on their own dates.
+
+    ``periods`` names the period column of as-of sources whose reports are
+    restated (see :class:`AsofSource`).  ``counted`` (A8) is filled with one
+    row counter after the grid and after every equi join, all read from the
+    one job that computes the panel; the join that adds rows is the source
+    that fans out.
     """
     items = list(sources.items()) if isinstance(sources, Mapping) else list(sources)
     rules = avail_rules([i for i, _ in items], avail)
     freqs = dict(freqs or {})
     tie_breaks = dict(tie_breaks or {})
-    out = grid
+    out, periods = grid, dict(periods or {})
+    if counted is not None:
+        out, counted["grid"] = accounting(out, "grid")
     keyed, market = [], []
     for iface, df in items:
         freq = freqs.get(iface) or freq_of(iface)
@@ -93,14 +104,17 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
             if rules.get(iface):
                 if calendar is None:
                     raise ValueError("availability rules need the calendar")
-                src = available(src, calendar, *rules[iface], key=key, date=date, daily=freq in EQUI_FREQS, tie_break=ties)
+                src = available(src, calendar, *rules[iface], key=key, date=date, daily=freq in EQUI_FREQS,
+                                tie_break=ties, period=None if freq in EQUI_FREQS else periods.get(iface))
             if freq in EQUI_FREQS:
                 out = join_daily(out, src, iface, key=key, date=date)
                 if rules.get(iface):
                     out = out.withColumnRenamed(lineage_name("effective_date", iface), f"effective_date_{iface}")
+                if counted is not None:
+                    out, counted[iface] = accounting(out, iface)
             else:
                 src = src.drop("effective_date") if rules.get(iface) else src      # the as-of join keeps its date itself
-                s = AsofSource(iface, src, tie_break=ties or None, prefix=asof_prefix)
+                s = AsofSource(iface, src, tie_break=ties or None, prefix=asof_prefix, period=periods.get(iface))
                 (keyed if key in src.columns else market).append(s)
         except Exception:
             if on_error == "skip":

@@ -81,6 +81,11 @@ def run(spark: SparkSession, prices_path: str, universe_path: str, window_path:
     r = build(spark, prices_path, universe_path, window_path, calendar, silver=silver, avail=avail)
     feat_path = write_gold(r.features, f"{out_dir}/gold", "features")
     lab_path = write_gold(r.labels, f"{out_dir}/gold", "labels")
+    return deliver(spark, feat_path, lab_path, out_dir, suffix, name)
+
+
+def deliver(spark: SparkSession, feat_path: str, lab_path: str, out_dir: str, suffix: str = "smoke", name: str = "dataset") -> dict:
+    """Written features and labels -> gold, exports and reports."""
     gold_df = join_gold(spark.read.parquet(feat_path), spark.read.parquet(lab_path))
     g = spark.read.parquet(write_gold(gold_df, f"{out_dir}/gold", "gold"))
     counted, obs = accounting(g, "gold")                    # A8: counted by the first export, no extra job

@@ -166,3 +166,10 @@ def freq_of(interface_id: str) -> str | None:
         if i == interface_id:
             return f
     return None
+
+
+def scope_of(interface_id: str) -> str | None:
+    for i, _, _, s, *_ in SOURCES:
+        if i == interface_id:
+            return s
+    return None

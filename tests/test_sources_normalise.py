@@ -3,11 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from paths import FIXTURES
 from pitlake.functions.scalar import ticker_of
 from pitlake.operators.calendar import calendar_index, enrich_calendar, shift_available
-from pitlake.operators.normalise import (apply_schema, attach_key, normalise, normalise_date, pick_date_key,
+from pitlake.operators.normalise import (apply_schema, attach_key, date_report, normalise, normalise_date, pick_date_key,
                                          rename_by_map, union_sources)
 from pitlake.operators.treat import assign_split, ffill, fill_missing, membership, winsorize
 from pitlake.sources.files import read_calendar, read_prices, read_universe, read_window, window_bounds
@@ -153,3 +154,18 @@ def test_empty_window_file_means_whole_calendar(spark, tmp_path):
     assert (lo, hi) == (None, None)
     cal = spark.createDataFrame([(D("2024-01-02"),), (D("2024-01-03"),)], "date date")
     assert base_grid(spark.createDataFrame([("A",)], "ticker string"), cal, lo, hi).count() == 2
+
+
+def test_date_forms(spark):
+    forms = {"20240930": "2024-09-30", "2024-09-30": "2024-09-30", "2024/9/3 15:00": "2024-09-03", "2024-09-30T08:00:00": "2024-09-30",
+             "202409": "2024-09-01", "2024-09": "2024-09-01", "2024年9月30日": "2024-09-30", "2024年09月份": "2024-09-01", " 2024.01.05 ": "2024-01-05",
+             "20240230": None, "2024-13-01": None, "上午": None, "24-01-05": None, "2024": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in forms], "date string")
+    out = normalise_date(df.withColumn("raw", F.col("date")))
+    assert {r.raw: r.effective_date and r.effective_date.isoformat() for r in out.collect()} == forms
+    numbers = spark.createDataFrame([(20240930, 20240930.0)], "a bigint, b double")
+    assert [normalise_date(numbers, c).collect()[0].effective_date for c in "ab"] == [D("2024-09-30")] * 2
+    got = {(r.column, r.form): (r.rows, r.parsed, r.percent) for r in date_report(df, ["date"]).collect()}
+    assert got[("date", "yyyymmdd")] == (2, 1, 12.5) and got[("date", "separated")] == (5, 4, 31.25)
+    assert got[("date", None)] == (5, 0, 31.25) and sum(v[0] for v in got.values()) == 16
+    assert date_report(df.limit(0), ["date"]).count() == 0
