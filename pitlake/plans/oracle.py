@@ -322,6 +322,54 @@ SELECT e.event_id, e.user_id AS ticker, e.ts, s.signup_value AS feat_signup_valu
        s.signup_id AS feat_signup_id_signups, s.ts AS effective_date_signups
 FROM events e ASOF LEFT JOIN s ON e.user_id = s.ticker AND e.ts >= s.ts"""
 
+SQL["union_drift"] = """
+SELECT event_id, floor(value)::DOUBLE AS amount, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS at, NULL::VARCHAR AS ref FROM events WHERE event_type = 'click'
+UNION ALL SELECT event_id, value, ts, NULL FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, NULL, NULL, CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'view'
+UNION ALL SELECT event_id, NULL, ts, props FROM events WHERE event_type = 'signup'"""
+
+SQL["date_forms"] = """WITH l AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE l_linenumber
+         WHEN 1 THEN strftime(d, '%Y%m%d') WHEN 2 THEN strftime(d, '%Y-%m-%d') WHEN 3 THEN strftime(d, '%Y/%-m/%-d')
+         WHEN 4 THEN strftime(d, '%Y-%m') WHEN 5 THEN strftime(d, '%Y%m') WHEN 6 THEN strftime(d, '%Y年%-m月%-d日')
+         WHEN 7 THEN strftime(d, '%Y-%m-%d') || ' 00:00:00' END AS written,
+       CASE WHEN l_linenumber IN (4, 5) THEN CAST(date_trunc('month', d) AS DATE) WHEN l_linenumber <= 7 THEN d END AS effective_date
+FROM l"""
+
+SQL["panel_landed"] = """WITH
+ln AS (SELECT *, lpad(CAST(l_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(l_suppkey AS VARCHAR))) AS INTEGER), '0') AS code, CAST(l_shipdate AS DATE) AS date FROM lineitem),
+l AS (SELECT *, code || CASE WHEN code LIKE '6%' THEN '.SH' ELSE '.SZ' END AS ticker FROM ln),
+s0 AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS code FROM supplier),
+uni AS (SELECT code || CASE WHEN code LIKE '6%' THEN '.SH' ELSE '.SZ' END AS ticker FROM s0),
+cal AS (SELECT date, row_number() OVER (ORDER BY date) AS idx FROM (SELECT DISTINCT date FROM l)),
+px AS (SELECT ticker, date, max(l_extendedprice) AS price, count(*) AS n FROM l GROUP BY 1, 2),
+mk AS (SELECT n.date AS eff, m.lines, m.top_price FROM (SELECT date, count(*) AS lines, max(l_extendedprice) AS top_price FROM l GROUP BY 1) m
+       JOIN cal c ON c.date = m.date JOIN cal n ON n.idx = c.idx + 1),
+rp AS (SELECT ticker, date, max({'p': CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) AS DATE), 'd': date, 'o': l_orderkey,
+                                 'n': l_linenumber, 'x': l_extendedprice, 's': CAST(l_suppkey AS VARCHAR)}) AS r
+       FROM l JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
+rq AS (SELECT ticker, date, max(r) OVER (PARTITION BY ticker ORDER BY date) AS r FROM rp),
+rt AS (SELECT ticker, date, max({'o': l_orderkey, 'n': l_linenumber, 'x': l_extendedprice, 'q': l_quantity, 's': CAST(l_suppkey AS VARCHAR)}) AS r
+       FROM l WHERE l_returnflag = 'R' GROUP BY 1, 2),
+mm AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS m, max(o_totalprice) AS top_order, count(*) AS n_orders FROM orders GROUP BY 1),
+mc AS (SELECT eff, arg_max(top_order, m) AS top_order, arg_max(n_orders, m) AS n_orders
+       FROM (SELECT *, (SELECT min(date) FROM cal WHERE date >= m) AS eff FROM mm) WHERE eff IS NOT NULL GROUP BY 1),
+g AS (SELECT ticker, date FROM uni CROSS JOIN cal)
+SELECT g.ticker, g.date, px.price AS feat_close_stock_zh_a_hist, px.n AS feat_volume_stock_zh_a_hist, px.price AS feat_adj_close_hfq_stock_zh_a_hist,
+       px.date AS effective_date_stock_zh_a_hist,
+       mk.lines AS feat_lines_stock_margin_sse, mk.top_price AS feat_top_price_stock_margin_sse, mk.eff AS effective_date_stock_margin_sse,
+       rq.r.s AS feat_股票代码_stock_yjbb_em, rt.r.s AS feat_证券代码_stock_industry_change_cninfo,
+       rq.r.o AS feat_l_orderkey_stock_yjbb_em, rq.r.n AS feat_l_linenumber_stock_yjbb_em, rq.r.x AS feat_price_stock_yjbb_em,
+       rq.r.p AS feat_report_period_stock_yjbb_em, rq.r.d AS effective_date_stock_yjbb_em,
+       rt.r.x AS feat_ret_price_stock_industry_change_cninfo, rt.r.q AS feat_ret_qty_stock_industry_change_cninfo,
+       rt.r.o AS feat_l_orderkey_stock_industry_change_cninfo, rt.r.n AS feat_l_linenumber_stock_industry_change_cninfo,
+       rt.date AS effective_date_stock_industry_change_cninfo,
+       mc.top_order AS feat_top_order_macro_info_ws, mc.n_orders AS feat_n_orders_macro_info_ws, mc.eff AS effective_date_macro_info_ws
+FROM g LEFT JOIN px ON px.ticker = g.ticker AND px.date = g.date LEFT JOIN mk ON mk.eff = g.date
+ASOF LEFT JOIN rq ON rq.ticker = g.ticker AND rq.date <= g.date
+ASOF LEFT JOIN rt ON rt.ticker = g.ticker AND rt.date <= g.date
+ASOF LEFT JOIN mc ON mc.eff <= g.date"""
+
 STREAM = """ev AS (SELECT *, CASE WHEN event_type IN ('view', 'signup', 'error') THEN 'shared'
                            ELSE CAST(user_id AS VARCHAR) END AS stream FROM events)"""
 

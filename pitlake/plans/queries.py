@@ -2,7 +2,8 @@
 
 Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables;
 those that need exact quantiles (``describe``, ``stats_summary``,
-``winsorize``) run their counting passes while they are built.  Floating-point aggregates whose value depends on summation order
+``winsorize``) run their counting passes while they are built, ``asof_hot`` and ``ffill_hot`` cut their
+hot keys then, and ``panel_landed`` writes its tables.  Floating-point aggregates whose value depends on summation order
 (mean, std, interpolated quantiles) are rounded to 6 decimals here and in the
 matching oracle SQL, so both sides compare exactly.
 """
@@ -22,10 +23,11 @@ from pitlake.operators.grid import base_grid
 from pitlake.operators.joins import AsofSource, asof_join, gold, join_daily
 from pitlake.operators.labels import dedupe_last, forward_labels
 from pitlake.operators.manifest import full_manifest, pending, replay_manifest
-from pitlake.operators.normalise import normalise, union_sources
+from pitlake.operators.normalise import normalise, normalise_date, union_sources
 from pitlake.operators.panel import assemble
 from pitlake.operators.treat import apply_feature_schema, assign_split, ffill, fill_missing, membership, suspension, winsorize
 from pitlake.plans import tables as tb
+from pitlake.plans.landed import landed_panel, write_landed_silver
 from pitlake.sources.registry import registry
 
 
@@ -246,6 +248,39 @@ def q_silver_orders(spark, sf):
     return normalise(tb.load(spark, sf, "orders"), ORDER_MAP, ticker=None)
 
 
+def q_panel_landed(spark, sf):
+    """Five landed sources, one of each kind, to one panel by their registered columns, frequencies and availability
+    rules.  Landing table and silver are written and read again."""
+    li, od = tb.load(spark, sf, "lineitem"), tb.load(spark, sf, "orders")
+    landing, silver = tb.scratch(spark, "landing"), tb.scratch(spark, "silver")
+    tb.land_sources(li, od, landing)
+    sources = write_landed_silver(spark, landing, silver)
+    uni = tb.load(spark, sf, "supplier").select(ticker_of(F.col("s_suppkey")).alias("ticker"))
+    cal = tb.lineitem_calendar(li)
+    ties = {i: ["l_orderkey", "l_linenumber"] for i in ("stock_yjbb_em", "stock_industry_change_cninfo")}
+    return landed_panel(spark, silver, list(sources), base_grid(uni, cal), cal, tie_breaks=ties)
+
+
+def q_union_drift(spark, sf):
+    """Fetches that disagree on their columns' types: whole numbers and doubles, numbers and text, days and times."""
+    ev = _events(spark, sf)
+    of = lambda kind: ev.where(F.col("event_type") == kind)
+    whole = F.floor("value").cast("int").alias("amount")
+    return union_sources([of("click").select("event_id", whole, F.to_date("ts").alias("at")),
+                          of("purchase").select("event_id", F.col("value").alias("amount"), F.col("ts").alias("at")),
+                          of("view").select("event_id", F.col("user_id").alias("ref"), F.lit(None).alias("amount")),
+                          of("signup").select("event_id", F.col("props").alias("ref"), F.col("ts").alias("at"))])
+
+
+def q_date_forms(spark, sf):
+    """Ship days written in seven forms, read back as dates."""
+    day, n = F.to_date("l_shipdate"), F.col("l_linenumber")
+    forms = ("yyyyMMdd", "yyyy-MM-dd", "yyyy/M/d", "yyyy-MM", "yyyyMM", "yyyy年M月d日", "yyyy-MM-dd HH:mm:ss")
+    text = F.coalesce(*[F.when(n == i, F.date_format(day, f)) for i, f in enumerate(forms, 1)])
+    li = tb.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("written"), text.alias("date"))
+    return normalise_date(li)
+
+
 def q_silver_union(spark, sf):
     ev = _events(spark, sf)
     of = lambda kind: ev.where(F.col("event_type") == kind)
@@ -494,6 +529,9 @@ QUERIES = {
     "stats_summary": q_stats_summary,
     "silver_orders": q_silver_orders,
     "silver_union": q_silver_union,
+    "union_drift": q_union_drift,
+    "date_forms": q_date_forms,
+    "panel_landed": q_panel_landed,
     "exchange_code": q_exchange_code,
     "dedupe_last": q_dedupe_last,
     "typed_features": q_typed_features,

@@ -22,9 +22,15 @@ The driver data has no market prices, so the panel stands in as follows
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.functions.scalar import ticker_of
+from pitlake.sources.sinks import write_raw
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -132,6 +138,43 @@ def supplier_universe(supplier: DataFrame) -> DataFrame:
     return supplier.select(F.col("s_suppkey").alias("ticker"))
 
 
+# -------------------------------------------------------------- landed sources
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one that ``spark.checkpoint.dir`` names;
+    where it is unset, in local mode only, below a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required on a cluster")
+        base = "file://" + tempfile.mkdtemp(prefix="pitlake-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def land_sources(lineitem: DataFrame, orders: DataFrame, landing: str) -> None:
+    """A landing table of five registered sources, one of each kind, under
+    their documented column names: prices per supplier and day (daily, keyed by the
+    task), the market's day (daily), order reports of a quarter (restated,
+    keyed), returned lines (event, keyed) and a monthly order summary (event, market-wide)."""
+    bars = lineitem_bars(lineitem)
+    static = F.lit("static")
+    prices = bars.select(ticker_of(F.col("ticker")).alias("ticker"), F.col("date").alias("data_date"), F.col("price").alias("收盘"),
+                         F.col("n_lines").alias("成交量"), F.col("price").alias("后复权价"), static.alias("date"))
+    market = lineitem_market(bars).select(F.date_format("date", "yyyyMMdd").alias("信用交易日期"), "lines", "top_price",
+                                          F.date_format("date", "yyyy0101").alias("date"))
+    reports = order_reports(lineitem, orders).select(
+        F.col("ticker").cast("string").alias("股票代码"), F.date_format("date", "yyyy/M/d").alias("最新公告日期"), "l_orderkey", "l_linenumber",
+        "price", F.date_format("quarter", "yyyyMMdd").alias("date"))
+    returns = supplier_returns(lineitem).select(F.col("ticker").cast("string").alias("证券代码"), F.col("date").alias("变更日期"), "ret_price", "ret_qty",
+                                                "l_orderkey", "l_linenumber", static.alias("date"))
+    month_end = F.last_day(_day("o_orderdate"))
+    macro = (orders.groupBy(month_end.alias("m")).agg(F.max("o_totalprice").alias("top_order"), F.count(F.lit(1)).alias("n_orders"))
+             .select(F.date_format("m", "yyyy-MM-dd 18:00:00").alias("时间"), "top_order", "n_orders", static.alias("date")))
+    for domain, interface, df in (("sina", "stock_zh_a_hist", prices), ("sse.com.cn", "stock_margin_sse", market),
+                                  ("eastmoney.com", "stock_yjbb_em", reports), ("cninfo.com.cn", "stock_industry_change_cninfo", returns),
+                                  ("wsj.com", "macro_info_ws", macro)):
+        write_raw(df.withColumns({"source_domain": F.lit(domain), "interface": F.lit(interface)}).repartition("date"), landing)
+
+
 # ---------------------------------------------------------------- orders panel
 def order_source(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_custkey").alias("ticker"), _day("o_orderdate").alias("date"),
