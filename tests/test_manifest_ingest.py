@@ -90,3 +90,30 @@ def test_task_id_non_ascii_and_control_chars(spark):
     t = single_task(spark, "stock_szse_sector_summary", params, "szse.cn").collect()[0]
     assert t.params_json == json.dumps(params, sort_keys=True)
     assert t.task_id == _ref_id("stock_szse_sector_summary", params)
+
+
+def test_finished_files_are_not_opened(spark, tmp_path):
+    """A finished task's file is spoiled so that opening it fails the run; names hold spaces and pattern signs."""
+    from pyspark.sql import functions as F
+    from pitlake.streaming.ingest import list_files
+    src = tmp_path / "in put+[1]"
+    src.mkdir()
+    for i in range(4):
+        (src / f"f {i}{{a}}%.csv").write_text(f"date,open\n2024-01-0{i + 1},{i}.5\n")
+    man = spark.createDataFrame([(f"id{i}xxxxxxxxx", "stock_zh_a_hist", "sina", {"ticker": f"{i}"}, f"{src}/f {i}{{a}}%.csv") for i in range(5)],
+                                "task_id string, interface_id string, source_domain string, params map<string,string>, replay_path string")
+    landing, done, glob = str(tmp_path / "landing"), str(tmp_path / "done"), f"{tmp_path}/in*/*.csv"
+    strict = {"header": "true", "mode": "FAILFAST"}
+    run = lambda m, **kw: replay_ingest(spark, m, done, landing, glob, "date date, open double", options=strict, **kw)
+    assert {r.length for r in list_files(spark, glob).collect()} == {25}
+    assert run(man.where("params['ticker'] < '2'")).count() == 2
+    for i in range(2):
+        (src / f"f {i}{{a}}%.csv").write_text("date,open\nspoiled,row,too,long\n")
+    # the fifth task has no file: it stays pending; two batches of about one file each
+    assert {r.task_id[:3] for r in run(man, batch_files=1).collect()} == {"id2", "id3"}
+    rows = {(r.ticker, r.open) for r in spark.read.parquet(landing).select(F.col("ticker").cast("string"), "open").collect()}
+    assert rows == {(str(i), i + 0.5) for i in range(4)}
+    assert run(man.where("params['ticker'] < '4'")).count() == 0
+    import pytest
+    with pytest.raises(RuntimeError):
+        run(man)
