@@ -1,18 +1,21 @@
 """Exact top-k inner-product search: tiled matrix products of query blocks and
 candidate shards, partial selection per tile, tree merging of the lists.
 
-Vectors become integers, floor(scale * x), so scores are exact.  Queries are
-taken in blocks of QUERY_BLOCK, each broadcast (its size is bounded by that
-number); a task multiplies one block by a tile of its candidates and keeps a
-running list of k per query, whole partition at a time.  Lists are then merged
-in a tree of fan-in FAN_IN, so no task sees more than FAN_IN lists of a query.
+Vectors become integers, floor(scale * x), so scores are exact.  Distinct
+queries and all candidates are dealt into tiles of TILE_BYTES of vectors, and every
+query tile meets every candidate tile in a task of its own: rows go to
+executors only, and a task holds two tiles whatever the number of queries.  A
+task keeps a running list of k per query.  Lists are then merged in a tree of
+fan-in FAN_IN, so no task sees more than FAN_IN lists of a query.  Candidates are dealt
+by their place in the table, so rows that repeat do not meet in one tile.
 
 Defined cases: a vector that is null or empty, or holds a null or non-finite
 component, takes no part; a query sees candidates of its own length only;
 candidates with the query's id are its own rows and are left out; repeated
 query rows run once, rows of one id with different vectors run each,
 repeated candidate rows count each; ties go to the
-smaller id; rows with a null id take no part; no queries or no candidates give
+smaller id; a score beyond 64 bits counts as the nearest 64-bit number but the least;
+rows with a null id take no part; no queries or no candidates give
 no rows; extra columns are never read.
 """
 
@@ -21,17 +24,22 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import union_all, written
+from pitlake.llm.common import written
 
-QUERY_BLOCK, TILE, ROWS_AT_ONCE, FAN_IN = 8192, 4096, 256, 32
+#: bytes of a tile's vectors; candidates and queries that are multiplied at once; lists merged at once
+TILE_BYTES, TILE, ROWS_AT_ONCE, FAN_IN = 32 << 20, 4096, 256, 32
+CELL = ["dim", "query_tile", "tile"]
+FOUND = "query_id long, query_key long, tile int, vec_id long, score long"
 
 
-def integer_matrix(vectors: list, scale: float) -> np.ndarray:
-    return np.floor(np.vstack(vectors).astype(np.float64) * scale)
+def integer_matrix(vectors: pa.ChunkedArray, scale: float) -> np.ndarray:
+    """Vectors of one length and without nulls, as rows."""
+    flat = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return np.floor(flat.astype(np.float64).reshape(len(vectors), -1) * scale)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -67,30 +75,20 @@ def tile_best(queries: np.ndarray, query_ids: np.ndarray, tile: np.ndarray, ids:
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _searcher(block, scale: float, k: int):
-    def run(frames):
-        b_ids, b_keys, b_matrix = block.value
-        best, held, n = None, [], 0
+def _searcher(scale: float, k: int):
+    names = [c.split()[0] for c in FOUND.split(", ")]
 
-        def flush():
-            nonlocal best, held, n
-            ids = np.concatenate([h[0] for h in held])
-            tile = integer_matrix([v for h in held for v in h[1]], scale)
-            found = tile_best(b_matrix, b_ids, tile, ids, k)
+    def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not (len(queries) and len(candidates)):
+            return pa.table([pa.array([], pa.int64() if c != "tile" else pa.int32()) for c in names], names)
+        q_ids, q_keys, q_matrix = queries["id"].to_numpy(), queries["key"].to_numpy(), integer_matrix(queries["v"], scale)
+        best = None
+        for at in range(0, len(candidates), TILE):
+            part = candidates.slice(at, TILE)
+            found = tile_best(q_matrix, q_ids, integer_matrix(part["v"], scale), part["id"].to_numpy(), k)
             best = found if best is None else select(*(np.concatenate(x) for x in zip(best, found)), k)
-            held, n = [], 0
-
-        for f in frames:
-            for at in range(0, len(f), TILE):
-                part = f.iloc[at:at + TILE]
-                held.append((part["id"].to_numpy(np.int64), part["v"].tolist()))
-                n += len(part)
-                if n >= TILE:
-                    flush()
-        if held:
-            flush()
-        if best is not None and len(best[0]):
-            yield pd.DataFrame({"query_id": b_ids[best[0]], "query_key": b_keys[best[0]], "vec_id": best[1], "score": best[2]})
+        tile = np.full(len(best[0]), candidates["tile"][0].as_py(), np.int32)
+        return pa.table([q_ids[best[0]], q_keys[best[0]], tile, best[1], best[2]], names)
 
     return run
 
@@ -101,28 +99,39 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float =
     spark = candidates.sparkSession
 
     def usable(df):
-        v = F.col(vec_col).cast("array<double>")
+        v = F.col(vec_col)
+        v = v if df.schema[vec_col].dataType.simpleString() in ("array<float>", "array<double>") else v.cast("array<double>")
         finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         return (df.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).filter((F.size(v) > 0) & finite)
                 .select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.size(v).alias("dim")))
 
     rows = usable(candidates)
-    asked = written(usable(queries).distinct(), "topk-queries")
-    lists = []
-    for dim, n in sorted((r["dim"], r["count"]) for r in asked.groupBy("dim").count().collect()):
-        blocks = math.ceil(n / QUERY_BLOCK)
-        own = asked.filter(F.col("dim") == dim).withColumn("key", F.xxhash64("id", "v"))
-        for b in range(blocks):
-            got = own.filter(F.pmod("key", F.lit(blocks)) == b).select("id", "key", "v").toPandas()      # QUERY_BLOCK rows on average
-            if len(got):
-                block = spark.sparkContext.broadcast((got["id"].to_numpy(np.int64), got["key"].to_numpy(np.int64), integer_matrix(got["v"].tolist(), scale)))
-                lists.append(rows.filter(F.col("dim") == dim).select("id", "v")
-                             .mapInPandas(_searcher(block, scale, k), "query_id long, query_key long, vec_id long, score long")
-                             .withColumn("part", F.spark_partition_id()))
-    if not lists:
+    asked = written(usable(queries).distinct().withColumn("key", F.xxhash64("id", "v")), "topk-queries")
+    # one row per length of vectors: d lengths take d * d / 2 components at least, so they are few
+    count = lambda df: {r["dim"]: r["count"] for r in df.groupBy("dim").count().collect()}
+    n_queries, n_rows = count(asked), count(rows)
+    plan, cores = [], spark.sparkContext.defaultParallelism
+    for dim in sorted(n_queries.keys() & n_rows.keys()):
+        fit = max(1, TILE_BYTES // (8 * dim))
+        query_tiles = math.ceil(n_queries[dim] / fit)
+        plan.append((dim, query_tiles, max(math.ceil(n_rows[dim] / fit), math.ceil(cores / query_tiles))))
+    if not plan:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = union_all(lists).groupBy("query_id", "query_key", "part").agg(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id")).alias("top"))
-    groups = sum(f.rdd.getNumPartitions() for f in lists[:1])
+    tiles = F.broadcast(spark.createDataFrame(plan, "dim int, query_tiles int, tiles int"))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def dealt(by, n):
+        return F.pmod(F.xxhash64(by), F.col(n)).cast("int")
+
+    left = (asked.join(tiles, "dim").withColumn("query_tile", dealt("key", "query_tiles")).withColumn("tile", every("tiles"))
+            .select(*CELL, "id", "key", "v"))
+    right = (rows.withColumn("place", F.monotonically_increasing_id()).join(tiles, "dim").withColumn("tile", dealt("place", "tiles"))
+             .withColumn("query_tile", every("query_tiles")).select(*CELL, "id", "v"))
+    cells = left.groupBy(*CELL).cogroup(right.groupBy(*CELL)).applyInArrow(_searcher(scale, k), FOUND).withColumnRenamed("tile", "part")
+    best = cells.groupBy("query_id", "query_key", "part").agg(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id")).alias("top"))
+    groups = max(c for _, _, c in plan)
     while groups > 1:
         groups = math.ceil(groups / FAN_IN)
         merged = F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k)

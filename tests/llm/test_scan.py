@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pitlake.llm import bpe, ctw, pii, sharding, topk
 from pitlake.llm.words import words_of
@@ -234,8 +235,9 @@ def brute_top(vectors, k=10):
 
 
 def test_topk(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "TILE_BYTES", 6000)       # 150 vectors of 5: several tiles of both sides, merged in two rounds
     monkeypatch.setattr(topk, "TILE", 40)
+    monkeypatch.setattr(topk, "FAN_IN", 3)
     rng = random.Random(1)
     vectors = [(k, [rng.randint(-3, 3) / 4 for _ in range(5)]) for k in range(0, 1300, 2)]        # few values: many ties
     vectors += [(1500, None), (1600, [float("nan")] * 5), (1700, [None] * 5), (1800, [float("inf")] * 5), (1900, []), (2000, [1.0, 2.0]), (2001, [0.5, 0.5]),
@@ -244,6 +246,23 @@ def test_topk(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, id string, v string, dim int").repartition(70)
     assert order(map(tuple, topk.topk_query(spark, frame).collect())) == order(brute_top([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in vectors]))
     assert topk.topk_query(spark, frame.limit(0)).count() == 0
+    # every row a query, in some 50 query tiles
+    monkeypatch.setattr(topk, "TILE_BYTES", 600)
+    few = frame.filter("vec_id < 500")
+    got = topk.top_k(few, few.filter("vec_id % 2 = 0"), 3).collect()
+    assert len(got) == 3 * few.filter("vec_id % 2 = 0").select("vec_id", "embedding").distinct().count()
+
+
+def test_topk_keeps_vectors_off_the_driver(spark, monkeypatch):
+    """Only counts by length are collected: 100,000 queries take some hundred bytes of the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    sent, real = [], Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda self: sent.append(real(self)) or sent[-1])
+    for name in ("toPandas", "toArrow", "toLocalIterator"):
+        monkeypatch.setattr(Classic, name, lambda self, *a: pytest.fail("rows brought to the driver"))
+    wide = spark.range(100_000).select(F.col("id").alias("vec_id"), F.array(*[F.rand(k).cast("float") for k in range(2)]).alias("embedding"))
+    topk.top_k(wide.filter("vec_id < 50"), wide, 1)
+    assert sum(len(x) for x in sent) == 2
 
 
 # ------------------------------------------------------------------ BPE
