@@ -4,6 +4,8 @@ The symbols of many words lie in one flat array.  In each round the rank of
 every adjacent pair is found by binary search over the sorted pair keys, each
 word merges all places of its lowest-ranked pair (leftmost first where they
 overlap), and the arrays are compacted; words without a mergeable pair leave.
+Words of over LONG bytes would take as many rounds as they have ranks: they are
+merged rank by rank, a round touching only the rank's own places and their neighbours.
 
 Normalising and splitting follow the vocabulary file, whose kind is BPE with
 byte symbols, word ends, lower-casing and dropped white space.  Its added
@@ -24,6 +26,7 @@ in its last versions may split differently.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from dataclasses import dataclass
@@ -34,6 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.texts import over_texts
 
+LONG = 500
+FAR = np.iinfo(np.int64).max
+
 
 @dataclass
 class Vocabulary:
@@ -88,25 +94,27 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
         symbols[ends] = v.last[raw[ends]]
     word = np.repeat(np.arange(len(words)), n)
     done_s, done_w = [], []
-    far = np.iinfo(np.int64).max
+    long = np.repeat(n > LONG, n)
+    if long.any():
+        for out, part in zip((done_s, done_w), merge_long(symbols[long], word[long], v)):
+            out.append(part)
+        symbols, word = symbols[~long], word[~long]
     while len(symbols):
         # the rank of the pair that starts at each place
         key = symbols[:-1] * v.size + symbols[1:]
         at = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
         known = (v.keys[at] == key) & (word[:-1] == word[1:])
-        rank = np.append(np.where(known, v.ranks[at], far), far)
+        rank = np.append(np.where(known, v.ranks[at], FAR), FAR)
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         lowest = np.minimum.reduceat(rank, starts)
         lengths = np.diff(np.append(starts, len(symbols)))
-        active = np.repeat(lowest < far, lengths)
+        active = np.repeat(lowest < FAR, lengths)
         chosen = active & (rank == np.repeat(lowest, lengths))
         done_s.append(symbols[~active])
         done_w.append(word[~active])
         # of places that overlap, every second one from the left
         places = np.flatnonzero(chosen)
-        run = np.r_[True, np.diff(places) > 1] if len(places) else np.zeros(0, bool)
-        index = np.arange(len(places))
-        places = places[(index - np.maximum.accumulate(np.where(run, index, 0))) % 2 == 0] if len(places) else places
+        places = places[evens(np.r_[True, np.diff(places) > 1])] if len(places) else places
         symbols = symbols.copy()
         symbols[places] = v.made[at[places]]
         left = active.copy()
@@ -117,6 +125,60 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
     return ids[order], np.bincount(owner, minlength=len(words))
 
 
+def evens(run_starts: np.ndarray) -> np.ndarray:
+    """Which places of each run are its first, third, fifth and so on."""
+    index = np.arange(len(run_starts))
+    return (index - np.maximum.accumulate(np.where(run_starts, index, 0))) % 2 == 0
+
+
+def merge_long(symbols: np.ndarray, word: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols after all merges, and the word of each; work in proportion to the merges made."""
+    n = len(symbols)
+    symbols = symbols.copy()
+    before, after = np.arange(-1, n - 1), np.arange(1, n + 1)       # neighbours that are still there
+    rank, made, there = np.full(n, FAR), np.zeros(n, np.int64), np.ones(n, bool)
+    places_of: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def look(places: np.ndarray) -> None:
+        """Ranks of the pairs that start at ``places``; those known wait under their rank."""
+        rank[places] = FAR
+        places = places[after[places] < n]
+        places = places[word[places] == word[after[places]]]
+        key = symbols[places] * v.size + symbols[after[places]]
+        at = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
+        known = v.keys[at] == key
+        places, at = places[known], at[known]
+        rank[places], made[places] = v.ranks[at], v.made[at]
+        order = np.argsort(rank[places], kind="stable")
+        places = places[order]
+        starts = np.flatnonzero(np.r_[True, np.diff(rank[places]) > 0]) if len(places) else []
+        for group in np.split(places, starts[1:]) if len(places) else ():
+            r = int(rank[group[0]])
+            if r not in places_of:
+                places_of[r] = []
+                heapq.heappush(ranks, r)
+            places_of[r].append(group)
+
+    look(np.arange(n))
+    while ranks:
+        r = heapq.heappop(ranks)
+        places = np.unique(np.concatenate(places_of.pop(r)))
+        places = places[rank[places] == r]          # some have been merged or have another neighbour by now
+        if not len(places):
+            continue
+        places = places[evens(np.r_[True, places[1:] != after[places[:-1]]])]
+        gone = after[places]
+        symbols[places] = made[places]
+        there[gone], rank[gone] = False, FAR
+        after[places] = after[gone]
+        inside = after[places] < n
+        before[after[places[inside]]] = places[inside]
+        near = before[places]
+        look(np.unique(np.concatenate([near[near >= 0], places])))
+    return symbols[there], word[there]
+
+
 def lower(s: str) -> str:
     """Lower case character by character (no final sigma)."""
     return s.replace("Σ", "σ").lower()

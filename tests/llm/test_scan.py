@@ -289,3 +289,21 @@ def test_bpe_equals_the_library(spark, edge_docs, edge_pairs, no_docs):
     assert row.n_tokens == len(ids) and row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     assert row.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert bpe.bpe_query(spark, edge_docs).count() == len(edge_pairs) and bpe.bpe_query(spark, no_docs).count() == 0
+
+
+def test_bpe_of_long_words(spark, monkeypatch):
+    """Words without an end: as the library encodes them, in time; and the long way equals the rounds on words of any length."""
+    lib, rng = library(), random.Random(8)
+    letters = "etaoinshrdlucmfwypvbgkqjxz"
+    texts = ["".join(rng.choice(letters) for _ in range(60_000)), "a" * 5001, "ab" * 3000, "é" * 1500 + "x", "".join(rng.choice("ab") for _ in range(9000)),
+             " ".join("".join(rng.choice(letters[:4]) for _ in range(rng.choice((3, 499, 500, 501, 900)))) for _ in range(40))]
+    coder = bpe.Coder(bpe.read_vocabulary(bpe.default_vocabulary()))
+    began = time.time()
+    got = [i.tolist() for i in coder.encode(texts)]
+    assert time.time() - began < 20
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    words = [bytes(rng.choice(b"aabbcdeth\xc3\xa9") for _ in range(rng.randint(1, 40))) for _ in range(500)]
+    rounds = [x.tolist() for x in bpe.merge_words(words, coder.v)]
+    monkeypatch.setattr(bpe, "LONG", 0)
+    assert [x.tolist() for x in bpe.merge_words(words, coder.v)] == rounds
+    assert [x.tolist() for x in bpe.merge_words([], coder.v)] == [[], []]
