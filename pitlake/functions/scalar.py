@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,17 +175,41 @@ def date_form(c) -> Column:
 def parse_date(c) -> Column:
     """A date from any of the forms; a month is its first day, as is usual for
     parsers.  The forms exclude one another, so each value is read by its own;
-    anything else, and a day that does not exist, is null."""
+    anything else, and a day that does not exist, is null.  It reads ``c`` many
+    times; :func:`with_date` makes each step once a row."""
     s = _written(c)
-    part = lambda p, g: F.regexp_extract(s, p, g)               # noqa: E731
-    day = lambda p: F.when(part(p, 3) == "", F.lit("1")).otherwise(part(p, 3))      # noqa: E731
-    iso = F.coalesce(*[F.when(s.rlike(p), F.concat_ws("-", part(p, 1), part(p, 2), day(p))) for p in DATE_FORMS.values()])
-    return F.try_to_date(iso)
+    return _iso_date(s, _iso(s))
+
+
+def with_date(df: DataFrame, out: str, c) -> DataFrame:
+    """``df`` with column ``out``, the date written in ``c``.  Each step is a
+    column of its own, so a row's compiled code stays short enough to be optimised."""
+    written = df.withColumn("__written", _written(c)).withColumn("__iso", _iso(F.col("__written")))
+    return written.withColumn(out, _iso_date(F.col("__written"), F.col("__iso"))).drop("__written", "__iso")
+
+
+# --- all of DATE_FORMS in one pattern; its end is that of ``$``, a last line break taken in ---
+ANY_FORM = (r"^(\d{4})(?:(\d{2})(\d{2})?|[-/.](\d{1,2})(?:[-/.](\d{1,2})(?:[ T].*)?)?|年(\d{1,2})月(?:(\d{1,2})日.*|份?))"
+            r"(?:\r\n|[\r\n\x{85}\x{2028}\x{2029}])?\z")
+
+
+def _iso(s: Column) -> Column:
+    """Year, month and day (empty for a month) of a written date; anything else as it is."""
+    return F.regexp_replace(s, ANY_FORM, "$1-$2$4$6-$3$5$7")
+
+
+def _iso_date(s: Column, iso: Column) -> Column:
+    return F.when(s.rlike(ANY_FORM), F.try_to_date(F.when(iso.endswith("-"), F.concat(iso, F.lit("1"))).otherwise(iso)))
 
 
 def _written(c) -> Column:
-    """Numbers are written without exponent or fraction."""
-    return F.regexp_replace(F.trim(F.coalesce(_c(c).try_cast("bigint").cast("string"), _c(c).cast("string"))), r"^(\d+)\.0$", "$1")
+    """Numbers are written without exponent or fraction.  A text with anything but
+    digits, signs and blanks is no whole number: it is not cast, since every
+    cast that fails costs an exception."""
+    c = _c(c)
+    text = (F.typeof(c) == "string") & c.cast("string").rlike(r"[^-+\d\s\p{Cntrl}]|\d-")
+    whole = F.when(text, F.lit(None)).otherwise(c.try_cast("bigint").cast("string"))
+    return F.regexp_replace(F.trim(F.coalesce(whole, c.cast("string"))), r"^(\d+)\.0$", "$1")
 
 
 def pct(part, whole, digits: int = 2) -> Column:

@@ -40,9 +40,8 @@ def join_daily(left: DataFrame, src: DataFrame, iface: str, key: str = "ticker",
     alone when the source has no key (market-wide).
 
     Duplicate rows of a keyed source fan out, as in the reference.  The
-    physical join is left to Catalyst/AQE: a market-wide source that proves
-    small at run time is broadcast, anything else is a sort-merge join on the
-    join keys.  A market-wide source that repeats a date would multiply every
+    physical join is left to Catalyst/AQE, but a market-wide source held to
+    one row a day is broadcast: the left side is not dealt by date.  A market-wide source that repeats a date would multiply every
     grid row of that day (T5): the query fails on it, inside the plan, unless
     ``check_unique`` is off.
     """
@@ -50,7 +49,7 @@ def join_daily(left: DataFrame, src: DataFrame, iface: str, key: str = "ticker",
     if check_unique and keys == [date]:
         src = one_row_per_day(src, iface, date)
     right = add_lineage(src, iface, keys, prefix)
-    return left.join(right, keys, "left")
+    return left.join(F.broadcast(right) if check_unique and keys == [date] else right, keys, "left")
 
 
 def one_row_per_day(src: DataFrame, name: str, date: str = "date") -> DataFrame:
@@ -78,6 +77,7 @@ class AsofSource:
     unique: bool = False                     # one row per (key, date): the query fails on a second
     on_calendar: bool = False                # every date is a trading day: the query fails on another
     period: str | None = None                # reports that are restated: the column with the period they speak of
+    reduced: bool = False                    # the plan before it gives one row per (key, date): not aggregated again
     _payload: list = field(default_factory=list, repr=False)
 
 
@@ -106,8 +106,10 @@ def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType
     order = [F.col(f"`{date}`"), *[F.col(f"`{c}`") for c in s.tie_break or []]]
     agg = F.max_by(row, F.struct(*order)) if s.tie_break else F.max(F.struct(F.col(f"`{date}`").alias("__o"), row.alias("__r")))["__r"]
     src = s.df.where(F.col(date).isNotNull())
+    if s.reduced and not s.period:
+        return src.select(*([by] if by else []), on.alias(date), row.alias("__p"))
     if s.period:
-        return _newest_known(s, src, row, order, by, date, on)
+        return _newest_known(s, by, date, on)
     if not (unique or s.unique):
         return src.groupBy(*([by] if by else []), on.alias(date)).agg(agg.alias("__p"))
     msg = F.lit(f"source {s.name!r} has several rows for one {'key and ' if by else ''}date")
@@ -115,17 +117,30 @@ def _reduce_source(s: AsofSource, by: str | None, date: str, on_type: T.DataType
             .select(*keys, F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.col("__p")).alias("__p")))
 
 
-def _newest_known(s: AsofSource, src: DataFrame, row: Column, order: list, by: str | None, date: str, on: Column) -> DataFrame:
+def _best_of_day(s: AsofSource, by: str | None, date: str, on: Column) -> DataFrame:
+    """Reports with a period: per (key, day of knowledge) the best one ``r`` and
+    its rank ``b`` (period, date, tie-break), a partial aggregate."""
+    cols = list(s.cols) if s.cols is not None else [c for c in s.df.columns if c not in (by, date)]
+    s._payload = cols
+    if s.unique:
+        raise ValueError(f"source {s.name!r}: reports with a period may share a date, so it cannot be unique")
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols], F.col(date).alias("__date"))
+    order = [F.col(f"`{date}`"), *[F.col(f"`{c}`") for c in s.tie_break or []]]
+    best = F.struct(F.col(f"`{s.period}`").alias("p"), F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))).alias("o"))
+    src = s.df.where(F.col(date).isNotNull())
+    if s.reduced:
+        return src.select(*([by] if by else []), on.alias(date), F.struct(best.alias("b"), row.alias("r")).alias("__x"))
+    return src.groupBy(*([by] if by else []), on.alias(date)).agg(F.max_by(F.struct(best.alias("b"), row.alias("r")), best).alias("__x"))
+
+
+def _newest_known(s: AsofSource, by: str | None, date: str, on: Column) -> DataFrame:
     """As-of in two times: per (key, day of knowledge) the best report known by
     then.  Each day's best is a partial aggregate, and the running maximum over
     the days needs one window on the key, of one row a day."""
-    if s.unique:
-        raise ValueError(f"source {s.name!r}: reports with a period may share a date, so it cannot be unique")
-    if by is None and not isinstance(src.select(on).schema[0].dataType, T.DateType):
+    if by is None and not isinstance(s.df.select(on).schema[0].dataType, T.DateType):
         raise ValueError(f"source {s.name!r}: reports without a key are joined by day")
     keys = [by] if by else []
-    best = F.struct(F.col(f"`{s.period}`").alias("p"), F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))).alias("o"))
-    daily = src.groupBy(*keys, on.alias(date)).agg(F.max_by(F.struct(best.alias("b"), row.alias("r")), best).alias("__x"))
+    daily = _best_of_day(s, by, date, on)
     w = (W.partitionBy(*keys) if by else W.partitionBy(F.lit(0))).orderBy(date).rowsBetween(W.unboundedPreceding, W.currentRow)
     return daily.select(*keys, date, F.max_by("__x.r", "__x.b").over(w).alias("__p"))
 

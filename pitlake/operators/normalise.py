@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from pitlake.functions.scalar import date_form, parse_date, pct
+from pitlake.functions.scalar import date_form, parse_date, pct, with_date
 
 
 def rename_by_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -33,9 +33,9 @@ def normalise_date(df: DataFrame, date: str = "date", out: str = "effective_date
         return df
     c = F.col(date)
     dt = df.schema[date].dataType
-    val = c.cast("date") if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
-        else parse_date(c)
-    return df.withColumn(out, val).drop(date) if out != date else df.withColumn(out, val)
+    dated = (df.withColumn(out, c.cast("date")) if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
+             else with_date(df, out, c))
+    return dated.drop(date) if out != date else dated
 
 
 def date_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -162,8 +162,9 @@ def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str
     out = rename_by_map(df, COLUMNS_MAP.get(interface_id, {}))
     code_col, date_col = KEY_COLUMNS[interface_id]
     if code_col is not None and code_col in out.columns and key not in out.columns:
+        # a column of its own: the ticker reads it several times
         code = F.regexp_extract(F.trim(F.col(f"`{code_col}`").cast("string")), CODE, 1)
-        out = out.withColumn(key, F.when(code != "", ticker_of(code)))
+        out = out.withColumn("__code", code).withColumn(key, F.when(F.col("__code") != "", ticker_of(F.col("__code")))).drop("__code")
     elif ticker is not None and key not in out.columns:
         out = attach_key(out, ticker, key)
     if date_col is not None and date_col in out.columns:
@@ -174,6 +175,5 @@ def normalise_source(df: DataFrame, interface_id: str, fetch_date=None, key: str
         fd = fetch_date if not isinstance(fetch_date, str) or fetch_date in out.columns else F.lit(fetch_date)
         if isinstance(fd, str):
             fd = F.col(fd)
-        d = parse_date(fd)
-        out = out.drop("date").withColumn("date", d) if "date" in out.columns else out.withColumn("date", d)
+        out = with_date(out, "date", fd)
     return normalise_date(out)

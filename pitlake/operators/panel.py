@@ -18,9 +18,10 @@ from pyspark.sql.window import Window as W
 
 from pitlake.operators.audit import accounting
 from pitlake.operators.calendar import shift_available
-from pitlake.operators.joins import AsofSource, asof_join, join_daily, lineage_name
+from pitlake.operators.joins import AsofSource, _expand, add_lineage, asof_join, join_daily, lineage_name
 from pitlake.operators.labels import dedupe_last
 from pitlake.operators.normalise import pick_date_key
+from pitlake.operators.spans import asof_feed, days_of, spread
 from pitlake.sources.registry import EQUI_FREQS, avail_rule_of, freq_of
 
 log = logging.getLogger(__name__)
@@ -61,7 +62,8 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
              key: str = "ticker", date: str = "date", asof_prefix: str = "feat_",
              on_error: str = "raise", calendar: DataFrame | None = None,
              avail: Mapping[str, str | tuple[str, str]] | str | None = None,
-             periods: Mapping[str, str] | None = None, counted: dict | None = None) -> DataFrame:
+             periods: Mapping[str, str] | None = None, counted: dict | None = None,
+             universe: DataFrame | None = None) -> DataFrame:
     """Left-fold sources onto ``grid`` (one lazy plan).
 
     ``freqs`` overrides the registry; a source that is neither registered nor
@@ -81,7 +83,15 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     row counter after the grid and after every equi join, all read from the
     one job that computes the panel; the join that adds rows is the source
     that fans out.
+
+    ``universe`` states that ``grid`` is ``base_grid(universe, calendar)``,
+    uncut.  The as-of sources and the first daily one with a key are then
+    joined by spans of days (:mod:`pitlake.operators.spans`): the same rows, and only the
+    sources' rows are shuffled.  It has no place to count rows after each
+    join, nor to skip a join that fails: with ``counted`` or ``"skip"`` the
+    sources are folded one by one.
     """
+    spans = universe is not None and calendar is not None and counted is None and on_error == "raise"
     items = list(sources.items()) if isinstance(sources, Mapping) else list(sources)
     rules = avail_rules([i for i, _ in items], avail)
     freqs = dict(freqs or {})
@@ -89,7 +99,7 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
     out, periods = grid, dict(periods or {})
     if counted is not None:
         out, counted["grid"] = accounting(out, "grid")
-    keyed, market = [], []
+    keyed, market, equi = [], [], []
     for iface, df in items:
         freq = freqs.get(iface) or freq_of(iface)
         if freq is None:
@@ -106,7 +116,9 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
                     raise ValueError("availability rules need the calendar")
                 src = available(src, calendar, *rules[iface], key=key, date=date, daily=freq in EQUI_FREQS,
                                 tie_break=ties, period=None if freq in EQUI_FREQS else periods.get(iface))
-            if freq in EQUI_FREQS:
+            if freq in EQUI_FREQS and spans:
+                equi.append((iface, src))
+            elif freq in EQUI_FREQS:
                 out = join_daily(out, src, iface, key=key, date=date)
                 if rules.get(iface):
                     out = out.withColumnRenamed(lineage_name("effective_date", iface), f"effective_date_{iface}")
@@ -114,15 +126,49 @@ def assemble(grid: DataFrame, sources: Mapping[str, DataFrame] | Sequence[tuple[
                     out, counted[iface] = accounting(out, iface)
             else:
                 src = src.drop("effective_date") if rules.get(iface) else src      # the as-of join keeps its date itself
-                s = AsofSource(iface, src, tie_break=ties or None, prefix=asof_prefix, period=periods.get(iface))
+                s = AsofSource(iface, src, tie_break=ties or None, prefix=asof_prefix, period=periods.get(iface),
+                               reduced=bool(rules.get(iface)))       # ``available`` has left one row a key and day
                 (keyed if key in src.columns else market).append(s)
         except Exception:
             if on_error == "skip":
                 log.exception("source %r failed; skipped", iface)
                 continue
             raise
-    if keyed:
+    if spans:
+        out = _by_spans(out, universe, calendar, equi, keyed, key, date)
+        out = out.withColumnsRenamed({lineage_name("effective_date", i): f"effective_date_{i}" for i, _ in equi if rules.get(i)})
+    elif keyed:
         out = asof_join(out, keyed, by=key, date=date)
     if market:
         out = asof_join(out, market, by=None, date=date, dates=calendar)
     return out
+
+
+def _by_spans(grid: DataFrame, universe: DataFrame, calendar: DataFrame, equi: Sequence[tuple[str, DataFrame]],
+              keyed: Sequence[AsofSource], key: str, date: str) -> DataFrame:
+    """The equi sources and the keyed as-of ones on a whole grid, in that order of columns."""
+    types = {f.name: f.dataType for f in grid.schema}
+    fits = [i for i, src in equi if all(c in src.columns and src.schema[c].dataType == types[c] for c in (key, date))]
+    feeds, states, repeated, base = [], {}, None, []
+    for n, s in enumerate(keyed):
+        rows, latest = asof_feed(s, calendar, f"__p{n}", key, date)
+        feeds.append(rows)
+        states[f"__p{n}"] = latest
+    for i, src in equi:
+        if fits and i == fits[0]:
+            named = add_lineage(src, i, [key, date])
+            base = [c for c in named.columns if c not in (key, date)]
+            rows = named.where(F.col(key).isNotNull()).withColumnsRenamed({key: "__k", date: "__d"})
+            repeated = rows.join(days_of(calendar), "__d")
+    out = spread(universe, calendar, feeds, states, repeated, key, date)
+    out = out.select(key, date, *base, *[c for n, s in enumerate(keyed) for c in _expand(s, f"__p{n}")])
+    asof_cols = [c for c in out.columns if c not in (key, date, *base)]
+    order = [key, date]
+    for i, src in equi:         # columns stand as join after join would leave them
+        new, on = base, [key, date]
+        if not (fits and i == fits[0]):
+            before, on = out.columns, [c for c in on if c in src.columns]
+            out = join_daily(out, src, i, key=key, date=date)
+            new = [c for c in out.columns if c not in before]
+        order = [*on, *[c for c in order if c not in on], *new]
+    return out.select(*order, *asof_cols)

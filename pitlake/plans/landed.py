@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.functions.scalar import parse_date
+from pitlake.functions.scalar import with_date
 from pitlake.operators.audit import accounting
 from pitlake.operators.calendar import AVAIL_COLUMN_RULES
 from pitlake.operators.grid import base_grid
@@ -64,7 +64,7 @@ def landed_silver(raw: DataFrame, interface: str) -> DataFrame:
     if not scope.startswith("single_stock") or KEY_COLUMNS[interface][0] in out.columns:
         out = out.drop("ticker")
     if scope.endswith("by_report_date"):
-        out = out.withColumn(PERIOD, parse_date("fetch_date"))
+        out = with_date(out, PERIOD, "fetch_date")
     return normalise_source(out, interface, fetch_date="fetch_date").drop("fetch_date")
 
 
@@ -93,12 +93,14 @@ def write_landed_silver(spark: SparkSession, landing: str, silver: str, buckets:
 
 def landed_panel(spark: SparkSession, silver: str, interfaces: Sequence[str], grid: DataFrame, calendar: DataFrame,
                  avail: Mapping | str | None = "registry", tie_breaks: Mapping[str, Sequence[str]] | None = None,
-                 counted: dict | None = None) -> DataFrame:
-    """Silver of ``interfaces`` on the grid, each by its frequency and availability rule."""
+                 counted: dict | None = None, universe: DataFrame | None = None) -> DataFrame:
+    """Silver of ``interfaces`` on the grid, each by its frequency and availability rule (J10);
+    with the ``universe`` of a whole grid by spans of days (see :func:`assemble`)."""
     sources = [(i, read_silver(spark, silver, i)) for i in interfaces]
     periods = {i: PERIOD for i, df in sources if PERIOD in df.columns}
     rules = registered_rules(interfaces) if avail == "registry" else avail
-    return assemble(grid, sources, calendar=calendar, avail=rules, periods=periods, tie_breaks=tie_breaks, counted=counted)
+    return assemble(grid, sources, calendar=calendar, avail=rules, periods=periods, tie_breaks=tie_breaks, counted=counted,
+                    universe=universe)
 
 
 def account(spark: SparkSession, silver: Mapping[str, Mapping], panel: Mapping, features: int) -> DataFrame:

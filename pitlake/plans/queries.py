@@ -258,7 +258,7 @@ def q_panel_landed(spark, sf):
     uni = tb.load(spark, sf, "supplier").select(ticker_of(F.col("s_suppkey")).alias("ticker"))
     cal = tb.lineitem_calendar(li)
     ties = {i: ["l_orderkey", "l_linenumber"] for i in ("stock_yjbb_em", "stock_industry_change_cninfo")}
-    return landed_panel(spark, silver, list(sources), base_grid(uni, cal), cal, tie_breaks=ties)
+    return landed_panel(spark, silver, list(sources), base_grid(uni, cal), cal, tie_breaks=ties, universe=uni)
 
 
 def q_union_drift(spark, sf):

@@ -154,7 +154,8 @@ def land_sources(lineitem: DataFrame, orders: DataFrame, landing: str) -> None:
     """A landing table of five registered sources, one of each kind, under
     their documented column names: prices per supplier and day (daily, keyed by the
     task), the market's day (daily), order reports of a quarter (restated,
-    keyed), returned lines (event, keyed) and a monthly order summary (event, market-wide)."""
+    keyed), returned lines (event, keyed) and a monthly order summary (event, market-wide).
+    A folder that holds most rows (``static``) is written by many tasks."""
     bars = lineitem_bars(lineitem)
     static = F.lit("static")
     prices = bars.select(ticker_of(F.col("ticker")).alias("ticker"), F.col("date").alias("data_date"), F.col("price").alias("收盘"),
@@ -172,7 +173,7 @@ def land_sources(lineitem: DataFrame, orders: DataFrame, landing: str) -> None:
     for domain, interface, df in (("sina", "stock_zh_a_hist", prices), ("sse.com.cn", "stock_margin_sse", market),
                                   ("eastmoney.com", "stock_yjbb_em", reports), ("cninfo.com.cn", "stock_industry_change_cninfo", returns),
                                   ("wsj.com", "macro_info_ws", macro)):
-        write_raw(df.withColumns({"source_domain": F.lit(domain), "interface": F.lit(interface)}).repartition("date"), landing)
+        write_raw(df.withColumns({"source_domain": F.lit(domain), "interface": F.lit(interface)}).hint("rebalance", "date"), landing)
 
 
 # ---------------------------------------------------------------- orders panel
