@@ -43,6 +43,7 @@ from pitlake.operators.calendar import calendar_index, first_trading_index
 from pitlake.operators.joins import AsofSource, _expand, _reduce_source, add_lineage, asof_join, lineage_name, one_row_per_day
 from pitlake.operators.labels import price_at, price_rows
 from pitlake.operators.panel import avail_rules, available
+from pitlake.operators.spans import asof_feed, days_of, running, spread
 
 HORIZONS = (1, 5, 20)
 
@@ -61,7 +62,8 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
                   slow: Sequence[AsofSource] = (), market_daily: Sequence[tuple[str, DataFrame]] = (),
                   market_slow: Sequence[AsofSource] = (), labels: LabelSpec | None = None,
                   key: str = "ticker", date: str = "date", grid_on_calendar: bool = True,
-                  avail: Mapping[str, str | tuple[str, str]] | str | None = None) -> DataFrame:
+                  avail: Mapping[str, str | tuple[str, str]] | str | None = None,
+                  universe: DataFrame | None = None) -> DataFrame:
     """Gold table = grid + every source's features (+ labels), one grid shuffle.
 
     ``daily`` sources have one row per (key, date), and the query fails on a
@@ -73,7 +75,14 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
 
     ``avail`` gives sources' availability rules as in :func:`assemble`; a daily
     source with a rule keeps its day as ``effective_date_<source>``.
+
+    ``universe`` states that ``grid`` is ``base_grid(universe, calendar)``,
+    uncut.  Only the sources' and price rows are then stacked, shuffled and
+    sorted, and the grid's are made after the windows, by spans of days
+    (:mod:`pitlake.operators.spans`): the same rows.  A label whose base price
+    is a column of the grid (``base_col``) needs the grid's rows themselves.
     """
+    spans = universe is not None and (labels is None or labels.base_col is None)
     cal_idx = calendar_index(calendar)
     cal = F.broadcast(cal_idx.select(F.col("date").alias("__d"), F.col("idx").alias("__i")))  # one row per day
     # work on copies: the caller's source specs stay as they are
@@ -98,7 +107,74 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
     market_daily = [(name, usable_daily(name, src)) for name, src in market_daily]
     own_date = {lineage_name("effective_date", n, s.prefix): f"effective_date_{n}" for s in daily if rules.get(n := s.name)}
     own_date |= {lineage_name("effective_date", n): f"effective_date_{n}" for n, _ in market_daily if rules.get(n)}
-    sources = daily + slow
+    if spans:
+        res = _by_spans(universe, calendar, daily, slow, labels, key, date)
+    else:
+        res = _by_rows(grid, calendar, cal, daily, slow, labels, key, date, grid_on_calendar)
+
+    # market-wide sources: resolved per trading day, then one broadcast join
+    if market_daily or market_slow:
+        days = cal_idx.select(F.col("date").alias(date))
+        per_day = days
+        for name, src in market_daily:
+            per_day = per_day.join(add_lineage(one_row_per_day(src, name, date), name, [date]), date, "left")
+        if market_slow:
+            per_day = asof_join(per_day, list(market_slow), by=None, date=date, dates=days)
+        feat = [c for c in per_day.columns if c != date]
+        lab_names = [f"{k}_{h}d" for h in (labels.horizons if labels is not None else []) for k in ("r", "label_na")]
+        keep = [c for c in res.columns if c not in lab_names]
+        res = res.join(F.broadcast(per_day), date, "left").select(*keep, *feat, *lab_names)
+    return res.withColumnsRenamed(own_date)
+
+
+def _features(sources: Sequence[AsofSource], is_daily: Sequence[bool], pcols: Sequence[str], day: Column) -> list[Column]:
+    """The sources' columns from their latest rows; a daily source's only on its own day."""
+    out = []
+    for s, p, one_day in zip(sources, pcols, is_daily):
+        if one_day:
+            same = F.col(f"{p}.__date") == day
+            out += [F.when(same, F.col(f"{p}.`{c}`")).alias(f"{s.prefix}{c}_{s.name}") for c in s._payload]
+        else:
+            out += _expand(s, p)
+    return out
+
+
+def _labels(labels: LabelSpec | None, p0: Column, known: Column | None = None) -> list[Column]:
+    out = []
+    for h in labels.horizons if labels is not None else []:
+        ph = F.col(f"__f{h}")
+        out += [return_bps(p0, ph, labels.clip).alias(f"r_{h}d"), label_na(p0, ph, known).alias(f"label_na_{h}d")]
+    return out
+
+
+def _by_spans(universe: DataFrame, calendar: DataFrame, daily: Sequence[AsofSource], slow: Sequence[AsofSource],
+              labels: LabelSpec | None, key: str, date: str) -> DataFrame:
+    """Grid, keyed sources and labels by spans of days; prices ahead are frames
+    over the days with rows, since a label needs a price on its own day."""
+    sources, is_daily = [*daily, *slow], [True] * len(daily) + [False] * len(slow)
+    feeds, states, pcols = [], {}, [f"__p{i}" for i in range(len(sources))]
+    for s, p, one_day in zip(sources, pcols, is_daily):
+        if one_day:       # rows on other days can never match
+            rows = _reduce_source(s, key, date, T.DateType(), unique=True).toDF("__k", "__d", p)
+            rows, latest = rows.join(days_of(calendar), "__d"), F.last(p, ignorenulls=True).over(running())
+        else:
+            rows, latest = asof_feed(s, calendar, p, key, date)
+        feeds.append(rows)
+        states[p] = latest
+    if labels is not None:
+        px = price_rows(labels.prices, labels.price_col, labels.price_order, key, date).toDF("__k", "__d", "__px")
+        feeds.append(px.join(days_of(calendar), "__d"))
+        ahead = W.partitionBy("__k").orderBy("__i")
+        states |= {f"__f{h}": price_at(ahead, h) for h in dict.fromkeys([0, *labels.horizons])}
+    res = spread(universe, calendar, feeds, states, key=key, date=date)
+    p0 = F.when(F.col("__first"), F.col("__f0")) if labels is not None else None
+    return res.select(key, date, *_features(sources, is_daily, pcols, F.col(date)), *_labels(labels, p0))
+
+
+def _by_rows(grid: DataFrame, calendar: DataFrame, cal: DataFrame, daily: Sequence[AsofSource], slow: Sequence[AsofSource],
+             labels: LabelSpec | None, key: str, date: str, grid_on_calendar: bool) -> DataFrame:
+    """Grid, keyed sources and labels by one stack of all their rows."""
+    sources = [*daily, *slow]
     is_daily = [True] * len(daily) + [False] * len(slow)
     reduced = [_reduce_source(s, key, date, T.DateType(), unique=day) for s, day in zip(sources, is_daily)]
     n = len(sources)
@@ -140,7 +216,7 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
             # as-of: place on the first trading day on/after the row's date
             # (the day map has one row per distinct day); rows after the
             # calendar end are visible to no grid row
-            r = r.join(F.broadcast(first_trading_index(r.select("__d"), calendar, "__d", "__i")), "__d", "inner")
+            r = r.join(F.broadcast(first_trading_index(r.select("__d"), calendar, "__d", "__i")), "__d", "inner").where(F.col("__i").isNotNull())
             parts.append(payload_row(r, i, F.col("__i")))
     if labels is not None:
         px = price_rows(labels.prices, labels.price_col, labels.price_order, key, date).toDF("__k", "__d", "__px")
@@ -174,34 +250,9 @@ def assemble_gold(grid: DataFrame, calendar: DataFrame, daily: Sequence[AsofSour
             step = step.select(*cols, *pcols, *fwd, *base)
     rows = step.where(F.col("__side") == 1)
 
-    out = [F.col(f"__l.`{c}`").alias(c) for c in lcols]
-    for s, p, day in zip(sources, pcols, is_daily):
-        if day:
-            same = F.col(f"{p}.__date") == F.col("__d")
-            out += [F.when(same, F.col(f"{p}.`{c}`")).alias(f"{s.prefix}{c}_{s.name}") for c in s._payload]
-        else:
-            out += _expand(s, p)
-    lab_cols = []
+    known = F.col("__i").isNotNull()
+    p0 = None
     if labels is not None:
-        known = F.col("__i").isNotNull()
-        p0 = F.col(f"__l.`{labels.base_col}`") if labels.base_col else F.col("__f0")
-        p0 = F.when(known, p0)
-        for h in horizons:
-            ph = F.col(f"__f{h}")
-            lab_cols += [return_bps(p0, ph, labels.clip).alias(f"r_{h}d"),
-                         label_na(p0, ph, known).alias(f"label_na_{h}d")]
-    res = rows.select(*out, *lab_cols)
-
-    # market-wide sources: resolved per trading day, then one broadcast join
-    if market_daily or market_slow:
-        days = cal_idx.select(F.col("date").alias(date))
-        per_day = days
-        for name, src in market_daily:
-            per_day = per_day.join(add_lineage(one_row_per_day(src, name, date), name, [date]), date, "left")
-        if market_slow:
-            per_day = asof_join(per_day, list(market_slow), by=None, date=date, dates=days)
-        feat = [c for c in per_day.columns if c != date]
-        lab_names = [f"{k}_{h}d" for h in horizons for k in ("r", "label_na")]
-        keep = [c for c in res.columns if c not in lab_names]
-        res = res.join(F.broadcast(per_day), date, "left").select(*keep, *feat, *lab_names)
-    return res.withColumnsRenamed(own_date)
+        p0 = F.when(known, F.col(f"__l.`{labels.base_col}`") if labels.base_col else F.col("__f0"))
+    return rows.select(*[F.col(f"__l.`{c}`").alias(c) for c in lcols], *_features(sources, is_daily, pcols, F.col("__d")),
+                       *_labels(labels, p0, known))

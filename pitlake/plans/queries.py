@@ -181,7 +181,8 @@ def q_gold_lineitem(spark, sf):
     li = tb.load(spark, sf, "lineitem")
     bars = tb.lineitem_bars(li)
     cal = tb.event_calendar(bars)
-    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
+    uni = tb.supplier_universe(tb.load(spark, sf, "supplier"))
+    grid = base_grid(uni, cal)
     return assemble_gold(
         grid, cal,
         daily=[AsofSource("bars", bars, unique=True)],
@@ -189,7 +190,7 @@ def q_gold_lineitem(spark, sf):
         slow=[AsofSource("returns", tb.supplier_returns(li), tie_break=["l_orderkey", "l_linenumber"],
                          on_calendar=True)],
         market_daily=[("market", tb.lineitem_market(bars))],
-        labels=LabelSpec(bars, "price"))
+        labels=LabelSpec(bars, "price"), universe=uni)
 
 
 def q_gold_unfused(spark, sf):

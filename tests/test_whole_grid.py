@@ -4,8 +4,13 @@ import datetime as dt
 import glob
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from pitlake.functions.scalar import DATE_FORMS, parse_date, with_date
+from pitlake.operators.gold import LabelSpec, assemble_gold
 from pitlake.operators.grid import base_grid
+from pitlake.operators.joins import AsofSource
 from pitlake.operators.panel import assemble
 from pitlake.plans import tables as tb
 
@@ -67,3 +72,18 @@ def test_with_date_reads_every_form(spark):
     want = [dt.date(2024, 9, 30), dt.date(2024, 9, 1)]
     assert [r.d for r in rows] == [want[0], want[1], want[0], want[1], want[0], want[1], want[0], None, None, want[0], None, None]
     assert [r.e for r in rows] == [r.d for r in rows] and len(DATE_FORMS) == 5
+
+
+def test_fused_gold_by_spans_gives_the_rows_of_the_stack(spark):
+    cal, uni, srcs = sources(spark)
+    srcs = dict(srcs)
+    px = srcs["px"].where("ticker IS NOT NULL AND p <> 2").withColumn("n", F.lit(1))
+    args = dict(daily=[AsofSource("px", px, unique=True)], slow=[AsofSource("slow", srcs["slow"]), AsofSource("late", srcs["late"], period="period")],
+                market_daily=[("mkt", srcs["mkt"])], labels=LabelSpec(px, "p", horizons=(1, 2)))
+    want = assemble_gold(base_grid(uni, cal), cal, **args)
+    plan = assemble_gold(base_grid(uni, cal), cal, universe=uni, **args)
+    assert plan.schema.simpleString() == want.schema.simpleString()
+    assert Counter(map(tuple, plan.collect())) == Counter(map(tuple, want.collect()))
+    twice = {**args, "labels": LabelSpec(px.unionByName(px.where("p = 1")), "p")}
+    with pytest.raises(Exception, match="several prices"):
+        assemble_gold(base_grid(uni, cal), cal, universe=uni, **twice).collect()
