@@ -17,7 +17,9 @@
    a spanning forest of its links, so never more rows than it has entries:
    small cells are compared by shifts of the sorted rows, large ones by a
    search that compares each reached fingerprint with those not yet reached.
-   A cell over BLOCK entries is dealt in pairs of blocks to several tasks.
+   A cell over BLOCK entries is dealt in pairs of blocks to several tasks; it
+   has BLOCKS blocks at most, so an entry travels BLOCKS times at most and the
+   rows dealt grow with the entries, however large a cell is.  No other entry is copied.
 5. Components of the forest's links are those of all links; each document
    gets the smallest id of its component.
 
@@ -50,8 +52,8 @@ from pitlake.llm.words import words_of
 SHINGLE, SEED, DIFFER = 4, 42, 4
 #: segments of two bits in each part of the coordinates; radii 2 and 1
 WIDE, NARROW = 18, 14
-#: entries of a cell that one task compares with as many others; entries of a cell compared by shifts
-BLOCK, SMALL = 2048, 12
+#: entries of a cell that one task compares with as many others; blocks of a cell at most; entries of a cell compared by shifts
+BLOCK, BLOCKS, SMALL = 2048, 16, 12
 #: the lower bit of each segment
 LOW_BITS = 0x5555555555555555
 #: shingle hashes whose bits are counted at a time
@@ -157,12 +159,18 @@ def links(points: DataFrame) -> DataFrame:
     """u, v: links between distinct fingerprints (fp) that connect all which differ in DIFFER bits or fewer."""
     laid = written(entries(points), "simhash-entries")
     cells = written(laid.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "simhash-cells")
-    rows = attach(laid, cells, ["band", "cell"], "c")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    # in a pair of blocks (x, y), x <= y, lie the entries of block x and of block y
-    pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k).alias("x"), F.greatest(own, k).alias("y")))
-    dealt = rows.select("band", "cell", "fp", "home", F.explode(pair).alias("p")).select("band", "cell", "p.x", "p.y", "fp", "home")
+    one = F.lit(0)
+    dealt = (attach(laid, cells.filter(F.col("c") <= BLOCK), ["band", "cell"], "c")
+             .select("band", "cell", one.alias("x"), one.alias("y"), "fp", "home"))
+    if (cells.agg(F.max("c")).first()[0] or 0) > BLOCK:
+        # large cells are at most a BLOCK-th of the entries
+        rows = laid.join(F.broadcast(cells.filter(F.col("c") > BLOCK)), ["band", "cell"])
+        blocks = F.least(F.ceil(F.col("c") / BLOCK), F.lit(BLOCKS)).cast("int")
+        own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+        # in a pair of blocks (x, y), x <= y, lie the entries of block x and of block y
+        pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k).alias("x"), F.greatest(own, k).alias("y")))
+        large = rows.select("band", "cell", "fp", "home", F.explode(pair).alias("p"))
+        dealt = dealt.unionByName(large.select("band", "cell", "p.x", "p.y", "fp", "home"))
     keys = ["band", "cell", "x", "y"]
 
     def run(batches):

@@ -1,6 +1,7 @@
 """Operator 11 against all pairs of fingerprints."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -106,6 +107,22 @@ def test_large_cell_is_dealt_in_blocks(spark, monkeypatch):
     assert linked_components(spark, prints) == brute_components(prints)
 
 
+def test_entries_of_a_large_cell_travel_a_bounded_number_of_times(spark, monkeypatch):
+    prints = clusters(8, 1, 500, 5)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    monkeypatch.setattr(simhash, "BLOCK", 10)
+    monkeypatch.setattr(simhash, "BLOCKS", 4)
+    dealt = links(spark.createDataFrame([(x,) for x in signed], "fp long"))
+    assert re.search(r"least\(.{0,12}ceil", dealt._jdf.queryExecution().optimizedPlan().toString().lower())
+    assert linked_components(spark, prints) == brute_components(prints)
+
+
+def test_entries_of_small_cells_are_not_copied(spark):
+    signed = np.array(clusters(60, 60, 12, 4), np.uint64).view(np.int64).tolist()
+    plan = links(spark.createDataFrame([(x,) for x in signed], "fp long"))
+    assert "Generate" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_cells_give_forests():
     prints = np.array(clusters(3, 1, 400, 2), np.uint64)
     a, b = simhash.cell_links(np.array([0]), prints, np.ones(len(prints), bool))
