@@ -44,8 +44,8 @@ from pitlake.llm.texts import slices
 from pitlake.llm.words import WordHashes, words_of
 
 DEPTH, SHARD, HOT = 4, 8_000_000, 1_000_000
-#: bytes of text behind one part, characters a task handles at a time, strings whose chance it remembers
-PART_BYTES, CHUNK, REMEMBERED = 12_000_000, 4_000_000, 1_000_000
+#: bytes of text behind one part, characters whose rows a task packs together, characters it splits at a time, strings whose chance it remembers
+PART_BYTES, CHUNK, PIECE, REMEMBERED = 12_000_000, 4_000_000, 500_000, 1_000_000
 NULL_ID = -(1 << 63)
 END, SPACE = b"\n", b" "
 END_HASH = xxhash.xxh3_64_intdigest(END)      # no word holds a line feed
@@ -81,14 +81,19 @@ def _parts(docs: DataFrame, text_col: str) -> int:
 def corpus_counts(named: DataFrame, parts: int, depth: int) -> DataFrame:
     """Rows of (kind, key, n): kind 0 the strings' counts, kind 1 frequent words' counts,
     kind 2 a part's number of distinct words (key) and of tokens (n); training texts only."""
+    piece = PIECE
+
     def count(batches):
         hashes = WordHashes()
         for b in batches:
             texts = [t or "" for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if not held_out(None if i == NULL_ID else i)]
             for a, z in slices(texts, CHUNK):
-                words = [words_of(t, lower=True) for t in texts[a:z]]
-                h, n = np.unique(np.concatenate([*(hashes.of(w) for w in words), np.full(z - a, END_HASH, np.uint64)]), return_counts=True)
-                keys, times = np.unique(strings(words, depth)[0], return_counts=True)
+                met, found = [], []
+                for x, y in slices(texts[a:z], piece):
+                    words = [words_of(t, lower=True) for t in texts[a + x:a + y]]
+                    met.append(np.unique(np.concatenate([*(hashes.of(w) for w in words), np.full(y - x, END_HASH, np.uint64)]), return_counts=True))
+                    found.append(np.unique(strings(words, depth)[0], return_counts=True))
+                (h, n), (keys, times) = (summed(*map(np.concatenate, zip(*u))) for u in (met, found))
                 rows = []
                 for kind, k, c, width, part in ((1, h, n, 8, h >> np.uint64(48)), (0, keys, times, depth + 1, (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40))):
                     part = part % np.uint64(parts)
@@ -298,22 +303,27 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
 
 def _pass(words, model, parts: int, depth: int):
     """One pass over the texts: scores with a shard; the first also takes the words."""
+    piece = PIECE
+
     def run(batches):
         hashes = WordHashes()
         scorer = Scorer(*model.value, depth)
         for b in batches:
             keys, texts = b.column(0).to_numpy(), [t or "" for t in b.column(1).to_pylist()]
             for a, z in slices(texts, CHUNK):
-                split = [words_of(t, lower=True) for t in texts[a:z]]
                 prints = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts[a:z]], np.uint64)
                 values = np.zeros((z - a, VALUES))
-                values[:, 4] = scorer(split)
-                rows = []
+                rows, h = [], []
+                for x, y in slices(texts[a:z], piece):
+                    split = [words_of(t, lower=True) for t in texts[a + x:a + y]]
+                    values[x:y, 4] = scorer(split)
+                    if words is not None:
+                        values[x:y, 1] = [len(w) + 1 for w in split]
+                        h += [np.r_[hashes.of(w), np.uint64(END_HASH)] for w in split]
                 if words is not None:
                     values[:, 0] = 1
-                    values[:, 1] = [len(w) + 1 for w in split]
-                    h = np.concatenate([*(np.r_[hashes.of(w), np.uint64(END_HASH)] for w in split)])
-                    owner = np.repeat(np.arange(z - a), [len(w) + 1 for w in split])
+                    h = np.concatenate(h)
+                    owner = np.repeat(np.arange(z - a), values[:, 1].astype(int))
                     known, c = words.value
                     at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
                     often = known[at] == h if len(known) else np.zeros(len(h), bool)

@@ -160,3 +160,13 @@ def test_pipeline_edges(spark, edge_docs, no_docs, tmp_path):
         assert len(coded) == now.count() and all(len(r.ids) == r.n_tokens for r in coded)
         assert all(hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest() == r.ids_sha256 for r in coded)
         assert docs is no_docs or sum(r.n_tokens for r in coded) > 0
+
+
+def test_ctw_pieces_change_nothing(spark, monkeypatch):
+    from pitlake.llm import ctw
+    docs = spark.createDataFrame([(k, None if k == 7 else " ".join(f"w{(k * j) % 11}" for j in range(k % 9))) for k in range(40)], "doc_id long, text string")
+    want = sorted(map(tuple, ctw.score_texts(docs).collect()))
+    monkeypatch.setattr(ctw, "PIECE", 15)
+    got = sorted(map(tuple, ctw.score_texts(docs).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert all(abs(x - y) < 1e-9 for g, w in zip(got, want) for x, y in zip(g[5:], w[5:]))
