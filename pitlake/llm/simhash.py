@@ -17,6 +17,9 @@
    a spanning forest of its links, so never more rows than it has entries:
    small cells are compared by shifts of the sorted rows, large ones by a
    search that compares each reached fingerprint with those not yet reached.
+   Every entry is sent once, to the task that holds its cell; those alone in a
+   cell are left out there, so the rows that move grow with the fingerprints
+   and not with how many of them meet.
    A cell over BLOCK entries is dealt in pairs of blocks to several tasks; it
    has BLOCKS blocks at most, so an entry travels BLOCKS times at most and the
    rows dealt grow with the entries, however large a cell is.  No other entry is copied.
@@ -144,7 +147,7 @@ def cell_links(at: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[np.nda
         for x, y in _search(fp[s:s + n], home[s:s + n]):
             a.append(x)
             b.append(y)
-    owner = np.repeat(np.where(sizes > SMALL, -1, np.arange(len(at))), sizes)
+    owner = np.repeat(np.where((sizes > 1) & (sizes <= SMALL), np.arange(len(at)), -1), sizes)
     rows = np.flatnonzero(owner >= 0)
     fp, home, owner = fp[rows], home[rows], owner[rows]
     for k in range(1, min(SMALL, len(fp))):
@@ -158,20 +161,21 @@ def cell_links(at: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[np.nda
 def links(points: DataFrame) -> DataFrame:
     """u, v: links between distinct fingerprints (fp) that connect all which differ in DIFFER bits or fewer."""
     laid = written(entries(points), "simhash-entries")
-    cells = written(laid.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "simhash-cells")
-    one = F.lit(0)
-    dealt = (attach(laid, cells.filter(F.col("c") <= BLOCK), ["band", "cell"], "c")
-             .select("band", "cell", one.alias("x"), one.alias("y"), "fp", "home"))
-    if (cells.agg(F.max("c")).first()[0] or 0) > BLOCK:
+    cell, block = ["band", "cell"], F.lit(0)
+    large = written(laid.groupBy(*cell).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > BLOCK), "simhash-cells")
+    if large.isEmpty():
+        dealt = laid.select(*cell, block.alias("x"), block.alias("y"), "fp", "home")
+    else:
         # large cells are at most a BLOCK-th of the entries
-        rows = laid.join(F.broadcast(cells.filter(F.col("c") > BLOCK)), ["band", "cell"])
+        large = F.broadcast(large)
+        dealt = laid.join(large, cell, "left_anti").select(*cell, block.alias("x"), block.alias("y"), "fp", "home")
         blocks = F.least(F.ceil(F.col("c") / BLOCK), F.lit(BLOCKS)).cast("int")
         own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
         # in a pair of blocks (x, y), x <= y, lie the entries of block x and of block y
         pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k).alias("x"), F.greatest(own, k).alias("y")))
-        large = rows.select("band", "cell", "fp", "home", F.explode(pair).alias("p"))
-        dealt = dealt.unionByName(large.select("band", "cell", "p.x", "p.y", "fp", "home"))
-    keys = ["band", "cell", "x", "y"]
+        copies = laid.join(large, cell).select(*cell, "fp", "home", F.explode(pair).alias("p"))
+        dealt = dealt.unionByName(copies.select(*cell, "p.x", "p.y", "fp", "home"))
+    keys = ["cell", "band", "x", "y"]
 
     def run(batches):
         for t in whole_runs(batches, keys):

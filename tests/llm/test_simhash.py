@@ -63,6 +63,14 @@ def clusters(seed, centers, size, flips):
     return sorted(out)
 
 
+def groups_of(pairs):
+    groups = []
+    for p in pairs:
+        touched = [g for g in groups if g & p]
+        groups = [g for g in groups if not g & p] + [set(p).union(*touched)]
+    return sorted(map(sorted, groups))
+
+
 def linked_components(spark, prints):
     signed = np.array(prints, np.uint64).view(np.int64).tolist()
     rows = links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
@@ -123,6 +131,29 @@ def test_entries_of_small_cells_are_not_copied(spark):
     assert "Generate" not in plan._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_dealt_do_not_depend_on_how_many_meet(spark):
+    """Entries alone in a cell are not told apart by a join, whose rows would grow with the crowding."""
+    signed = np.array(clusters(60, 60, 12, 4), np.uint64).view(np.int64).tolist()
+    plan = links(spark.createDataFrame([(x,) for x in signed], "fp long"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Filter" not in plan
+
+
+def test_cells_of_all_sizes_give_what_all_pairs_give():
+    rng = random.Random(9)
+    cells = [clusters(k, 1, size, 4)[:size] for k, size in enumerate([1, 2, 1, 1, simhash.SMALL, 60, 1, 3, simhash.SMALL + 1, 1])]
+    at = np.cumsum([0] + [len(c) for c in cells])[:-1]
+    fp = np.array([x for c in cells for x in c], np.uint64)
+    home = np.array([rng.random() < 0.5 for _ in fp])
+    a, b = simhash.cell_links(at, fp, home)
+    got = {frozenset(p) for p in zip(a.tolist(), b.tolist())}
+    for begin, c in zip(at.tolist(), cells):
+        ok = {frozenset((x, y)) for i, x in enumerate(c) for j, y in enumerate(c[:i])
+              if (x ^ y).bit_count() <= 4 and (home[begin + i] or home[begin + j])}
+        mine = {p for p in got if p <= set(c)}
+        assert mine <= ok and groups_of(mine) == groups_of(ok)
+    assert not {p for p in got if not any(p <= set(c) for c in cells)}
+
+
 def test_cells_give_forests():
     prints = np.array(clusters(3, 1, 400, 2), np.uint64)
     a, b = simhash.cell_links(np.array([0]), prints, np.ones(len(prints), bool))
