@@ -11,10 +11,13 @@ the product of its extensions' weighted probabilities.
 
 Training: each task counts the (DEPTH + 1)-byte strings of its training texts;
 the counts are summed by key, and the tree is built level by level with
-joins and sums from the longest contexts up.  Scoring: the nodes are broadcast
-in shards of SHARD nodes at most, a shard holding all longer contexts of some
-two-byte contexts, and every text's places are scored with the shard of their
-context.  So what is broadcast is bounded; a larger model takes more passes.
+joins and sums from the longest contexts up.  The strings that only held-out
+texts hold travel with them, counted 0 times.  Scoring: each distinct string of
+the table meets the nodes of its last two context bytes in executors, where the
+chance of its last byte is worked out once; the chances are broadcast in shards
+of SHARD strings at most, a shard holding all strings of some two-byte contexts,
+and a text's score is the sum over its strings.  So what is broadcast is
+bounded; more strings take more passes.
 
 The base score counts words.  Words above a HOT-th of all training tokens, of
 which there can be HOT at most, are broadcast with their counts; the others
@@ -41,11 +44,11 @@ from pyspark.sql import functions as F
 from pitlake.llm.common import union_all, written
 from pitlake.llm.packed import cuts, planes, summed, unplanes
 from pitlake.llm.texts import slices
-from pitlake.llm.words import WordHashes, words_of
+from pitlake.llm.words import BASE, hashes_of, words_of
 
 DEPTH, SHARD, HOT = 4, 8_000_000, 1_000_000
-#: bytes of text behind one part, characters whose rows a task packs together, characters it splits at a time, strings whose chance it remembers
-PART_BYTES, CHUNK, PIECE, REMEMBERED = 12_000_000, 4_000_000, 500_000, 1_000_000
+#: bytes of text behind one part, distinct strings whose chances are worked out together, characters whose rows a task packs together, characters it splits at a time
+PART_BYTES, PART_STRINGS, CHUNK, PIECE = 12_000_000, 10_000, 4_000_000, 500_000
 NULL_ID = -(1 << 63)
 END, SPACE = b"\n", b" "
 END_HASH = xxhash.xxh3_64_intdigest(END)      # no word holds a line feed
@@ -80,19 +83,25 @@ def _parts(docs: DataFrame, text_col: str) -> int:
 # ------------------------------------------------------------------ counting
 def corpus_counts(named: DataFrame, parts: int, depth: int) -> DataFrame:
     """Rows of (kind, key, n): kind 0 the strings' counts, kind 1 frequent words' counts,
-    kind 2 a part's number of distinct words (key) and of tokens (n); training texts only."""
+    kind 2 a part's number of distinct words (key) and of tokens (n); training texts only,
+    but for the strings of held-out texts, which are rows of kind 0 that count nothing."""
     piece = PIECE
 
     def count(batches):
-        hashes = WordHashes()
         for b in batches:
-            texts = [t or "" for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if not held_out(None if i == NULL_ID else i)]
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            train = [not held_out(None if i == NULL_ID else i) for i in b.column(0).to_pylist()]
             for a, z in slices(texts, CHUNK):
-                met, found = [], []
+                met, found = [(np.zeros(0, np.uint64), np.zeros(0, int))], []
                 for x, y in slices(texts[a:z], piece):
-                    words = [words_of(t, lower=True) for t in texts[a + x:a + y]]
-                    met.append(np.unique(np.concatenate([*(hashes.of(w) for w in words), np.full(y - x, END_HASH, np.uint64)]), return_counts=True))
-                    found.append(np.unique(strings(words, depth)[0], return_counts=True))
+                    words = {True: [], False: []}
+                    for t, learned in zip(texts[a + x:a + y], train[a + x:a + y]):
+                        words[learned].append(words_of(t, lower=True))
+                    for learned, own in words.items():
+                        if own:
+                            keys, n = np.unique(strings(own, depth)[0], return_counts=True)
+                            found.append((keys, n if learned else 0 * n))
+                    met.append(np.unique(np.concatenate([*map(hashes_of, words[True]), np.full(len(words[True]), END_HASH, np.uint64)]), return_counts=True))
                 (h, n), (keys, times) = (summed(*map(np.concatenate, zip(*u))) for u in (met, found))
                 rows = []
                 for kind, k, c, width, part in ((1, h, n, 8, h >> np.uint64(48)), (0, keys, times, depth + 1, (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40))):
@@ -171,28 +180,6 @@ def tree(strings_: DataFrame, depth: int) -> DataFrame:
     return union_all(out)
 
 
-def shards(nodes: DataFrame) -> list[np.ndarray]:
-    """Two-byte contexts of each shard: whole contexts, SHARD nodes at most unless one alone has more."""
-    sizes = nodes.filter("pair >= 0").groupBy("pair").count().orderBy("pair").collect()       # 65536 rows at most
-    out, own, size = [], [], 0
-    for pair, n in sizes:
-        if own and size + n > SHARD:
-            out.append(np.array(own))
-            own, size = [], 0
-        own.append(pair)
-        size += n
-    return [*out, np.array(own, int)]
-
-
-def shard_arrays(nodes: DataFrame, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys, weights and chances of a shard, with those of the contexts of up to one byte."""
-    own = nodes.join(F.broadcast(nodes.sparkSession.createDataFrame([(int(p),) for p in [-1, *pairs]], "pair int")), "pair", "left_semi")
-    got = own.select("key", "w", "p1").toArrow()
-    key = got.column("key").to_numpy()
-    order = np.argsort(key)
-    return key[order], got.column("w").to_numpy()[order], got.column("p1").to_numpy()[order]
-
-
 def log10_chances(strings_: np.ndarray, model: tuple, depth: int) -> np.ndarray:
     """log10 chance of each string's last byte after its others."""
     keys, w, p1 = model
@@ -215,26 +202,87 @@ def log10_chances(strings_: np.ndarray, model: tuple, depth: int) -> np.ndarray:
     return total
 
 
+# ---------------------------------------------------------------- the chances
+def _model(nodes: pa.Table) -> list[np.ndarray]:
+    """Keys, weights and chances of nodes, sorted by key."""
+    arrays = [nodes.column(c).to_numpy() for c in ("key", "w", "p1")]
+    order = np.argsort(arrays[0])
+    return [x[order] for x in arrays]
+
+
+def chances(strings_: DataFrame, nodes: DataFrame, parts: int, depth: int) -> DataFrame:
+    """key, pair (last two context bytes) and chance (log10, of the last byte after the others) of every string."""
+    few = strings_.sparkSession.sparkContext.broadcast(_model(nodes.filter("pair < 0").toArrow()))      # 65535 + 255 nodes at most
+
+    def score(own: pa.Table, longer: pa.Table) -> pa.Table:
+        model = tuple(map(np.concatenate, zip(few.value, _model(longer))))      # in order: a key begins with the length of its context
+        key = own.column("key")
+        return pa.table([key, own.column("pair"), pa.array(log10_chances(key.to_numpy().view(np.uint64), model, depth))], ["key", "pair", "chance"])
+
+    def dealt(rows: DataFrame):
+        return rows.withColumn("part", F.pmod(F.hash("pair"), F.lit(parts))).groupBy("part")
+
+    own = strings_.select("key", F.expr("cast(shiftright(key, 8) & 65535 as int)").alias("pair"))
+    return dealt(own).cogroup(dealt(nodes.filter("pair >= 0"))).applyInArrow(score, "key long, pair int, chance double")
+
+
+def shards(scored: DataFrame) -> list[np.ndarray]:
+    """Two-byte contexts of each shard: whole contexts, SHARD strings at most unless one alone has more."""
+    sizes = scored.groupBy("pair").count().orderBy("pair").collect()       # 65536 rows at most
+    out, own, size = [], [], 0
+    for pair, n in sizes:
+        if own and size + n > SHARD:
+            out.append(np.array(own))
+            own, size = [], 0
+        own.append(pair)
+        size += n
+    return [*out, np.array(own, int)]
+
+
+def hashed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of distinct 64-bit keys in order, with their values; a last hash, not to look beyond, has value 0."""
+    h = keys * np.uint64(BASE)          # one to one, as BASE is odd
+    order = np.argsort(h)
+    return np.append(h[order], np.uint64((1 << 64) - 1)), np.append(values[order], values.dtype.type(0))
+
+
+class Lookup:
+    """Places of keys among the hashes that ``hashed`` makes: each is looked for from where those with its first bits start."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = len(hashes).bit_length()
+        self.hashes, self.shift = hashes, np.uint64(64 - bits)
+        self.starts = np.zeros(1 << bits, np.int32)
+        np.cumsum(np.bincount((hashes[:-1] >> self.shift).astype(np.int64), minlength=1 << bits)[:-1], out=self.starts[1:])
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A place for each key, and whether the key is there."""
+        h = keys * np.uint64(BASE)
+        at = self.starts[(h >> self.shift).astype(np.int64)].astype(np.int64)
+        left = np.flatnonzero(self.hashes[at] < h)
+        while len(left):
+            at[left] += 1
+            left = left[self.hashes[at[left]] < h[left]]
+        return at, (self.hashes[at] == h) & (at < len(self.hashes) - 1)
+
+
+def shard_arrays(scored: DataFrame, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's strings and their chances, as ``hashed`` makes them."""
+    own = scored.join(F.broadcast(scored.sparkSession.createDataFrame([(int(p),) for p in pairs], "pair int")), "pair", "left_semi")
+    got = own.select("key", "chance").toArrow()
+    return hashed(got.column("key").to_numpy().view(np.uint64), got.column("chance").to_numpy())
+
+
 class Scorer:
-    """Scores texts with one shard; remembers the chances of the strings it has met."""
+    """Scores texts with the chances of one shard's strings."""
 
-    def __init__(self, model: tuple, own: np.ndarray, depth: int):
-        self.model, self.own, self.depth = model, own, depth      # own: which two-byte contexts are the shard's
-        self.known, self.chance = np.zeros(0, np.uint64), np.zeros(0)
+    def __init__(self, hashes: np.ndarray, chance: np.ndarray, depth: int):
+        self.lookup, self.chance, self.depth = Lookup(hashes), chance, depth
 
     def __call__(self, documents: list[list[bytes]]) -> np.ndarray:
         keys, sizes = strings(documents, self.depth)
-        distinct = np.unique(keys)
-        new = distinct[~np.isin(distinct, self.known, assume_unique=True)]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.chance, new = self.known[:0], self.chance[:0], distinct
-        both = np.concatenate([self.known, new])
-        order = np.argsort(both)
-        own = self.own[((new >> np.uint64(8)) & np.uint64(65535)).astype(int)]
-        self.chance = np.concatenate([self.chance, np.where(own, log10_chances(new, self.model, self.depth), 0.0)])[order]
-        self.known = both[order]
-        each = self.chance[np.searchsorted(self.known, keys)]
-        return np.add.reduceat(each, np.cumsum(sizes) - sizes)
+        at, there = self.lookup(keys)
+        return np.add.reduceat(np.where(there, self.chance[at], 0.0), np.cumsum(sizes) - sizes)
 
 
 # ------------------------------------------------------------------ scoring
@@ -263,19 +311,15 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
     parts = _parts(docs, text_col)
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), F.col(text_col).alias("text"))
     counted = corpus_counts(named, parts, depth)
-    v, n = counted.filter("kind = 2").agg(F.sum("key"), F.sum("n")).first()
-    v, n = v or 0, n or 0
+    v, n, distinct = (x or 0 for x in counted.agg(*(F.sum(F.when(F.col("kind") == kind, x)) for kind, x in ((2, F.col("key")), (2, F.col("n")), (0, F.lit(1))))).first())
     hot = counted.filter((F.col("kind") == 1) & (F.col("n") * HOT > n)).select("key", "n").toArrow()      # HOT rows at most
     h = hot.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(h)
-    words = spark.sparkContext.broadcast((h[order], hot.column("n").to_numpy()[order]))
-    nodes = written(tree(counted.filter("kind = 0"), depth), "ctw-tree")
-    passes, packed = [], shards(nodes)
-    owner = np.zeros(1 << 16, int)          # contexts that training has not seen are the first shard's
-    for k, pairs in enumerate(packed):
-        owner[pairs] = k
-    for k, pairs in enumerate(packed):
-        model = spark.sparkContext.broadcast((shard_arrays(nodes, pairs), owner == k))
+    words = spark.sparkContext.broadcast(hashed(h, hot.column("n").to_numpy()))
+    nodes = written(tree(counted.filter("kind = 0 and n > 0"), depth), "ctw-tree")
+    scored = written(chances(counted.filter("kind = 0"), nodes, max(1, math.ceil(distinct / PART_STRINGS)), depth), "ctw-chances")
+    passes = []
+    for k, pairs in enumerate(shards(scored)):
+        model = spark.sparkContext.broadcast(shard_arrays(scored, pairs))
         passes.append(named.mapInArrow(_pass(words if k == 0 else None, model, parts, depth), ROW))
     answered = union_all(passes).groupBy("part").applyInArrow(_count_rare(parts), ROW)
 
@@ -306,8 +350,10 @@ def _pass(words, model, parts: int, depth: int):
     piece = PIECE
 
     def run(batches):
-        hashes = WordHashes()
         scorer = Scorer(*model.value, depth)
+        if words is not None:
+            known, c = words.value
+            frequent, logs = Lookup(known), np.log10(c + 0.1)
         for b in batches:
             keys, texts = b.column(0).to_numpy(), [t or "" for t in b.column(1).to_pylist()]
             for a, z in slices(texts, CHUNK):
@@ -319,17 +365,14 @@ def _pass(words, model, parts: int, depth: int):
                     values[x:y, 4] = scorer(split)
                     if words is not None:
                         values[x:y, 1] = [len(w) + 1 for w in split]
-                        h += [np.r_[hashes.of(w), np.uint64(END_HASH)] for w in split]
+                        h += [np.r_[hashes_of(w), np.uint64(END_HASH)] for w in split]
                 if words is not None:
                     values[:, 0] = 1
                     h = np.concatenate(h)
                     owner = np.repeat(np.arange(z - a), values[:, 1].astype(int))
-                    known, c = words.value
-                    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-                    often = known[at] == h if len(known) else np.zeros(len(h), bool)
+                    at, often = frequent(h)
                     values[:, 2] = np.bincount(owner[often], minlength=z - a)
-                    if len(known):
-                        values[:, 3] = np.bincount(owner[often], np.log10(c[at[often]] + 0.1), minlength=z - a)
+                    values[:, 3] = np.bincount(owner[often], logs[at[often]], minlength=z - a)
                     train = np.array([not held_out(None if i == NULL_ID else i) for i in keys[a:z].tolist()])
                     rows = _rare(h[~often], owner[~often], keys[a:z], prints, train, parts)
                 yield from _rows(rows + _to_documents(keys[a:z], prints, values, parts)).to_batches()

@@ -27,6 +27,11 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """The same hashes, each worked out anew: faster where distinct words are many."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """Runs of anything but ASCII white space, as UTF-8."""
     raw = (text or "").encode("utf-8", "surrogatepass")

@@ -170,3 +170,34 @@ def test_ctw_pieces_change_nothing(spark, monkeypatch):
     got = sorted(map(tuple, ctw.score_texts(docs).collect()))
     assert [r[:5] for r in got] == [r[:5] for r in want]
     assert all(abs(x - y) < 1e-9 for g, w in zip(got, want) for x, y in zip(g[5:], w[5:]))
+
+
+def test_ctw_works_each_string_out_once(spark, monkeypatch):
+    """A string's chance is worked out once for the table, not by every task that meets it."""
+    from pitlake.llm import ctw
+    from pitlake.llm.words import words_of
+    texts = [" ".join(f"w{(k * j) % 13}" for j in range(1 + k % 6)) + f" h{k % 4}" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    asked, plain = spark.sparkContext.accumulator(0), ctw.log10_chances
+
+    def counted(strings, model, depth):
+        asked.add(len(strings))
+        return plain(strings, model, depth)
+
+    monkeypatch.setattr(ctw, "log10_chances", counted)
+    assert ctw.score_texts(docs, 3).count() == 60
+    assert asked.value == len(np.unique(ctw.strings([words_of(t) for t in texts], 3)[0]))
+
+
+def test_ctw_lookup():
+    from pitlake.llm import ctw
+    rng = np.random.default_rng(3)
+    last = pow(ctw.BASE, -1, 1 << 64) * ((1 << 64) - 1) % (1 << 64)         # the key whose hash is the largest
+    for n in (0, 1, 2, 50, 3000):
+        keys = np.unique(np.r_[rng.integers(0, 4 * n + 1, n), rng.integers(0, 1 << 63, n)].astype(np.uint64))
+        for own in (keys, np.r_[keys, np.uint64(last)]):
+            known = dict(zip(own.tolist(), range(len(own))))
+            asked = np.r_[own, rng.integers(0, 4 * n + 1, 500).astype(np.uint64), np.uint64(last)]
+            hashes, values = ctw.hashed(own, np.arange(len(own)))
+            at, there = ctw.Lookup(hashes)(asked)
+            assert np.where(there, values[at], -1).tolist() == [known.get(k, -1) for k in asked.tolist()]
