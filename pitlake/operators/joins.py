@@ -78,6 +78,7 @@ class AsofSource:
     on_calendar: bool = False                # every date is a trading day: the query fails on another
     period: str | None = None                # reports that are restated: the column with the period they speak of
     reduced: bool = False                    # the plan before it gives one row per (key, date): not aggregated again
+    every: bool = False                      # rows of ``panel.usable``, any number a (key, date): see ``spans.every_feed``
     _payload: list = field(default_factory=list, repr=False)
 
 

@@ -9,6 +9,7 @@ the one before has written.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,11 +23,17 @@ from pitlake.operators.labels import forward_labels
 from pitlake.operators.normalise import normalise_source
 from pitlake.operators.panel import assemble
 from pitlake.plans.pipeline import PRICE, deliver
-from pitlake.sources.registry import KEY_COLUMNS, avail_rule_of, scope_of
-from pitlake.sources.sinks import read_silver, write_gold, write_silver, write_stats
+from pitlake.sources.registry import EQUI_FREQS, KEY_COLUMNS, avail_rule_of, freq_of, scope_of
+from pitlake.sources.sinks import read_silver, shuffles_freed, write_gold, write_silver, write_stats
 
 log = logging.getLogger(__name__)
 
+# the rows of an as-of source's key are first reduced to one a day if they are more than this and than a thousandth of the source's
+HOT_ROWS, HOT_KEYS = 500_000, 1000
+
+# rows of the landing table a silver bucket
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 500_000, 16, 20_000
+
 # landing columns that describe the fetch, not the data
 FETCH_COLUMNS = ("source_domain", "interface", "task", "task_id", "scope")
 PERIOD = "report_period"
@@ -78,29 +85,52 @@ def write_landed_silver(spark: SparkSession, landing: str, silver: str, buckets:
     """Landing -> one silver dataset per interface.  Returns each interface's
     counts of rows, and of rows without key and without date (A8, counted by
     the write itself)."""
-    counts = {}
-    for domain, interface in landed_interfaces(spark, landing):
-        out = landed_silver(read_landed(spark, landing, domain, interface), interface)
-        counted, rows = accounting(out, f"{interface} rows")
-        holes = [F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in ("ticker", "effective_date") if c in out.columns]
-        missing = Observation(f"{interface} holes") if holes else None
-        if missing:
-            counted = counted.observe(missing, *holes)
-        write_silver(counted, silver, interface, buckets=buckets, date="effective_date")
-        counts[interface] = {**rows.get, **(missing.get if missing else {})}
-    return counts
+    with shuffles_freed(spark):
+        return {i: _write_interface(spark, landing, silver, domain, i, buckets) for domain, i in landed_interfaces(spark, landing)}
+
+
+def _write_interface(spark: SparkSession, landing: str, silver: str, domain: str, interface: str, buckets: int | None) -> dict:
+    out = landed_silver(read_landed(spark, landing, domain, interface), interface)
+    counted, rows = accounting(out, f"{interface} rows")
+    holes = [F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in ("ticker", "effective_date") if c in out.columns]
+    missing = Observation(f"{interface} holes") if holes else None
+    if missing:
+        counted = counted.observe(missing, *holes)
+    write_silver(counted, silver, interface, buckets=buckets, date="effective_date")
+    return {**rows.get, **(missing.get if missing else {})}
+
+
+def buckets_for(spark: SparkSession, landing: str) -> int:
+    """Buckets that silver of this landing table needs to be read, sorted and joined bucket by bucket (rows by the files' footers)."""
+    rows = spark.read.parquet(landing).count()
+    return min(max(math.ceil(rows / BUCKET_ROWS), LEAST_BUCKETS), MOST_BUCKETS)
+
+
+def crowded_keys(src: DataFrame, key: str = "ticker") -> list:
+    """Keys of ``src`` that hold more than HOT_ROWS of its rows, HOT_KEYS at most; the rows without a key count as one."""
+    rows = src.count()
+    if rows <= HOT_ROWS:
+        return []
+    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return [r[key] for r in counts.where(F.col("n") > max(HOT_ROWS, rows // HOT_KEYS)).collect()]
 
 
 def landed_panel(spark: SparkSession, silver: str, interfaces: Sequence[str], grid: DataFrame, calendar: DataFrame,
                  avail: Mapping | str | None = "registry", tie_breaks: Mapping[str, Sequence[str]] | None = None,
-                 counted: dict | None = None, universe: DataFrame | None = None) -> DataFrame:
+                 counted: dict | None = None, universe: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Silver of ``interfaces`` on the grid, each by its frequency and availability rule (J10);
-    with the ``universe`` of a whole grid by spans of days (see :func:`assemble`)."""
+    with the ``universe`` of a whole grid by spans of days (see :func:`assemble`), the rows of every source shuffled
+    once, or not again if silver was written in ``buckets``."""
     sources = [(i, read_silver(spark, silver, i)) for i in interfaces]
     periods = {i: PERIOD for i, df in sources if PERIOD in df.columns}
     rules = registered_rules(interfaces) if avail == "registry" else avail
+    hot = None
+    if universe is not None:
+        with shuffles_freed(spark):
+            crowds = {i: crowded_keys(df) for i, df in sources if "ticker" in df.columns and freq_of(i) not in EQUI_FREQS}
+        hot = {i: (keys, read_silver(spark, silver, i, bucketed=False)) for i, keys in crowds.items() if keys}
     return assemble(grid, sources, calendar=calendar, avail=rules, periods=periods, tie_breaks=tie_breaks, counted=counted,
-                    universe=universe)
+                    universe=universe, hot=hot, parts=buckets)
 
 
 def account(spark: SparkSession, silver: Mapping[str, Mapping], panel: Mapping, features: int) -> DataFrame:

@@ -3,7 +3,8 @@
 Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables;
 those that need exact quantiles (``describe``, ``stats_summary``,
 ``winsorize``) run their counting passes while they are built, ``asof_hot`` and ``ffill_hot`` cut their
-hot keys then, and ``panel_landed`` writes its tables.  Floating-point aggregates whose value depends on summation order
+hot keys then, and ``panel_landed`` writes its tables, silver as tables of the
+session's catalog.  Floating-point aggregates whose value depends on summation order
 (mean, std, interpolated quantiles) are rounded to 6 decimals here and in the
 matching oracle SQL, so both sides compare exactly.
 """
@@ -27,7 +28,7 @@ from pitlake.operators.normalise import normalise, normalise_date, union_sources
 from pitlake.operators.panel import assemble
 from pitlake.operators.treat import apply_feature_schema, assign_split, ffill, fill_missing, membership, suspension, winsorize
 from pitlake.plans import tables as tb
-from pitlake.plans.landed import landed_panel, write_landed_silver
+from pitlake.plans.landed import buckets_for, landed_panel, write_landed_silver
 from pitlake.sources.registry import registry
 
 
@@ -251,15 +252,16 @@ def q_silver_orders(spark, sf):
 
 def q_panel_landed(spark, sf):
     """Five landed sources, one of each kind, to one panel by their registered columns, frequencies and availability
-    rules.  Landing table and silver are written and read again."""
+    rules.  Landing table and silver, which is dealt by ticker into buckets, are written and read again."""
     li, od = tb.load(spark, sf, "lineitem"), tb.load(spark, sf, "orders")
     landing, silver = tb.scratch(spark, "landing"), tb.scratch(spark, "silver")
     tb.land_sources(li, od, landing)
-    sources = write_landed_silver(spark, landing, silver)
+    buckets = buckets_for(spark, landing)
+    sources = write_landed_silver(spark, landing, silver, buckets)
     uni = tb.load(spark, sf, "supplier").select(ticker_of(F.col("s_suppkey")).alias("ticker"))
     cal = tb.lineitem_calendar(li)
     ties = {i: ["l_orderkey", "l_linenumber"] for i in ("stock_yjbb_em", "stock_industry_change_cninfo")}
-    return landed_panel(spark, silver, list(sources), base_grid(uni, cal), cal, tie_breaks=ties, universe=uni)
+    return landed_panel(spark, silver, list(sources), base_grid(uni, cal), cal, tie_breaks=ties, universe=uni, buckets=buckets)
 
 
 def q_union_drift(spark, sf):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake.functions.scalar import ticker_of
-from pitlake.sources.sinks import write_raw
+from pitlake.sources.sinks import shuffles_freed, write_raw
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -121,8 +121,9 @@ def order_reports(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Restated reports per supplier: each line speaks of its order's quarter and becomes known on
     its ship day, in no order of quarters."""
     od = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.trunc(_day("o_orderdate"), "quarter").alias("quarter"))
-    return lineitem.join(od, "l_orderkey").select(F.col("l_suppkey").alias("ticker"), _day("l_shipdate").alias("date"), "quarter",
-                                                  "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
+    lines = lineitem.select(F.col("l_suppkey").alias("ticker"), _day("l_shipdate").alias("date"), "l_orderkey", "l_linenumber",
+                            F.col("l_extendedprice").alias("price"))        # days, not times, are shuffled
+    return lines.join(od, "l_orderkey").select("ticker", "date", "quarter", "l_orderkey", "l_linenumber", "price")
 
 
 def lineitem_market(bars: DataFrame) -> DataFrame:
@@ -155,14 +156,16 @@ def land_sources(lineitem: DataFrame, orders: DataFrame, landing: str) -> None:
     their documented column names: prices per supplier and day (daily, keyed by the
     task), the market's day (daily), order reports of a quarter (restated,
     keyed), returned lines (event, keyed) and a monthly order summary (event, market-wide).
-    A folder that holds most rows (``static``) is written by many tasks."""
-    bars = lineitem_bars(lineitem)
+    A folder that holds most rows (``static``) is written by the many tasks that make them, without a shuffle for it; reports are
+    dealt by quarter as numbers and written out as text after.  The shuffle files of each source are deleted when it has landed."""
     static = F.lit("static")
-    prices = bars.select(ticker_of(F.col("ticker")).alias("ticker"), F.col("date").alias("data_date"), F.col("price").alias("收盘"),
-                         F.col("n_lines").alias("成交量"), F.col("price").alias("后复权价"), static.alias("date"))
-    market = lineitem_market(bars).select(F.date_format("date", "yyyyMMdd").alias("信用交易日期"), "lines", "top_price",
-                                          F.date_format("date", "yyyy0101").alias("date"))
-    reports = order_reports(lineitem, orders).select(
+    prices = lineitem_bars(lineitem).select(ticker_of(F.col("ticker")).alias("ticker"), F.col("date").alias("data_date"), F.col("price").alias("收盘"),
+                                            F.col("n_lines").alias("成交量"), F.col("price").alias("后复权价"), static.alias("date"))
+    # sorted, a file holds each ticker once
+    prices = prices.sortWithinPartitions("ticker", "data_date")
+    market = lineitem.groupBy(_day("l_shipdate").alias("day")).agg(F.count(F.lit(1)).alias("lines"), F.max("l_extendedprice").alias("top_price"))
+    market = market.select(F.date_format("day", "yyyyMMdd").alias("信用交易日期"), "lines", "top_price", F.date_format("day", "yyyy0101").alias("date"))
+    reports = order_reports(lineitem, orders).hint("rebalance", "quarter").select(
         F.col("ticker").cast("string").alias("股票代码"), F.date_format("date", "yyyy/M/d").alias("最新公告日期"), "l_orderkey", "l_linenumber",
         "price", F.date_format("quarter", "yyyyMMdd").alias("date"))
     returns = supplier_returns(lineitem).select(F.col("ticker").cast("string").alias("证券代码"), F.col("date").alias("变更日期"), "ret_price", "ret_qty",
@@ -170,10 +173,12 @@ def land_sources(lineitem: DataFrame, orders: DataFrame, landing: str) -> None:
     month_end = F.last_day(_day("o_orderdate"))
     macro = (orders.groupBy(month_end.alias("m")).agg(F.max("o_totalprice").alias("top_order"), F.count(F.lit(1)).alias("n_orders"))
              .select(F.date_format("m", "yyyy-MM-dd 18:00:00").alias("时间"), "top_order", "n_orders", static.alias("date")))
-    for domain, interface, df in (("sina", "stock_zh_a_hist", prices), ("sse.com.cn", "stock_margin_sse", market),
-                                  ("eastmoney.com", "stock_yjbb_em", reports), ("cninfo.com.cn", "stock_industry_change_cninfo", returns),
-                                  ("wsj.com", "macro_info_ws", macro)):
-        write_raw(df.withColumns({"source_domain": F.lit(domain), "interface": F.lit(interface)}).hint("rebalance", "date"), landing)
+    with shuffles_freed(lineitem.sparkSession):
+        # the reports, which shuffle most, while nothing else has landed
+        for domain, interface, df in (("eastmoney.com", "stock_yjbb_em", reports), ("sina", "stock_zh_a_hist", prices),
+                                      ("sse.com.cn", "stock_margin_sse", market.hint("rebalance", "date")),
+                                      ("cninfo.com.cn", "stock_industry_change_cninfo", returns), ("wsj.com", "macro_info_ws", macro)):
+            write_raw(df.withColumns({"source_domain": F.lit(domain), "interface": F.lit(interface)}), landing)
 
 
 # ---------------------------------------------------------------- orders panel

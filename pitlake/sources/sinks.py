@@ -7,16 +7,35 @@ stage before them is a lazy DataFrame.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW_PARTITIONS = ("source_domain", "interface", "date")
+CODEC = "zstd"          # of the landing table and silver, which are kept whole beside each other
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside delete their shuffle files as soon as they end, not when
+    the driver happens to collect its garbage; the session's setting is put back."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
 
 
 def write_raw(df: DataFrame, base: str, mode: str = "append") -> None:
     """Hive-style landing table ``source_domain=/interface=/date=``."""
-    df.write.mode(mode).partitionBy(*RAW_PARTITIONS).parquet(base)
+    df.write.mode(mode).option("compression", CODEC).partitionBy(*RAW_PARTITIONS).parquet(base)
 
 
 def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overwrite",
@@ -27,12 +46,13 @@ def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overw
     catalog table of that folder (see :func:`read_silver`).  Gold assembly
     over sources bucketed alike -- same key, same bucket count -- runs its
     entity windows without shuffling them: the shuffle is paid once, when
-    silver is written, not on every gold build.
+    silver is written, not on every gold build.  It deals the rows by bucket,
+    an oversized one to several tasks.
     """
     path = f"{base.rstrip('/')}/interface={interface_id}"
     if buckets and key in df.columns:
         sort = [c for c in (key, date) if c in df.columns]
-        (df.write.mode(mode).bucketBy(buckets, key).sortBy(*sort).option("path", path)
+        (df.hint("rebalance", buckets, key).write.mode(mode).option("compression", CODEC).bucketBy(buckets, key).sortBy(*sort).option("path", path)
          .saveAsTable(silver_table(base, interface_id)))
         return path
     name = silver_table(base, interface_id)
@@ -41,7 +61,7 @@ def write_silver(df: DataFrame, base: str, interface_id: str, mode: str = "overw
             raise ValueError(f"{path} is a bucketed table; write to it with its buckets")
         # the folder's files are replaced by unbucketed ones: its table entry goes with them
         df.sparkSession.sql(f"DROP TABLE {name}")
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).option("compression", CODEC).parquet(path)
     return path
 
 
@@ -52,11 +72,11 @@ def silver_table(base: str, interface_id: str) -> str:
     return "silver_" + "".join(ch if ch.isalnum() else "_" for ch in interface_id) + "_" + place
 
 
-def read_silver(spark, base: str, interface_id: str):
+def read_silver(spark, base: str, interface_id: str, bucketed: bool = True):
     """Silver of one interface: the bucketed catalog table when there is one
     (it carries the bucketing), else the plain parquet folder."""
     name = silver_table(base, interface_id)
-    if spark.catalog.tableExists(name):
+    if bucketed and spark.catalog.tableExists(name):
         return spark.table(name)
     return spark.read.parquet(f"{base.rstrip('/')}/interface={interface_id}")
 
