labels_lineitem: grid rows are made after the label window, only price rows are shuffled for it

Symptom: 43 MB shuffled to label 2.5M grid rows from 533,000 daily prices at sf0.1; the last stage sorted 3.0M rows.
Evidence: the stage before the window wrote 35 of the 43 MB, 3,032,473 rows, five in six of them grid rows that carry no price.
Fix: forward_labels takes the grid's universe; price rows and one row per supplier are hashed, days between prices are filled in after the window (spans.spread, as gold_lineitem does).
Effect, together with 3 more commits on this code: at 1 GB of input CPU 802 -> 409 s, shuffle 2.71 -> 1.17 GB, spill 0.00 -> 0.00 GB, read 0.41 -> 0.41 GB, longest task 56 -> 18 s, most memory of a task 470 -> 336 MB; at 6 GB of input CPU 4104 -> 1855 s, shuffle 16.58 -> 7.30 GB, spill 0.00 -> 0.00 GB, read 3.07 -> 3.07 GB, longest task 344 -> 23 s, most memory of a task 604 -> 570 MB; with hot keys, at 1 GB of input CPU 809 -> 387 s, shuffle 2.51 -> 0.97 GB, spill 0.00 -> 0.00 GB, read 0.41 -> 0.41 GB, longest task 52 -> 18 s, most memory of a task 470 -> 302 MB.

@@ -76,8 +76,9 @@ def q_labels(spark, sf):
 def q_labels_lineitem(spark, sf):
     bars = tb.lineitem_bars(tb.load(spark, sf, "lineitem"))
     cal = tb.event_calendar(bars)               # the bars' days: their exchange is reused, lineitem is not read again
-    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
-    return forward_labels(grid, bars, cal, "price")
+    uni = tb.supplier_universe(tb.load(spark, sf, "supplier"))
+    grid = base_grid(uni, cal)
+    return forward_labels(grid, bars, cal, "price", universe=uni)
 
 
 # 5 ---------------------------------------------------------- J4, J5, O2

@@ -185,3 +185,55 @@ def test_slow_source_on_calendar_shortcut_is_equivalent(spark):
     b = assemble_gold(grid, cal, slow=[AsofSource("s", src, on_calendar=True)])
     key = lambda r: (r.ticker, r.date)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+
+
+def _odd_panel(spark):
+    """Prices off the calendar, missing, NaN, zero, out of order, without a key and of an unknown entity (twice on a
+    day); an entity that the universe repeats, one without a key, one without prices."""
+    cal = spark.createDataFrame([(D(f"2024-01-{n:02d}"),) for n in (1, 2, 3, 6, 7, 9)] + [(None,), (D("2024-01-03"),)], "date date")
+    uni = spark.createDataFrame([("a",), ("b",), ("c",), ("c",), (None,), ("none",)], "ticker string")
+    nan = float("nan")
+    rows = [("a", 7, 3.0), ("a", 1, 1.0), ("a", 2, 2.0), ("a", 4, 9.0), ("a", 30, 8.0), ("b", 1, None), ("b", 2, nan), ("b", 3, 0.0), ("b", 6, 5.0), ("b", 7, 5.5),
+            ("c", 6, 1.0), ("c", 9, 2.0), (None, 2, 7.0), (None, 3, 7.7), ("x", 2, 1.0), ("x", 2, 2.0), ("a", None, 1.0), ("c", 7, 3.0), ("c", 7, None)]
+    px = spark.createDataFrame([(t, n and D(f"2024-01-{n:02d}"), p, i) for i, (t, n, p) in enumerate(rows)], "ticker string, date date, p double, o int")
+    return cal, uni, px
+
+
+def _same_rows(got, want):
+    from collections import Counter
+    assert got.schema.simpleString() == want.schema.simpleString()
+    rows = [Counter(map(tuple, df.collect())) for df in (got, want)]
+    assert rows[0] == rows[1]
+    return sum(rows[0].values())
+
+
+def test_labels_by_spans_give_the_rows_of_the_stack(spark):
+    from pitlake.operators.grid import base_grid
+
+    cal, uni, px = _odd_panel(spark)
+    grid = base_grid(uni, cal)
+    for order in (None, ["o"]):
+        args = dict(horizons=(1, 2, 4), price_order=order)
+        assert _same_rows(forward_labels(grid, px, cal, "p", universe=uni, **args), forward_labels(grid, px, cal, "p", **args)) == 36
+    with pytest.raises(Exception, match="several prices"):
+        forward_labels(grid, px.unionByName(px.where("p = 5.5")), cal, "p", universe=uni).collect()
+    none = cal.where("date < '2000-01-01'")
+    assert forward_labels(base_grid(uni, none), px, none, "p", universe=uni).count() == 0
+    assert _same_rows(forward_labels(grid, px.limit(0), cal, "p", universe=uni), forward_labels(grid, px.limit(0), cal, "p")) == 36
+
+
+def test_whole_grid_is_not_shuffled(spark):
+    """40 entities on 50 days with one price each: prices and entities are hashed, not 2000 grid rows."""
+    import re
+
+    from pitlake.operators.grid import base_grid
+
+    uni = spark.range(40).selectExpr("cast(id AS string) AS ticker")
+    days = [D("2024-01-01") + dt.timedelta(days=i) for i in range(50)]
+    cal = spark.createDataFrame([(d,) for d in days], "date date")
+    px = spark.createDataFrame([(str(k), days[k], float(k + 1)) for k in range(40)], "ticker string, date date, p double")
+    out = forward_labels(base_grid(uni, cal), px, cal, "p", universe=uni)
+    assert len(out.collect()) == 2000
+    final = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    shuffled = [int(n) for n in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(sizeInBytes=[^,]*, rowCount=([^)]*)\)", final.split("== Initial Plan ==")[0])]
+    assert shuffled and max(shuffled) <= 40 + 50, shuffled
