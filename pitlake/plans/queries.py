labels_dup: grid rows are made after the label window, only the last price of a day is shuffled for it

Symptom: 49 MB shuffled to label 2.5M grid rows from 600,000 raw prices at sf0.1; the last stage sorted 3.0M rows.
Evidence: the stage before the window wrote 34 of the 49 MB, 3,032,473 rows, of which 2,499,000 were grid rows without a price.
Fix: the query states the grid's universe to forward_labels, so only deduplicated prices and one row per supplier are hashed to the window.
Effect, together with 3 more commits on this code: at 1 GB of input CPU 864 -> 459 s, shuffle 3.19 -> 1.48 GB, spill 0.00 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 52 -> 16 s, most memory of a task 604 -> 302 MB; at 6 GB of input CPU 4269 -> 2018 s, shuffle 19.68 -> 9.40 GB, spill 0.00 -> 0.00 GB, read 4.45 -> 4.45 GB, longest task 305 -> 22 s, most memory of a task 604 -> 436 MB; with hot keys, at 1 GB of input CPU 833 -> 430 s, shuffle 2.91 -> 1.22 GB, spill 0.00 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 52 -> 14 s, most memory of a task 470 -> 302 MB.

@@ -445,8 +445,9 @@ def q_labels_dup(spark, sf):
     li = tb.load(spark, sf, "lineitem")
     px = li.select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), "l_extendedprice", "l_orderkey", "l_linenumber")
     cal = tb.lineitem_calendar(li)
-    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), cal)
-    return forward_labels(grid, px, cal, "l_extendedprice", price_order=["l_orderkey", "l_linenumber"])
+    uni = tb.supplier_universe(tb.load(spark, sf, "supplier"))
+    grid = base_grid(uni, cal)
+    return forward_labels(grid, px, cal, "l_extendedprice", price_order=["l_orderkey", "l_linenumber"], universe=uni)
 
 
 def q_asof_market_ts(spark, sf):

@@ -222,10 +222,19 @@ def test_labels_by_spans_give_the_rows_of_the_stack(spark):
     assert _same_rows(forward_labels(grid, px.limit(0), cal, "p", universe=uni), forward_labels(grid, px.limit(0), cal, "p")) == 36
 
 
-def test_whole_grid_is_not_shuffled(spark):
-    """40 entities on 50 days with one price each: prices and entities are hashed, not 2000 grid rows."""
+def _shuffled_rows(spark, df):
+    """Rows of each shuffle of the final plan."""
     import re
 
+    df.collect()
+    plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    found = re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(sizeInBytes=[^,]*, rowCount=([^)]*)\)", plan.split("== Initial Plan ==")[0])
+    assert found
+    return [int(float(n)) for n in found]
+
+
+def test_whole_grid_is_not_shuffled(spark):
+    """40 entities on 50 days with one price each: prices and entities are hashed, not 2000 grid rows."""
     from pitlake.operators.grid import base_grid
 
     uni = spark.range(40).selectExpr("cast(id AS string) AS ticker")
@@ -233,7 +242,37 @@ def test_whole_grid_is_not_shuffled(spark):
     cal = spark.createDataFrame([(d,) for d in days], "date date")
     px = spark.createDataFrame([(str(k), days[k], float(k + 1)) for k in range(40)], "ticker string, date date, p double")
     out = forward_labels(base_grid(uni, cal), px, cal, "p", universe=uni)
-    assert len(out.collect()) == 2000
-    final = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    shuffled = [int(n) for n in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(sizeInBytes=[^,]*, rowCount=([^)]*)\)", final.split("== Initial Plan ==")[0])]
-    assert shuffled and max(shuffled) <= 40 + 50, shuffled
+    assert out.count() == 2000
+    assert max(_shuffled_rows(spark, out)) <= 40 + 50
+
+
+LABEL_QUERIES = ("labels_lineitem", "labels_dup")
+
+
+@pytest.mark.parametrize("name", LABEL_QUERIES)
+def test_label_queries_shuffle_prices_only(spark, tmp_path, name):
+    """A price a week for some suppliers, two on one day, one without a supplier, one of an unknown supplier."""
+    from pitlake.plans.queries import QUERIES
+
+    lines = [(n, 1, n % 5, day, float(100 + n)) for n in range(60) for day in [dt.datetime(2024, 1, 1) + dt.timedelta(days=n)]]
+    lines += [(7, 2, 2, lines[7][3], 50.0), (8, 2, None, lines[8][3], 60.0), (9, 2, 77, lines[9][3], 70.0), (6, 2, 1, None, 80.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(30).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    price = {}
+    for order, line, supplier, day, p in lines:        # the highest of a day, or the last by (order, line)
+        if day:
+            k = supplier, day.date()
+            price[k] = p if name == "labels_dup" else max(p, price.get(k, p))
+    days = sorted({l[3].date() for l in lines if l[3]})
+    cal = [d for d in days if name != "labels_gapped" or d.weekday() < 5]
+    out = QUERIES[name](spark, str(tmp_path))
+    rows = out.collect()
+    assert len({(r.ticker, r.date) for r in rows}) == len(rows) == 30 * len(days)
+    for r in rows:
+        for h in (1, 5, 20):
+            at = cal.index(r.date) + h if r.date in cal else len(cal)
+            p0, ph = price.get((r.ticker, r.date)), price.get((r.ticker, cal[at])) if at < len(cal) else None
+            na = p0 is None or ph is None
+            assert r[f"label_na_{h}d"] == int(na)
+            assert r[f"r_{h}d"] == (None if na else pytest.approx(max(-2000.0, min(2000.0, 10000 * (ph / p0 - 1)))))
+    assert any(r.label_na_5d == 0 for r in rows) and max(_shuffled_rows(spark, out)) <= 30 + 64
