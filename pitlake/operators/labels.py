labels_dup: the order of a price is shuffled once with it, not twice

Symptom: with the grid rows gone, 15 of the 23 MB of labels_dup at sf0.1 were written by the aggregate that keeps the last price of a day.
Evidence: max_by held the order columns in its value as well as in its ordering, and price_rows then dropped them.
Fix: dedupe_last takes the columns to keep; price_rows asks for the price alone.
Effect, together with 3 more commits on this code: at 1 GB of input CPU 864 -> 459 s, shuffle 3.19 -> 1.48 GB, spill 0.00 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 52 -> 16 s, most memory of a task 604 -> 302 MB; at 6 GB of input CPU 4269 -> 2018 s, shuffle 19.68 -> 9.40 GB, spill 0.00 -> 0.00 GB, read 4.45 -> 4.45 GB, longest task 305 -> 22 s, most memory of a task 604 -> 436 MB; with hot keys, at 1 GB of input CPU 833 -> 430 s, shuffle 2.91 -> 1.22 GB, spill 0.00 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 52 -> 14 s, most memory of a task 470 -> 302 MB.

@@ -32,14 +32,15 @@ from pitlake.operators.spans import days_of, spread
 HORIZONS = (1, 5, 20)
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """One row per key, the last one by ``order`` (the reference keeps the
     last row in file order; an explicit order column makes that repeatable).
 
     ``max_by`` over a struct is a partial aggregate, so duplicates collapse
-    map-side before the shuffle even for a hot key.
+    map-side before the shuffle even for a hot key.  Of the other columns only
+    ``cols`` are kept and shuffled (None: all).
     """
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and (cols is None or c in cols)]
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in rest])
     ordk = F.struct(*[F.col(f"`{c}`") for c in order])
     return (df.groupBy(*keys).agg(F.max_by(row, ordk).alias("__r"))
@@ -53,7 +54,7 @@ def price_rows(prices: DataFrame, price_col: str, order: Sequence[str] | None, k
                        *[F.col(f"`{c}`").alias(f"__o{i}") for i, c in enumerate(order or [])])
     px = px.where(F.col(date).isNotNull())
     if order:
-        px = dedupe_last(px, [key, date], [f"__o{i}" for i in range(len(order))])
+        px = dedupe_last(px, [key, date], [f"__o{i}" for i in range(len(order))], cols=["__px"])
     return px.select(key, date, "__px")
 
 

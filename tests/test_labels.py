@@ -276,3 +276,19 @@ def test_label_queries_shuffle_prices_only(spark, tmp_path, name):
             assert r[f"label_na_{h}d"] == int(na)
             assert r[f"r_{h}d"] == (None if na else pytest.approx(max(-2000.0, min(2000.0, 10000 * (ph / p0 - 1)))))
     assert any(r.label_na_5d == 0 for r in rows) and max(_shuffled_rows(spark, out)) <= 30 + 64
+
+
+def test_price_order_is_shuffled_once(spark):
+    """Of several prices a day only the price travels beside its order, and ties and null orders fall as they did."""
+    cal, _, px = _odd_panel(spark)
+    days = cal.where("date IS NOT NULL").distinct()
+    two = px.unionByName(px).withColumn("o2", px.o % 3)
+    out = forward_labels(days.selectExpr("'a' AS ticker", "date"), two, cal, "p", price_order=["o", "o2"])
+    plan = final_plan(out)
+    assert "partial_max_by(struct(__px, __px" in plan and plan.count("__o1, __o1") == plan.count("struct(__o0, __o0")
+    value = plan.split("partial_max_by(", 1)[1].split("), struct(", 1)[0]
+    assert "__o0" not in value, value
+    order = spark.createDataFrame([("k", 1.0, None), ("k", 2.0, 1), ("k", 3.0, None), ("n", None, 2), ("n", 4.0, 1)], "ticker string, p double, o int")
+    kept = {r.ticker: r.p for r in dedupe_last(order, ["ticker"], ["o"], cols=["p"]).collect()}
+    assert kept == {r.ticker: r.p for r in dedupe_last(order, ["ticker"], ["o"]).collect()} == {"k": 2.0, "n": None}
+    assert dedupe_last(order, ["ticker"], ["o"], cols=["p"]).columns == ["ticker", "p"]
