labels_gapped: grid rows are made after the label window, closed days without a shuffle

Symptom: 38 MB shuffled to label 2.5M grid rows from 382,000 prices on weekdays at sf0.1; the last stage sorted 2.9M rows.
Evidence: the stage before the window wrote 31 of the 38 MB, 2,880,528 rows, of which 2,499,000 were grid rows without a price.
Fix: forward_labels also takes the grid's own days: trading days follow from the price rows after the window, the others are crossed with the universe in place and have no label.
Effect, together with 3 more commits on this code: at 1 GB of input CPU 707 -> 441 s, shuffle 2.31 -> 0.84 GB, spill 0.00 -> 0.00 GB, read 0.47 -> 0.47 GB, longest task 54 -> 27 s, most memory of a task 638 -> 268 MB; at 6 GB of input CPU 3427 -> 1843 s, shuffle 14.21 -> 5.23 GB, spill 0.00 -> 0.00 GB, read 3.41 -> 3.42 GB, longest task 322 -> 150 s, most memory of a task 470 -> 369 MB; with hot keys, at 1 GB of input CPU 753 -> 409 s, shuffle 2.18 -> 0.69 GB, spill 0.00 -> 0.00 GB, read 0.47 -> 0.47 GB, longest task 52 -> 25 s, most memory of a task 638 -> 201 MB.

@@ -405,8 +405,9 @@ def q_labels_gapped(spark, sf):
     """Labels over a calendar with gaps; prices on closed days cannot be seen."""
     li = tb.load(spark, sf, "lineitem")
     cal = weekdays(tb.lineitem_calendar(li))
-    grid = base_grid(tb.supplier_universe(tb.load(spark, sf, "supplier")), tb.lineitem_calendar(li))
-    return forward_labels(grid, tb.lineitem_bars(li), cal, "price")
+    uni, days = tb.supplier_universe(tb.load(spark, sf, "supplier")), tb.lineitem_calendar(li)
+    grid = base_grid(uni, days)
+    return forward_labels(grid, tb.lineitem_bars(li), cal, "price", universe=uni, days=days)
 
 
 def q_calendar_gapped(spark, sf):

@@ -222,6 +222,21 @@ def test_labels_by_spans_give_the_rows_of_the_stack(spark):
     assert _same_rows(forward_labels(grid, px.limit(0), cal, "p", universe=uni), forward_labels(grid, px.limit(0), cal, "p")) == 36
 
 
+def test_labels_by_spans_of_other_days(spark):
+    """A grid of closed days too, of fewer days than the calendar's, of none in common."""
+    from pitlake.operators.grid import base_grid
+
+    cal, uni, px = _odd_panel(spark)
+    for span, n in (((1, 2, 3, 4, 5, 6, 7, 8, 9), 54), ((2, 4, 7), 18), ((4, 5), 12), ((), 0)):
+        days = spark.createDataFrame([(D(f"2024-01-{k:02d}"),) for k in span] + [(None,)], "date date")
+        grid = base_grid(uni, days)
+        args = dict(horizons=(1, 2), price_order=["o"])
+        assert _same_rows(forward_labels(grid, px, cal, "p", universe=uni, days=days, **args), forward_labels(grid, px, cal, "p", **args)) == n
+    named = forward_labels(grid, px.withColumnsRenamed({"ticker": "k", "date": "d"}), cal, "p", (1,), key="k", date="d", price_order=["o"],
+                           universe=uni.withColumnRenamed("ticker", "k"), days=cal.unionByName(days))
+    assert named.columns == ["k", "d", "r_1d", "label_na_1d"] and named.count() == 36
+
+
 def _shuffled_rows(spark, df):
     """Rows of each shuffle of the final plan."""
     import re
@@ -246,16 +261,16 @@ def test_whole_grid_is_not_shuffled(spark):
     assert max(_shuffled_rows(spark, out)) <= 40 + 50
 
 
-LABEL_QUERIES = ("labels_lineitem", "labels_dup")
+LABEL_QUERIES = ("labels_lineitem", "labels_dup", "labels_gapped")
 
 
 @pytest.mark.parametrize("name", LABEL_QUERIES)
 def test_label_queries_shuffle_prices_only(spark, tmp_path, name):
-    """A price a week for some suppliers, two on one day, one without a supplier, one of an unknown supplier."""
+    """A price every fourth day for some suppliers, two on one day, one without a supplier, one of an unknown supplier."""
     from pitlake.plans.queries import QUERIES
 
-    lines = [(n, 1, n % 5, day, float(100 + n)) for n in range(60) for day in [dt.datetime(2024, 1, 1) + dt.timedelta(days=n)]]
-    lines += [(7, 2, 2, lines[7][3], 50.0), (8, 2, None, lines[8][3], 60.0), (9, 2, 77, lines[9][3], 70.0), (6, 2, 1, None, 80.0)]
+    lines = [(n, 1, n % 4, day, float(100 + n)) for n in range(60) for day in [dt.datetime(2024, 1, 1) + dt.timedelta(days=n)]]
+    lines += [(7, 2, 3, lines[7][3], 50.0), (8, 2, None, lines[8][3], 60.0), (9, 2, 77, lines[9][3], 70.0), (6, 2, 1, None, 80.0)]
     spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.range(30).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
     price = {}
@@ -275,7 +290,7 @@ def test_label_queries_shuffle_prices_only(spark, tmp_path, name):
             na = p0 is None or ph is None
             assert r[f"label_na_{h}d"] == int(na)
             assert r[f"r_{h}d"] == (None if na else pytest.approx(max(-2000.0, min(2000.0, 10000 * (ph / p0 - 1)))))
-    assert any(r.label_na_5d == 0 for r in rows) and max(_shuffled_rows(spark, out)) <= 30 + 64
+    assert any(r.label_na_20d == 0 for r in rows) and max(_shuffled_rows(spark, out)) <= 30 + 64
 
 
 def test_price_order_is_shuffled_once(spark):
